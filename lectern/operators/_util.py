@@ -1,0 +1,21 @@
+"""Small plan helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows up to which a driver-supplied side table (queries, clauses, stop words)
+# is broadcast.  Beyond it the join is left to the planner (shuffle join, or
+# AQE's own runtime broadcast when the measured size is small).
+MAX_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, bound: int) -> bool:
+    """True when ``df`` has at most ``bound`` rows; reads at most bound+1 rows."""
+    return df.limit(bound + 1).count() <= bound
+
+
+def broadcast_if_small(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only behind a proven row bound; otherwise unchanged."""
+    return F.broadcast(df) if row_count_at_most(df, bound) else df
