@@ -148,12 +148,13 @@ def expand_multiterm(clauses: DataFrame, index: Index) -> DataFrame:
     Fuzzy clauses keep their best FUZZY_MAX_EXPANSIONS terms by similarity."""
     vocab = index.term_stats.select(F.col("term").alias("v"), "df")
     c = clauses.where(F.col("kind").isin(*CONSTANT_KINDS, "fuzzy") & (F.col("field") == "content"))
-    c = c.withColumn("edits", F.coalesce(F.col("term2").cast("int"), F.lit(FUZZY_DEFAULT_EDITS)))
+    edits = F.coalesce(F.col("term2").try_cast("int"), F.lit(FUZZY_DEFAULT_EDITS))
+    c = c.withColumn("edits", F.when(F.col("kind") == "fuzzy", edits).otherwise(F.lit(0)))
     v, t, t2, kind = F.col("v"), F.col("term"), F.col("term2"), F.col("kind")
     cond = (
         ((kind == "prefix") & v.startswith(t))
-        | ((kind == "wildcard") & v.like(_like_pattern(t)))
-        | ((kind == "regexp") & v.rlike(F.concat(F.lit("^(?:"), t, F.lit(")$"))))
+        | ((kind == "wildcard") & F.like(v, _like_pattern(t)))
+        | ((kind == "regexp") & F.rlike(v, F.concat(F.lit("^(?:"), t, F.lit(")$"))))
         | ((kind == "range") & (t.isNull() | (v >= t)) & (t2.isNull() | (v <= t2)))
         | ((kind == "range_exclusive") & (t.isNull() | (v > t)) & (t2.isNull() | (v < t2)))
         | ((kind == "fuzzy") & (F.abs(F.length(v) - F.length(t)) <= F.col("edits")))
@@ -200,12 +201,21 @@ def field_matches(clauses: DataFrame, analyzer: Analyzer, index: Index) -> DataF
 
 # --- boolean combination --------------------------------------------------------------
 
+def effective_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
+    """(query_id, clause_no, occur) of the clauses that take part: a content
+    term clause whose text analyses to nothing (a stop word) is dropped."""
+    terms = clause_terms(clauses, analyzer).select("query_id", "clause_no", "occur")
+    other = clauses.where((F.col("kind") != "term") | (F.col("field") != "content")).select(
+        "query_id", "clause_no", "occur")
+    return terms.unionByName(other).distinct()
+
+
 def combine(clauses: DataFrame, matches: DataFrame) -> DataFrame:
     """Boolean logic over per-clause matches -> (query_id, doc_id, score).
 
     must: every must clause matches; must_not: no such clause matches;
     should: adds score, and is required (at least one) when there is no must.
-    A purely negative query has no hits."""
+    A purely negative query has no hits.  ``clauses`` are the effective ones."""
     req = clauses.groupBy("query_id").agg(
         F.count_distinct(F.when(F.col("occur") == "must", F.col("clause_no"))).alias("n_must"))
     pos = matches.where(F.col("occur") != "must_not").groupBy("query_id", "doc_id").agg(
@@ -263,4 +273,5 @@ def match_clauses(clauses: DataFrame, index: Index, quantized: bool = False,
 
 def search_clauses(clauses: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
     """Clause table -> (query_id, doc_id, score) of all matching documents."""
-    return combine(clauses, match_clauses(clauses, index, quantized))
+    clauses = broadcast_if_small(clauses, MAX_BROADCAST_ROWS)
+    return combine(effective_clauses(clauses, index.analyzer), match_clauses(clauses, index, quantized))

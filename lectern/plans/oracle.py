@@ -197,3 +197,108 @@ FROM queries q LEFT JOIN (SELECT query_id, count(*) AS n FROM topk GROUP BY quer
 keyed AS (SELECT w.*, coalesce(f.key, '') AS key FROM word_idf w
           LEFT JOIN first_t f ON f.query_id = w.query_id AND f.word_no = w.word_no)""")
     return q
+
+
+def _swap_sql(a: str, i: str) -> str:
+    return (f"(substring({a}, 1, {i} - 1) || substring({a}, {i} + 1, 1) || substring({a}, {i}, 1) || "
+            f"substring({a}, {i} + 2, 1073741824))")
+
+
+def edit_distance_sql(a: str, b: str) -> str:
+    swaps = f"list_min(list_transform(range(1, length({a})), lambda i: levenshtein({_swap_sql(a, 'i')}, {b}) + 1))"
+    return f"(CASE WHEN length({a}) >= 2 THEN least(levenshtein({a}, {b}), {swaps}) ELSE levenshtein({a}, {b}) END)"
+
+
+def clause_search_sql(group: str) -> str:
+    """Clause table -> top-k, the boolean combination written in SQL."""
+    cl = _values(FIXTURE_CLAUSES[group], "query_id, clause_no, occur, field, kind, term, term2, boost")
+    dist = edit_distance_sql("c.term", "v.term")
+    like = "replace(replace(regexp_replace(c.term, '([%_\\\\])', '\\\\\\1', 'g'), '*', '%'), '?', '_')"
+    body = f"""
+cl AS (SELECT CAST(query_id AS BIGINT) AS query_id, CAST(clause_no AS INTEGER) AS clause_no, occur, field, kind,
+              term, term2, CAST(boost AS DOUBLE) AS boost FROM {cl}),
+ct_l AS (SELECT query_id, clause_no, occur, boost, regexp_extract_all(term, {P}) AS t FROM cl
+         WHERE kind = 'term' AND field = 'content'),
+ct_u AS (SELECT query_id, clause_no, occur, boost, unnest(t) AS token FROM ct_l),
+ct AS (SELECT query_id, clause_no, occur, boost, {norm('token')} AS term FROM ct_u
+       WHERE {norm('token')} NOT IN (SELECT word FROM stopset)),
+tm AS (
+  SELECT ct.query_id, ct.clause_no, ct.occur, p.doc_id,
+         sum({bm25_sql('p.tf', 'd.dl', 'ts.df', 'corpus.docs_with_terms', 'corpus.avg_dl', 'ct.boost')}) AS score
+  FROM ct JOIN postings p ON p.term = ct.term JOIN doc_stats d ON d.doc_id = p.doc_id
+  JOIN term_stats ts ON ts.term = ct.term, corpus
+  GROUP BY ct.query_id, ct.clause_no, ct.occur, p.doc_id),
+mc AS (SELECT *, CASE WHEN kind = 'fuzzy' THEN coalesce(TRY_CAST(term2 AS INTEGER), 2) ELSE 0 END AS edits
+       FROM cl WHERE field = 'content' AND kind IN ('prefix', 'wildcard', 'regexp', 'range', 'range_exclusive', 'fuzzy')),
+mt_join AS (
+  SELECT c.query_id, c.clause_no, c.occur, c.kind, c.boost, c.edits, c.term AS qterm, v.term AS v, v.df,
+         CASE WHEN c.kind = 'fuzzy' THEN {dist} ELSE 0 END AS dist
+  FROM mc c JOIN term_stats v ON
+       (c.kind = 'prefix' AND starts_with(v.term, c.term))
+    OR (c.kind = 'wildcard' AND v.term LIKE {like} ESCAPE '\\')
+    OR (c.kind = 'regexp' AND regexp_full_match(v.term, c.term))
+    OR (c.kind = 'range' AND (c.term IS NULL OR v.term >= c.term) AND (c.term2 IS NULL OR v.term <= c.term2))
+    OR (c.kind = 'range_exclusive' AND (c.term IS NULL OR v.term > c.term) AND (c.term2 IS NULL OR v.term < c.term2))
+    OR (c.kind = 'fuzzy' AND abs(length(v.term) - length(c.term)) <= c.edits)),
+mt_exp AS (
+  SELECT *, CASE WHEN kind = 'fuzzy' THEN 1.0 - dist / least(length(qterm), length(v)) ELSE 1.0 END AS sim
+  FROM mt_join WHERE dist <= edits
+  QUALIFY kind <> 'fuzzy' OR row_number() OVER (PARTITION BY query_id, clause_no ORDER BY sim DESC, v) <= 50),
+mt AS (
+  SELECT e.query_id, e.clause_no, e.occur, p.doc_id,
+         CASE WHEN e.kind = 'fuzzy'
+              THEN sum({bm25_sql('p.tf', 'd.dl', 'e.df', 'corpus.docs_with_terms', 'corpus.avg_dl', 'e.boost * e.sim')})
+              ELSE max(e.boost) END AS score
+  FROM mt_exp e JOIN postings p ON p.term = e.v JOIN doc_stats d ON d.doc_id = p.doc_id, corpus
+  GROUP BY e.query_id, e.clause_no, e.occur, e.kind, p.doc_id),
+fc_l AS (SELECT query_id, clause_no, occur, field, boost, regexp_extract_all(term, {P}) AS t FROM cl
+         WHERE kind = 'term' AND field IN ('fileName', 'path')),
+fc_u AS (SELECT query_id, clause_no, occur, field, boost, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM fc_l),
+fc AS (SELECT *, {norm('token')} AS fterm FROM fc_u WHERE {norm('token')} NOT IN (SELECT word FROM stopset)),
+fm_rows AS (
+  SELECT fc.query_id, fc.clause_no, fc.occur, fc.boost, d.doc_id,
+         count(*) OVER (PARTITION BY fc.query_id, fc.clause_no, fc.token_no) AS df
+  FROM fc JOIN docs d ON (fc.field = 'fileName' AND d.file_name = fc.fterm) OR (fc.field = 'path' AND d.path = fc.fterm)),
+fm AS (
+  SELECT query_id, clause_no, occur, doc_id, sum(boost * ln(1 + (corpus.num_docs - df + 0.5) / (df + 0.5))) AS score
+  FROM fm_rows, corpus GROUP BY query_id, clause_no, occur, doc_id),
+m AS (SELECT * FROM tm UNION ALL SELECT * FROM mt UNION ALL SELECT * FROM fm),
+allc AS (SELECT query_id, clause_no, occur, boost FROM cl WHERE kind = 'all'),
+excl_m AS (SELECT DISTINCT query_id, doc_id FROM m WHERE occur = 'must_not'),
+maxex AS (SELECT coalesce(max(n), 0) AS k FROM (SELECT query_id, count(*) AS n FROM excl_m GROUP BY query_id)),
+first_ids AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM docs), maxex
+              WHERE rn <= {MAX_HITS} + maxex.k),
+cand AS (SELECT DISTINCT query_id, doc_id FROM (
+           SELECT query_id, doc_id FROM m WHERE query_id IN (SELECT query_id FROM allc)
+           UNION ALL SELECT a.query_id, f.doc_id FROM (SELECT DISTINCT query_id FROM allc) a, first_ids f)),
+am AS (SELECT c.query_id, a.clause_no, a.occur, c.doc_id, a.boost AS score FROM cand c JOIN allc a ON a.query_id = c.query_id),
+mm AS (SELECT * FROM m UNION ALL SELECT * FROM am),
+eff AS (SELECT DISTINCT query_id, clause_no, occur FROM (
+          SELECT query_id, clause_no, occur FROM ct
+          UNION ALL SELECT query_id, clause_no, occur FROM cl WHERE kind <> 'term' OR field <> 'content')),
+req AS (SELECT query_id, count(DISTINCT CASE WHEN occur = 'must' THEN clause_no END) AS n_must FROM eff GROUP BY query_id),
+pos AS (
+  SELECT query_id, doc_id, sum(score) AS score,
+         count(DISTINCT CASE WHEN occur = 'must' THEN clause_no END) AS must_hit,
+         count(CASE WHEN occur = 'should' THEN 1 END) AS should_hit
+  FROM mm WHERE occur <> 'must_not' GROUP BY query_id, doc_id),
+excl AS (SELECT DISTINCT query_id, doc_id FROM mm WHERE occur = 'must_not'),
+scores AS (
+  SELECT p.query_id, p.doc_id, p.score FROM pos p JOIN req r ON r.query_id = p.query_id
+  WHERE p.must_hit = r.n_must AND (r.n_must > 0 OR p.should_hit > 0)
+    AND NOT EXISTS (SELECT 1 FROM excl e WHERE e.query_id = p.query_id AND e.doc_id = p.doc_id))
+"""
+    return with_(BASE, body, TOPK) + "SELECT query_id, rank, doc_id, score FROM topk"
+
+
+CLAUSE_KEYS = {
+    "match_boolean": "boolean", "score_boosted": "boosted", "match_wildcard": "wildcard", "match_fuzzy": "fuzzy",
+    "match_regexp": "regexp", "match_term_range": "range", "match_field": "field", "match_all": "all",
+}
+
+
+def all_sql() -> dict[str, str]:
+    q = sql_plans()
+    for key, group in CLAUSE_KEYS.items():
+        q[key] = clause_search_sql(group)
+    return q
