@@ -109,7 +109,7 @@ def remove_stopwords(df: DataFrame, analyzer: Analyzer, col: str = "term") -> Da
 
 def analyze_tokens(tok: DataFrame, analyzer: Analyzer, token_col: str = "token") -> DataFrame:
     """Token rows -> term rows (normalised, stop words removed, stemmed)."""
-    terms = tok.withColumn("term", analyzer.normalize(F.col(token_col)))
+    terms = tok.withColumn("term", analyzer.normalize(F.col(token_col))).where(F.col("term").isNotNull())
     terms = remove_stopwords(terms, analyzer)
     if analyzer.stem:
         terms = terms.withColumn("term", analyzer.finish(F.col("term")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .analysis import Analyzer, analyze
@@ -65,9 +65,25 @@ class Index:
 def build_index(docs: DataFrame, analyzer: Analyzer) -> Index:
     """Analyse every document and derive the index tables (lazy)."""
     tf = term_frequencies(analyze(docs, analyzer, positions=False))
-    doc_stats = document_lengths(tf)
-    postings = tf.join(doc_stats, "doc_id").select("term", "doc_id", "tf", "dl")
-    term_stats = document_frequencies(tf)
+    # the length is a window sum over each document's postings (bounded by
+    # one document), so one tokenisation feeds every table
+    postings = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc_id")).cast("long")) \
+        .select("term", "doc_id", "tf", "dl")
+    return from_postings(docs, postings, analyzer)
+
+
+def from_postings(docs: DataFrame, postings: DataFrame, analyzer: Analyzer) -> Index:
+    """Index whose statistics are derived from a postings table."""
+    doc_stats = postings.groupBy("doc_id").agg(F.first("dl").alias("dl"))
+    term_stats = document_frequencies(postings)
     corpus = corpus_stats(docs, doc_stats)
     return Index(docs=docs, postings=postings, doc_stats=doc_stats, term_stats=term_stats,
                  corpus=corpus, analyzer=analyzer)
+
+
+def materialize(index: Index) -> Index:
+    """Compute the postings once and cut the lineage (reliable checkpoint in
+    the session's checkpoint folder), so that every statistic and every
+    query branch reads them instead of re-analysing the corpus."""
+    postings = index.postings.checkpoint(eager=True)
+    return from_postings(index.docs, postings, index.analyzer)

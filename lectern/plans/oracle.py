@@ -302,3 +302,83 @@ def all_sql() -> dict[str, str]:
     for key, group in CLAUSE_KEYS.items():
         q[key] = clause_search_sql(group)
     return q
+
+
+def _first_term_sql(w: str) -> str:
+    return (f"coalesce(list_filter(list_transform(regexp_extract_all({w}, {P}), lambda t: {norm('t')}), "
+            f"lambda t: NOT list_contains(stop_list.l, t))[1], '')")
+
+
+HL = f"""
+stop_list AS (SELECT list(word) AS l FROM stopset),
+qcl AS (SELECT query_id, list(term ORDER BY clause_no) AS clauses FROM clauses GROUP BY query_id),
+hdocs AS (SELECT doc_id, translate(content, chr(10), ' ') AS content FROM docs WHERE doc_id IN (SELECT doc_id FROM topk)),
+hp_l AS (SELECT doc_id, string_split(regexp_replace(translate(content, chr(1), ' '), {P}, chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS p
+         FROM hdocs),
+hp AS (SELECT doc_id, unnest(p) AS piece, unnest(range(0, len(p))) AS piece_no FROM hp_l),
+hps AS (SELECT doc_id, piece_no, piece,
+               CAST(coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY piece_no
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+        FROM hp),
+htoks AS (SELECT doc_id, (piece_no - 1) // 2 AS token_no, piece AS token, start, start + length(piece) AS "end"
+          FROM hps WHERE piece_no % 2 = 1),
+hmatch AS (
+  SELECT h.query_id, t.doc_id, t.token_no, t.token, {norm('t.token')} AS term, t.start, t."end"
+  FROM htoks t JOIN topk h ON h.doc_id = t.doc_id
+  JOIN (SELECT DISTINCT query_id, term FROM clauses) c ON c.query_id = h.query_id AND c.term = {norm('t.token')}),
+kw1 AS (
+  SELECT m.*, length(d.content) AS content_length, q.clauses,
+         {java_split_space_sql(f"regexp_replace(substring(d.content, 1, m.start), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')")} AS bw,
+         {java_split_space_sql(f"regexp_replace(substring(d.content, m.\"end\" + 1), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')")} AS aw
+  FROM hmatch m JOIN hdocs d ON d.doc_id = m.doc_id JOIN qcl q ON q.query_id = m.query_id),
+kw2 AS (SELECT *, list_slice(bw, greatest(len(bw) - 1, 1), len(bw)) AS bw2, list_slice(aw, 1, 2) AS aw2 FROM kw1),
+kw AS (
+  SELECT query_id, doc_id, CAST(token_no AS INTEGER) AS token_no, term,
+         CAST(greatest(0, start - length(array_to_string(bw2, ' ')) - 1) AS INTEGER) AS start,
+         CAST(least(content_length, "end" + length(array_to_string(aw2, ' ')) + 1) AS INTEGER) AS "end",
+         array_to_string(bw2, ' ') || ' ' || token || ' ' || array_to_string(aw2, ' ') AS text,
+         list_sort(list_distinct(list_concat([term], list_filter(
+             list_transform(list_concat(bw2, aw2), lambda w: {_first_term_sql('w')}),
+             lambda t: list_contains(clauses, t))))) AS terms,
+         CAST(content_length AS INTEGER) AS content_length
+  FROM kw2, stop_list),
+kw_i AS (SELECT *, CASE WHEN start > coalesce(max("end") OVER (PARTITION BY query_id, doc_id ORDER BY token_no
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) THEN 1 ELSE 0 END AS new FROM kw),
+kw_j AS (SELECT *, sum(new) OVER (PARTITION BY query_id, doc_id ORDER BY token_no
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM kw_i),
+mg AS (SELECT query_id, doc_id, island, min(start) AS start, max("end") AS "end", count(*) AS n,
+              arg_min(text, token_no) AS lone_text, list_sort(list_distinct(flatten(list(terms)))) AS terms,
+              any_value(content_length) AS content_length
+       FROM kw_j GROUP BY query_id, doc_id, island),
+merged AS (
+  SELECT query_id, mg.doc_id, CAST(island AS INTEGER) AS island, start, "end",
+         CASE WHEN n > 1 OR island = 0 THEN substring(d.content, start + 1, "end" - start) ELSE lone_text END AS text,
+         terms, content_length
+  FROM mg JOIN hdocs d ON d.doc_id = mg.doc_id)
+"""
+
+
+def highlight_sql() -> dict[str, str]:
+    head = with_(BASE, free_text(), scored(), TOPK, HL)
+    q = {}
+    q["keyword_in_context"] = head + 'SELECT query_id, doc_id, token_no, term, start, "end", text, terms, content_length FROM kw'
+    q["merge_fragments"] = head + 'SELECT query_id, doc_id, island, start, "end", text, terms, content_length FROM merged'
+    q["central_term_positions"] = with_(BASE, free_text(), scored(), TOPK, HL, f"""
+cw_l AS (SELECT query_id, doc_id, island, {java_split_space_sql('text')} AS w FROM merged),
+cw AS (SELECT query_id, doc_id, island, unnest(w) AS word, unnest(range(0, len(w))) AS position FROM cw_l),
+cwt AS (SELECT cw.*, {_first_term_sql('word')} AS term FROM cw, stop_list),
+chit AS (SELECT c.* FROM cwt c JOIN qcl q ON q.query_id = c.query_id WHERE list_contains(q.clauses, c.term)),
+cdist AS (SELECT a.query_id, a.doc_id, a.island, a.term, a.position, sum(abs(a.position - b.position)) AS dist
+          FROM chit a JOIN chit b ON a.query_id = b.query_id AND a.doc_id = b.doc_id AND a.island = b.island
+          GROUP BY a.query_id, a.doc_id, a.island, a.term, a.position)""") + """
+SELECT query_id, doc_id, island, term, CAST(position AS INTEGER) AS position FROM cdist
+QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, island, term ORDER BY dist, position) = 1"""
+    q["highlight_clauses"] = with_(BASE, free_text("bench_queries")) + \
+        "SELECT query_id, list(term ORDER BY clause_no) AS clauses FROM clauses GROUP BY query_id"
+    return q
+
+
+def all_sql_with_highlight() -> dict[str, str]:
+    q = all_sql()
+    q.update(highlight_sql())
+    return q

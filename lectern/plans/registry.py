@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_term
 from ..operators import analysis as an
+from ..operators import highlight as hl
 from ..operators import index as ix
 from ..operators import match as mt
 from ..operators import rank as rk
@@ -19,7 +20,7 @@ Plan = Callable[[SparkSession, str], DataFrame]
 
 
 def _index(spark: SparkSession, sf_dir: str, stem: bool = False) -> ix.Index:
-    return ix.build_index(fixture_docs(spark, sf_dir), fixture_analyzer(spark, stem))
+    return ix.materialize(ix.build_index(fixture_docs(spark, sf_dir), fixture_analyzer(spark, stem)))
 
 
 # --- sources and analysis ---------------------------------------------------------
@@ -188,3 +189,58 @@ PLANS: dict[str, Plan] = {
     "match_field": _clause_search("field"),
     "match_all": _clause_search("all"),
 }
+
+
+# --- highlighter --------------------------------------------------------------------
+
+def _hl_inputs(spark, sf_dir):
+    q = fixture_queries(spark)
+    idx = _index(spark, sf_dir)
+    clauses = hl.query_clauses(mt.free_text_clauses(q, idx.analyzer))
+    hits = rk.search_free_text(q, idx)
+    return q, idx, clauses, hits
+
+
+def highlight_clauses(spark, sf_dir):
+    a = fixture_analyzer(spark)
+    return hl.query_clauses(mt.free_text_clauses(benchmark_queries(spark, sf_dir), a))
+
+
+def keyword_in_context(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    k = hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer)
+    return k.withColumn("terms", F.array_sort("terms"))
+
+
+def merge_fragments(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    return hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+
+
+def central_term_positions(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    merged = hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+    return hl.central_term_positions(merged, clauses, idx.analyzer)
+
+
+def best_fragments(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    merged = hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+    b = hl.best_fragments(merged)
+    return b.select("query_id", "doc_id", F.posexplode("ranked").alias("rank", "f")).select(
+        "query_id", "doc_id", "rank", "f.start", "f.end", "f.text", "f.terms")
+
+
+def highlight(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    return hl.highlight_hits(hits, idx.docs, clauses, idx.analyzer)
+
+
+PLANS.update({
+    "highlight_clauses": highlight_clauses,
+    "keyword_in_context": keyword_in_context,
+    "merge_fragments": merge_fragments,
+    "central_term_positions": central_term_positions,
+    "best_fragments": best_fragments,
+    "highlight": highlight,
+})
