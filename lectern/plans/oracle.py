@@ -29,13 +29,17 @@ def norm(expr: str) -> str:
     return normalize_term_sql(expr)
 
 
-BASE = f"""
+DOCS_DOCUMENTS = """
 docs AS (
   SELECT CAST(doc_id AS BIGINT) AS doc_id,
          concat_ws('/', source, CAST(doc_id AS VARCHAR)) AS path,
          CAST(doc_id AS VARCHAR) AS file_name,
          coalesce(text, '') AS content
-  FROM documents),
+  FROM documents)"""
+
+
+def base(docs_cte: str = DOCS_DOCUMENTS) -> str:
+    return docs_cte + f""",
 stop_raw AS (SELECT word FROM {_values([(w,) for w in FIXTURE_STOPWORDS], 'word')}),
 stopset AS (SELECT word FROM stop_raw UNION SELECT {strip_accents_sql('word')} FROM stop_raw),
 tok_lists AS (SELECT doc_id, regexp_extract_all(content, {P}) AS t FROM docs),
@@ -56,6 +60,9 @@ bench_queries AS (SELECT CAST(1000 + item_id AS BIGINT) AS query_id, coalesce(te
 """
 
 
+BASE = base()
+
+
 def free_text(queries: str = "queries") -> str:
     """CTEs qwords/qtoks/clauses for a query relation."""
     return f"""
@@ -382,3 +389,50 @@ def all_sql_with_highlight() -> dict[str, str]:
     q = all_sql()
     q.update(highlight_sql())
     return q
+
+
+def html_to_text_sql(expr: str) -> str:
+    from ..sources.documents import HTML_ENTITIES, MAX_EXTRACTED_CHARS, WHITESPACE_RUN, html_strip_patterns
+    t = f"coalesce({expr}, '')"
+    for pat in html_strip_patterns():
+        t = f"regexp_replace({t}, {sql_str(pat)}, ' ', 'g')"
+    for ent, ch in HTML_ENTITIES:
+        t = f"replace({t}, {sql_str(ent)}, {sql_str(ch)})"
+    t = f"regexp_replace({t}, {sql_str(WHITESPACE_RUN)}, ' ', 'g')"
+    return f"left(trim({t}), {MAX_EXTRACTED_CHARS})"
+
+
+def url_file_name_sql(expr: str) -> str:
+    no_q = f"regexp_replace({expr}, '[?#].*$', '')"
+    no_host = f"regexp_replace({no_q}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*', '')"
+    return f"string_split({no_host}, '/')[-1]"
+
+
+DOCS_PAGES = f"""
+docs AS (
+  SELECT CAST(page_id AS BIGINT) AS doc_id, url AS path, {url_file_name_sql('url')} AS file_name,
+         {html_to_text_sql('html')} AS content
+  FROM pages)"""
+
+DOCS_WITH_CONVERSATIONS = """
+docs AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS content FROM documents
+  UNION ALL
+  SELECT CAST((SELECT max(doc_id) + 1 FROM documents) + conv_id * 1000 + turn AS BIGINT) AS doc_id,
+         coalesce(text, '') AS content FROM conversations)"""
+
+
+def source_sql() -> dict[str, str]:
+    q = {}
+    q["extract_page_text"] = with_(DOCS_PAGES) + "SELECT doc_id, path, file_name, content FROM docs"
+    q["document_metadata"] = with_(DOCS_PAGES) + "SELECT doc_id, path, file_name FROM docs"
+    q["search_pages_topk"] = with_(base(DOCS_PAGES), free_text(), scored(), TOPK) + \
+        "SELECT query_id, rank, doc_id, score FROM topk"
+    q["index_append_stats"] = with_(base(DOCS_WITH_CONVERSATIONS)) + "SELECT term, df, cf FROM term_stats"
+    return q
+
+
+def every_sql() -> dict[str, str]:
+    q = all_sql_with_highlight()
+    q.update(source_sql())
+    return q

@@ -14,6 +14,8 @@ from ..operators import highlight as hl
 from ..operators import index as ix
 from ..operators import match as mt
 from ..operators import rank as rk
+from ..sources import documents as src
+from ..sources import index_store as store
 from .fixtures import benchmark_queries, fixture_analyzer, fixture_clauses, fixture_docs, fixture_queries
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -244,3 +246,39 @@ PLANS.update({
     "best_fragments": best_fragments,
     "highlight": highlight,
 })
+
+
+# --- sources and sinks ---------------------------------------------------------------
+
+def index_append_stats(spark, sf_dir):
+    """Index ``documents``, append ``conversations`` as a second segment, read
+    the merged term statistics back."""
+    a = fixture_analyzer(spark)
+    root = store.scratch_root(spark)
+    store.write_index(ix.materialize(ix.build_index(fixture_docs(spark, sf_dir), a)), root)
+    store.append_documents(spark, root, src.conversations_table(spark, sf_dir), a)
+    return store.read_index(spark, root, a).term_stats
+
+
+def extract_page_text(spark, sf_dir):
+    return src.pages_table(spark, sf_dir)
+
+
+def document_metadata(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select(F.col("page_id").cast("long").alias("doc_id"), F.col("url").alias("path"),
+                    src.url_file_name(F.col("url")).alias("file_name"))
+
+
+def search_pages_topk(spark, sf_dir):
+    """The fixture queries over an index of the extracted web pages."""
+    idx = ix.materialize(ix.build_index(src.pages_table(spark, sf_dir), fixture_analyzer(spark)))
+    return rk.search_free_text(fixture_queries(spark), idx)
+
+
+PLANS.update({
+    "index_append_stats": index_append_stats,
+    "extract_page_text": extract_page_text,
+    "document_metadata": document_metadata,
+    "search_pages_topk": search_pages_topk,
+})

@@ -63,17 +63,20 @@ def html_to_text(html):
     """Visible text of an HTML column: drop comments, scripts, styles and tags,
     unescape the common entities, collapse white space, cut at the limit."""
     t = F.coalesce(html, F.lit(""))
-    t = F.regexp_replace(t, r"(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, r"(?is)<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>", " ")
-    t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
+    for pattern in html_strip_patterns():
+        t = F.regexp_replace(t, pattern, " ")
     for ent, ch in HTML_ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    t = F.regexp_replace(t, r"\s+", " ")
+    t = F.regexp_replace(t, WHITESPACE_RUN, " ")
     t = F.trim(t)
     return F.left(t, F.lit(MAX_EXTRACTED_CHARS))
 
 
 # --- fixed values -----------------------------------------------------------
+# Elements whose content is not visible text.
+HIDDEN_ELEMENTS = ["script", "style", "noscript", "template"]
+# White space collapsed to one space (the same class in Java and RE2).
+WHITESPACE_RUN = r"[\t\n\f\r ]+"
 # Entities replaced by their characters ('&amp;' last so that it is not
 # unescaped twice).
 HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
@@ -81,6 +84,15 @@ HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
 # ---------------------------------------------------------------------------
 
 
+def html_strip_patterns() -> list[str]:
+    """Regexes (Java and RE2 alike, no back-references) removed in order:
+    comments, hidden elements with their content, then any other tag."""
+    pats = [r"(?s)<!--.*?-->"]
+    pats += [rf"(?is)<{tag}\b[^>]*>.*?</{tag}[\t\n\f\r ]*>" for tag in HIDDEN_ELEMENTS]
+    pats.append(r"(?s)<[^>]*>")
+    return pats
+
+
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table as docs: text extracted from the HTML, file name =
     last segment of the URL path, path = the URL."""
