@@ -19,3 +19,11 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
 def broadcast_if_small(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only behind a proven row bound; otherwise unchanged."""
     return F.broadcast(df) if row_count_at_most(df, bound) else df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer
+    partitions than there are task slots (e.g. one large Parquet row group);
+    a scan that is already wide, as any large input is, is left alone."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

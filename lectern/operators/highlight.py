@@ -29,6 +29,13 @@ from ..functions.text import CONTEXT_WORDS, java_split_space, token_array
 from .analysis import Analyzer, first_term, tokenize_offsets
 
 CTRL = "".join(chr(c) for c in range(0x21))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``.  Expressions inside
+    higher-order functions share no common subexpressions, so a value used
+    several times in a lambda is bound this way instead of repeated."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 ELLIPSIS = " ... "
 
 
@@ -82,48 +89,80 @@ def hit_contents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     return d.select("doc_id", c.alias("content"), F.length(c).alias("content_length"))
 
 
+def prepare(hits: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Materialise the (small, bounded) hit list and the hit documents once,
+    so the steps below neither repeat the search nor rescan the corpus."""
+    h = _written(hits.select("query_id", "doc_id"), "hits")
+    return h, _written(hit_contents(h, docs), "hit-docs")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write a small intermediate table to the shared checkpoint folder and
+    read it back (computed once, lineage cut, survives executor loss)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _last_words(prefix: Column) -> Column:
     """Last CONTEXT_WORDS space-separated words of trim(prefix), joined."""
-    r = F.rtrim(prefix, F.lit(CTRL))
-    tail = F.substring_index(r, " ", -CONTEXT_WORDS)
-    return F.when(F.length(tail) == F.length(r), F.ltrim(tail, F.lit(CTRL))).otherwise(tail)
+    return let(F.rtrim(prefix, F.lit(CTRL)), lambda r: let(
+        F.substring_index(r, " ", -CONTEXT_WORDS),
+        lambda tail: F.when(F.length(tail) == F.length(r), F.ltrim(tail, F.lit(CTRL))).otherwise(tail)))
 
 
 def _first_words(suffix: Column) -> Column:
     """First CONTEXT_WORDS space-separated words of trim(suffix), joined."""
-    l = F.ltrim(suffix, F.lit(CTRL))
-    head = F.substring_index(l, " ", CONTEXT_WORDS)
-    return F.when(F.length(head) == F.length(l), F.rtrim(head, F.lit(CTRL))).otherwise(head)
+    return let(F.ltrim(suffix, F.lit(CTRL)), lambda l: let(
+        F.substring_index(l, " ", CONTEXT_WORDS),
+        lambda head: F.when(F.length(head) == F.length(l), F.rtrim(head, F.lit(CTRL))).otherwise(head)))
 
 
-def keyword_in_context(hits: DataFrame, docs: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
+def keyword_in_context(hits: DataFrame, contents: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """One fragment per matching token of each hit:
-    (query_id, doc_id, token_no, term, start, end, text, terms, content_length)."""
-    contents = hit_contents(hits, docs)
-    toks = tokenize_offsets(contents, ["doc_id"])
+    (query_id, doc_id, token_no, term, start, end, text, terms, content_length).
+
+    ``contents`` comes from :func:`prepare`.  Matching tokens are gathered
+    per hit and the context is cut from the hit's text inside one array
+    transform, so the text is joined once per hit, not once per token."""
+    toks = tokenize_offsets(contents.select("doc_id", "content"), ["doc_id"])
     toks = toks.withColumn("term", analyzer.finish(analyzer.normalize(F.col("token"))))
     cterms = F.broadcast(clauses.select("query_id", F.explode("clauses").alias("term")).distinct())
-    hq = F.broadcast(hits.select("query_id", "doc_id"))
-    m = toks.join(hq, "doc_id").join(cterms, ["query_id", "term"])
+    m = toks.join(F.broadcast(hits.select("query_id", "doc_id")), "doc_id").join(cterms, ["query_id", "term"])
+    per_hit = m.groupBy("query_id", "doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("token_no", "term", "token", "start", "end"))).alias("ms"))
     stop = analyzer.stop_array()
-    m = (m.join(contents, "doc_id").join(F.broadcast(clauses), "query_id").crossJoin(stop))
-    before = _last_words(F.substring(F.col("content"), F.lit(1), F.col("start")))
-    after = _first_words(F.substring(F.col("content"), F.col("end") + 1, F.lit(1 << 30)))
-    m = m.withColumn("before", before).withColumn("after", after)
-    ctx_words = F.concat(F.split(F.col("before"), " "), F.split(F.col("after"), " "))
-    ctx_terms = F.filter(F.transform(ctx_words, lambda w: first_term(w, F.col("stop_arr"), analyzer)),
-                         lambda t: F.array_contains(F.col("clauses"), t))
-    return m.select(
-        "query_id", "doc_id", "token_no", "term",
-        F.greatest(F.lit(0), F.col("start") - F.length("before") - 1).alias("start"),
-        F.least(F.col("content_length"), F.col("end") + F.length("after") + 1).alias("end"),
-        F.concat_ws(" ", F.col("before"), F.col("token"), F.col("after")).alias("text"),
-        F.array_distinct(F.concat(F.array(F.col("term")), ctx_terms)).alias("terms"),
-        "content_length",
-    )
+    j = per_hit.join(contents, "doc_id").join(F.broadcast(clauses), "query_id").crossJoin(stop)
+    content, clen = F.col("content"), F.col("content_length")
+
+    def frag(x):
+        ctx = F.struct(_last_words(F.substring(content, F.lit(1), x["start"])).alias("b"),
+                       _first_words(F.substring(content, x["end"] + 1, F.lit(1 << 30))).alias("a"))
+
+        def build(c):
+            before, after = c["b"], c["a"]
+            words = F.concat(F.split(before, " "), F.split(after, " "))
+            ctx_terms = F.filter(F.transform(words, lambda w: first_term(w, F.col("stop_arr"), analyzer)),
+                                 lambda t: F.array_contains(F.col("clauses"), t))
+            return F.struct(
+                x["token_no"].alias("token_no"), x["term"].alias("term"),
+                F.greatest(F.lit(0), x["start"] - F.length(before) - 1).alias("start"),
+                F.least(clen, x["end"] + F.length(after) + 1).alias("end"),
+                F.concat_ws(" ", before, x["token"], after).alias("text"),
+                F.array_distinct(F.concat(F.array(x["term"]), ctx_terms)).alias("terms"))
 
+        return let(ctx, build)
 
-def merge_fragments(kwic: DataFrame, docs: DataFrame) -> DataFrame:
+    fr = j.select("query_id", "doc_id", "content_length", F.explode(F.transform("ms", frag)).alias("f"))
+    return fr.select("query_id", "doc_id", "f.token_no", "f.term", "f.start", "f.end", "f.text", "f.terms",
+                     "content_length")
+
+
+def merge_fragments(kwic: DataFrame, contents: DataFrame) -> DataFrame:
     """Merge fragments that overlap or touch, in token order:
     (query_id, doc_id, island, start, end, text, terms, content_length).
 
@@ -140,36 +179,56 @@ def merge_fragments(kwic: DataFrame, docs: DataFrame) -> DataFrame:
         F.min_by("text", "token_no").alias("lone_text"),
         F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"),
         F.first("content_length").alias("content_length"))
-    contents = hit_contents(g.select("doc_id"), docs)
-    g = g.join(contents.select("doc_id", "content"), "doc_id")
-    merged = (F.col("n") > 1) | (F.col("island") == 0)
-    text = F.when(merged, F.substring(F.col("content"), F.col("start") + 1, F.col("end") - F.col("start"))) \
-        .otherwise(F.col("lone_text"))
-    return g.select("query_id", "doc_id", F.col("island").cast("int").alias("island"), "start", "end",
-                    text.alias("text"), F.array_sort("terms").alias("terms"), "content_length")
+    per_hit = g.groupBy("query_id", "doc_id").agg(
+        F.collect_list(F.struct(F.col("island").cast("int").alias("island"), "start", "end", "n", "lone_text",
+                                "terms", "content_length")).alias("isl"))
+    j = per_hit.join(contents.select("doc_id", "content"), "doc_id")
+
+    def text(x):
+        merged = (x["n"] > 1) | (x["island"] == 0)
+        return F.struct(x["island"].alias("island"), x["start"].alias("start"), x["end"].alias("end"),
+                        F.when(merged, F.substring(F.col("content"), x["start"] + 1, x["end"] - x["start"]))
+                        .otherwise(x["lone_text"]).alias("text"),
+                        F.array_sort(x["terms"]).alias("terms"), x["content_length"].alias("content_length"))
+
+    e = j.select("query_id", "doc_id", F.explode(F.transform("isl", text)).alias("x"))
+    return e.select("query_id", "doc_id", "x.island", "x.start", "x.end", "x.text", "x.terms", "x.content_length")
 
 
 # --- array folds over the fragments of one hit -------------------------------------
 
 def _best_fragments(frags: Column) -> Column:
     """Keep fragment i unless each of its terms is in another fragment that is
-    later, or earlier and kept; rank by term count desc, start, order."""
+    later, or earlier and kept; rank by term count desc, start, order.
+
+    A term is in a later fragment iff its last fragment index is beyond i,
+    and in an earlier kept one iff it is in the union of kept terms carried by
+    the fold, so each step is linear in the fragment's terms."""
     n = F.size(frags)
     idx = F.sequence(F.lit(0), n - 1)
-
-    def covered(acc, i):
-        terms_i = F.get(frags, i)["terms"]
-        return F.forall(terms_i, lambda t: F.exists(
-            idx, lambda j: (j != i) & ((j > i) | ~F.coalesce(F.get(acc, j), F.lit(False)))
-            & F.array_contains(F.get(frags, j)["terms"], t)))
-
-    deleted = F.aggregate(idx, F.array().cast("array<boolean>"),
-                          lambda acc, i: F.concat(acc, F.array(covered(acc, i))))
-    tagged = F.transform(idx, lambda i: F.struct(
-        F.get(frags, i)["start"].alias("start"), F.get(frags, i)["end"].alias("end"),
-        F.get(frags, i)["text"].alias("text"), F.get(frags, i)["terms"].alias("terms"),
-        i.alias("i"), F.get(deleted, i).alias("deleted")))
-    kept = F.filter(tagged, lambda x: ~x["deleted"])
+    keys = F.array_distinct(F.flatten(F.transform(frags, lambda f: f["terms"])))
+    last_map = let(keys, lambda ks: F.map_from_arrays(ks, F.transform(ks, lambda k: F.array_max(
+        F.filter(idx, lambda i: F.array_contains(F.get(frags, i)["terms"], k))))))
+    init = F.struct(F.array().cast("array<string>").alias("kept"), F.array().cast("array<boolean>").alias("deleted"))
+
+    def fold(last):
+        def step(acc, i):
+            def body(terms_i):
+                gone = F.forall(terms_i, lambda t: (F.element_at(last, t) > i) | F.array_contains(acc["kept"], t))
+                return let(gone, lambda g: F.struct(
+                    F.when(g, acc["kept"]).otherwise(F.array_union(acc["kept"], terms_i)).alias("kept"),
+                    F.concat(acc["deleted"], F.array(g)).alias("deleted")))
+            return let(F.get(frags, i)["terms"], body)
+        return F.aggregate(idx, init, step)["deleted"]
+
+    def pick(deleted):
+        tagged = F.transform(idx, lambda i: F.struct(
+            F.get(frags, i)["start"].alias("start"), F.get(frags, i)["end"].alias("end"),
+            F.get(frags, i)["text"].alias("text"), F.get(frags, i)["terms"].alias("terms"),
+            i.alias("i"), F.get(deleted, i).alias("deleted")))
+        return F.filter(tagged, lambda x: ~x["deleted"])
+
+    kept = let(let(last_map, fold), pick)
 
     def order(a, b):
         by_terms = F.size(b["terms"]) - F.size(a["terms"])
@@ -182,17 +241,49 @@ def _best_fragments(frags: Column) -> Column:
 def _annotate(frag: Column, clauses: Column, stop_arr: Column, analyzer: Analyzer) -> Column:
     """Add words, their first terms, and per word whether it is the most
     central occurrence of its clause term (least summed distance to all
-    clause words of the fragment, first such position)."""
-    words = java_split_space(frag["text"])
-    wt = F.transform(words, lambda w: first_term(w, stop_arr, analyzer))
-    pos = F.sequence(F.lit(0), F.size(words) - 1)
-    hit = F.filter(pos, lambda p: F.array_contains(clauses, F.get(wt, p)))
-    dist = F.transform(pos, lambda p: F.aggregate(hit, F.lit(0), lambda s, q: s + F.abs(p - q)))
-    best = F.transform(pos, lambda p: F.array_contains(hit, p) & ~F.exists(
-        hit, lambda q: (F.get(wt, q) == F.get(wt, p)) & (
-            (F.get(dist, q) < F.get(dist, p)) | ((F.get(dist, q) == F.get(dist, p)) & (q < p)))))
-    return F.struct(frag["start"].alias("start"), frag["end"].alias("end"), frag["text"].alias("text"),
-                    frag["terms"].alias("terms"), words.alias("words"), wt.alias("wt"), best.alias("best"))
+    clause words of the fragment, first such position).
+
+    Distances use prefix sums over the (ascending) clause-word positions;
+    the best position per term is the head of each term's run after one
+    sort by (term, distance, position)."""
+    words0 = java_split_space(frag["text"])
+
+    def with_words(words):
+        def with_terms(wt):
+            pos = F.sequence(F.lit(0), F.size(words) - 1)
+
+            def with_hits(hit):
+                m = F.size(hit)
+                # prefix[k] = sum of the first k hit positions (prefix[0] = 0)
+                prefix0 = F.aggregate(hit, F.array(F.lit(0).cast("long")),
+                                      lambda acc, h: F.concat(acc, F.array(F.element_at(acc, -1) + h.cast("long"))))
+
+                def with_prefix(prefix):
+                    total = F.element_at(prefix, -1)
+                    cand = F.transform(hit, lambda h, k: F.struct(
+                        F.get(wt, h).alias("t"),
+                        (h.cast("long") * k - F.get(prefix, k) + (total - F.get(prefix, k + 1))
+                         - h.cast("long") * (m - k - 1)).alias("d"),
+                        h.alias("p")))
+
+                    def heads(srt):
+                        ks = F.filter(F.sequence(F.lit(0), m - 1),
+                                      lambda k: (k == 0) | (F.get(srt, k)["t"] != F.get(srt, k - 1)["t"]))
+                        return F.transform(ks, lambda k: F.get(srt, k)["p"])
+
+                    best_pos = F.when(m > 0, let(F.array_sort(cand), heads)).otherwise(F.array().cast("array<int>"))
+                    return let(best_pos, lambda bp: F.struct(
+                        frag["start"].alias("start"), frag["end"].alias("end"), frag["text"].alias("text"),
+                        frag["terms"].alias("terms"), words.alias("words"), wt.alias("wt"),
+                        F.transform(pos, lambda p: F.array_contains(bp, p)).alias("best")))
+
+                return let(prefix0, with_prefix)
+
+            return let(F.filter(pos, lambda p: F.array_contains(clauses, F.get(wt, p))), with_hits)
+
+        return let(F.transform(words, lambda w: first_term(w, stop_arr, analyzer)), with_terms)
+
+    return let(words0, with_words)
 
 
 def _bold(ranked: Column) -> Column:
@@ -204,22 +295,29 @@ def _bold(ranked: Column) -> Column:
         words, wt, best = f["words"], f["wt"], f["best"]
         size = F.size(words)
         pos = F.sequence(F.lit(0), size - 1)
-        bold = F.transform(pos, lambda p: F.get(best, p) & ~F.array_contains(acc["checked"], F.get(wt, p)))
-        bold_pos = F.filter(pos, lambda p: F.get(bold, p))
-        fb = F.array_min(bold_pos)
-        kept_before = F.slice(words, F.greatest(fb - 1, F.lit(1)), F.least(fb, F.lit(CONTEXT_WORDS)))
-        dropped = F.slice(words, F.lit(1), F.greatest(fb - CONTEXT_WORDS, F.lit(0)))
-        new_start = F.length(F.array_join(dropped, " "))
-        tail_words = F.slice(words, fb + 1, F.greatest(size - fb, F.lit(0)))
-        tail = F.array_join(F.transform(tail_words, lambda w, k: F.when(
-            F.get(bold, fb + k), F.concat(F.lit(" <b>"), w, F.lit("</b> "))).otherwise(F.concat(w, F.lit(" ")))), "")
-        has = fb.isNotNull()
-        text = F.when(has, F.concat(F.array_join(kept_before, " "), tail)).otherwise(f["text"])
-        start = F.when(has & (new_start > 0), new_start).otherwise(f["start"])
-        out = F.struct((F.size(acc["out"])).cast("int").alias("rank"), start.cast("int").alias("start"),
-                       f["end"].cast("int").alias("end"), text.alias("text"))
-        checked = F.array_union(acc["checked"], F.transform(bold_pos, lambda p: F.get(wt, p)))
-        return F.struct(checked.alias("checked"), F.concat(acc["out"], F.array(out)).alias("out"))
+        bold0 = F.transform(pos, lambda p: F.get(best, p) & ~F.array_contains(acc["checked"], F.get(wt, p)))
+
+        def with_bold(bold):
+            def with_pos(bold_pos):
+                def with_fb(fb):
+                    kept_before = F.slice(words, F.greatest(fb - 1, F.lit(1)), F.least(fb, F.lit(CONTEXT_WORDS)))
+                    dropped = F.slice(words, F.lit(1), F.greatest(fb - CONTEXT_WORDS, F.lit(0)))
+                    new_start = F.length(F.array_join(dropped, " "))
+                    tail_words = F.slice(words, fb + 1, F.greatest(size - fb, F.lit(0)))
+                    tail = F.array_join(F.transform(tail_words, lambda w, k: F.when(
+                        F.get(bold, fb + k), F.concat(F.lit(" <b>"), w, F.lit("</b> ")))
+                        .otherwise(F.concat(w, F.lit(" ")))), "")
+                    has = fb.isNotNull()
+                    text = F.when(has, F.concat(F.array_join(kept_before, " "), tail)).otherwise(f["text"])
+                    start = F.when(has & (new_start > 0), new_start).otherwise(f["start"])
+                    out = F.struct(F.size(acc["out"]).cast("int").alias("rank"), start.cast("int").alias("start"),
+                                   f["end"].cast("int").alias("end"), text.alias("text"))
+                    checked = F.array_union(acc["checked"], F.transform(bold_pos, lambda p: F.get(wt, p)))
+                    return F.struct(checked.alias("checked"), F.concat(acc["out"], F.array(out)).alias("out"))
+                return let(F.array_min(bold_pos), with_fb)
+            return let(F.filter(pos, lambda p: F.get(bold, p)), with_pos)
+
+        return let(bold0, with_bold)
 
     return F.aggregate(ranked, init, step)["out"]
 
@@ -253,8 +351,9 @@ def best_fragments(merged: DataFrame) -> DataFrame:
 
 def highlight_hits(hits: DataFrame, docs: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """(query_id, doc_id, highlight): snippet per hit, ``" "`` when nothing matches."""
-    kwic = keyword_in_context(hits, docs, clauses, analyzer)
-    merged = merge_fragments(kwic, docs)
+    hits, contents = prepare(hits, docs)
+    kwic = keyword_in_context(hits, contents, clauses, analyzer)
+    merged = merge_fragments(kwic, contents)
     best = best_fragments(merged)
     stop = analyzer.stop_array()
     b = best.join(F.broadcast(clauses), "query_id").crossJoin(stop)
@@ -262,7 +361,7 @@ def highlight_hits(hits: DataFrame, docs: DataFrame, clauses: DataFrame, analyze
     out = _bold(annotated)
     text = _assemble(out, F.col("content_length"))
     snippets = b.select("query_id", "doc_id", text.alias("highlight"))
-    return hits.select("query_id", "doc_id").join(snippets, ["query_id", "doc_id"], "left").select(
+    return hits.join(snippets, ["query_id", "doc_id"], "left").select(
         "query_id", "doc_id", F.coalesce(F.col("highlight"), F.lit(" ")).alias("highlight"))
 
 

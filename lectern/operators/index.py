@@ -81,9 +81,17 @@ def from_postings(docs: DataFrame, postings: DataFrame, analyzer: Analyzer) -> I
                  corpus=corpus, analyzer=analyzer)
 
 
-def materialize(index: Index) -> Index:
-    """Compute the postings once and cut the lineage (reliable checkpoint in
-    the session's checkpoint folder), so that every statistic and every
-    query branch reads them instead of re-analysing the corpus."""
-    postings = index.postings.checkpoint(eager=True)
+def materialize(index: Index, root: str | None = None) -> Index:
+    """Compute the postings once and cut the lineage: they are written as a
+    Parquet table under ``root`` (default: a fresh folder in the session's
+    checkpoint folder, shared on a cluster) and read back, so every statistic
+    and query branch reads them instead of re-analysing the corpus."""
+    spark = index.postings.sparkSession
+    if root is None:
+        import uuid
+
+        from ..session import ensure_checkpoint_dir
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-postings-{uuid.uuid4().hex[:12]}"
+    index.postings.write.mode("overwrite").parquet(root)
+    postings = spark.read.parquet(root)
     return from_postings(index.docs, postings, index.analyzer)

@@ -208,26 +208,31 @@ def highlight_clauses(spark, sf_dir):
     return hl.query_clauses(mt.free_text_clauses(benchmark_queries(spark, sf_dir), a))
 
 
-def keyword_in_context(spark, sf_dir):
+def _kwic(spark, sf_dir):
     q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    k = hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer)
+    hits, contents = hl.prepare(hits, idx.docs)
+    return idx, clauses, contents, hl.keyword_in_context(hits, contents, clauses, idx.analyzer)
+
+
+def keyword_in_context(spark, sf_dir):
+    idx, clauses, contents, k = _kwic(spark, sf_dir)
     return k.withColumn("terms", F.array_sort("terms"))
 
 
 def merge_fragments(spark, sf_dir):
-    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    return hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+    idx, clauses, contents, k = _kwic(spark, sf_dir)
+    return hl.merge_fragments(k, contents)
 
 
 def central_term_positions(spark, sf_dir):
-    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    merged = hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+    idx, clauses, contents, k = _kwic(spark, sf_dir)
+    merged = hl.merge_fragments(k, contents)
     return hl.central_term_positions(merged, clauses, idx.analyzer)
 
 
 def best_fragments(spark, sf_dir):
-    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    merged = hl.merge_fragments(hl.keyword_in_context(hits, idx.docs, clauses, idx.analyzer), idx.docs)
+    idx, clauses, contents, k = _kwic(spark, sf_dir)
+    merged = hl.merge_fragments(k, contents)
     b = hl.best_fragments(merged)
     return b.select("query_id", "doc_id", F.posexplode("ranked").alias("rank", "f")).select(
         "query_id", "doc_id", "rank", "f.start", "f.end", "f.text", "f.terms")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators._util import spread
+
 # --- fixed values -----------------------------------------------------------
 # Extracted text is cut after this many characters.
 MAX_EXTRACTED_CHARS = 100_000
@@ -18,7 +20,7 @@ MAX_EXTRACTED_CHARS = 100_000
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` test table as docs: path = source/doc_id, file name =
     the id as text."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return d.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.concat_ws("/", F.col("source"), F.col("doc_id").cast("string")).alias("path"),
@@ -29,7 +31,7 @@ def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversations_table(spark: SparkSession, sf_dir: str, id_offset: int = 0) -> DataFrame:
     """Each conversation turn as a document; ids ``offset + conv_id * 1000 + turn``."""
-    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    c = spread(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     local = F.col("conv_id").cast("long") * 1000 + F.col("turn").cast("long")
     return c.select(
         (F.lit(id_offset).cast("long") + local).alias("doc_id"),
@@ -96,7 +98,7 @@ def html_strip_patterns() -> list[str]:
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table as docs: text extracted from the HTML, file name =
     last segment of the URL path, path = the URL."""
-    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    p = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return p.select(
         F.col("page_id").cast("long").alias("doc_id"),
         F.col("url").alias("path"),
