@@ -92,11 +92,11 @@ def hit_contents(hits: DataFrame, docs: DataFrame) -> DataFrame:
 def prepare(hits: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Materialise the (small, bounded) hit list and the hit documents once,
     so the steps below neither repeat the search nor rescan the corpus."""
-    h = _written(hits.select("query_id", "doc_id"), "hits")
-    return h, _written(hit_contents(h, docs), "hit-docs")
+    h = written(hits.select("query_id", "doc_id"), "hits")
+    return h, written(hit_contents(h, docs), "hit-docs")
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write a small intermediate table to the shared checkpoint folder and
     read it back (computed once, lineage cut, survives executor loss)."""
     import uuid

@@ -14,6 +14,7 @@ from ..operators import highlight as hl
 from ..operators import index as ix
 from ..operators import match as mt
 from ..operators import rank as rk
+from ..operators import response as rs
 from ..sources import documents as src
 from ..sources import index_store as store
 from .fixtures import benchmark_queries, fixture_analyzer, fixture_clauses, fixture_docs, fixture_queries
@@ -287,3 +288,13 @@ PLANS.update({
     "document_metadata": document_metadata,
     "search_pages_topk": search_pages_topk,
 })
+
+
+def search_response(spark, sf_dir):
+    q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
+    hits = hl.written(hits, "search-hits")  # run the search once for both uses
+    snippets = hl.highlight_hits(hits, idx.docs, clauses, idx.analyzer)
+    return rs.search_response(q, hits, snippets, idx.docs)
+
+
+PLANS["search_response"] = search_response
