@@ -41,7 +41,7 @@ def main() -> None:
     root = store.scratch_root(spark, "bench")
 
     def build():
-        store.write_index(ix.materialize(ix.build_index(docs, analyzer)), root)
+        store.write_index(ix.build_index(docs, analyzer), root, store_docs=False)
 
     _, t_build = timed(build)
     idx = store.read_index(spark, root, analyzer, docs=docs)

@@ -27,3 +27,25 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a scan that is already wide, as any large input is, is left alone."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+# Distinct values up to which a key list is pushed into a scan as a literal
+# IN filter (Parquet skips files and row groups whose min/max miss it).
+MAX_PUSHDOWN_VALUES = 10_000
+
+
+def pushdown_values(df: DataFrame, col: str, bound: int = MAX_PUSHDOWN_VALUES) -> list | None:
+    """Distinct values of ``col`` when there are at most ``bound`` of them
+    (at most bound+1 rows reach the driver), else None."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(bound + 1).collect()
+    return None if len(rows) > bound else [r[0] for r in rows]
+
+
+def prune_by_values(big: DataFrame, col: str, small: DataFrame, bound: int = MAX_PUSHDOWN_VALUES) -> DataFrame:
+    """``big`` restricted to the (few) values of ``small.col`` with a literal
+    filter that reaches the scan; unchanged when the list is too long (the
+    join that follows stays correct either way)."""
+    values = pushdown_values(small, col, bound)
+    if values is None:
+        return big
+    return big.where(F.col(col).isin(values)) if values else big.where(F.lit(False))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..functions.querysyntax import query_is_valid
 from ..functions.scoring import bm25, bm25_idf, quantized_length
 from ..functions.text import MAX_HITS, java_split_space, token_array
-from ._util import MAX_BROADCAST_ROWS, broadcast_if_small
+from ._util import MAX_BROADCAST_ROWS, broadcast_if_small, prune_by_values
 from .analysis import Analyzer, analyze_tokens
 from .index import Index
 
@@ -105,7 +105,9 @@ def _score_postings(expanded: DataFrame, index: Index, quantized: bool) -> DataF
     """expanded(query_id, clause_no, occur, kind, term, boost, df, sim) x postings
     -> (query_id, clause_no, occur, kind, term, doc_id, tf, dl, score)."""
     side = F.broadcast(expanded)  # row count proven by the caller
-    hits = index.postings.join(side, "term").crossJoin(_corpus_side(index))
+    # look the terms up instead of scanning: postings are sorted by term
+    postings = prune_by_values(index.postings, "term", expanded)
+    hits = postings.join(side, "term").crossJoin(_corpus_side(index))
     dl = quantized_length(F.col("dl")) if quantized else F.col("dl")
     score = bm25(F.col("tf"), dl, F.col("df"), F.col("n_docs"), F.col("avgdl"), F.col("boost") * F.col("sim"))
     return hits.select("query_id", "clause_no", "occur", "kind", "term", "boost", "doc_id", "tf", "dl",

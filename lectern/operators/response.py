@@ -22,7 +22,8 @@ def search_response(queries: DataFrame, hits: DataFrame, highlights: DataFrame,
     rows = order.join(highlights, ["query_id", "doc_id"], "left").join(names, "doc_id", "left")
     per_q = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.create_map(F.lit("content"), F.coalesce("highlight", F.lit(" ")),
-                            F.lit("fileName"), F.col("file_name")).alias("m")))).alias("r"))
+                            F.lit("fileName"), F.col("file_name")).alias("m"))),
+        lambda a, b: a["pos"] - b["pos"]).alias("r"))
     per_q = per_q.select("query_id", F.transform("r", lambda x: x["m"]).alias("results"))
     out = status.join(per_q, "query_id", "left")
     details = F.create_map(F.lit("status"), F.col("status"),

@@ -261,7 +261,7 @@ def index_append_stats(spark, sf_dir):
     the merged term statistics back."""
     a = fixture_analyzer(spark)
     root = store.scratch_root(spark)
-    store.write_index(ix.materialize(ix.build_index(fixture_docs(spark, sf_dir), a)), root)
+    store.write_index(ix.build_index(fixture_docs(spark, sf_dir), a), root)
     store.append_documents(spark, root, src.conversations_table(spark, sf_dir), a)
     return store.read_index(spark, root, a).term_stats
 

@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     docs/        doc_id, path, file_name, content   (sorted by doc_id)
-    postings/    term, doc_id, tf, dl               (range-partitioned and sorted by term)
+    postings/    segment=<id>/ term, doc_id, tf, dl  (range-partitioned and sorted by term)
     term_stats/  term, df, cf, segment              (one slice per write)
     doc_stats/   doc_id, dl
     corpus/      num_docs, docs_with_terms, sum_dl, max_doc_id, segment  (one row per write)
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.analysis import Analyzer
-from ..operators.index import Index, build_index, document_frequencies, materialize
+from ..operators.index import Index, build_index, document_frequencies
 from ..session import ensure_checkpoint_dir
 
 TABLES = ["docs", "postings", "term_stats", "doc_stats", "corpus"]
@@ -43,23 +43,24 @@ def _postings_partitions(spark: SparkSession) -> int:
 def write_index(index: Index, root: str, mode: str = "overwrite", store_docs: bool = True) -> None:
     """Write (``overwrite``) or add a segment (``append``) to an index folder.
 
-    Pass a materialised index (:func:`lectern.operators.index.materialize`)
-    so that the postings are computed once for the postings files and the
-    statistic slices.  For an append the documents must carry ids not used
+    The segment's postings are computed once, written sorted by term under
+    ``postings/segment=<id>``, and its statistic slices are aggregated from
+    that written copy.  For an append the documents must carry ids not used
     before (see :func:`append_documents`)."""
     spark = index.postings.sparkSession
     segment = uuid.uuid4().hex[:12]
-    p = index.postings
+    seg_path = f"{root}/postings/segment={segment}"
     # range partitioning on (term, doc_id): a hot term is split over several
     # files, and each file covers a narrow, sorted term range
-    p.repartitionByRange(_postings_partitions(spark), "term", "doc_id") \
-        .sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{root}/postings")
+    index.postings.repartitionByRange(_postings_partitions(spark), "term", "doc_id") \
+        .sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(seg_path)
+    p = spark.read.parquet(seg_path)
     doc_stats = p.groupBy("doc_id").agg(F.first("dl").alias("dl"))
     doc_stats.write.mode(mode).parquet(f"{root}/doc_stats")
     document_frequencies(p).withColumn("segment", F.lit(segment)).write.mode(mode).parquet(f"{root}/term_stats")
     left = index.docs.agg(F.count(F.lit(1)).alias("num_docs"), F.max("doc_id").alias("max_doc_id"))
-    right = doc_stats.agg(F.count(F.lit(1)).alias("docs_with_terms"),
-                          F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("sum_dl"))
+    right = spark.read.parquet(f"{root}/doc_stats").join(index.docs.select("doc_id"), "doc_id", "left_semi") \
+        .agg(F.count(F.lit(1)).alias("docs_with_terms"), F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("sum_dl"))
     left.crossJoin(right).withColumn("segment", F.lit(segment)).write.mode(mode).parquet(f"{root}/corpus")
     if store_docs:
         index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{root}/docs")
@@ -67,7 +68,7 @@ def write_index(index: Index, root: str, mode: str = "overwrite", store_docs: bo
 
 def read_index(spark: SparkSession, root: str, analyzer: Analyzer, docs: DataFrame | None = None) -> Index:
     """Open an index folder; statistic slices of all segments are merged."""
-    postings = spark.read.parquet(f"{root}/postings")
+    postings = spark.read.parquet(f"{root}/postings").drop("segment")
     slices = spark.read.parquet(f"{root}/term_stats")
     term_stats = slices.groupBy("term").agg(F.sum("df").cast("long").alias("df"), F.sum("cf").cast("long").alias("cf"))
     c = spark.read.parquet(f"{root}/corpus").agg(
@@ -94,4 +95,4 @@ def append_documents(spark: SparkSession, root: str, docs: DataFrame, analyzer:
     past the index's largest id (new ids, as a restart would add)."""
     offset = next_doc_id(spark, root)
     shifted = docs.withColumn("doc_id", F.col("doc_id") + F.lit(offset))
-    write_index(materialize(build_index(shifted, analyzer)), root, mode="append")
+    write_index(build_index(shifted, analyzer), root, mode="append")
