@@ -126,7 +126,7 @@ class NearDup:
     def texts(self, ids: DataFrame) -> DataFrame:
         """(doc, text) of these representatives; of rows that share an id, the row that was chosen."""
         wanted = self.sets.join(ids.distinct(), "rep", "left_semi").select(F.col("rep").alias("doc"), "h1", "h2")
-        found = self.docs.join(wanted, "doc")
+        found = self.docs.join(wanted.hint("merge"), "doc")  # never broadcast: it grows with the documents
         n_words = self.n_words
 
         def run(batches):
@@ -146,8 +146,8 @@ class NearDup:
         """The pairs whose full shingle sets are similar enough."""
         pairs = self.scratch.keep(pairs, "pairs")
         texts = self.texts(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))))
-        x = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("x")), "a")
-        y = x.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("y")), "b")
+        x = pairs.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("x")), "a")
+        y = x.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("y")), "b")
         n_words, percent = self.n_words, self.percent
 
         def run(batches):
