@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, line_dedup, near_dup, packing
+from lectern.llm import decontaminate, kneser_ney, line_dedup, near_dup, packing
 from lectern.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("doc", "doc_id").withColumnRenamed("n", "n_bytes")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality_kneser_ney": op7_quality_kneser_ney,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
