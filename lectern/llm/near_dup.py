@@ -192,7 +192,9 @@ class NearDup:
 
         Of sets of n and m shingles with similarity t each has at least
         ceil(t * n) common ones, so whichever order is used both share one of
-        the first n - ceil(t * n) + 1.
+        the first n - ceil(t * n) + 1.  Only their first common shingle has to
+        find a pair, and after it (places i and j) no more than
+        min(n - i, m - j) can be shared: most pairs end there.
         """
         texts = self.texts(left.select("rep"))
         n_words, percent = self.n_words, self.percent
@@ -209,10 +211,11 @@ class NearDup:
         order = Window.partitionBy("rep").orderBy("f", "shingle")
         placed = placed.select("*", F.row_number().over(order).alias("at"), F.count("*").over(Window.partitionBy("rep")).alias("size"))
         first = placed.where((F.col("at") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("f") > 1))
-        first = self.scratch.keep(first.join(left, "rep").select("shingle", "rep", "size", "component"), "rare")
-        a = first.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "size", "component")))
-        b = first.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "size", "component")))
+        first = self.scratch.keep(first.join(left, "rep").select("shingle", "rep", "at", "size", "component"), "rare")
+        a = first.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "at", "size", "component")))
+        b = first.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "at", "size", "component")))
         near = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
+        near = near & ((1 + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))) * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b")))
         pairs = a.join(b, "shingle").where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & near)
         return _within(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), self.sets)
 
