@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, kneser_ney, language_id, line_dedup, near_dup, packing
+from lectern.llm import decontaminate, kneser_ney, language_id, line_dedup, near_dup, packing, pii
 from lectern.llm.common import table
 
 
@@ -43,6 +43,14 @@ def op7_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("doc", "doc_id").withColumnRenamed("n", "n_bytes")
 
 
+def op9_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return out.select(F.col("doc").alias("doc_id"), *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                      pii.written(F.concat("base", "added")).alias("spans"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_kneser_ney": op7_quality_kneser_ney,
+    "op9_pii_skip_chain": op9_pii_skip_chain,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
