@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, kneser_ney, language_id, line_dedup, near_dup, packing, pii
+from lectern.llm import decontaminate, kneser_ney, language_id, line_dedup, near_dup, packing, pii, quality_rules
 from lectern.llm.common import table
 
 
@@ -27,6 +27,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).withColumnRenamed("doc", "doc_id")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return out.select(F.col("doc").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      F.round("d2", 4).alias("distance"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -95,6 +101,7 @@ FROM words w LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) WHE
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op3_language_id": op3_language_id,
+    "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_kneser_ney": op7_quality_kneser_ney,
