@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat_format, decontaminate, kneser_ney, language_id, line_dedup, near_dup, packing, pii, quality_rules
+from lectern.llm import chat_format, decontaminate, kneser_ney, language_id, licenses, line_dedup, near_dup, packing, pii, quality_rules
 from lectern.llm.common import table
 
 
@@ -18,6 +18,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(licenses.file_paths(table(spark, sf_dir, "documents")), "doc_id", "path", "text")
+    return out.withColumnRenamed("file", "doc_id")
+
+
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return pieces.drop("ids")
@@ -130,6 +135,7 @@ FROM turns GROUP BY conv_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_pack_sequences": op2_pack_sequences,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
