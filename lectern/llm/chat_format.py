@@ -73,12 +73,15 @@ def branches(nodes: DataFrame, best: int | None, scratch: Scratch) -> tuple[list
     return links, ranked if best is None else ranked.where(F.col("branch") <= best)
 
 
-def path_nodes(links: list[DataFrame], chosen: DataFrame) -> DataFrame:
-    """(tree, leaf, node, turn): every message of the chosen branches, turns from 0 at the root."""
+def path_nodes(links: list[DataFrame], chosen: DataFrame, scratch: Scratch) -> DataFrame:
+    """(tree, leaf, node, turn): every message of the chosen branches, turns from 0 at the root.
+
+    Each step is written, as it reads the last one twice.
+    """
     out = chosen.select("tree", "leaf", F.col("leaf").alias("node"), (F.col("turns") - 1).alias("turn"))
     for k in reversed(range(len(links))):
         above = out.join(links[k], KEY).select("tree", "leaf", F.col("up").alias("node"), (F.col("turn") - (1 << k)).alias("turn"))
-        out = out.unionByName(above)
+        out = scratch.keep(out.unionByName(above), f"path{k}")
     return out
 
 
@@ -91,7 +94,7 @@ def format_trees(messages: DataFrame, tree: str, node: str, parent: str, role: s
                                         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), "messages")
     links, chosen = branches(rows.select(*KEY, "parent", "score"), best, scratch)
     chosen = scratch.keep(chosen, "branches")
-    places = scratch.keep(path_nodes(links, chosen), "paths")
+    places = path_nodes(links, chosen, scratch)
     head = F.concat(F.lit(HEAD), escaped(F.col("role"), "\\<#:"), F.lit(MIDDLE))
     body = escaped(F.col("text"))
     turn = F.struct(F.col("turn"), F.concat(head, body, F.lit(TAIL)).alias("piece"), F.length(head).alias("start"),

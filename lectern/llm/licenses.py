@@ -89,8 +89,8 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     counted = template_terms(templates)
     terms = sorted(set().union(*counted))
     n, df = frequencies(files, terms)
-    idf = {t: math.log(1 + n / (1 + df.get(t, 0))) for t in terms}
-    unseen = math.log(1 + n)
+    idf = {t: math.log(1 + (1 + n) / (1 + df.get(t, 0))) for t in terms}
+    unseen = math.log(2 + n)
     vectors = [{t: c * idf[t] for t, c in terms_.items()} for terms_ in counted]
     cut = "|".join(sorted(set().union(*(anchors(v, threshold) for v in vectors))))
     rows = [(k, templates[k][0], t, idf[t], w / math.sqrt(sum(x * x for x in v.values()))) for k, v in enumerate(vectors) for t, w in v.items()]
