@@ -21,6 +21,13 @@ from pyspark.sql import functions as F
 # middle dot; numbers joined by . , ; or an apostrophe; underscores.  It has no
 # look-around, so Java regex (Spark) and RE2 (DuckDB) read it the same way.
 TOKEN_PATTERN = r"(?:\p{L}\p{M}*(?:['’.:·]\p{L}\p{M}*)*|\p{N}(?:[.,;'’]\p{N})*|_)+"
+# The same words with possessive loops, which Java runs without recursion
+# however long the word is (nothing follows a loop that it could give back).
+SPARK_TOKEN_PATTERN = r"(?:\p{L}\p{M}*+(?:['’.:·]\p{L}\p{M}*+)*+|\p{N}(?:[.,;'’]\p{N})*+|_)++"
+# Longer tokens are split after so many characters.
+MAX_TOKEN_CHARS = 255
+# Marks that follow their letter in decomposed text (the same class in Java and RE2).
+COMBINING_MARKS = r"[\x{0300}-\x{036F}]"
 
 # Folds that Unicode decomposition does not give but ASCII folding does
 # (ligatures, letters with strokes, typographic apostrophes).
@@ -29,6 +36,16 @@ FOLD_SPECIALS = {
     "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "þ": "th",
     "Þ": "TH", "ı": "i", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ŋ": "n",
     "Ŋ": "N", "ƒ": "f", "ĸ": "q", "‘": "'", "’": "'",
+    "ƀ": "b", "Ɓ": "B", "Ƃ": "B", "ƃ": "b", "Ɔ": "O", "Ƈ": "C", "ƈ": "c", "Ɖ": "D", "Ɗ": "D", "Ƌ": "D", "ƌ": "d",
+    "Ǝ": "E", "Ə": "A", "Ɛ": "E", "Ƒ": "F", "Ɠ": "G", "Ɩ": "I", "Ɨ": "I", "Ƙ": "K", "ƙ": "k", "ƚ": "l", "Ɯ": "M",
+    "Ɲ": "N", "ƞ": "n", "Ɵ": "O", "Ƥ": "P", "ƥ": "p", "ƫ": "t", "Ƭ": "T", "ƭ": "t", "Ʈ": "T", "Ʋ": "V", "Ƴ": "Y",
+    "ƴ": "y", "Ƶ": "Z", "ƶ": "z", "ǝ": "e", "Ǥ": "G", "ǥ": "g", "Ȥ": "Z", "ȥ": "z", "ȡ": "d", "ȴ": "l", "ȵ": "n",
+    "ȶ": "t", "ȷ": "j", "Ⱥ": "A", "Ȼ": "C", "ȼ": "c", "Ƚ": "L", "Ⱦ": "T", "ȿ": "s", "ɀ": "z", "Ƀ": "B", "Ʉ": "U",
+    "Ʌ": "V", "Ɇ": "E", "ɇ": "e", "Ɉ": "J", "ɉ": "j", "Ɋ": "Q", "ɋ": "q", "Ɍ": "R", "ɍ": "r", "Ɏ": "Y", "ɏ": "y",
+    "ɐ": "a", "ɓ": "b", "ɕ": "c", "ɖ": "d", "ɗ": "d", "ɘ": "e", "ə": "a", "ɛ": "e", "ɟ": "j", "ɠ": "g", "ɡ": "g",
+    "ɢ": "G", "ɥ": "h", "ɦ": "h", "ɨ": "i", "ɪ": "I", "ɫ": "l", "ɬ": "l", "ɭ": "l", "ɯ": "m", "ɱ": "m", "ɲ": "n",
+    "ɳ": "n", "ɴ": "N", "ɵ": "o", "ɼ": "r", "ɽ": "r", "ɾ": "r", "ʂ": "s", "ʈ": "t", "ʉ": "u", "ʋ": "v", "ʌ": "v",
+    "ʏ": "Y", "ʐ": "z", "ʑ": "z", "ⱡ": "l", "Ⱡ": "L", "Ɫ": "L", "Ᵽ": "P", "Ɽ": "R", "ⱥ": "a", "ⱦ": "t",
 }
 # Number of context words kept on each side of a highlighted term.
 CONTEXT_WORDS = 2
@@ -42,7 +59,11 @@ _FOLD_BLOCKS = [
     (0x0100, 0x024F),  # Latin extended A and B
     (0x1E00, 0x1EFF),  # Latin extended additional
     (0x2070, 0x209F),  # super- and subscripts
+    (0x1D00, 0x1DBF),  # phonetic extensions (modifier letters)
     (0x2460, 0x24FF),  # enclosed alphanumerics
+    (0x2C60, 0x2C7F),  # Latin extended C
+    (0xA720, 0xA7FF),  # Latin extended D
+    (0xFB00, 0xFB06),  # Latin ligatures
     (0xFF01, 0xFF5E),  # full-width ASCII
 ]
 
@@ -105,9 +126,10 @@ def ascii_fold(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Remove diacritics that decompose canonically (used for stop words)."""
+    """Remove diacritics that decompose canonically (used for stop words),
+    whether a letter comes with its mark or before it."""
     src, dst = strip_accent_tables()
-    return F.translate(c, src, dst)
+    return F.regexp_replace(F.translate(c, src, dst), COMBINING_MARKS, "")
 
 
 def normalize_term(token: Column) -> Column:
@@ -115,14 +137,23 @@ def normalize_term(token: Column) -> Column:
     return ascii_fold(F.lower(token))
 
 
+def split_long(token: Column) -> Column:
+    """A token in parts of at most MAX_TOKEN_CHARS characters."""
+    parts = F.sequence(F.lit(0), F.floor((F.length(token) - 1) / MAX_TOKEN_CHARS).cast("int"))
+    cut = F.transform(parts, lambda k: F.substring(token, k * MAX_TOKEN_CHARS + 1, F.lit(MAX_TOKEN_CHARS)))
+    return F.when(F.length(token) <= MAX_TOKEN_CHARS, F.array(token)).otherwise(cut)
+
+
 def token_array(text: Column) -> Column:
     """All word tokens of a text, in order (no offsets)."""
-    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
+    found = F.transform(F.array(F.regexp_extract_all(text, F.lit(SPARK_TOKEN_PATTERN), 0)), lambda ts: F.when(
+        F.exists(ts, lambda t: F.length(t) > MAX_TOKEN_CHARS), F.flatten(F.transform(ts, split_long))).otherwise(ts))
+    return found[0]
 
 
 def java_trim(c: Column) -> Column:
     """String.trim(): strip characters <= U+0020 at both ends."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(c, F.lit("".join(map(chr, range(0x21)))))
 
 
 def java_split_space(c: Column) -> Column:
@@ -152,15 +183,17 @@ def ascii_fold_sql(expr: str) -> str:
 
 def strip_accents_sql(expr: str) -> str:
     src, dst = strip_accent_tables()
-    return f"translate({expr}, {sql_str(src)}, {sql_str(dst)})"
+    return f"regexp_replace(translate({expr}, {sql_str(src)}, {sql_str(dst)}), '{COMBINING_MARKS}', '', 'g')"
 
 
-def normalize_term_sql(expr: str) -> str:
-    return ascii_fold_sql(f"lower({expr})")
+def token_array_sql(expr: str) -> str:
+    n = MAX_TOKEN_CHARS
+    parts = f"list_transform(range(0, greatest(1, CAST(ceil(length(t) / {n}) AS BIGINT))), lambda k: substring(t, CAST(k * {n} + 1 AS BIGINT), {n}))"
+    return f"flatten(list_transform(regexp_extract_all({expr}, {sql_str(TOKEN_PATTERN)}), lambda t: {parts}))"
 
 
-def java_trim_sql(expr: str) -> str:
-    return f"regexp_replace({expr}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+def normalize_term_sql(expr: str) -> str:
+    return ascii_fold_sql(f"lower({expr})")
 
 
 def java_split_space_sql(expr: str) -> str:

@@ -8,16 +8,15 @@ computed for the few documents a highlighter touches.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stem as stem_fn
-from ..functions.text import (TOKEN_PATTERN, java_split_space, normalize_term,
+from ..functions.text import (MAX_TOKEN_CHARS, SPARK_TOKEN_PATTERN, java_split_space, normalize_term, split_long,
                               strip_accents, token_array)
-from ._util import MAX_BROADCAST_ROWS, broadcast_if_small
 
 SEP = "\u0001"
 
@@ -33,8 +32,6 @@ class Analyzer:
     stopwords: DataFrame | None = None
     fold: bool = True
     stem: bool = False
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS
-    _stop_side: DataFrame | None = field(default=None, init=False, repr=False)
 
     def normalize(self, token: Column) -> Column:
         t = normalize_term(token) if self.fold else F.lower(token)
@@ -45,18 +42,14 @@ class Analyzer:
         return stem_fn.romanian_stem(term) if self.stem else term
 
     def stop_side(self) -> DataFrame | None:
-        """Stop set as a join side: broadcast when its size is proven small."""
-        if self.stopwords is None:
-            return None
-        if self._stop_side is None:
-            self._stop_side = broadcast_if_small(self.stopwords.select("word"), self.max_broadcast_rows)
-        return self._stop_side
+        """Stop set as a join side (the planner broadcasts what is small)."""
+        return None if self.stopwords is None else self.stopwords.select("word")
 
     def stop_array(self) -> DataFrame:
         """One-row DataFrame ``stop_arr ARRAY<STRING>`` (empty when no stop words).
 
-        Exactly one row (global aggregate); the array holds the stop set, whose
-        size was checked by :meth:`stop_side`."""
+        Exactly one row (global aggregate); the array holds the stop set, a
+        list that people write."""
         side = self.stop_side()
         if side is None:
             spark = SparkSession.getActiveSession()
@@ -87,8 +80,11 @@ def tokenize_offsets(df: DataFrame, id_cols: Sequence[str], text_col: str = "con
     running length of the pieces before it (a window per text, so use it on
     the documents you need offsets for, e.g. the hits of a search)."""
     text = F.translate(F.col(text_col), SEP, " ")
-    pieces = F.split(F.regexp_replace(text, TOKEN_PATTERN, SEP + "$0" + SEP), SEP)
-    exploded = df.select(*id_cols, F.posexplode(pieces).alias("piece_no", "piece"))
+    pieces = F.split(F.regexp_replace(text, SPARK_TOKEN_PATTERN, SEP + "$0" + SEP), SEP)
+    # gaps and tokens take turns; the parts of a long token get an empty gap between them
+    parts = F.flatten(F.transform(pieces, lambda p, k: F.when((k % 2 == 0) | (F.length(p) <= MAX_TOKEN_CHARS), F.array(p)).otherwise(
+        F.flatten(F.transform(split_long(p), lambda x, j: F.when(j == 0, F.array(x)).otherwise(F.array(F.lit(""), x)))))))
+    exploded = df.select(*id_cols, F.posexplode(parts).alias("piece_no", "piece"))
     w = Window.partitionBy(*id_cols).orderBy("piece_no").rowsBetween(Window.unboundedPreceding, -1)
     with_start = exploded.withColumn("start", F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0)).cast("int"))
     return with_start.where(F.col("piece_no") % 2 == 1).select(
@@ -116,6 +112,13 @@ def analyze_tokens(tok: DataFrame, analyzer: Analyzer, token_col: str = "token")
     return terms
 
 
+def stemmed(terms: DataFrame) -> DataFrame:
+    """Term rows with every term stemmed, each distinct term once (a corpus has
+    far fewer terms than tokens; a small batch of queries stems in place)."""
+    stems = stem_vocabulary(terms)
+    return terms.join(stems, "term").select(*(F.col("stem").alias(c) if c == "term" else F.col(c) for c in terms.columns))
+
+
 def analyze(df: DataFrame, analyzer: Analyzer, id_cols: Sequence[str] = ("doc_id",),
             text_col: str = "content", positions: bool = True) -> DataFrame:
     """(ids..., [token_no,] term) for every surviving token of every text."""
@@ -152,4 +155,4 @@ def first_term_of_words(df: DataFrame, analyzer: Analyzer, id_cols: Sequence[str
 
 def stem_vocabulary(terms: DataFrame, col: str = "term") -> DataFrame:
     """(term, stem) for the distinct terms of a table."""
-    return terms.select(col).distinct().select(F.col(col).alias("term"), stem_fn.romanian_stem(F.col(col)).alias("stem"))
+    return terms.select(F.col(col).alias("term")).distinct().select("term", stem_fn.romanian_stem(F.col("term")).alias("stem"))

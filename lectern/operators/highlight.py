@@ -25,11 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import CONTEXT_WORDS, java_split_space, token_array
+from ..functions.text import CONTEXT_WORDS, java_split_space, java_trim, token_array
 from .analysis import Analyzer, first_term, tokenize_offsets
 
-CTRL = "".join(chr(c) for c in range(0x21))
-
 
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``.  Expressions inside
@@ -82,9 +80,7 @@ def render_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
 
 def hit_contents(hits: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, content, content_length) of the hit documents, newlines as spaces."""
-    # hits are at most k per query of a row-checked query batch: a proven bound
-    ids = F.broadcast(hits.select("doc_id").distinct())
-    d = docs.join(ids, "doc_id", "left_semi")
+    d = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     c = F.translate(F.coalesce(F.col("content"), F.lit("")), "\n", " ")
     return d.select("doc_id", c.alias("content"), F.length(c).alias("content_length"))
 
@@ -110,16 +106,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def _last_words(prefix: Column) -> Column:
     """Last CONTEXT_WORDS space-separated words of trim(prefix), joined."""
-    return let(F.rtrim(prefix, F.lit(CTRL)), lambda r: let(
-        F.substring_index(r, " ", -CONTEXT_WORDS),
-        lambda tail: F.when(F.length(tail) == F.length(r), F.ltrim(tail, F.lit(CTRL))).otherwise(tail)))
+    return F.substring_index(java_trim(prefix), " ", -CONTEXT_WORDS)
 
 
 def _first_words(suffix: Column) -> Column:
     """First CONTEXT_WORDS space-separated words of trim(suffix), joined."""
-    return let(F.ltrim(suffix, F.lit(CTRL)), lambda l: let(
-        F.substring_index(l, " ", CONTEXT_WORDS),
-        lambda head: F.when(F.length(head) == F.length(l), F.rtrim(head, F.lit(CTRL))).otherwise(head)))
+    return F.substring_index(java_trim(suffix), " ", CONTEXT_WORDS)
 
 
 def keyword_in_context(hits: DataFrame, contents: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
@@ -131,12 +123,12 @@ def keyword_in_context(hits: DataFrame, contents: DataFrame, clauses: DataFrame,
     transform, so the text is joined once per hit, not once per token."""
     toks = tokenize_offsets(contents.select("doc_id", "content"), ["doc_id"])
     toks = toks.withColumn("term", analyzer.finish(analyzer.normalize(F.col("token"))))
-    cterms = F.broadcast(clauses.select("query_id", F.explode("clauses").alias("term")).distinct())
-    m = toks.join(F.broadcast(hits.select("query_id", "doc_id")), "doc_id").join(cterms, ["query_id", "term"])
+    cterms = clauses.select("query_id", F.explode("clauses").alias("term")).distinct()
+    m = toks.join(hits.select("query_id", "doc_id"), "doc_id").join(cterms, ["query_id", "term"])
     per_hit = m.groupBy("query_id", "doc_id").agg(
         F.array_sort(F.collect_list(F.struct("token_no", "term", "token", "start", "end"))).alias("ms"))
     stop = analyzer.stop_array()
-    j = per_hit.join(contents, "doc_id").join(F.broadcast(clauses), "query_id").crossJoin(stop)
+    j = per_hit.join(contents, "doc_id").join(clauses, "query_id").crossJoin(stop)
     content, clen = F.col("content"), F.col("content_length")
 
     def frag(x):
@@ -356,7 +348,7 @@ def highlight_hits(hits: DataFrame, docs: DataFrame, clauses: DataFrame, analyze
     merged = merge_fragments(kwic, contents)
     best = best_fragments(merged)
     stop = analyzer.stop_array()
-    b = best.join(F.broadcast(clauses), "query_id").crossJoin(stop)
+    b = best.join(clauses, "query_id").crossJoin(stop)
     annotated = F.transform("ranked", lambda f: _annotate(f, F.col("clauses"), F.col("stop_arr"), analyzer))
     out = _bold(annotated)
     text = _assemble(out, F.col("content_length"))
@@ -369,7 +361,7 @@ def central_term_positions(merged: DataFrame, clauses: DataFrame, analyzer: Anal
     """(query_id, doc_id, island, term, position): most central occurrence of
     each clause term in each merged fragment (word positions of the text)."""
     stop = analyzer.stop_array()
-    m = merged.join(F.broadcast(clauses), "query_id").crossJoin(stop)
+    m = merged.join(clauses, "query_id").crossJoin(stop)
     ann = _annotate(F.struct("start", "end", "text", "terms"), F.col("clauses"), F.col("stop_arr"), analyzer)
     a = m.select("query_id", "doc_id", "island", ann.alias("a"))
     e = a.select("query_id", "doc_id", "island", F.posexplode(F.arrays_zip(F.col("a.wt"), F.col("a.best"))).alias("position", "x"))

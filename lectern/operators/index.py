@@ -16,12 +16,12 @@ the per-document / per-term roll-ups of the postings.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .analysis import Analyzer, analyze
+from .analysis import Analyzer, analyze, stemmed
 
 
 def term_frequencies(terms: DataFrame) -> DataFrame:
@@ -55,16 +55,34 @@ def corpus_stats(docs: DataFrame, doc_stats: DataFrame) -> DataFrame:
 @dataclass
 class Index:
     docs: DataFrame        # doc_id, path, file_name, content
-    postings: DataFrame    # term, doc_id, tf, dl
+    postings: DataFrame    # term, doc_id, tf, dl (a stored one also has bucket)
     doc_stats: DataFrame   # doc_id, dl
     term_stats: DataFrame  # term, df, cf
     corpus: DataFrame      # one row
     analyzer: Analyzer
+    buckets: int = 0       # of the stored postings
+
+    def lookup(self, terms: DataFrame) -> DataFrame:
+        """The postings joined to rows with a ``term``: a stored index is read
+        by the buckets of the terms, which are folders."""
+        if not self.buckets:
+            return self.postings.join(terms, "term")
+        placed = terms.withColumn("bucket", term_bucket(F.col("term"), self.buckets))
+        return self.postings.join(placed, ["bucket", "term"]).drop("bucket")
+
+
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def build_index(docs: DataFrame, analyzer: Analyzer) -> Index:
-    """Analyse every document and derive the index tables (lazy)."""
-    tf = term_frequencies(analyze(docs, analyzer, positions=False))
+    """Analyse every document and derive the index tables (lazy).
+
+    With stemming the distinct terms are stemmed once and joined back."""
+    plain = replace(analyzer, stem=False)
+    tf = term_frequencies(analyze(docs, plain, positions=False))
+    if analyzer.stem:
+        tf = stemmed(tf).groupBy("doc_id", "term").agg(F.sum("tf").cast("int").alias("tf"))
     # the length is a window sum over each document's postings (bounded by
     # one document), so one tokenisation feeds every table
     postings = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc_id")).cast("long")) \
@@ -79,19 +97,3 @@ def from_postings(docs: DataFrame, postings: DataFrame, analyzer: Analyzer) -> I
     corpus = corpus_stats(docs, doc_stats)
     return Index(docs=docs, postings=postings, doc_stats=doc_stats, term_stats=term_stats,
                  corpus=corpus, analyzer=analyzer)
-
-
-def materialize(index: Index, root: str | None = None) -> Index:
-    """Compute the postings once and cut the lineage: they are written as a
-    Parquet table under ``root`` (default: a fresh folder in the session's
-    checkpoint folder, shared on a cluster) and read back, so every statistic
-    and query branch reads them instead of re-analysing the corpus."""
-    spark = index.postings.sparkSession
-    if root is None:
-        import uuid
-
-        from ..session import ensure_checkpoint_dir
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-postings-{uuid.uuid4().hex[:12]}"
-    index.postings.write.mode("overwrite").parquet(root)
-    postings = spark.read.parquet(root)
-    return from_postings(index.docs, postings, index.analyzer)

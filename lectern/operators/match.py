@@ -8,14 +8,17 @@ all) comes as a clause table::
     clauses(query_id, clause_no, occur, field, kind, term, term2, boost)
       occur in {should, must, must_not}
       field in {content, fileName, path}
-      kind  in {term, prefix, wildcard, fuzzy, regexp, range,
+      kind  in {term, exact, prefix, wildcard, fuzzy, regexp, range,
                 range_exclusive, all}
-      term2: upper bound for ranges, maximum edits (1 or 2) for fuzzy
+      term2: upper bound for ranges, maximum edits (up to 2) for fuzzy
 
-Clause tables are small (they are written by users), so they are broadcast
-behind a row-count check and the index tables are streamed.  Multi-term
-kinds are expanded against the vocabulary (``term_stats``) first and only
-then joined to the postings with an equi-join.
+``exact`` is a content term as it is stored; on the names every ``term`` is.
+An unknown occur, field or kind is an error.
+
+Joins carry no hints: the planner broadcasts a clause table, which is small
+where people write it, and shuffles a large one.  Multi-term kinds are
+expanded against the vocabulary (``term_stats``, or the names of a field)
+first and only then joined to the postings with an equi-join.
 """
 
 from __future__ import annotations
@@ -26,14 +29,13 @@ from pyspark.sql import types as T
 
 from ..functions.querysyntax import query_is_valid
 from ..functions.scoring import bm25, bm25_idf, quantized_length
-from ..functions.text import MAX_HITS, java_split_space, token_array
-from ._util import MAX_BROADCAST_ROWS, broadcast_if_small, prune_by_values
+from ..functions.text import java_split_space, token_array
 from .analysis import Analyzer, analyze_tokens
 from .index import Index
 
 CLAUSE_SCHEMA = T.StructType([
     T.StructField("query_id", T.LongType()),
-    T.StructField("clause_no", T.IntegerType()),
+    T.StructField("clause_no", T.LongType()),
     T.StructField("occur", T.StringType()),
     T.StructField("field", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -43,13 +45,23 @@ CLAUSE_SCHEMA = T.StructType([
 ])
 
 # --- fixed values -----------------------------------------------------------
-# Expansions kept for one fuzzy clause.
-FUZZY_MAX_EXPANSIONS = 50
-# Default maximum edits of a fuzzy clause.
+# Default maximum edits of a fuzzy clause, and the most there can be.
 FUZZY_DEFAULT_EDITS = 2
+FUZZY_MAX_EDITS = 2
 # ---------------------------------------------------------------------------
 
 CONSTANT_KINDS = ["prefix", "wildcard", "regexp", "range", "range_exclusive"]
+KINDS = ["term", "exact", "fuzzy", "all", *CONSTANT_KINDS]
+FIELDS = ["content", "fileName", "path"]
+OCCURS = ["should", "must", "must_not"]
+
+
+def checked(clauses: DataFrame) -> DataFrame:
+    """The clause table; a row with an unknown occur, field or kind raises an error."""
+    known = F.col("kind").isin(KINDS) & F.col("field").isin(FIELDS) & F.col("occur").isin(OCCURS)
+    message = F.concat(F.lit("unknown clause: "), F.to_json(F.struct("occur", "field", "kind")))
+    kind = F.when(F.coalesce(known, F.lit(False)), F.col("kind")).otherwise(F.raise_error(message))
+    return clauses.withColumn("kind", kind).withColumn("clause_no", F.col("clause_no").cast("long"))
 
 
 # --- free text -----------------------------------------------------------------
@@ -74,7 +86,7 @@ def free_text_clauses(queries: DataFrame, analyzer: Analyzer) -> DataFrame:
     terms = analyze_tokens(toks, analyzer)
     return terms.select(
         F.col("query_id").cast("long").alias("query_id"),
-        (F.col("word_no") * 10000 + F.col("token_no")).cast("int").alias("clause_no"),
+        (F.shiftleft(F.col("word_no").cast("long"), 32) + F.col("token_no")).alias("clause_no"),
         F.lit("should").alias("occur"), F.lit("content").alias("field"), F.lit("term").alias("kind"),
         F.col("term"), F.lit(None).cast("string").alias("term2"), F.lit(1.0).alias("boost"))
 
@@ -91,9 +103,8 @@ def word_terms(queries: DataFrame, analyzer: Analyzer) -> DataFrame:
 # --- clause expansion ------------------------------------------------------------
 
 def _with_term_stats(clause_terms: DataFrame, index: Index) -> DataFrame:
-    """Attach df of each clause term (0 when unknown)."""
-    stats = index.term_stats.select("term", "df")
-    return clause_terms.join(stats, "term", "left").withColumn("df", F.coalesce(F.col("df"), F.lit(0)))
+    """The clause terms that the index has, with their df."""
+    return index.term_stats.select("term", "df").join(clause_terms, "term")
 
 
 def _corpus_side(index: Index) -> DataFrame:
@@ -104,10 +115,7 @@ def _corpus_side(index: Index) -> DataFrame:
 def _score_postings(expanded: DataFrame, index: Index, quantized: bool) -> DataFrame:
     """expanded(query_id, clause_no, occur, kind, term, boost, df, sim) x postings
     -> (query_id, clause_no, occur, kind, term, doc_id, tf, dl, score)."""
-    side = F.broadcast(expanded)  # row count proven by the caller
-    # look the terms up instead of scanning: postings are sorted by term
-    postings = prune_by_values(index.postings, "term", expanded)
-    hits = postings.join(side, "term").crossJoin(_corpus_side(index))
+    hits = index.lookup(expanded).crossJoin(_corpus_side(index))
     dl = quantized_length(F.col("dl")) if quantized else F.col("dl")
     score = bm25(F.col("tf"), dl, F.col("df"), F.col("n_docs"), F.col("avgdl"), F.col("boost") * F.col("sim"))
     return hits.select("query_id", "clause_no", "occur", "kind", "term", "boost", "doc_id", "tf", "dl",
@@ -132,73 +140,96 @@ def _swap(c: Column, i: Column) -> Column:
                     F.substring(c, i, F.lit(1)), F.substring(c, i + 2, F.lit(1 << 30)))
 
 
+def _swaps(c: Column) -> Column:
+    """The strings that one exchange of neighbours makes of c (none for a single letter)."""
+    return F.when(F.length(c) >= 2, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: _swap(c, i))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance that also counts one adjacent transposition as a
-    single edit (exact for the distances <= 2 fuzzy clauses use)."""
-    lev = F.levenshtein(a, b)
-    swaps = F.transform(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))),
-                        lambda i: F.levenshtein(_swap(a, i), b) + 1)
-    with_swap = F.when(F.length(a) >= 2, F.least(lev, F.array_min(swaps))).otherwise(lev)
-    return with_swap
+    """Edits (an exchange of neighbours is one) up to FUZZY_MAX_EDITS, else a larger number.
+
+    Two edits are two Levenshtein edits, an exchange and another edit, or two
+    exchanges: one on either side."""
+    far = F.lit(FUZZY_MAX_EDITS + 1)
+    known = lambda d: F.when(d < 0, far).otherwise(d)
+    lev = known(F.levenshtein(a, b, FUZZY_MAX_EDITS))
+    one_swap = F.array_min(F.transform(_swaps(a), lambda x: known(F.levenshtein(x, b, 1)) + 1))
+    two_swaps = F.when((F.length(a) == F.length(b)) & F.arrays_overlap(_swaps(a), _swaps(b)), 2)
+    return F.when(lev <= 1, lev).when(F.abs(F.length(a) - F.length(b)) <= 1, F.least(lev, one_swap, two_swaps)).otherwise(lev)
+
 
+def _vocabulary(index: Index) -> DataFrame:
+    """(field, v, df): the stored terms, and the names of each field."""
+    return index.term_stats.select(F.lit("content").alias("field"), F.col("term").alias("v"), "df").unionByName(
+        _names(index).groupBy("field", F.col("name").alias("v")).agg(F.count(F.lit(1)).alias("df")))
 
-def expand_multiterm(clauses: DataFrame, index: Index) -> DataFrame:
+
+def _names(index: Index) -> DataFrame:
+    """(field, name, doc_id): file names and paths of all documents."""
+    pairs = F.array(F.struct(F.lit("fileName").alias("field"), F.col("file_name").alias("name")),
+                    F.struct(F.lit("path").alias("field"), F.col("path").alias("name")))
+    return index.docs.select("doc_id", F.inline(pairs)).where(F.col("name").isNotNull())
+
+
+def expand_multiterm(clauses: DataFrame, index: Index, max_expansions: int | None = None) -> DataFrame:
     """Prefix, wildcard, regexp, range and fuzzy clauses -> vocabulary terms.
 
-    Patterns are applied to the stored terms as written (not analysed).  The
-    clause side is broadcast (row-checked); the vocabulary is streamed.
-    Fuzzy clauses keep their best FUZZY_MAX_EXPANSIONS terms by similarity."""
-    vocab = index.term_stats.select(F.col("term").alias("v"), "df")
-    c = clauses.where(F.col("kind").isin(*CONSTANT_KINDS, "fuzzy") & (F.col("field") == "content"))
-    edits = F.coalesce(F.col("term2").try_cast("int"), F.lit(FUZZY_DEFAULT_EDITS))
-    c = c.withColumn("edits", F.when(F.col("kind") == "fuzzy", edits).otherwise(F.lit(0)))
+    Patterns are applied to the stored terms as written (not analysed).  A
+    fuzzy clause takes all terms within its edits and a similarity over 0, or
+    the ``max_expansions`` most similar ones if a number is given."""
+    vocab = _vocabulary(index)
+    own = ["query_id", "clause_no", "occur", "kind", "boost"]
     v, t, t2, kind = F.col("v"), F.col("term"), F.col("term2"), F.col("kind")
+    constant = clauses.where(kind.isin(*CONSTANT_KINDS))
     cond = (
         ((kind == "prefix") & v.startswith(t))
         | ((kind == "wildcard") & F.like(v, _like_pattern(t)))
         | ((kind == "regexp") & F.rlike(v, F.concat(F.lit("^(?:"), t, F.lit(")$"))))
         | ((kind == "range") & (t.isNull() | (v >= t)) & (t2.isNull() | (v <= t2)))
         | ((kind == "range_exclusive") & (t.isNull() | (v > t)) & (t2.isNull() | (v < t2)))
-        | ((kind == "fuzzy") & (F.abs(F.length(v) - F.length(t)) <= F.col("edits")))
     )
-    joined = vocab.join(F.broadcast(c), cond)
-    dist = edit_distance(F.col("term"), F.col("v"))
-    joined = joined.withColumn("dist", F.when(F.col("kind") == "fuzzy", dist).otherwise(F.lit(0)))
-    joined = joined.where(F.col("dist") <= F.when(F.col("kind") == "fuzzy", F.col("edits")).otherwise(F.lit(0)))
-    sim = F.lit(1.0) - F.col("dist") / F.least(F.length("term"), F.length("v"))
-    joined = joined.withColumn("sim", F.when(F.col("kind") == "fuzzy", sim).otherwise(F.lit(1.0)))
-    w = Window.partitionBy("query_id", "clause_no").orderBy(F.col("sim").desc(), F.col("v"))
-    joined = joined.withColumn("_r", F.when(F.col("kind") == "fuzzy", F.row_number().over(w)).otherwise(F.lit(1)))
-    joined = joined.where(F.col("_r") <= FUZZY_MAX_EXPANSIONS)
-    return joined.select("query_id", "clause_no", "occur", "kind", F.col("v").alias("term"), "boost", "df", "sim")
-
-
-def multiterm_matches(clauses: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
+    same_field = lambda c: vocab["field"] == c["field"]
+    out = vocab.join(constant, same_field(constant) & cond).select(*own, vocab["field"], v.alias("term"), "df", F.lit(1.0).alias("sim"))
+    edits = F.least(F.greatest(F.coalesce(t2.try_cast("int"), F.lit(FUZZY_DEFAULT_EDITS)), F.lit(0)), F.lit(FUZZY_MAX_EDITS))
+    fuzzy = clauses.where(kind == "fuzzy").withColumn("edits", edits)
+    near = vocab.join(fuzzy, same_field(fuzzy) & (F.abs(F.length(v) - F.length(t)) <= F.col("edits")))
+    near = near.withColumn("dist", edit_distance(t, v)).where(F.col("dist") <= F.col("edits"))
+    sim = F.lit(1.0) - F.col("dist") / F.least(F.length(t), F.length(v))
+    near = near.select(*own, vocab["field"], v.alias("v"), "df", sim.alias("sim")).where("sim > 0")
+    if max_expansions is not None:
+        w = Window.partitionBy("query_id", "clause_no").orderBy(F.col("sim").desc(), F.col("v"))
+        near = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_expansions).drop("_r")
+    return out.unionByName(near.withColumnRenamed("v", "term"))
+
+
+def multiterm_matches(clauses: DataFrame, index: Index, quantized: bool = False,
+                      max_expansions: int | None = None) -> DataFrame:
     """(query_id, clause_no, occur, doc_id, score) of multi-term clauses:
     constant score (= boost) per document for pattern and range kinds, summed
     BM25 x similarity for fuzzy."""
-    expanded = expand_multiterm(clauses, index)
-    rows = _score_postings(expanded, index, quantized)
-    out = rows.groupBy("query_id", "clause_no", "occur", "kind", "doc_id").agg(
+    expanded = expand_multiterm(clauses, index, max_expansions)
+    in_text = expanded.where(F.col("field") == "content").drop("field")
+    rows = _score_postings(in_text, index, quantized).select("query_id", "clause_no", "occur", "kind", "boost", "doc_id", "score")
+    in_names = expanded.where(F.col("field") != "content").withColumnRenamed("term", "name").join(_names(index), ["field", "name"])
+    names = in_names.crossJoin(_corpus_side(index)).select(
+        "query_id", "clause_no", "occur", "kind", "boost", "doc_id",
+        (F.col("boost") * F.col("sim") * bm25_idf(F.col("num_docs"), F.col("df"))).alias("score"))
+    out = rows.unionByName(names).groupBy("query_id", "clause_no", "occur", "kind", "doc_id").agg(
         F.sum("score").alias("fuzzy_score"), F.max("boost").alias("boost"))
     return out.select("query_id", "clause_no", "occur", "doc_id",
                       F.when(F.col("kind") == "fuzzy", F.col("fuzzy_score")).otherwise(F.col("boost")).alias("score"))
 
 
-def field_matches(clauses: DataFrame, analyzer: Analyzer, index: Index) -> DataFrame:
-    """fileName:/path: term clauses: exact equality with the analysed query
-    term; scored as a one-term field without length norms (idf x boost)."""
-    c = clauses.where(F.col("field").isin("fileName", "path") & (F.col("kind") == "term"))
-    toks = c.select("query_id", "clause_no", "occur", "field", "boost",
-                    F.posexplode(token_array(F.col("term"))).alias("token_no", "token"))
-    terms = analyze_tokens(toks, analyzer)
-    docs = index.docs.select("doc_id", "file_name", "path")
-    hit = docs.join(F.broadcast(terms), ((F.col("field") == "fileName") & (F.col("file_name") == F.col("term")))
-                    | ((F.col("field") == "path") & (F.col("path") == F.col("term"))))
-    dfw = Window.partitionBy("query_id", "clause_no", "token_no")
-    hit = hit.withColumn("df", F.count(F.lit(1)).over(dfw)).crossJoin(_corpus_side(index))
-    score = F.col("boost") * bm25_idf(F.col("num_docs"), F.col("df"))
-    return hit.groupBy("query_id", "clause_no", "occur", "doc_id").agg(F.sum(score).alias("score"))
+def field_matches(clauses: DataFrame, index: Index) -> DataFrame:
+    """fileName:/path: term clauses: equality with the raw name; scored as a
+    one-term field without length norms (idf x boost)."""
+    c = clauses.where((F.col("field") != "content") & F.col("kind").isin("term", "exact"))
+    hit = _names(index).join(c.select("query_id", "clause_no", "occur", "field", F.col("term").alias("name"), "boost"), ["field", "name"])
+    df = hit.groupBy("query_id", "clause_no").agg(F.count(F.lit(1)).alias("df"))
+    scored = hit.join(df, ["query_id", "clause_no"]).crossJoin(_corpus_side(index))
+    return scored.select("query_id", "clause_no", "occur", "doc_id",
+                         (F.col("boost") * bm25_idf(F.col("num_docs"), F.col("df"))).alias("score"))
 
 
 # --- boolean combination --------------------------------------------------------------
@@ -207,7 +238,7 @@ def effective_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """(query_id, clause_no, occur) of the clauses that take part: a content
     term clause whose text analyses to nothing (a stop word) is dropped."""
     terms = clause_terms(clauses, analyzer).select("query_id", "clause_no", "occur")
-    other = clauses.where((F.col("kind") != "term") | (F.col("field") != "content")).select(
+    other = clauses.where(~F.col("kind").isin("term", "exact") | (F.col("field") != "content")).select(
         "query_id", "clause_no", "occur")
     return terms.unionByName(other).distinct()
 
@@ -220,60 +251,42 @@ def combine(clauses: DataFrame, matches: DataFrame) -> DataFrame:
     A purely negative query has no hits.  ``clauses`` are the effective ones."""
     req = clauses.groupBy("query_id").agg(
         F.count_distinct(F.when(F.col("occur") == "must", F.col("clause_no"))).alias("n_must"))
-    pos = matches.where(F.col("occur") != "must_not").groupBy("query_id", "doc_id").agg(
-        F.sum("score").alias("score"),
+    wanted = F.col("occur") != "must_not"
+    docs = matches.groupBy("query_id", "doc_id").agg(
+        F.sum(F.when(wanted, F.col("score"))).alias("score"),
         F.count_distinct(F.when(F.col("occur") == "must", F.col("clause_no"))).alias("must_hit"),
-        F.count(F.when(F.col("occur") == "should", F.lit(1))).alias("should_hit"))
-    pos = pos.join(F.broadcast(req), "query_id").where(
-        (F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0)))
-    excluded = matches.where(F.col("occur") == "must_not").select("query_id", "doc_id").distinct()
-    return pos.join(excluded, ["query_id", "doc_id"], "left_anti").select("query_id", "doc_id", "score")
-
-
-def match_all_matches(clauses: DataFrame, other: DataFrame, index: Index, k: int = MAX_HITS) -> DataFrame:
-    """``*:*`` clauses: every document matches with score = boost.
-
-    Only documents that can reach a top-k matter: those matched by the other
-    clauses of the query (they gain the constant) and the k + e smallest
-    document ids, e the largest number of documents a query excludes (the
-    top k of the constant-only documents are always among them).  So the
-    result is exact for top-k without pairing every query with every document."""
-    allc = clauses.where(F.col("kind") == "all").select("query_id", "clause_no", "occur", "boost")
-    excluded = other.where(F.col("occur") == "must_not").select("query_id", "doc_id").distinct()
-    max_excl = excluded.groupBy("query_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    first_ids = index.docs.select("doc_id").orderBy("doc_id").limit(k + int(max_excl))
-    cand_q = allc.select("query_id").distinct()
-    from_other = other.select("query_id", "doc_id").join(cand_q, "query_id", "left_semi")
-    cand = from_other.unionByName(cand_q.crossJoin(first_ids)).distinct()
-    return cand.join(F.broadcast(allc), "query_id").select(
-        "query_id", "clause_no", "occur", "doc_id", F.col("boost").alias("score"))
+        F.count_if(F.col("occur") == "should").alias("should_hit"),
+        F.count_if(~wanted).alias("excluded"))
+    held = (F.col("excluded") == 0) & (F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0))
+    return docs.join(req, "query_id").where(held).select("query_id", "doc_id", "score")
+
+
+def match_all_matches(clauses: DataFrame, index: Index) -> DataFrame:
+    """``*:*`` clauses: every document matches with score = boost."""
+    every = clauses.where(F.col("kind") == "all").select("query_id", "clause_no", "occur", F.col("boost").alias("score"))
+    return index.docs.select("doc_id").crossJoin(every).select("query_id", "clause_no", "occur", "doc_id", "score")
 
 
 def clause_terms(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
-    """Content term clauses -> analysed terms (one clause may give several)."""
+    """Content term clauses -> analysed terms (one clause may give several), and exact ones as they are."""
+    own = ["query_id", "clause_no", "occur", "kind", "boost"]
     c = clauses.where((F.col("kind") == "term") & (F.col("field") == "content"))
-    toks = c.select("query_id", "clause_no", "occur", "kind", "boost",
-                    F.posexplode(token_array(F.col("term"))).alias("token_no", "token"))
-    return analyze_tokens(toks, analyzer).select("query_id", "clause_no", "occur", "kind", "term", "boost")
+    toks = c.select(*own, F.posexplode(token_array(F.col("term"))).alias("token_no", "token"))
+    exact = clauses.where((F.col("kind") == "exact") & (F.col("field") == "content")).select(*own, "term")
+    return analyze_tokens(toks, analyzer).select(*own, "term").unionByName(exact.select(*own, "term"))
 
 
 def match_clauses(clauses: DataFrame, index: Index, quantized: bool = False,
-                  k: int = MAX_HITS) -> DataFrame:
+                  max_expansions: int | None = None) -> DataFrame:
     """(query_id, clause_no, occur, doc_id, score) for every clause kind."""
-    clauses = broadcast_if_small(clauses, MAX_BROADCAST_ROWS)
-    an = index.analyzer
-    tm = term_matches(clause_terms(clauses, an), index, quantized).groupBy(
-        "query_id", "clause_no", "occur", "doc_id").agg(F.sum("score").alias("score"))
-    parts = [tm, multiterm_matches(clauses, index, quantized), field_matches(clauses, an, index)]
-    m = parts[0]
-    for p in parts[1:]:
-        m = m.unionByName(p)
-    if clauses.where(F.col("kind") == "all").limit(1).count() > 0:
-        m = m.unionByName(match_all_matches(clauses, m, index, k))
+    terms = clause_terms(clauses, index.analyzer)
+    m = term_matches(terms, index, quantized).groupBy("query_id", "clause_no", "occur", "doc_id").agg(F.sum("score").alias("score"))
+    for part in (multiterm_matches(clauses, index, quantized, max_expansions), field_matches(clauses, index), match_all_matches(clauses, index)):
+        m = m.unionByName(part)
     return m
 
 
-def search_clauses(clauses: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
+def search_clauses(clauses: DataFrame, index: Index, quantized: bool = False, max_expansions: int | None = None) -> DataFrame:
     """Clause table -> (query_id, doc_id, score) of all matching documents."""
-    clauses = broadcast_if_small(clauses, MAX_BROADCAST_ROWS)
-    return combine(effective_clauses(clauses, index.analyzer), match_clauses(clauses, index, quantized))
+    clauses = checked(clauses)
+    return combine(effective_clauses(clauses, index.analyzer), match_clauses(clauses, index, quantized, max_expansions))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import idf_log10, round_score, tf_weight
 from ..functions.text import MAX_HITS
-from ._util import broadcast_if_small, prune_by_values
+from ..functions.querysyntax import query_is_valid
 from ..functions.text import token_array
 from .analysis import Analyzer, analyze_tokens
 from .index import Index
@@ -34,15 +34,13 @@ def top_k(scores: DataFrame, k: int = MAX_HITS) -> DataFrame:
 
 def search_free_text(queries: DataFrame, index: Index, k: int = MAX_HITS, quantized: bool = False) -> DataFrame:
     """Free-text queries -> top-k hits (query_id, rank, doc_id, score)."""
-    clauses = broadcast_if_small(free_text_clauses(queries, index.analyzer))
+    clauses = free_text_clauses(queries, index.analyzer)
     return top_k(bm25_scores(clauses, index, quantized), k)
 
 
 def total_hits(queries: DataFrame, index: Index) -> DataFrame:
     """(query_id, total_hits): documents matching any term of each query."""
-    clauses = broadcast_if_small(free_text_clauses(queries, index.analyzer))
-    postings = prune_by_values(index.postings, "term", clauses)
-    m = postings.select("term", "doc_id").join(F.broadcast(clauses.select("query_id", "term")), "term")
+    m = index.lookup(free_text_clauses(queries, index.analyzer).select("query_id", "term"))
     per_q = m.groupBy("query_id").agg(F.count_distinct("doc_id").alias("total_hits"))
     return queries.select("query_id").join(per_q, "query_id", "left").select(
         "query_id", F.coalesce(F.col("total_hits"), F.lit(0)).alias("total_hits"))
@@ -61,10 +59,11 @@ def search_status(queries: DataFrame, hits: DataFrame) -> DataFrame:
 
 def query_word_df(queries: DataFrame, index: Index) -> DataFrame:
     """(query_id, word_no, word, df): documents matching each word run as its
-    own query (union over the terms it analyses to; 0 for stop words)."""
+    own query (union over the terms it analyses to; 0 for stop words).
+    Queries that fail as a whole have no report."""
+    queries = queries.where(query_is_valid(F.col("query")))
     words = query_words(queries)
-    wt = broadcast_if_small(word_terms(queries, index.analyzer))
-    m = prune_by_values(index.postings, "term", wt).select("term", "doc_id").join(wt, "term")
+    m = index.lookup(word_terms(queries, index.analyzer))
     dfs = m.groupBy("query_id", "word_no").agg(F.count_distinct("doc_id").alias("df"))
     return words.join(dfs, ["query_id", "word_no"], "left").select(
         "query_id", "word_no", "word", F.coalesce(F.col("df"), F.lit(0)).cast("long").alias("df"))
@@ -92,8 +91,8 @@ def tfidf_report(queries: DataFrame, hits: DataFrame, index: Index, term_key: st
         keyed = idf.join(first, ["query_id", "word_no"], "left").withColumn("key", F.coalesce("key", F.lit("")))
     else:
         raise ValueError(f"unknown term_key {term_key!r}")
-    hw = hits.select("query_id", "doc_id").join(broadcast_if_small(keyed), "query_id")
-    post = prune_by_values(index.postings, "term", keyed.select(F.col("key").alias("term"))) \
+    hw = hits.select("query_id", "doc_id").join(keyed, "query_id")
+    post = index.lookup(keyed.select(F.col("key").alias("term")).distinct()) \
         .select(F.col("term").alias("key"), "doc_id", F.col("tf").alias("count"))
     joined = hw.join(post, ["key", "doc_id"], "left")
     tf = tf_weight(F.col("count"))

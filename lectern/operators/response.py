@@ -16,8 +16,7 @@ def search_response(queries: DataFrame, hits: DataFrame, highlights: DataFrame,
     status = search_status(queries, hits)
     order = display_order(hits).select("query_id", F.posexplode("hits").alias("pos", "h")) \
         .select("query_id", "pos", F.col("h.doc_id").alias("doc_id"))
-    # hits are at most k per query of a checked batch: broadcast-safe
-    names = docs.join(F.broadcast(hits.select("doc_id").distinct()), "doc_id", "left_semi") \
+    names = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi") \
         .select("doc_id", "file_name")
     rows = order.join(highlights, ["query_id", "doc_id"], "left").join(names, "doc_id", "left")
     per_q = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(

@@ -60,6 +60,8 @@ FIXTURE_CLAUSES = {
     "fuzzy": [
         (41, 0, "should", "content", "fuzzy", "aiment", "2", 1.0),
         (42, 0, "should", "content", "fuzzy", "nicth", "1", 1.0),
+        (43, 0, "should", "content", "fuzzy", "incth", None, 1.0),
+        (44, 0, "should", "content", "fuzzy", "a", "2", 1.0),
     ],
     "regexp": [
         (51, 0, "should", "content", "regexp", "ai[a-z]ent", None, 1.0),
@@ -74,6 +76,10 @@ FIXTURE_CLAUSES = {
         (72, 0, "should", "fileName", "term", "7", None, 1.0),
         (72, 1, "should", "content", "term", "tion", None, 1.0),
         (73, 0, "should", "path", "term", "src3/3", None, 1.0),
+        (74, 0, "should", "path", "prefix", "src1/1", None, 1.0),
+        (75, 0, "must", "fileName", "wildcard", "1?", None, 2.0),
+        (75, 1, "should", "content", "exact", "tion", None, 1.0),
+        (76, 0, "should", "fileName", "fuzzy", "1234", "1", 1.0),
     ],
     "all": [
         (81, 0, "should", "content", "all", None, None, 1.0),
@@ -85,7 +91,7 @@ FIXTURE_CLAUSES = {
 }
 # ---------------------------------------------------------------------------
 
-CLAUSE_DDL = ("query_id long, clause_no int, occur string, field string, kind string, "
+CLAUSE_DDL = ("query_id long, clause_no long, occur string, field string, kind string, "
               "term string, term2 string, boost double")
 
 

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from ..functions.querysyntax import query_is_valid_sql
 from ..functions.scoring import BM25_B, BM25_K1, quantized_length_sql
+from ..functions.stem import stem_ctes
 from ..functions.text import (MAX_HITS, TOKEN_PATTERN, java_split_space_sql, normalize_term_sql, sql_str,
-                              strip_accents_sql)
+                              strip_accents_sql, token_array_sql)
 from .fixtures import FIXTURE_CLAUSES, FIXTURE_QUERIES, FIXTURE_STOPWORDS
 
 P = sql_str(TOKEN_PATTERN)
@@ -42,7 +43,7 @@ def base(docs_cte: str = DOCS_DOCUMENTS) -> str:
     return docs_cte + f""",
 stop_raw AS (SELECT word FROM {_values([(w,) for w in FIXTURE_STOPWORDS], 'word')}),
 stopset AS (SELECT word FROM stop_raw UNION SELECT {strip_accents_sql('word')} FROM stop_raw),
-tok_lists AS (SELECT doc_id, regexp_extract_all(content, {P}) AS t FROM docs),
+tok_lists AS (SELECT doc_id, {token_array_sql('content')} AS t FROM docs),
 toks AS (SELECT doc_id, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM tok_lists),
 normed AS (SELECT doc_id, token_no, token, {norm('token')} AS term FROM toks),
 terms AS (SELECT doc_id, token_no, term FROM normed WHERE term NOT IN (SELECT word FROM stopset)),
@@ -61,6 +62,12 @@ bench_queries AS (SELECT CAST(1000 + item_id AS BIGINT) AS query_id, coalesce(te
 
 
 BASE = base()
+# as BASE, with the postings of stems
+STEMMED = BASE.replace("postings AS (SELECT doc_id, term, CAST(count(*) AS INTEGER) AS tf FROM terms GROUP BY doc_id, term)",
+                       "voc AS (SELECT DISTINCT term FROM terms)," + stem_ctes("voc", "stems") + """,
+postings AS (SELECT t.doc_id, s.stem AS term, CAST(count(*) AS INTEGER) AS tf FROM terms t JOIN stems s ON s.term = t.term GROUP BY t.doc_id, s.stem)""")
+STEMMED_CLAUSES = "cvoc AS (SELECT DISTINCT term FROM clauses)," + stem_ctes("cvoc", "cstems") + """,
+stemmed_clauses AS (SELECT c.query_id, c.clause_no, s.stem AS term, c.boost FROM clauses c JOIN cstems s ON s.term = c.term)"""
 
 
 def free_text(queries: str = "queries") -> str:
@@ -69,10 +76,10 @@ def free_text(queries: str = "queries") -> str:
 valid_q AS (SELECT * FROM {queries} WHERE {query_is_valid_sql('query')}),
 qw_lists AS (SELECT query_id, {java_split_space_sql('query')} AS w FROM valid_q),
 qwords AS (SELECT query_id, unnest(w) AS word, unnest(range(0, len(w))) AS word_no FROM qw_lists),
-qt_lists AS (SELECT query_id, word_no, regexp_extract_all(word, {P}) AS t FROM qwords),
+qt_lists AS (SELECT query_id, word_no, {token_array_sql('word')} AS t FROM qwords),
 qtoks AS (SELECT query_id, word_no, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM qt_lists),
 clauses AS (
-  SELECT query_id, CAST(word_no * 10000 + token_no AS INTEGER) AS clause_no, {norm('token')} AS term, 1.0 AS boost
+  SELECT query_id, CAST(word_no * 4294967296 + token_no AS BIGINT) AS clause_no, {norm('token')} AS term, 1.0 AS boost
   FROM qtoks WHERE {norm('token')} NOT IN (SELECT word FROM stopset))
 """
 
@@ -103,9 +110,9 @@ topk AS (
 """
 
 ALL_WORDS = f"""
-aw_lists AS (SELECT query_id, {java_split_space_sql('lower(query)')} AS w FROM queries),
+aw_lists AS (SELECT query_id, {java_split_space_sql('lower(query)')} AS w FROM queries WHERE {query_is_valid_sql('query')}),
 all_words AS (SELECT query_id, unnest(w) AS word, CAST(unnest(range(0, len(w))) AS INTEGER) AS word_no FROM aw_lists),
-aw_t AS (SELECT query_id, word_no, word, regexp_extract_all(word, {P}) AS t FROM all_words),
+aw_t AS (SELECT query_id, word_no, word, {token_array_sql('word')} AS t FROM all_words),
 aw_toks AS (SELECT query_id, word_no, word, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM aw_t),
 word_terms AS (SELECT query_id, word_no, word, token_no, {norm('token')} AS term FROM aw_toks
                WHERE {norm('token')} NOT IN (SELECT word FROM stopset)),
@@ -157,16 +164,24 @@ FROM starts WHERE piece_no % 2 = 1"""
     q["ascii_fold"] = with_(BASE) + f"""
 SELECT DISTINCT token, {norm('token')} AS folded FROM toks WHERE strlen(token) <> length(token)"""
     q["remove_stopwords"] = with_(BASE) + """
-SELECT d.doc_id, CAST(len(regexp_extract_all(d.content, """ + P + """)) AS BIGINT) AS n_tokens,
+SELECT d.doc_id, CAST(len(""" + token_array_sql("d.content") + """) AS BIGINT) AS n_tokens,
        CAST(coalesce(k.n_kept, 0) AS BIGINT) AS n_kept
 FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS n_kept FROM terms GROUP BY doc_id) k ON k.doc_id = d.doc_id"""
     q["analyze_documents"] = with_(BASE) + "SELECT doc_id, CAST(token_no AS INTEGER) AS token_no, term FROM terms"
+    q["analyze_documents_stemmed"] = with_(BASE, "voc AS (SELECT DISTINCT term FROM terms)", stem_ctes("voc", "stems")) + \
+        "SELECT t.doc_id, CAST(t.token_no AS INTEGER) AS token_no, s.stem AS term FROM terms t JOIN stems s ON s.term = t.term"
+    q["stem_vocabulary"] = with_(BASE, stem_ctes("term_stats", "stems")) + "SELECT term, stem FROM stems"
+    q["stopword_set"] = with_(BASE) + """
+SELECT s.word, coalesce(n.df, 0) AS df FROM stopset s LEFT JOIN (
+  SELECT term, count(DISTINCT doc_id) AS df FROM normed GROUP BY term) n ON n.term = s.word"""
+    q["search_topk_stemmed"] = with_(STEMMED, free_text(), STEMMED_CLAUSES, scored().replace("FROM clauses c", "FROM stemmed_clauses c"), TOPK) + \
+        "SELECT query_id, rank, doc_id, score FROM topk"
     q["first_term_of_word"] = with_(BASE, f"""
 w_l AS (SELECT doc_id, {java_split_space_sql("translate(content, chr(10), ' ')")} AS w FROM docs),
 words AS (SELECT doc_id, unnest(w) AS word, CAST(unnest(range(0, len(w))) AS INTEGER) AS word_no FROM w_l),
 stop_list AS (SELECT list(word) AS l FROM stopset)""") + f"""
 SELECT doc_id, word_no, word,
-       coalesce(list_filter(list_transform(regexp_extract_all(word, {P}), lambda t: {norm('t')}),
+       coalesce(list_filter(list_transform({token_array_sql('word')}, lambda t: {norm('t')}),
                             lambda t: NOT list_contains(stop_list.l, t))[1], '') AS term
 FROM words, stop_list"""
     q["term_frequencies"] = with_(BASE) + "SELECT doc_id, term, tf FROM postings"
@@ -196,6 +211,19 @@ SELECT q.query_id,
        CASE WHEN {query_is_valid_sql('q.query')} THEN 'success' ELSE 'error' END AS status,
        CAST(CASE WHEN {query_is_valid_sql('q.query')} THEN coalesce(n.n, 0) ELSE 0 END AS INTEGER) AS results_count
 FROM queries q LEFT JOIN (SELECT query_id, count(*) AS n FROM topk GROUP BY query_id) n ON n.query_id = q.query_id"""
+    # the comparator isn't transitive, so the order is that of inserting the hits one by one: each goes before the
+    # last run of hits that it compares below, found from the end
+    q["search_display_order"] = with_(BASE, free_text(), scored(), TOPK, """
+hits AS (SELECT query_id, list({'rank': rank, 'doc_id': doc_id, 'score': score} ORDER BY rank) AS l FROM topk GROUP BY query_id),
+placed AS (
+  SELECT query_id, list_reduce(list_transform(l, lambda x: [x]), lambda done, one:
+    CASE WHEN len(list_filter(done, lambda h: floor(h.score - one[1].score + 0.5) <= 0)) = 0 THEN list_concat(one, done)
+         ELSE list_concat(list_concat(
+           done[1:list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END))],
+           one), done[list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END)) + 1:])
+    END) AS l FROM hits)""") + """
+SELECT query_id, CAST(i - 1 AS INTEGER) AS display_pos, l[i].rank AS rank, l[i].doc_id AS doc_id, l[i].score AS score
+FROM (SELECT query_id, l, unnest(range(1, len(l) + 1)) AS i FROM placed)"""
     q["query_word_df"] = with_(BASE, ALL_WORDS) + "SELECT query_id, word_no, word, df, idf FROM word_idf"
     q["tfidf_report"] = with_(BASE, free_text(), scored(), TOPK, ALL_WORDS) + tfidf(
         "keyed AS (SELECT *, substring(word, 1, length(word) - 1) AS key FROM word_idf)")
@@ -206,14 +234,9 @@ keyed AS (SELECT w.*, coalesce(f.key, '') AS key FROM word_idf w
     return q
 
 
-def _swap_sql(a: str, i: str) -> str:
-    return (f"(substring({a}, 1, {i} - 1) || substring({a}, {i} + 1, 1) || substring({a}, {i}, 1) || "
-            f"substring({a}, {i} + 2, 1073741824))")
-
-
 def edit_distance_sql(a: str, b: str) -> str:
-    swaps = f"list_min(list_transform(range(1, length({a})), lambda i: levenshtein({_swap_sql(a, 'i')}, {b}) + 1))"
-    return f"(CASE WHEN length({a}) >= 2 THEN least(levenshtein({a}, {b}), {swaps}) ELSE levenshtein({a}, {b}) END)"
+    """DuckDB's own distance with exchanges, capped like the clause's edits."""
+    return f"damerau_levenshtein({a}, {b})"
 
 
 def clause_search_sql(group: str) -> str:
@@ -224,65 +247,61 @@ def clause_search_sql(group: str) -> str:
     body = f"""
 cl AS (SELECT CAST(query_id AS BIGINT) AS query_id, CAST(clause_no AS INTEGER) AS clause_no, occur, field, kind,
               term, term2, CAST(boost AS DOUBLE) AS boost FROM {cl}),
-ct_l AS (SELECT query_id, clause_no, occur, boost, regexp_extract_all(term, {P}) AS t FROM cl
+ct_l AS (SELECT query_id, clause_no, occur, boost, {token_array_sql('term')} AS t FROM cl
          WHERE kind = 'term' AND field = 'content'),
 ct_u AS (SELECT query_id, clause_no, occur, boost, unnest(t) AS token FROM ct_l),
 ct AS (SELECT query_id, clause_no, occur, boost, {norm('token')} AS term FROM ct_u
-       WHERE {norm('token')} NOT IN (SELECT word FROM stopset)),
+       WHERE {norm('token')} NOT IN (SELECT word FROM stopset)
+       UNION ALL SELECT query_id, clause_no, occur, boost, term FROM cl WHERE kind = 'exact' AND field = 'content'),
 tm AS (
   SELECT ct.query_id, ct.clause_no, ct.occur, p.doc_id,
          sum({bm25_sql('p.tf', 'd.dl', 'ts.df', 'corpus.docs_with_terms', 'corpus.avg_dl', 'ct.boost')}) AS score
   FROM ct JOIN postings p ON p.term = ct.term JOIN doc_stats d ON d.doc_id = p.doc_id
   JOIN term_stats ts ON ts.term = ct.term, corpus
   GROUP BY ct.query_id, ct.clause_no, ct.occur, p.doc_id),
-mc AS (SELECT *, CASE WHEN kind = 'fuzzy' THEN coalesce(TRY_CAST(term2 AS INTEGER), 2) ELSE 0 END AS edits
-       FROM cl WHERE field = 'content' AND kind IN ('prefix', 'wildcard', 'regexp', 'range', 'range_exclusive', 'fuzzy')),
+names AS (SELECT 'fileName' AS field, file_name AS name, doc_id FROM docs UNION ALL SELECT 'path', path, doc_id FROM docs),
+vocab AS (SELECT 'content' AS field, term, df FROM term_stats
+          UNION ALL SELECT field, name, count(*) FROM names WHERE name IS NOT NULL GROUP BY field, name),
+mc AS (SELECT *, CASE WHEN kind = 'fuzzy' THEN least(greatest(coalesce(TRY_CAST(term2 AS INTEGER), 2), 0), 2) ELSE 0 END AS edits
+       FROM cl WHERE kind IN ('prefix', 'wildcard', 'regexp', 'range', 'range_exclusive', 'fuzzy')),
 mt_join AS (
-  SELECT c.query_id, c.clause_no, c.occur, c.kind, c.boost, c.edits, c.term AS qterm, v.term AS v, v.df,
+  SELECT c.query_id, c.clause_no, c.occur, c.kind, c.boost, c.edits, c.field, c.term AS qterm, v.term AS v, v.df,
          CASE WHEN c.kind = 'fuzzy' THEN {dist} ELSE 0 END AS dist
-  FROM mc c JOIN term_stats v ON
+  FROM mc c JOIN vocab v ON c.field = v.field AND (
        (c.kind = 'prefix' AND starts_with(v.term, c.term))
     OR (c.kind = 'wildcard' AND v.term LIKE {like} ESCAPE '\\')
     OR (c.kind = 'regexp' AND regexp_full_match(v.term, c.term))
     OR (c.kind = 'range' AND (c.term IS NULL OR v.term >= c.term) AND (c.term2 IS NULL OR v.term <= c.term2))
     OR (c.kind = 'range_exclusive' AND (c.term IS NULL OR v.term > c.term) AND (c.term2 IS NULL OR v.term < c.term2))
-    OR (c.kind = 'fuzzy' AND abs(length(v.term) - length(c.term)) <= c.edits)),
+    OR (c.kind = 'fuzzy' AND abs(length(v.term) - length(c.term)) <= c.edits))),
 mt_exp AS (
-  SELECT *, CASE WHEN kind = 'fuzzy' THEN 1.0 - dist / least(length(qterm), length(v)) ELSE 1.0 END AS sim
-  FROM mt_join WHERE dist <= edits
-  QUALIFY kind <> 'fuzzy' OR row_number() OVER (PARTITION BY query_id, clause_no ORDER BY sim DESC, v) <= 50),
+  SELECT * FROM (
+    SELECT *, CASE WHEN kind = 'fuzzy' THEN 1.0 - dist / least(length(qterm), length(v)) ELSE 1.0 END AS sim
+    FROM mt_join WHERE dist <= edits) WHERE sim > 0),
+mt_rows AS (
+  SELECT e.query_id, e.clause_no, e.occur, e.kind, e.boost, p.doc_id,
+         {bm25_sql('p.tf', 'd.dl', 'e.df', 'corpus.docs_with_terms', 'corpus.avg_dl', 'e.boost * e.sim')} AS score
+  FROM mt_exp e JOIN postings p ON p.term = e.v JOIN doc_stats d ON d.doc_id = p.doc_id, corpus WHERE e.field = 'content'
+  UNION ALL
+  SELECT e.query_id, e.clause_no, e.occur, e.kind, e.boost, n.doc_id,
+         e.boost * e.sim * ln(1 + (corpus.num_docs - e.df + 0.5) / (e.df + 0.5)) AS score
+  FROM mt_exp e JOIN names n ON n.field = e.field AND n.name = e.v, corpus),
 mt AS (
-  SELECT e.query_id, e.clause_no, e.occur, p.doc_id,
-         CASE WHEN e.kind = 'fuzzy'
-              THEN sum({bm25_sql('p.tf', 'd.dl', 'e.df', 'corpus.docs_with_terms', 'corpus.avg_dl', 'e.boost * e.sim')})
-              ELSE max(e.boost) END AS score
-  FROM mt_exp e JOIN postings p ON p.term = e.v JOIN doc_stats d ON d.doc_id = p.doc_id, corpus
-  GROUP BY e.query_id, e.clause_no, e.occur, e.kind, p.doc_id),
-fc_l AS (SELECT query_id, clause_no, occur, field, boost, regexp_extract_all(term, {P}) AS t FROM cl
-         WHERE kind = 'term' AND field IN ('fileName', 'path')),
-fc_u AS (SELECT query_id, clause_no, occur, field, boost, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM fc_l),
-fc AS (SELECT *, {norm('token')} AS fterm FROM fc_u WHERE {norm('token')} NOT IN (SELECT word FROM stopset)),
+  SELECT query_id, clause_no, occur, doc_id, CASE WHEN kind = 'fuzzy' THEN sum(score) ELSE max(boost) END AS score
+  FROM mt_rows GROUP BY query_id, clause_no, occur, kind, doc_id),
 fm_rows AS (
-  SELECT fc.query_id, fc.clause_no, fc.occur, fc.boost, d.doc_id,
-         count(*) OVER (PARTITION BY fc.query_id, fc.clause_no, fc.token_no) AS df
-  FROM fc JOIN docs d ON (fc.field = 'fileName' AND d.file_name = fc.fterm) OR (fc.field = 'path' AND d.path = fc.fterm)),
+  SELECT c.query_id, c.clause_no, c.occur, c.boost, n.doc_id, count(*) OVER (PARTITION BY c.query_id, c.clause_no) AS df
+  FROM cl c JOIN names n ON n.field = c.field AND n.name = c.term WHERE c.kind IN ('term', 'exact') AND c.field <> 'content'),
 fm AS (
   SELECT query_id, clause_no, occur, doc_id, sum(boost * ln(1 + (corpus.num_docs - df + 0.5) / (df + 0.5))) AS score
   FROM fm_rows, corpus GROUP BY query_id, clause_no, occur, doc_id),
 m AS (SELECT * FROM tm UNION ALL SELECT * FROM mt UNION ALL SELECT * FROM fm),
 allc AS (SELECT query_id, clause_no, occur, boost FROM cl WHERE kind = 'all'),
-excl_m AS (SELECT DISTINCT query_id, doc_id FROM m WHERE occur = 'must_not'),
-maxex AS (SELECT coalesce(max(n), 0) AS k FROM (SELECT query_id, count(*) AS n FROM excl_m GROUP BY query_id)),
-first_ids AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM docs), maxex
-              WHERE rn <= {MAX_HITS} + maxex.k),
-cand AS (SELECT DISTINCT query_id, doc_id FROM (
-           SELECT query_id, doc_id FROM m WHERE query_id IN (SELECT query_id FROM allc)
-           UNION ALL SELECT a.query_id, f.doc_id FROM (SELECT DISTINCT query_id FROM allc) a, first_ids f)),
-am AS (SELECT c.query_id, a.clause_no, a.occur, c.doc_id, a.boost AS score FROM cand c JOIN allc a ON a.query_id = c.query_id),
+am AS (SELECT a.query_id, a.clause_no, a.occur, d.doc_id, a.boost AS score FROM docs d, allc a),
 mm AS (SELECT * FROM m UNION ALL SELECT * FROM am),
 eff AS (SELECT DISTINCT query_id, clause_no, occur FROM (
           SELECT query_id, clause_no, occur FROM ct
-          UNION ALL SELECT query_id, clause_no, occur FROM cl WHERE kind <> 'term' OR field <> 'content')),
+          UNION ALL SELECT query_id, clause_no, occur FROM cl WHERE kind NOT IN ('term', 'exact') OR field <> 'content')),
 req AS (SELECT query_id, count(DISTINCT CASE WHEN occur = 'must' THEN clause_no END) AS n_must FROM eff GROUP BY query_id),
 pos AS (
   SELECT query_id, doc_id, sum(score) AS score,
@@ -312,7 +331,7 @@ def all_sql() -> dict[str, str]:
 
 
 def _first_term_sql(w: str) -> str:
-    return (f"coalesce(list_filter(list_transform(regexp_extract_all({w}, {P}), lambda t: {norm('t')}), "
+    return (f"coalesce(list_filter(list_transform({token_array_sql(w)}, lambda t: {norm('t')}), "
             f"lambda t: NOT list_contains(stop_list.l, t))[1], '')")
 
 
@@ -392,14 +411,14 @@ def all_sql_with_highlight() -> dict[str, str]:
 
 
 def html_to_text_sql(expr: str) -> str:
-    from ..sources.documents import HTML_ENTITIES, MAX_EXTRACTED_CHARS, WHITESPACE_RUN, html_strip_patterns
+    from ..sources.documents import HTML_ENTITIES, WHITESPACE_RUN, html_strip_patterns
     t = f"coalesce({expr}, '')"
     for pat in html_strip_patterns():
         t = f"regexp_replace({t}, {sql_str(pat)}, ' ', 'g')"
     for ent, ch in HTML_ENTITIES:
         t = f"replace({t}, {sql_str(ent)}, {sql_str(ch)})"
     t = f"regexp_replace({t}, {sql_str(WHITESPACE_RUN)}, ' ', 'g')"
-    return f"left(trim({t}), {MAX_EXTRACTED_CHARS})"
+    return f"trim({t})"
 
 
 def url_file_name_sql(expr: str) -> str:
@@ -418,7 +437,7 @@ DOCS_WITH_CONVERSATIONS = """
 docs AS (
   SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(text, '') AS content FROM documents
   UNION ALL
-  SELECT CAST((SELECT max(doc_id) + 1 FROM documents) + conv_id * 1000 + turn AS BIGINT) AS doc_id,
+  SELECT CAST((SELECT max(doc_id) + 1 FROM documents) + conv_id * 4294967296 + turn AS BIGINT) AS doc_id,
          coalesce(text, '') AS content FROM conversations)"""
 
 

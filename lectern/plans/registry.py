@@ -22,8 +22,18 @@ from .fixtures import benchmark_queries, fixture_analyzer, fixture_clauses, fixt
 Plan = Callable[[SparkSession, str], DataFrame]
 
 
-def _index(spark: SparkSession, sf_dir: str, stem: bool = False) -> ix.Index:
-    return ix.materialize(ix.build_index(fixture_docs(spark, sf_dir), fixture_analyzer(spark, stem)))
+_STORED: dict[tuple, str] = {}
+
+
+def _index(spark: SparkSession, sf_dir: str, stem: bool = False, docs=fixture_docs) -> ix.Index:
+    """The index of a folder's documents, stored once per application and analyser."""
+    analyzer = fixture_analyzer(spark, stem)
+    key = (spark.sparkContext.applicationId, sf_dir, stem, docs.__name__)
+    if key not in _STORED:
+        root = store.scratch_root(spark)
+        store.write_index(ix.build_index(docs(spark, sf_dir), analyzer), root, store_docs=False)
+        _STORED[key] = root
+    return store.read_index(spark, _STORED[key], analyzer, docs=docs(spark, sf_dir))
 
 
 # --- sources and analysis ---------------------------------------------------------
@@ -59,6 +69,28 @@ def analyze_documents(spark, sf_dir):
     return an.analyze(fixture_docs(spark, sf_dir), fixture_analyzer(spark))
 
 
+def analyze_documents_stemmed(spark, sf_dir):
+    """The whole chain: as analyze_documents, with every term stemmed."""
+    return an.stemmed(an.analyze(fixture_docs(spark, sf_dir), fixture_analyzer(spark)))
+
+
+def stem_vocabulary(spark, sf_dir):
+    """(term, stem) for the whole vocabulary."""
+    return an.stem_vocabulary(_index(spark, sf_dir).term_stats)
+
+
+def stopword_set(spark, sf_dir):
+    """The stop set, with the number of documents that hold each word before the stop filter."""
+    a = fixture_analyzer(spark)
+    toks = an.tokens(fixture_docs(spark, sf_dir), ["doc_id"]).select("doc_id", a.normalize(F.col("token")).alias("word")).distinct()
+    held = toks.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return a.stopwords.join(held, "word", "left").select("word", F.coalesce("df", F.lit(0)).alias("df"))
+
+
+def search_topk_stemmed(spark, sf_dir):
+    return rk.search_free_text(fixture_queries(spark), _index(spark, sf_dir, stem=True))
+
+
 def first_term_of_word(spark, sf_dir):
     return an.first_term_of_words(fixture_docs(spark, sf_dir), fixture_analyzer(spark))
 
@@ -82,7 +114,7 @@ def corpus_stats(spark, sf_dir):
 
 
 def build_postings(spark, sf_dir):
-    return _index(spark, sf_dir).postings
+    return _index(spark, sf_dir).postings.select("term", "doc_id", "tf", "dl")
 
 
 # --- matching and ranking ----------------------------------------------------------------
@@ -165,6 +197,9 @@ PLANS: dict[str, Plan] = {
     "ascii_fold": ascii_fold,
     "remove_stopwords": remove_stopwords,
     "analyze_documents": analyze_documents,
+    "analyze_documents_stemmed": analyze_documents_stemmed,
+    "stem_vocabulary": stem_vocabulary,
+    "stopword_set": stopword_set,
     "first_term_of_word": first_term_of_word,
     "term_frequencies": term_frequencies,
     "document_frequencies": document_frequencies,
@@ -176,6 +211,7 @@ PLANS: dict[str, Plan] = {
     "bm25_scores": bm25_scores,
     "bm25_scores_quantized": bm25_scores_quantized,
     "search_topk": search_topk,
+    "search_topk_stemmed": search_topk_stemmed,
     "search_topk_benchmark": search_topk_benchmark,
     "query_total_hits": query_total_hits,
     "search_status": search_status,
@@ -278,8 +314,7 @@ def document_metadata(spark, sf_dir):
 
 def search_pages_topk(spark, sf_dir):
     """The fixture queries over an index of the extracted web pages."""
-    idx = ix.materialize(ix.build_index(src.pages_table(spark, sf_dir), fixture_analyzer(spark)))
-    return rk.search_free_text(fixture_queries(spark), idx)
+    return rk.search_free_text(fixture_queries(spark), _index(spark, sf_dir, docs=src.pages_table))
 
 
 PLANS.update({

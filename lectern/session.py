@@ -7,7 +7,6 @@ command-line examples.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,7 +25,7 @@ def local_session(cpus: int | str = "*", app: str = "lectern",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -35,18 +34,23 @@ def local_session(cpus: int | str = "*", app: str = "lectern",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a scratch one only if unset.
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a machine-local folder is only made when nothing is configured
-    (local tests).
+    In local mode a temporary folder serves where nothing is set (tests); on a
+    cluster each executor would write to its own disk, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="lectern-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="lectern-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

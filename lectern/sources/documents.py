@@ -6,21 +6,17 @@ Every source yields the canonical document frame
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators._util import spread
+import uuid
 
-# --- fixed values -----------------------------------------------------------
-# Extracted text is cut after this many characters.
-MAX_EXTRACTED_CHARS = 100_000
-# ---------------------------------------------------------------------------
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` test table as docs: path = source/doc_id, file name =
     the id as text."""
-    d = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return d.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.concat_ws("/", F.col("source"), F.col("doc_id").cast("string")).alias("path"),
@@ -30,9 +26,9 @@ def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations_table(spark: SparkSession, sf_dir: str, id_offset: int = 0) -> DataFrame:
-    """Each conversation turn as a document; ids ``offset + conv_id * 1000 + turn``."""
-    c = spread(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    local = F.col("conv_id").cast("long") * 1000 + F.col("turn").cast("long")
+    """Each conversation turn as a document; ids ``offset + conv_id * 2^32 + turn``."""
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    local = F.shiftleft(F.col("conv_id").cast("long"), 32) + F.col("turn").cast("long")
     return c.select(
         (F.lit(id_offset).cast("long") + local).alias("doc_id"),
         F.concat_ws("/", F.lit("conversations"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("path"),
@@ -41,37 +37,55 @@ def conversations_table(spark: SparkSession, sf_dir: str, id_offset: int = 0) ->
     )
 
 
+def numbered(df: DataFrame, order_col: str, id_col: str) -> DataFrame:
+    """``df`` with dense numbers from 0 in the order of a column.
+
+    Rows are range-partitioned and written; the partitions' row counts (one
+    number each) give every partition its first number.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-numbered-{uuid.uuid4().hex[:12]}"
+    ordered = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+    row = F.monotonically_increasing_id()
+    ordered.select("*", F.shiftright(row, 33).cast("int").alias("_part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")).write.parquet(path)
+    out = spark.read.parquet(path)
+    counts = out.groupBy("_part").count()
+    first = counts.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_first"))
+    return out.join(first, "_part").select(*df.columns, (F.col("_first") + F.col("_row")).alias(id_col))
+
+
 def folder(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Every readable file below ``path`` (recursively) as a document.
 
-    Bytes are decoded as UTF-8 (text files); files that vanish between
-    listing and reading are skipped.  Document ids are a hash of the
-    absolute path, stable across runs and partitionings."""
+    Bytes are read as UTF-8; a file that isn't valid UTF-8 has the empty text,
+    and empty files and files that vanish between listing and reading are
+    skipped.  Document
+    ids number the files in the order of their paths."""
     reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
               .option("ignoreMissingFiles", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.load(path)
-    text = F.left(F.coalesce(F.decode(F.col("content"), "UTF-8"), F.lit("")), F.lit(MAX_EXTRACTED_CHARS))
-    return raw.select(
-        F.abs(F.xxhash64(F.col("path"))).alias("doc_id"),
-        F.col("path"),
+    ids = numbered(raw.select("path"), "path", "doc_id")
+    text = F.col("content").cast("string")
+    return raw.select("path", F.when(F.is_valid_utf8(text), text).otherwise(F.lit("")).alias("content")).join(ids, "path").select(
+        "doc_id",
+        "path",
         F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
-        text.alias("content"),
+        "content",
     )
 
 
 def html_to_text(html):
     """Visible text of an HTML column: drop comments, scripts, styles and tags,
-    unescape the common entities, collapse white space, cut at the limit."""
+    unescape the common entities, collapse white space."""
     t = F.coalesce(html, F.lit(""))
     for pattern in html_strip_patterns():
         t = F.regexp_replace(t, pattern, " ")
     for ent, ch in HTML_ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     t = F.regexp_replace(t, WHITESPACE_RUN, " ")
-    t = F.trim(t)
-    return F.left(t, F.lit(MAX_EXTRACTED_CHARS))
+    return F.trim(t)
 
 
 # --- fixed values -----------------------------------------------------------
@@ -98,7 +112,7 @@ def html_strip_patterns() -> list[str]:
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table as docs: text extracted from the HTML, file name =
     last segment of the URL path, path = the URL."""
-    p = spread(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return p.select(
         F.col("page_id").cast("long").alias("doc_id"),
         F.col("url").alias("path"),

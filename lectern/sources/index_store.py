@@ -2,18 +2,18 @@
 
 Layout under ``root``::
 
-    docs/        doc_id, path, file_name, content   (sorted by doc_id)
-    postings/    segment=<id>/ term, doc_id, tf, dl  (range-partitioned and sorted by term)
-    term_stats/  term, df, cf, segment              (one slice per write)
-    doc_stats/   doc_id, dl
-    corpus/      num_docs, docs_with_terms, sum_dl, max_doc_id, segment  (one row per write)
-
-An append adds a segment: its postings, per-document lengths and statistics
-are written next to the earlier ones, never rewritten.  Readers merge the
-statistic slices with an aggregation (vocabulary-sized for terms, one row per
-segment for the corpus), so ``append(A); append(B)`` reads the same as one
-write of ``A + B``.  Postings sorted by term let Parquet skip row groups for
-term lookups.
+    postings/segment=<id>/bucket=<b>/  term, doc_id, tf, dl   (sorted by term)
+    term_stats/segment=<id>/           term, df, cf           (sorted by term)
+    doc_stats/segment=<id>/            doc_id, dl
+    docs/segment=<id>/                 doc_id, path, file_name, content
+    corpus/                            one row per segment, written last
+
+A segment counts once its row stands in ``corpus``; readers open the segments
+listed there and no others, so what a failed write left behind is never read.
+``overwrite`` replaces the list and then deletes the old segments.  An append
+adds a segment and reads only its own documents.  The bucket of a term is a
+folder, so a lookup opens the folders of its terms; writes are rebalanced by
+size, so the number of files follows the data and a hot term is split.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.analysis import Analyzer
-from ..operators.index import Index, build_index, document_frequencies
-from ..session import ensure_checkpoint_dir
+from ..operators.index import Index, build_index, document_frequencies, term_bucket
+from ..session import drop_folder, ensure_checkpoint_dir
 
-TABLES = ["docs", "postings", "term_stats", "doc_stats", "corpus"]
+TABLES = ["docs", "postings", "term_stats", "doc_stats"]
+BUCKETS = 32
+CORPUS = "segment string, buckets int, num_docs long, max_doc_id long, docs_with_terms long, sum_dl long"
 
 
 def scratch_root(spark: SparkSession, name: str = "index") -> str:
@@ -36,58 +38,76 @@ def scratch_root(spark: SparkSession, name: str = "index") -> str:
     return f"{base}/lectern-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _postings_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def write_index(index: Index, root: str, mode: str = "overwrite", store_docs: bool = True) -> None:
+def segments(spark: SparkSession, root: str) -> list:
+    """The committed segments (one row each)."""
+    return spark.read.schema(CORPUS).parquet(f"{root}/corpus").collect() if _exists(spark, f"{root}/corpus") else []
+
+
+def write_index(index: Index, root: str, mode: str = "overwrite", store_docs: bool = True, buckets: int = BUCKETS) -> None:
     """Write (``overwrite``) or add a segment (``append``) to an index folder.
 
-    The segment's postings are computed once, written sorted by term under
-    ``postings/segment=<id>``, and its statistic slices are aggregated from
-    that written copy.  For an append the documents must carry ids not used
-    before (see :func:`append_documents`)."""
+    For an append the documents must carry ids not used before (see
+    :func:`append_documents`)."""
     spark = index.postings.sparkSession
+    old = segments(spark, root)
+    if mode == "append" and old:
+        buckets = old[0]["buckets"]
     segment = uuid.uuid4().hex[:12]
-    seg_path = f"{root}/postings/segment={segment}"
-    # range partitioning on (term, doc_id): a hot term is split over several
-    # files, and each file covers a narrow, sorted term range
-    index.postings.repartitionByRange(_postings_partitions(spark), "term", "doc_id") \
-        .sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(seg_path)
-    p = spark.read.parquet(seg_path)
-    doc_stats = p.groupBy("doc_id").agg(F.first("dl").alias("dl"))
-    doc_stats.write.mode(mode).parquet(f"{root}/doc_stats")
-    document_frequencies(p).withColumn("segment", F.lit(segment)).write.mode(mode).parquet(f"{root}/term_stats")
-    left = index.docs.agg(F.count(F.lit(1)).alias("num_docs"), F.max("doc_id").alias("max_doc_id"))
-    right = spark.read.parquet(f"{root}/doc_stats").join(index.docs.select("doc_id"), "doc_id", "left_semi") \
-        .agg(F.count(F.lit(1)).alias("docs_with_terms"), F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("sum_dl"))
-    left.crossJoin(right).withColumn("segment", F.lit(segment)).write.mode(mode).parquet(f"{root}/corpus")
+    place = {t: f"{root}/{t}/segment={segment}" for t in TABLES}
+    placed = index.postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
+    placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "doc_id").write.partitionBy("bucket").parquet(place["postings"])
+    own = spark.read.schema(placed.schema).parquet(place["postings"])
+    own.groupBy("doc_id").agg(F.first("dl").alias("dl")).write.parquet(place["doc_stats"])
+    document_frequencies(own).sortWithinPartitions("term").write.parquet(place["term_stats"])
     if store_docs:
-        index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{root}/docs")
+        index.docs.write.parquet(place["docs"])
+    docs = index.docs.agg(F.count(F.lit(1)).alias("num_docs"), F.max("doc_id").cast("long").alias("max_doc_id"))
+    lengths = spark.read.schema("doc_id long, dl long").parquet(place["doc_stats"]).agg(
+        F.count(F.lit(1)).alias("docs_with_terms"), F.coalesce(F.sum("dl"), F.lit(0)).cast("long").alias("sum_dl"))
+    row = docs.crossJoin(lengths).select(F.lit(segment).alias("segment"), F.lit(buckets).alias("buckets"), "num_docs", "max_doc_id", "docs_with_terms", "sum_dl")
+    row.write.mode(mode).parquet(f"{root}/corpus")
+    if mode == "overwrite":
+        for r in old:
+            for t in TABLES:
+                drop_folder(spark, f"{root}/{t}/segment={r['segment']}")
 
 
 def read_index(spark: SparkSession, root: str, analyzer: Analyzer, docs: DataFrame | None = None) -> Index:
-    """Open an index folder; statistic slices of all segments are merged."""
-    postings = spark.read.parquet(f"{root}/postings").drop("segment")
-    slices = spark.read.parquet(f"{root}/term_stats")
-    term_stats = slices.groupBy("term").agg(F.sum("df").cast("long").alias("df"), F.sum("cf").cast("long").alias("cf"))
-    c = spark.read.parquet(f"{root}/corpus").agg(
-        F.sum("num_docs").cast("long").alias("num_docs"),
-        F.sum("docs_with_terms").cast("long").alias("docs_with_terms"),
-        F.sum("sum_dl").cast("long").alias("sum_dl"),
-        F.max("max_doc_id").alias("max_doc_id"))
-    corpus = c.select("num_docs", "docs_with_terms", "sum_dl",
-                      F.when(F.col("docs_with_terms") > 0, F.col("sum_dl") / F.col("docs_with_terms")).alias("avg_dl"),
-                      "max_doc_id")
-    d = docs if docs is not None else spark.read.parquet(f"{root}/docs")
-    return Index(docs=d, postings=postings, doc_stats=spark.read.parquet(f"{root}/doc_stats"),
-                 term_stats=term_stats, corpus=corpus, analyzer=analyzer)
+    """Open an index folder: its committed segments, with their statistics merged."""
+    listed = segments(spark, root)
+
+    def opened(table: str, schema: str) -> DataFrame:
+        paths = [f"{root}/{table}/segment={r['segment']}" for r in listed]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        parts = [spark.read.schema(schema).parquet(p) for p in paths]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    stats = opened("term_stats", "term string, df long, cf long")
+    if len(listed) > 1:
+        stats = stats.groupBy("term").agg(F.sum("df").cast("long").alias("df"), F.sum("cf").cast("long").alias("cf"))
+    # sums of one row per segment
+    num, with_terms, sum_dl = (sum(r[c] for r in listed) for c in ("num_docs", "docs_with_terms", "sum_dl"))
+    largest = max((r["max_doc_id"] for r in listed if r["max_doc_id"] is not None), default=None)
+    corpus = spark.createDataFrame([(num, with_terms, sum_dl, sum_dl / with_terms if with_terms else None, largest)],
+                                   "num_docs long, docs_with_terms long, sum_dl long, avg_dl double, max_doc_id long")
+    d = docs if docs is not None else opened("docs", "doc_id long, path string, file_name string, content string")
+    return Index(docs=d, postings=opened("postings", "term string, doc_id long, tf int, dl long, bucket int"),
+                 doc_stats=opened("doc_stats", "doc_id long, dl long"), term_stats=stats, corpus=corpus, analyzer=analyzer,
+                 buckets=listed[0]["buckets"] if listed else 0)
 
 
 def next_doc_id(spark: SparkSession, root: str) -> int:
     """First free document id of an index (one row per segment is read)."""
-    m = spark.read.parquet(f"{root}/corpus").agg(F.max("max_doc_id")).first()[0]
-    return 0 if m is None else int(m) + 1
+    return max((r["max_doc_id"] + 1 for r in segments(spark, root) if r["max_doc_id"] is not None), default=0)
 
 
 def append_documents(spark: SparkSession, root: str, docs: DataFrame, analyzer: Analyzer) -> None:

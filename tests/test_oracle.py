@@ -1,16 +1,9 @@
 """Registered plans against their DuckDB SQL on the smallest tables."""
-import os
-
 import pytest
 
 from tests.oracle_check import compare
 from tests.conftest import SF_SMALL
 
-FAST_KEYS = ["tokenize_offsets", "first_term_of_word", "build_postings", "corpus_stats", "search_topk",
-             "search_status", "tfidf_report", "match_boolean", "match_fuzzy", "keyword_in_context",
-             "merge_fragments", "central_term_positions"]
-
-
 def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
@@ -20,16 +13,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_key_has_sql_or_is_rows_only():
-    import __spark_entry__ as e
-    rows_only = set(e.queries()) - set(e.oracle_sql())
-    assert rows_only <= {"search_display_order", "best_fragments", "highlight", "search_response", "bold_terms"}
+    from lectern.plans.oracle import every_sql
+    from lectern.plans.registry import PLANS
+    assert set(PLANS) - set(every_sql()) <= {"best_fragments", "highlight", "search_response"}
 
 
 def _keys():
-    if os.environ.get("LECTERN_ALL_KEYS"):
-        import __spark_entry__ as e
-        return sorted(e.oracle_sql())
-    return FAST_KEYS
+    from lectern.plans.oracle import every_sql
+    return sorted(every_sql())
 
 
 @pytest.mark.parametrize("key", _keys())
