@@ -106,13 +106,13 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     own = [c for c in docs.columns if c not in ("n_words", "n_hit", "items")]
     packed = docs.select(F.struct(*own).alias("__row"), F.col(text_col).cast("string").alias("__text"), F.lit(None).cast("array<int>").alias("__hit"), F.array().cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"))
     fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in packed.schema["__row"].dataType)
-    for block in _blocks(benchmark, item_col, item_text, max_words):
-        held = docs.sparkSession.sparkContext.broadcast(Windows.of(block, n))
-        packed = packed.mapInArrow(_scan(held), f"__row struct<{fields}>, __text string, __hit array<int>, items array<string>, n_words long, n_hit long")
-    if remove_spans:
-        blocks = list(_blocks(benchmark, item_col, item_text, max_words))
-        for held in [docs.sparkSession.sparkContext.broadcast(Windows.of(b, n)) for b in blocks]:
-            packed = packed.mapInArrow(_cut(held), packed.schema)
+    schema = f"__row struct<{fields}>, __text string, __hit array<int>, items array<string>, n_words long, n_hit long"
+    sets = [docs.sparkSession.sparkContext.broadcast(Windows.of(b, n)) for b in _blocks(benchmark, item_col, item_text, max_words)]
+    for held in sets[:-1]:
+        packed = packed.mapInArrow(_scan(held), schema)
+    packed = packed.mapInArrow(_scan(sets[-1], cut=remove_spans), schema)
+    for held in sets[:-1] if remove_spans else []:
+        packed = packed.mapInArrow(_cut_again(held), schema)
     columns = [F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in own]
     return packed.select(*columns, "n_words", "n_hit", "items")
 
@@ -122,24 +122,28 @@ def _numbers(words: list[bytes], windows: Windows) -> np.ndarray:
     return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
 
 
-def _scan(held):
+def _scan(held, cut: bool = False):
     def run(batches):
         windows: Windows = held.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
+                texts = part.column("__text").cast(pa.binary()).to_pylist()
                 n_words, n_hit, hits, items = [], [], [], []
-                for text, before, named in zip(part.column("__text").cast(pa.binary()).to_pylist(), part.column("__hit").to_pylist(), part.column("items").to_pylist()):
+                for k, (text, before, named) in enumerate(zip(texts, part.column("__hit").to_pylist(), part.column("items").to_pylist())):
                     words = words_of(text)
                     hit, found = windows.scan(_numbers(words, windows))
                     if before:
                         hit[before] = True
                     n_words.append(len(words))
-                    where = np.flatnonzero(hit)
+                    where = np.flatnonzero(hit).tolist()
                     n_hit.append(len(where))
-                    hits.append(where.tolist() or None)
+                    hits.append(where or None)
                     items.append(sorted({*named, *found}))
-                yield pa.RecordBatch.from_arrays([part.column("__row"), part.column("__text"), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())], names=["__row", "__text", "__hit", "items", "n_words", "n_hit"])
+                    if cut and where:
+                        texts[k] = _without(text, where, windows)
+                said = pa.array(texts, pa.binary()).cast(pa.string()) if cut else part.column("__text")
+                yield pa.RecordBatch.from_arrays([part.column("__row"), said, pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())], names=["__row", "__text", "__hit", "items", "n_words", "n_hit"])
 
     return run
 
@@ -154,7 +158,16 @@ def cut_words(text: bytes, hit: list[int]) -> bytes:
     return b"".join((*out, text[last:]))
 
 
-def _cut(held):
+def _without(text: bytes, where: list[int], windows: Windows) -> bytes:
+    """The text without these words, and without what their going turns into an occurrence."""
+    while where:
+        text = cut_words(text, where)
+        where = np.flatnonzero(windows.scan(_numbers(words_of(text), windows))[0]).tolist()
+    return text
+
+
+def _cut_again(held):
+    """Looks at cut texts for windows of another block."""
     def run(batches):
         windows: Windows = held.value
         for batch in batches:
@@ -162,14 +175,10 @@ def _cut(held):
             if any(hits):
                 texts = batch.column("__text").cast(pa.binary()).to_pylist()
                 for k, where in enumerate(hits):
-                    cut = bool(where)
-                    while where:
-                        texts[k] = cut_words(texts[k], where)
-                        where = np.flatnonzero(windows.scan(_numbers(words_of(texts[k]), windows))[0]).tolist()
-                    hits[k] = [-1] if cut else None  # the next block looks at this text again
-                columns = [batch.column(c) for c in batch.schema.names]
-                columns[batch.schema.names.index("__text")] = pa.array(texts, pa.binary()).cast(pa.string())
-                batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                    if where:
+                        texts[k] = _without(texts[k], [-1], windows)
+                at = batch.schema.names.index("__text")
+                batch = batch.set_column(at, "__text", pa.array(texts, pa.binary()).cast(pa.string()))
             yield batch
 
     return run

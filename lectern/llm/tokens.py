@@ -30,7 +30,7 @@ CUT = re.compile(r"(?<=[^ \t\n\r])(?=[ \n])")
 class Encoder:
     """text -> ids as a little-endian uint32 array."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
