@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,24 +54,14 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def texts_of(column: pa.Array, slice_rows: int = 256) -> Iterator[list]:
-    """A text column as Python strings, a few rows at a time (bounded memory)."""
-    for at in range(0, len(column), slice_rows):
-        yield column.slice(at, slice_rows).to_pylist()
-
-
-def arrow_rows(fn: Callable, schema: pa.Schema, slice_rows: int = 512) -> Callable:
-    """A ``mapInArrow`` function: ``fn(columns as dict of lists) -> dict of lists`` per slice of rows."""
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner", salts: int = 16) -> DataFrame:
+    """``rows`` with the columns of their group; the rows of a hot group are dealt to ``salts`` tasks.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                out = fn(batch.slice(at, slice_rows).to_pydict())
-                arrays = [pa.array(out[f.name], f.type) for f in schema]
-                if len(arrays[0]):
-                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    return run
+    ``groups`` has one row per group, which is repeated for each salt.
+    """
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    dealt = groups.withColumn("__salt", F.explode(F.array(*map(F.lit, range(salts)))))
+    return rows.withColumn("__salt", salt).join(dealt, [*keys, "__salt"], how).drop("__salt")
 
 
 class WordCache(dict):

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import Scratch
+from lectern.llm.common import Scratch, join_groups
 
 ORDER, SPIKE, CACHE = 5, 8.0, 1 << 20
 QUANTILES = {"perplexity": 0.998, "excess": 0.99}
@@ -343,7 +343,7 @@ def verdicts(scored: DataFrame, trusted: DataFrame, quantiles: dict[str, float],
     rejected = F.lit(False)
     for figure, quantile in quantiles.items():
         for by in (["__lang", "__size"], ["__lang"]):
-            out = out.join(_thresholds(known, figure, quantile, by, least), by, "left")
+            out = join_groups(out, _thresholds(known, figure, quantile, by, least), by, "left")
         out = out.crossJoin(_thresholds(known, figure, quantile, [], 1))  # one row
         limit = F.coalesce(*(F.col(f"{figure}_{n}") for n in (2, 1, 0)))
         rejected = rejected | F.coalesce(F.col(figure) > limit, F.lit(False))

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import Scratch
+from lectern.llm.common import Scratch, join_groups
 
 GAP = r"[\x20\x09-\x0D]"
 STEPS, CORE = 3, 0.75
@@ -118,7 +118,7 @@ def _core(rows: DataFrame) -> DataFrame:
     w = Window.partitionBy("group")
     limit = (counts.select("group", "step", F.sum("c").over(w.orderBy("step")).alias("upto"), F.sum("c").over(w).alias("all"))
              .where(F.col("upto") >= CORE * F.col("all")).groupBy("group").agg(F.min("step").alias("limit")))
-    return stepped.join(limit, "group").where("step <= limit").drop("step", "limit")
+    return join_groups(stepped, limit, ["group"]).where("step <= limit").drop("step", "limit")
 
 
 def _estimate(rows: DataFrame, factor: float) -> DataFrame:
@@ -140,7 +140,7 @@ def _estimate(rows: DataFrame, factor: float) -> DataFrame:
 def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """``rows`` with d2, the squared Mahalanobis distance."""
     p = range(len(NAMES))
-    out = rows.drop("d2").join(estimate, "group")
+    out = join_groups(rows.drop("d2"), estimate, ["group"])
     for i in p:
         rest = F.col(NAMES[i]) - F.col(f"m_{NAMES[i]}")
         for k in range(i):
@@ -163,7 +163,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     passed = counted.where(~F.col("base_failed"))
     rows = passed.select("doc", "group", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *(c.alias(k) for k, c in statistics().items()))
     start = _medians(rows)
-    first = rows.join(start, "group")
+    first = join_groups(rows, start, ["group"])
     d2 = F.lit(0.0)
     for c in NAMES:
         z = (F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}")
