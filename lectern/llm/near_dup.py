@@ -17,6 +17,9 @@ Bounded work at any skew:
 * a large bucket whose members then still lie in several components goes an
   exact way: its documents are joined on their rarest shingles, of which
   similar sets must share one (prefix filter), and compared across components.
+  These documents alone get a finer signature, of 2048 single bits, whose
+  Hamming distance is a condition of that join: sets that are alike but under
+  the similarity don't become rows.
 
 Nothing is capped or sampled, and no links or components reach the driver.
 
@@ -44,6 +47,9 @@ SYMBOLS, CHUNKS, LANES, MAX_ERRORS = 64, 16, 4, 29
 SMALL_BUCKET = 16
 FACTORS = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SIG = [f"s{j}" for j in range(CHUNKS)]
+BITS = 2048
+BIT_FACTORS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FINE = [f"b{j}" for j in range(BITS // 64)]
 SET = ["h1", "h2", "n"]
 
 
@@ -55,6 +61,20 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (mixed(least) >> np.uint64(48)).astype("<u2").view("<i8")
 
 
+def fine_signature(hashes: np.ndarray) -> np.ndarray:
+    """One bit of each of 2048 smallest hashes, as 32 numbers."""
+    least = np.full(BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 128):
+        least = np.minimum(least, np.multiply.outer(hashes[at:at + 128], BIT_FACTORS).min(axis=0))
+    return np.packbits((mixed(least) >> np.uint64(63)).astype(bool)).view("<i8")
+
+
+def fine_errors(percent: int) -> int:
+    """The distance that sets of the similarity exceed with probability 1e-7: bits differ half as often as smallest hashes."""
+    p = (1 - percent / 100) / 2
+    return int(BITS * p + 5.2 * (BITS * p * (1 - p)) ** 0.5) + 1
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, n_words: int) -> DataFrame:
     """(doc, n, h1, h2: hash of the set, s0 .. s15), one row per document."""
     names = ["doc", "n", "h1", "h2", *SIG]
@@ -205,19 +225,30 @@ class NearDup:
                     hashes = shingles(batch.column("text")[k].as_py().encode(), n_words).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), batch.column("doc")[k].as_py())), pa.array(hashes)], names=["rep", "shingle"])
 
+        def finer(batches):
+            for batch in batches:
+                bits = [fine_signature(shingles(t.as_py().encode(), n_words)) for t in batch.column("text")]
+                columns = np.array(bits).reshape(-1, len(FINE)).T
+                yield pa.RecordBatch.from_arrays([batch.column("doc"), *map(pa.array, columns)], names=["rep", *FINE])
+
         rows = texts.mapInArrow(run, "rep long, shingle long")
+        fine = texts.mapInArrow(finer, "rep long, " + ", ".join(f"{c} long" for c in FINE))
         common = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
         placed = rows.join(common, "shingle", "left").select("rep", "shingle", F.coalesce("f", F.lit(1)).alias("f"))
         order = Window.partitionBy("rep").orderBy("f", "shingle")
         placed = placed.select("*", F.row_number().over(order).alias("at"), F.count("*").over(Window.partitionBy("rep")).alias("size"))
         first = placed.where((F.col("at") <= F.col("size") - F.ceil(F.col("size") * percent / 100) + 1) & (F.col("f") > 1))
-        first = self.scratch.keep(first.join(left, "rep").select("shingle", "rep", "at", "size", "component"), "rare")
-        a = first.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "at", "size", "component")))
-        b = first.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "at", "size", "component")))
+        about = left.join(fine, "rep")
+        first = self.scratch.keep(first.join(about, "rep").select("shingle", "rep", "at", "size", "component", F.struct(*FINE).alias("fine")), "rare")
+        side = lambda x: first.select("shingle", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "at", "size", "component", "fine")))
         near = (F.col("size_a") * 100 >= F.col("size_b") * percent) & (F.col("size_b") * 100 >= F.col("size_a") * percent)
         near = near & ((1 + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))) * (100 + percent) >= percent * (F.col("size_a") + F.col("size_b")))
-        pairs = a.join(b, "shingle").where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & near)
-        return _within(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), self.sets)
+        apart = F.lit(0)
+        for c in FINE:
+            apart = apart + F.bit_count(F.col(f"fine_a.{c}").bitwiseXOR(F.col(f"fine_b.{c}")))
+        near = near & (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")) & (apart <= fine_errors(percent))
+        pairs = side("a").join(side("b"), "shingle").where(near)
+        return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
     def labels(self) -> DataFrame:
         """(node, component) of every representative that is linked."""
