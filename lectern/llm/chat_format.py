@@ -53,13 +53,14 @@ def doubled_links(nodes: DataFrame, scratch: Scratch) -> tuple[list[DataFrame],
     links = []
     for k in range(largest.bit_length() + 1):
         now = scratch.keep(now, f"up{k}")
-        if now.where("up is not null").isEmpty():
+        below = now.where("up is not null")
+        if below.isEmpty():
             break
-        links.append(now.select("tree", "node", "up").where("up is not null"))
+        links.append(below.select("tree", "node", "up"))
         ahead = now.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("s2"), F.col("total").alias("t2"))
-        now = now.join(ahead, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"))
+        moved = below.join(ahead, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("s2")).alias("steps"), (F.col("total") + F.col("t2")).alias("total"))
+        now = moved.unionByName(now.where("up is null"))  # what has come to its root stays as it is
     return links, now.where("up is null").select(*KEY, "steps", "total")  # what still leads up is in a circle
 
 

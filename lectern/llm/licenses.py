@@ -83,7 +83,7 @@ def anchors(vector: dict[str, float], threshold: float) -> list[str]:
     return out
 
 
-def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold: float, scratch: Scratch) -> DataFrame:
     """(file, licence, score) of the files (file, text) with a line like a template."""
     spark = files.sparkSession
     counted = template_terms(templates)
@@ -99,6 +99,7 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]], threshold:
     wanted = F.filter(F.split("text", "\n", -1), lambda x: F.lower(x).rlike(rf"(?<![a-z0-9])(?:{cut})(?![a-z0-9])"))
     lines = files.where("text is not null").select("file", F.posexplode(F.array_distinct(wanted)).alias("line", "said"))
     said = lines.select("file", "line", F.explode(words(F.col("said"))).alias("term")).groupBy("file", "line", "term").agg(F.count("*").alias("tf"))
+    said = scratch.keep(said, "terms")  # three joins read it
     known = weights.select("term", "idf").distinct()
     squares = said.join(known, "term", "left").select("file", "line", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("w"))
     norms = squares.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -131,7 +132,7 @@ def scan(files: DataFrame, id_col: str, path_col: str, text_col: str, *, templat
     """
     scratch = Scratch(files.sparkSession, "licences")
     narrow = files.select(F.col(id_col).alias("file"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    own = scratch.keep(own_licences(narrow, TEMPLATES if templates is None else templates, threshold), "own")
+    own = scratch.keep(own_licences(narrow, TEMPLATES if templates is None else templates, threshold, scratch), "own")
     placed = scratch.keep(narrow.select("file", "path").join(own, "file", "left"), "files")
     from_above = inherited(placed)
     directory = F.regexp_replace("path", "/?[^/]*$", "")
