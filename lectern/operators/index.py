@@ -9,9 +9,9 @@ Tables (all plain DataFrames, persisted by :mod:`lectern.sources.index_store`):
 * ``term_stats(term, df, cf)``: document and collection frequency.
 * ``corpus(num_docs, docs_with_terms, sum_dl, avg_dl, max_doc_id)``: one row.
 
-The only wide steps are the (doc_id, term) aggregation, which Spark combines
-map-side before the shuffle (each document's tokens are in one task), and
-the per-document / per-term roll-ups of the postings.
+The only wide steps are one shuffle of the texts by document, after which
+term counts and document lengths are aggregated in place, and the roll-ups of
+the postings by term.
 """
 
 from __future__ import annotations
@@ -80,7 +80,9 @@ def build_index(docs: DataFrame, analyzer: Analyzer) -> Index:
 
     With stemming the distinct terms are stemmed once and joined back."""
     plain = replace(analyzer, stem=False)
-    tf = term_frequencies(analyze(docs, plain, positions=False))
+    # dealt by document once, the counts and the lengths below need no further shuffle
+    dealt = docs.select("doc_id", "content").repartition("doc_id")
+    tf = term_frequencies(analyze(dealt, plain, positions=False))
     if analyzer.stem:
         tf = stemmed(tf).groupBy("doc_id", "term").agg(F.sum("tf").cast("int").alias("tf"))
     # the length is a window sum over each document's postings (bounded by
