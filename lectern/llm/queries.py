@@ -78,6 +78,38 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+OP1_SQL = """
+WITH t(k, licence, text) AS (VALUES %TEMPLATES%),
+tc AS (SELECT k, licence, term, count(*) AS c FROM (SELECT k, licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM documents),
+held AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+'))) AS term FROM documents),
+df AS (SELECT term, count(*) AS df FROM held WHERE term IN (SELECT term FROM tc) GROUP BY term),
+idf AS (SELECT DISTINCT tc.term, ln(1 + (1 + n.n) / (1 + coalesce(df.df, 0))) AS w FROM n, tc LEFT JOIN df ON df.term = tc.term),
+tv AS (SELECT k, licence, term, c * w AS x FROM tc JOIN idf USING (term)),
+tn AS (SELECT k, sqrt(sum(x * x)) AS size FROM tv GROUP BY k),
+lines AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)))) AS said FROM documents WHERE text IS NOT NULL),
+tf AS (SELECT doc_id, said, term, count(*) AS tf FROM (SELECT doc_id, said, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS term FROM lines) GROUP BY ALL),
+size AS (SELECT doc_id, said, sqrt(sum(pow(tf * coalesce(w, ln(2 + n.n)), 2))) AS size FROM n, tf LEFT JOIN idf ON idf.term = tf.term GROUP BY ALL),
+dots AS (SELECT doc_id, said, k, licence, sum(tf.tf * idf.w * tv.x) AS dot FROM tf JOIN idf ON idf.term = tf.term JOIN tv ON tv.term = tf.term GROUP BY ALL),
+scored AS (SELECT d.doc_id, d.licence, round(d.dot / s.size / tn.size, 6) AS score FROM dots d JOIN size s ON s.doc_id = d.doc_id AND s.said = d.said JOIN tn ON tn.k = d.k),
+own AS (SELECT doc_id, licence, score FROM scored WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
+files AS (
+  SELECT doc_id, (doc_id // 1000)::VARCHAR || '/' || CASE WHEN doc_id % 100 = 0 THEN 'LICENSE.' || doc_id
+    WHEN doc_id % 10 = 0 THEN (doc_id // 100)::VARCHAR || '/LICENSE.' || doc_id
+    ELSE (doc_id // 100)::VARCHAR || '/' || coalesce(source, 'none') || '/' || doc_id || '.txt' END AS path FROM documents),
+placed AS (SELECT f.doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS directory, licence, score FROM files f LEFT JOIN own USING (doc_id)),
+declared AS (SELECT directory, arg_min(licence, struct_pack(s := -score, l := licence)) AS licence FROM placed WHERE licence IS NOT NULL AND path LIKE '%LICENSE.%' GROUP BY directory),
+above AS (
+  SELECT directory, depth, array_to_string(string_split(directory, '/')[1:depth], '/') AS above
+  FROM (SELECT directory, unnest(range(0, len(string_split(directory, '/')) + 1)) AS depth FROM (SELECT DISTINCT directory FROM placed))),
+nearest AS (
+  SELECT a.directory, d.licence AS inherited, a.above AS from_directory FROM above a JOIN declared d ON d.directory = a.above
+  QUALIFY row_number() OVER (PARTITION BY a.directory ORDER BY a.depth DESC) = 1)
+SELECT p.doc_id, p.path, p.licence AS own, p.score, CASE WHEN p.licence IS NULL THEN inherited END AS inherited,
+  CASE WHEN p.licence IS NULL THEN from_directory END AS from_directory, coalesce(p.licence, inherited) AS licence
+FROM placed p LEFT JOIN nearest n ON n.directory = p.directory
+""".replace("%TEMPLATES%", ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES)))
+
 OP5_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -134,6 +166,21 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT d.doc_id, count(g.g) AS n FROM documents d LEFT JOIN grams g ON g.doc_id = d.doc_id GROUP BY d.doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.y FROM reach r JOIN links l ON l.x = r.b)
+SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id, min(r.b) = s.doc_id AS kept
+FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_pack_sequences": op2_pack_sequences,
@@ -147,4 +194,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-SQL: dict[str, str] = {"op8_chat_format": OP8_SQL, "op5_line_dedup": OP5_SQL, "op6_decontaminate": OP6_SQL}
+SQL: dict[str, str] = {"op1_license_scan": OP1_SQL, "op10_near_duplicates": OP10_SQL, "op8_chat_format": OP8_SQL, "op5_line_dedup": OP5_SQL, "op6_decontaminate": OP6_SQL}
