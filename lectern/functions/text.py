@@ -193,7 +193,7 @@ def token_array_sql(expr: str) -> str:
 
 
 def normalize_term_sql(expr: str) -> str:
-    return ascii_fold_sql(f"lower({expr})")
+    return f"(CASE WHEN strlen({expr}) = length({expr}) THEN lower({expr}) ELSE {ascii_fold_sql(f'lower({expr})')} END)"
 
 
 def java_split_space_sql(expr: str) -> str:

@@ -45,7 +45,8 @@ stop_raw AS (SELECT word FROM {_values([(w,) for w in FIXTURE_STOPWORDS], 'word'
 stopset AS (SELECT word FROM stop_raw UNION SELECT {strip_accents_sql('word')} FROM stop_raw),
 tok_lists AS (SELECT doc_id, {token_array_sql('content')} AS t FROM docs),
 toks AS (SELECT doc_id, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM tok_lists),
-normed AS (SELECT doc_id, token_no, token, {norm('token')} AS term FROM toks),
+tokmap AS (SELECT token, {norm('token')} AS term FROM (SELECT DISTINCT token FROM toks)),
+normed AS (SELECT t.doc_id, t.token_no, t.token, m.term FROM toks t JOIN tokmap m ON m.token = t.token),
 terms AS (SELECT doc_id, token_no, term FROM normed WHERE term NOT IN (SELECT word FROM stopset)),
 postings AS (SELECT doc_id, term, CAST(count(*) AS INTEGER) AS tf FROM terms GROUP BY doc_id, term),
 doc_stats AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS dl FROM postings GROUP BY doc_id),

@@ -78,6 +78,7 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             cur = con.execute(sqls[k])
             dcols = [d[0] for d in cur.description]
             drows = cur.fetchall()
+            t2 = time.time()
         except Exception as e:
             results[k] = ("sql-error", repr(e)[:800])
             if verbose:
@@ -89,7 +90,7 @@ def compare(spark, sf_dir, keys=None, verbose=True):
         results[k] = ("match" if ok else "MISMATCH", len(srows), len(drows))
         if verbose:
             print(f"{k}: {'match' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} "
-                  f"cols_ok={same_cols} ({t1 - t0:.1f}s spark)")
+                  f"cols_ok={same_cols} ({t1 - t0:.1f}s spark, {t2 - t1:.1f}s duck)")
             if not ok:
                 if not same_cols:
                     print("   spark cols", scols, "duck cols", dcols)
