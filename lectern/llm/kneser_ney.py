@@ -205,11 +205,21 @@ def _discounts(n: list[int]) -> list[float]:
 
 
 def train(trusted: DataFrame, scratch: Scratch) -> DataFrame:
-    """The model's entries (order, weight, key, value, c)."""
+    """The model's entries (order, weight, key, value, c).
+
+    The tables of the orders are small beside the texts and read several
+    times: they are cached until the entries are written.
+    """
+    held = []
+
+    def cached(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return held[-1]
+
     counts = {ORDER: scratch.keep(gram_counts(trusted), "counts")}
     for k in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND(F.lit(_mask(k)))
-        counts[k] = scratch.keep(counts[k + 1].groupBy(tail.alias("gram")).agg(F.count("*").alias("c")), f"counts{k}")
+        counts[k] = cached(counts[k + 1].groupBy(tail.alias("gram")).agg(F.count("*").alias("c")))
     every = None
     for k, table in counts.items():
         one = table.agg(F.lit(k).alias("k"), *(F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)))
@@ -221,16 +231,19 @@ def train(trusted: DataFrame, scratch: Scratch) -> DataFrame:
         off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = counts[k].withColumn("context", F.shiftright("gram", 8)).withColumn("off", off)
         contexts = grams.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("off") / F.sum("c")).alias("g"))
-        contexts = scratch.keep(contexts, f"contexts{k}")
+        contexts = cached(contexts)
         seen = grams.join(contexts, "context")
         if lower is None:
             seen = seen.withColumn("low", F.lit(1 / 256))
         else:
             seen = seen.withColumn("tail", F.col("gram").bitwiseAND(F.lit(_mask(k - 1)))).join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("low")), "tail")
-        lower = scratch.keep(seen.select("gram", "c", ((F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")).alias("p")), f"probs{k}")
+        lower = cached(seen.select("gram", "c", ((F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")).alias("p")))
         rows = (lower.select(F.lit(k).alias("order"), F.lit(False).alias("weight"), F.col("gram").alias("key"), F.log2("p").cast("float").alias("value"), "c")
                 .unionByName(contexts.select(F.lit(k).alias("order"), F.lit(True).alias("weight"), F.col("context").alias("key"), F.log2(F.greatest("g", F.lit(1e-9))).cast("float").alias("value"), F.col("total").alias("c"))))
         entries = rows if entries is None else entries.unionByName(rows)
+    entries = scratch.keep(entries, "entries")
+    for df in held:
+        df.unpersist()
     return entries
 
 

@@ -189,7 +189,6 @@ class NearDup:
         """(key, rep, n, pivot): the members of every bucket of two or more."""
         keys = index_keys(self.sets)
         stats = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
-        stats = self.scratch.keep(stats, "buckets")
         return self.scratch.keep(keys.join(stats, "key"), "members")
 
     def candidates(self, members: DataFrame) -> DataFrame:
@@ -265,7 +264,6 @@ class NearDup:
         """(doc, n_shingles, component_id, kept), a row per row of the input."""
         labels = self.labels().withColumnRenamed("node", "rep")
         classes = self.sets.select(*SET, "rep").join(labels, "rep", "left").select(*SET, F.coalesce("component", "rep").alias("component"))
-        classes = self.scratch.keep(classes, "classes")
         linked = self.rows.select("doc", *SET).join(classes, SET, "left")
         component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
         return linked.select("doc", F.col("n").alias("n_shingles"), component.alias("component_id"),
