@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +40,11 @@ class Scratch:
         self.root = f"{shared_dir(spark)}/lectern-{label}-{uuid.uuid4().hex}"
         self._n = 0
 
-    def keep(self, df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        # read only after this returns: no marker file needed
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
