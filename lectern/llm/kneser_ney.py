@@ -17,7 +17,9 @@ Two figures come of it: ``perplexity`` (2 to the mean surprisal of a byte) and
 a long text raise it where the mean hardly moves).  A document is rejected if
 either exceeds the quantile that trusted documents of its language and length
 class have; classes with few trusted documents use their language's, then the
-overall quantile.
+overall quantile.  The quantiles are of out-of-fold scores: trusted documents
+are dealt into ``FOLDS`` folds by a hash of the id, and each is scored by a
+model whose counts are all but its fold's.
 
 Defined cases: null and empty texts have perplexity 1 and are kept; a null
 language is a language of its own; repeated rows and null ids are scored row
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import Scratch, join_groups
@@ -39,7 +41,9 @@ from lectern.llm.common import Scratch, join_groups
 ORDER, SPIKE, CACHE = 5, 8.0, 1 << 20
 QUANTILES = {"perplexity": 0.998, "excess": 0.99}
 LEAST_TRUSTED = 100
-SALTS = 8  # a frequent pair of symbols is dealt to so many tasks, each with its part of the model
+FOLDS = 4  # of trusted documents: a limit is taken of scores by models that haven't seen the document
+ENTRY = ("model", "order", "weight", "key", "value")
+SALTS, FOLD_SALTS = 8, 2  # a frequent pair of symbols is dealt to so many tasks, each with its part of the model
 BLOOM_WORDS = 1 << 17  # 64-bit words of the Bloom filter of trusted ids: 1 MB
 
 
@@ -139,8 +143,8 @@ def _mask(k: int) -> int:
     return (1 << 8 * k) - 1
 
 
-def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """(doc, text) of the documents whose id is in ``trusted_ids``.
+def trusted_documents(docs: DataFrame, trusted_ids: DataFrame, more: list[str] | None = None) -> DataFrame:
+    """(doc, text, and the string columns ``more``) of the documents whose id is in ``trusted_ids``.
 
     A Bloom filter of fixed size, put together by Spark, spares most other
     texts the shuffle of the exact join that follows.
@@ -160,15 +164,16 @@ def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
             for name in ("p0", "p1", "p2"):
                 place = batch.column(name).to_numpy(zero_copy_only=False)
                 maybe &= (held.value[place >> 6] >> (place & 63) & 1).astype(bool)
-            yield batch.select(["doc", "text"]).filter(pa.array(maybe))
+            yield batch.select(names).filter(pa.array(maybe))
 
+    names = ["doc", "text", *(more or [])]
     narrow = docs.where("doc is not null and text is not null")
-    likely = narrow.select("doc", "text", *(p.alias(f"p{k}") for k, p in enumerate(places))).mapInArrow(run, "doc long, text string")
+    likely = narrow.select(*names, *(p.alias(f"p{k}") for k, p in enumerate(places))).mapInArrow(run, "doc long, " + ", ".join(f"{c} string" for c in names[1:]))
     return likely.join(ids.hint("merge"), "doc", "left_semi")
 
 
 def gram_counts(docs: DataFrame, most: int = 1 << 20) -> DataFrame:
-    """(gram, c) over all texts; each task adds up what it reads before it sends it on."""
+    """(fold, gram, c) over all texts (fold, text); each task adds up what it reads before it sends it on."""
 
     def run(batches):
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -181,8 +186,10 @@ def gram_counts(docs: DataFrame, most: int = 1 << 20) -> DataFrame:
 
         waiting, size = [], 0
         for batch in batches:
-            for _, texts in portions(batch.column("text").cast(pa.binary()).to_pylist()):
-                waiting.append(np.unique(packed_grams(texts)[0], return_counts=True))
+            folds = batch.column("fold").to_numpy()
+            for at, texts in portions(batch.column("text").cast(pa.binary()).to_pylist()):
+                own = np.repeat(folds[at:at + len(texts)].astype(np.int64), [len(t) for t in texts])
+                waiting.append(np.unique(packed_grams(texts)[0] | own << 8 * ORDER, return_counts=True))
                 size += len(waiting[-1][0])
                 if size > most:
                     keys, counts = merged([(keys, counts), *waiting])
@@ -193,7 +200,24 @@ def gram_counts(docs: DataFrame, most: int = 1 << 20) -> DataFrame:
         keys, counts = merged([(keys, counts), *waiting])
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["gram", "c"])
 
-    return docs.select("text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    counts = docs.select("fold", "text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return counts.select(F.shiftright("gram", 8 * ORDER).cast("int").alias("fold"), F.col("gram").bitwiseAND(F.lit(_mask(ORDER))).alias("gram"), "c")
+
+
+def fold_of(doc: Column, folds: int) -> Column:
+    """The fold of an id, from 0."""
+    return F.pmod(F.xxhash64(doc, F.lit("fold")), F.lit(folds)).cast("int")
+
+
+def left_out(counts: DataFrame, folds: int) -> DataFrame:
+    """(model, gram, c) of counts (fold, gram, c): model 0 has them all, model k those of the folds but k - 1."""
+    if folds < 2:
+        return counts.select(F.lit(0).alias("model"), "gram", "c")
+    own = [F.sum(F.when(F.col("fold") == k, F.col("c")).otherwise(0)).alias(f"own{k}") for k in range(folds)]
+    sums = counts.groupBy("gram").agg(F.sum("c").alias("all"), *own)
+    models = [F.struct(F.lit(0).alias("model"), F.col("all").alias("c"))]
+    models += [F.struct(F.lit(k + 1).alias("model"), (F.col("all") - F.col(f"own{k}")).alias("c")) for k in range(folds)]
+    return sums.select("gram", F.explode(F.array(*models)).alias("m")).select("m.model", "gram", "m.c").where("c > 0")
 
 
 def _discounts(n: list[int]) -> list[float]:
@@ -204,56 +228,81 @@ def _discounts(n: list[int]) -> list[float]:
     return [max(0.0, (j + 1) - (j + 2) * y * n[j + 1] / n[j]) for j in range(3)]
 
 
-def train(trusted: DataFrame, scratch: Scratch) -> DataFrame:
-    """The model's entries (order, weight, key, value, c)."""
-    counts = {ORDER: scratch.keep(gram_counts(trusted), "counts")}
+def train(trusted: DataFrame, scratch: Scratch, folds: int = 1) -> DataFrame:
+    """The models' entries (model, order, weight, key, value, c): model 0 of all rows (doc, text), and with two ``folds`` or more model k without the fold k - 1."""
+    dealt = trusted.select("text", (fold_of(F.col("doc"), folds) if folds > 1 else F.lit(0)).alias("fold"))
+    counts = {ORDER: scratch.keep(left_out(gram_counts(dealt), folds), "counts")}
     for k in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND(F.lit(_mask(k)))
-        counts[k] = scratch.keep(counts[k + 1].groupBy(tail.alias("gram")).agg(F.count("*").alias("c")), f"counts{k}")
+        counts[k] = scratch.keep(counts[k + 1].groupBy("model", tail.alias("gram")).agg(F.count("*").alias("c")), f"counts{k}")
     every = None
     for k, table in counts.items():
-        one = table.agg(F.lit(k).alias("k"), *(F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)))
+        one = table.groupBy("model").agg(F.lit(k).alias("k"), *(F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)))
         every = one if every is None else every.unionByName(one)
-    discounts = {r["k"]: _discounts([r["n1"], r["n2"], r["n3"], r["n4"]]) for r in every.collect()}  # a row per order
+    discounts = {(r["k"], r["model"]): _discounts([r["n1"], r["n2"], r["n3"], r["n4"]]) for r in every.collect()}  # a row per order and model
     lower, entries = None, None
     for k in range(1, ORDER + 1):
-        d1, d2, d3 = discounts[k]
+        models = range(folds + 1 if folds > 1 else 1)
+        d1, d2, d3 = (F.get(F.array(*(F.lit(discounts.get((k, m), _discounts([0]))[j]) for m in models)), F.col("model")) for j in range(3))
         off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = counts[k].withColumn("context", F.shiftright("gram", 8)).withColumn("off", off)
-        contexts = grams.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("off") / F.sum("c")).alias("g"))
+        contexts = grams.groupBy("model", "context").agg(F.sum("c").alias("total"), (F.sum("off") / F.sum("c")).alias("g"))
         contexts = scratch.keep(contexts, f"contexts{k}")
-        seen = grams.join(contexts, "context")
+        seen = grams.join(contexts, ["model", "context"])
         if lower is None:
             seen = seen.withColumn("low", F.lit(1 / 256))
         else:
-            seen = seen.withColumn("tail", F.col("gram").bitwiseAND(F.lit(_mask(k - 1)))).join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("low")), "tail")
-        lower = scratch.keep(seen.select("gram", "c", ((F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")).alias("p")), f"probs{k}")
-        rows = (lower.select(F.lit(k).alias("order"), F.lit(False).alias("weight"), F.col("gram").alias("key"), F.log2("p").cast("float").alias("value"), "c")
-                .unionByName(contexts.select(F.lit(k).alias("order"), F.lit(True).alias("weight"), F.col("context").alias("key"), F.log2(F.greatest("g", F.lit(1e-9))).cast("float").alias("value"), F.col("total").alias("c"))))
+            seen = seen.withColumn("tail", F.col("gram").bitwiseAND(F.lit(_mask(k - 1)))).join(lower.select("model", F.col("gram").alias("tail"), F.col("p").alias("low")), ["model", "tail"])
+        lower = scratch.keep(seen.select("model", "gram", "c", ((F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")).alias("p")), f"probs{k}")
+        rows = (lower.select("model", F.lit(k).alias("order"), F.lit(False).alias("weight"), F.col("gram").alias("key"), F.log2("p").cast("float").alias("value"), "c")
+                .unionByName(contexts.select("model", F.lit(k).alias("order"), F.lit(True).alias("weight"), F.col("context").alias("key"), F.log2(F.greatest("g", F.lit(1e-9))).cast("float").alias("value"), F.col("total").alias("c"))))
         entries = rows if entries is None else entries.unionByName(rows)
     return entries
 
 
-def cached_model(entries: DataFrame, most: int) -> Model:
-    """All entries of the orders one and two, and the others from the count on from which at most ``most`` are left."""
+def cached_models(entries: DataFrame, most: int) -> dict[int, Model]:
+    """Of each model all entries of the orders one and two, and the others from the count on from which at most ``most`` are left (of the models without a fold, together half of it)."""
     large = entries.where("order > 2")
-    sizes = sorted(large.groupBy(F.floor(F.log2("c")).alias("b")).count().collect(), key=lambda r: -r["b"])  # some tens of rows
-    least, total = None, 0
-    for r in sizes:
-        if total + r["count"] > most:
-            break
-        least, total = r["b"], total + r["count"]
-    complete = total == sum(r["count"] for r in sizes)
-    chosen = F.col("order") <= 2
-    if least is not None:
-        chosen = chosen | (F.floor(F.log2("c")) >= least)
-    rows = entries.where(chosen).select("order", "weight", "key", "value").toArrow()
-    return Model(*(rows[c].to_numpy() for c in ("order", "weight", "key", "value")), complete)
-
-
-def _hot(docs: DataFrame, model: Model) -> DataFrame:
-    """(uid, doc, lang, n, bits, excess, cold): what the cached entries settle, and the n-grams that they don't."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    sizes: dict[int, list] = {}
+    for r in large.groupBy("model", F.floor(F.log2("c")).alias("b")).count().collect():  # some tens of rows a model
+        sizes.setdefault(r["model"], []).append((r["b"], r["count"]))
+    chosen, complete = F.col("order") <= 2, {}
+    for m, own in sizes.items():
+        least, total = None, 0
+        for b, count in sorted(own, reverse=True):
+            if total + count > (most if m == 0 else most // (2 * (len(sizes) - 1))):
+                break
+            least, total = b, total + count
+        complete[m] = total == sum(count for _, count in own)
+        if least is not None:
+            chosen = chosen | ((F.col("model") == m) & (F.floor(F.log2("c")) >= least))
+    columns = _columns([entries.where(chosen).select(*ENTRY).toArrow()])
+    return {m: _model(columns, m, whole) for m, whole in complete.items()}
+
+
+def _columns(parts: list[pa.Table]) -> list[np.ndarray]:
+    whole = pa.concat_tables(parts)
+    return [whole.column(c).to_numpy() for c in ENTRY]
+
+
+def _model(columns: list[np.ndarray], number: int, complete: bool) -> Model:
+    own = columns[0] == number
+    return Model(*(c[own] for c in columns[1:]), complete)
+
+
+def _surprisal(models: dict[int, Model], of: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, settled) of n-grams, each by its own model ``of``."""
+    bits, settled = np.full(len(grams), 8, dtype=np.float32), np.ones(len(grams), dtype=bool)
+    for m in np.unique(of).tolist():
+        if m in models:  # a model without entries gives every byte 8 bits
+            own = np.flatnonzero(of == m)
+            bits[own], settled[own] = models[m].surprisal(grams[own])
+    return bits, settled
+
+
+def _hot(docs: DataFrame, models: dict[int, Model]) -> DataFrame:
+    """(uid, doc, lang, model, n, bits, excess, cold): what the cached entries settle, and the n-grams that they don't."""
+    held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         uid = TaskContext.get().partitionId() << 40
@@ -266,7 +315,8 @@ def _hot(docs: DataFrame, model: Model) -> DataFrame:
                     cold = [None] * len(part)
                     grams, starts = packed_grams(part)
                     if len(grams):
-                        bits, settled = held.value.surprisal(grams)
+                        of = np.repeat(batch.column("model").to_numpy()[first + at:first + at + len(part)], n)
+                        bits, settled = _surprisal(held.value, of, grams)
                         ends = np.concatenate((starts, [len(grams)]))
                         for row, values in enumerate((bits, np.maximum(bits - SPIKE, 0) * settled)):
                             total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
@@ -275,38 +325,38 @@ def _hot(docs: DataFrame, model: Model) -> DataFrame:
                             cold = [grams[a:b][~settled[a:b]] for a, b in zip(ends[:-1], ends[1:])]
                     own = batch.slice(first + at, len(part))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.arange(uid, uid + len(part))), own.column("doc"), own.column("lang"), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(cold, pa.list_(pa.int64()))],
-                        names=["uid", "doc", "lang", "n", "bits", "excess", "cold"])
+                        [pa.array(np.arange(uid, uid + len(part))), own.column("doc"), own.column("lang"), own.column("model"), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(cold, pa.list_(pa.int64()))],
+                        names=["uid", "doc", "lang", "model", "n", "bits", "excess", "cold"])
                     uid += len(part)
 
-    return docs.select("doc", "lang", "text").mapInArrow(run, "uid long, doc long, lang string, n long, bits double, excess double, cold array<long>")
+    return docs.select("doc", "lang", "model", "text").mapInArrow(run, "uid long, doc long, lang string, model int, n long, bits double, excess double, cold array<long>")
 
 
 def _looked_up(cold: DataFrame, entries: DataFrame) -> DataFrame:
-    """(uid, bits, excess) of the rows (uid, gram, times), each against its shard of the model."""
+    """(uid, bits, excess) of the rows (uid, model, gram, times), each against its shard of its model."""
     pair = F.lit(0xFFFF)  # of an n-gram the two symbols before its last, of a context its last two
+    salts = F.when(F.col("model") == 0, SALTS).otherwise(FOLD_SALTS)
     model = entries.where("order > 2").select(
-        F.when(F.col("weight"), F.col("key").bitwiseAND(pair)).otherwise(F.shiftright("key", 8).bitwiseAND(pair)).alias("shard"),
-        F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"), F.lit(0).alias("kind"), "order", "weight", "key", "value",
+        "model", F.when(F.col("weight"), F.col("key").bitwiseAND(pair)).otherwise(F.shiftright("key", 8).bitwiseAND(pair)).alias("shard"),
+        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("kind"), "order", "weight", "key", "value",
         F.lit(None).cast("long").alias("uid"), F.lit(0).cast("long").alias("times"))
-    low = entries.where("order <= 2").select("order", "weight", "key", "value").toArrow()  # at most 256 + 256^2 n-grams and contexts
-    held = cold.sparkSession.sparkContext.broadcast([low[c].to_numpy() for c in ("order", "weight", "key", "value")])
-    asked = cold.select(F.shiftright("gram", 8).bitwiseAND(pair).alias("shard"), F.pmod("uid", F.lit(SALTS)).cast("int").alias("salt"), F.lit(1).alias("kind"), F.lit(0).alias("order"), F.lit(False).alias("weight"),
+    low = entries.where("order <= 2").select(*ENTRY).toArrow()  # at most 256 + 256^2 n-grams and contexts of a model
+    held = cold.sparkSession.sparkContext.broadcast(low)
+    asked = cold.select("model", F.shiftright("gram", 8).bitwiseAND(pair).alias("shard"), F.pmod("uid", salts).cast("int").alias("salt"), F.lit(1).alias("kind"), F.lit(0).alias("order"), F.lit(False).alias("weight"),
                         F.col("gram").alias("key"), F.lit(0.0).cast("float").alias("value"), "uid", "times")
-    both = model.unionByName(asked).repartition("shard", "salt").sortWithinPartitions("kind")  # a task's part of the model comes first
+    both = model.unionByName(asked).repartition("model", "shard", "salt").sortWithinPartitions("kind")  # a task's part of the model comes first
 
     def run(batches):
-        parts, model = [], None
+        parts, columns, models = [], None, {}
         for batch in batches:
             is_model = batch.column("kind").to_numpy() == 0
             if is_model.any():
-                own = batch.filter(pa.array(is_model))
-                parts.append([own.column(c).to_numpy(zero_copy_only=False) for c in ("order", "weight", "key", "value")])
+                parts.append(pa.Table.from_batches([batch.filter(pa.array(is_model)).select(list(ENTRY))]).cast(held.value.schema))
             rows = batch.filter(pa.array(~is_model))
             if rows.num_rows:
-                if model is None:
-                    model = Model(*(np.concatenate(x) for x in zip(held.value, *parts)), complete=True)
-                bits, _ = model.surprisal(rows.column("key").to_numpy())
+                columns, of = columns or _columns([held.value, *parts]), rows.column("model").to_numpy()
+                models |= {m: _model(columns, m, True) for m in np.unique(of).tolist() if m not in models}
+                bits, _ = _surprisal(models, of, rows.column("key").to_numpy())
                 times = rows.column("times").to_numpy()
                 yield pa.RecordBatch.from_arrays([rows.column("uid"), pa.array(bits * times.astype(float)), pa.array(np.maximum(bits - SPIKE, 0) * times.astype(float))], names=["uid", "bits", "excess"])
 
@@ -314,14 +364,15 @@ def _looked_up(cold: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, entries: DataFrame, scratch: Scratch, cache_entries: int = CACHE) -> DataFrame:
-    """(uid, doc, lang, n, perplexity, excess) of every row (doc, lang, text)."""
-    hot = scratch.keep(_hot(docs, cached_model(entries, cache_entries)), "hot")
-    cold = hot.select("uid", F.explode("cold").alias("gram")).groupBy("uid", "gram").agg(F.count("*").alias("times"))
+    """(uid, doc, lang, model, n, perplexity, excess) of every row (doc, lang, text, and model unless it is 0)."""
+    docs = docs if "model" in docs.columns else docs.withColumn("model", F.lit(0))
+    hot = scratch.keep(_hot(docs, cached_models(entries, cache_entries)), "hot")
+    cold = hot.select("uid", "model", F.explode("cold").alias("gram")).groupBy("uid", "model", "gram").agg(F.count("*").alias("times"))
     both = hot.drop("cold").join(_looked_up(cold, entries), "uid", "left")
     bits = (F.col("bits") + F.coalesce("cold_bits", F.lit(0.0))) / F.greatest("n", F.lit(1))
     excess = (F.col("excess") + F.coalesce("cold_excess", F.lit(0.0))) / F.greatest("n", F.lit(1))
     # rounded, so that the order in which a sum was taken doesn't show
-    return both.select("uid", "doc", "lang", "n", F.round(F.pow(F.lit(2.0), bits), 6).alias("perplexity"), F.round(excess, 6).alias("excess"))
+    return both.select("uid", "doc", "lang", "model", "n", F.round(F.pow(F.lit(2.0), bits), 6).alias("perplexity"), F.round(excess, 6).alias("excess"))
 
 
 def _thresholds(scored: DataFrame, figure: str, quantile: float, by: list[str], least: int) -> DataFrame:
@@ -356,7 +407,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     scratch = Scratch(docs.sparkSession, "kneser-ney")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     ids = scratch.keep(labels.where("quality = 1 and toxic = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc")).distinct(), "trusted")
-    entries = train(trusted_documents(narrow, ids), scratch)
-    scored = scratch.keep(score(narrow, entries, scratch, cache_entries), "scored")
-    trusted = scored.where("n > 0").join(ids.hint("merge"), "doc", "left_semi")
-    return verdicts(scored, trusted, quantiles or QUANTILES, least_trusted).drop("uid")
+    entries = train(trusted_documents(narrow, ids), scratch, FOLDS)
+    # a trusted document is scored twice: by the whole model, and for the limits by the one that hasn't seen its fold
+    known = trusted_documents(narrow, ids, ["lang"]).withColumn("model", fold_of(F.col("doc"), FOLDS) + 1)
+    every = narrow.withColumn("model", F.lit(0)).unionByName(known.select("doc", "lang", "text", "model"))
+    scored = scratch.keep(score(every, entries, scratch, cache_entries), "scored")
+    unseen = scored.where("model > 0 and n > 0").drop("model")
+    return verdicts(scored.where("model = 0").drop("model"), unseen, quantiles or QUANTILES, least_trusted).drop("uid")

@@ -130,6 +130,36 @@ def test_kneser_ney_equals_brute_force(spark, documents):
             assert math.isclose(r.excess, sum(max(0, b - kn.SPIKE) for b in bits) / len(t), rel_tol=1e-3, abs_tol=1e-5)
 
 
+def test_a_fold_is_left_out_of_its_model(spark, documents):
+    docs = documents.where("doc_id < 40").selectExpr("doc_id doc", "lang", "text")
+    docs = docs.withColumn("model", kn.fold_of(docs["doc"], 2) + 1)
+    rows = docs.collect()
+    for cache in (kn.CACHE, 300):
+        scratch = Scratch(spark, "test")
+        scored = {r.doc: r for r in kn.score(docs, kn.train(docs.select("doc", "text"), scratch, 2), scratch, cache).collect()}
+        for m in (1, 2):
+            prob = brute_model([(r.text or "").encode() for r in rows if r.model != m])
+            own = [r for r in rows if r.model == m and r.text]
+            assert own
+            for r in own[:4]:
+                padded = b"\0" * (kn.ORDER - 1) + r.text.encode()
+                bits = [-math.log2(prob(padded[k:k + kn.ORDER])) for k in range(len(padded) - kn.ORDER + 1)]
+                assert math.isclose(scored[r.doc].perplexity, 2 ** (sum(bits) / len(bits)), rel_tol=1e-4)
+
+
+def test_limits_are_not_taken_in_sample(spark, documents, monkeypatch):
+    seen = {}
+
+    def caught(scored, trusted, *rest):
+        seen.update(whole={r.doc: r.perplexity for r in scored.collect()}, limits={r.doc: r.perplexity for r in trusted.collect()})
+        return scored
+
+    monkeypatch.setattr(kn, "verdicts", caught)
+    kn.classify(documents.where("doc_id < 60"), spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    assert len(seen["limits"]) >= 5
+    assert np.mean([p > seen["whole"][d] for d, p in seen["limits"].items()]) > 0.9
+
+
 def test_trusted_documents_are_exact(spark, documents):
     ids = documents.where("doc_id % 3 = 0").select("doc_id")
     got = kn.trusted_documents(documents.selectExpr("doc_id doc", "text"), ids).collect()
