@@ -14,10 +14,14 @@ in common.  The sums of both are a document's log-probability.
 
 Two figures come of it: ``perplexity`` (2 to the mean surprisal of a byte) and
 ``excess`` (mean of the surprisal above ``SPIKE`` bits: a few foreign words in
-a long text raise it where the mean hardly moves).  A document is rejected if
-either exceeds the quantile that trusted documents of its language and length
-class have; classes with few trusted documents use their language's, then the
-overall quantile.  The quantiles are of out-of-fold scores: trusted documents
+a long text raise it where the mean hardly moves).  Per language, mean and
+scale of both follow the logarithm of the length (two regressions each, on
+trusted documents).  A document is rejected if the standardised distance of
+either from its mean exceeds the quantile that trusted documents of its
+language and length class have; a class with few of them is merged with its
+neighbours, one more on both sides at a time, until they hold enough.  A
+language with few trusted documents goes by all languages, also by length.
+The quantiles are of out-of-fold scores: trusted documents
 are dealt into ``FOLDS`` folds by a hash of the id, and each is scored by a
 model whose counts are all but its fold's.
 
@@ -44,6 +48,7 @@ LEAST_TRUSTED = 100
 FOLDS = 4  # of trusted documents: a limit is taken of scores by models that haven't seen the document
 ENTRY = ("model", "order", "weight", "key", "value")
 SALTS, FOLD_SALTS = 8, 2  # a frequent pair of symbols is dealt to so many tasks, each with its part of the model
+ALL = "\0all"  # the group of all languages
 BLOOM_WORDS = 1 << 17  # 64-bit words of the Bloom filter of trusted ids: 1 MB
 
 
@@ -377,27 +382,86 @@ def score(docs: DataFrame, entries: DataFrame, scratch: Scratch, cache_entries:
 
 def _thresholds(scored: DataFrame, figure: str, quantile: float, by: list[str], least: int) -> DataFrame:
     """The quantile of a figure per group, from counts of its values in steps of 1/1000."""
-    step = F.ceil(F.col(figure) * 1000).alias("step")
-    counts = scored.groupBy(*by, step).agg(F.count("*").alias("m"))
-    window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    return _cuts(_steps(scored, figure, by), figure, quantile, by, least)
+
+
+def _steps(scored: DataFrame, figure: str, by: list[str]) -> DataFrame:
+    return scored.groupBy(*by, F.ceil(F.col(figure) * 1000).alias("step")).agg(F.count("*").alias("m"))
+
+
+def _cuts(counts: DataFrame, figure: str, quantile: float, by: list[str], least: int) -> DataFrame:
+    window = Window.partitionBy(*by)
     ranked = counts.select(*by, "step", F.sum("m").over(window.orderBy("step")).alias("upto"), F.sum("m").over(window).alias("all"))
     cut = F.min(F.when(F.col("upto") >= F.col("all") * quantile, F.col("step"))) / 1000
-    out = ranked.where(F.col("all") >= least)
-    return (out.groupBy(*by) if by else out).agg(cut.alias(f"{figure}_{len(by)}"))
+    return ranked.where(F.col("all") >= least).groupBy(*by).agg(cut.alias(f"{figure}_{len(by)}"))
+
+
+def _figure(name: str) -> Column:
+    """A figure as it is standardised: of the perplexity its logarithm."""
+    return F.log2(name) if name == "perplexity" else F.col(name)
+
+
+def _fits(known: DataFrame, figures: list[str]) -> DataFrame:
+    """(__lang, shortest, longest, and per figure its mean's and its log2 scale's slope and intercept) over log2 of the length."""
+    length = F.log2(F.col("n") + 1)
+
+    def line(y: Column, name: str) -> list[Column]:
+        slope = F.regr_slope(y, length)  # null where all are of one length
+        return [F.coalesce(slope, F.lit(0.0)).alias(f"{name}_slope"), (F.avg(y) - F.coalesce(slope, F.lit(0.0)) * F.avg(length)).alias(f"{name}_start")]
+
+    means = known.groupBy("__lang").agg(F.min(length).alias("shortest"), F.max(length).alias("longest"), *(c for f in figures for c in line(_figure(f), f"{f}_mean")))
+    away = join_groups(known, means, ["__lang"])
+    scales = away.groupBy("__lang").agg(*(
+        c for f in figures for c in line(F.log2(F.greatest(F.abs(_figure(f) - F.col(f"{f}_mean_start") - F.col(f"{f}_mean_slope") * length), F.lit(1e-4))), f"{f}_scale")))
+    return means.join(scales, "__lang")
+
+
+def _standardised(rows: DataFrame, fits: DataFrame, figures: list[str], keys: list[str] | None = None, more: list[str] | None = None) -> DataFrame:
+    """``rows`` with z_<figure>: distance from the mean of its length over the scale of its length, both constant beyond the lengths seen."""
+    length = F.least(F.greatest(F.log2(F.col("n") + 1), F.col("shortest")), F.col("longest"))
+    at = lambda name: F.col(f"{name}_start") + F.col(f"{name}_slope") * length
+    z = [((_figure(f) - at(f"{f}_mean")) / F.pow(F.lit(2.0), at(f"{f}_scale"))).alias(f"z_{f}") for f in figures]
+    return join_groups(rows, fits, keys or ["__lang"], "left").select(*rows.columns, *z, *(more or []))
+
+
+def _merged_classes(known: DataFrame, least: int) -> DataFrame:
+    """(__lang, __size, reach): how far a length class must look to both sides to hold ``least`` rows, or its language's all."""
+    sizes = known.groupBy("__lang", F.col("__size").alias("other")).agg(F.count("*").alias("m"))
+    every = sizes.select("__lang").distinct().select("__lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))).alias("__size"))
+    away = every.join(sizes, "__lang").withColumn("off", F.abs(F.col("other") - F.col("__size")))
+    w = Window.partitionBy("__lang", "__size")
+    held = away.select("__lang", "__size", "off", F.sum("m").over(w.orderBy("off")).alias("upto"), F.sum("m").over(w).alias("all"))
+    return held.where((F.col("upto") >= least) | (F.col("upto") == F.col("all"))).groupBy("__lang", "__size").agg(F.min("off").alias("reach"))
+
+
+def _limits(known: DataFrame, quantiles: dict[str, float], least: int, scratch: Scratch) -> DataFrame:
+    """(__lang, __size, the columns of :func:`_fits`, and per figure its limit) of the rows (__lang, __size, n, figures); small tables are written, which keeps the plan short."""
+    fits = scratch.keep(_fits(known, list(quantiles)), "fits")
+    out = reach = scratch.keep(_merged_classes(known, least), "reach")
+    known = _standardised(known, fits, list(quantiles))
+    for figure, quantile in quantiles.items():
+        counts = _steps(known, f"z_{figure}", ["__lang", "__size"]).withColumnRenamed("__size", "other")
+        near = counts.join(reach, "__lang").where(F.abs(F.col("other") - F.col("__size")) <= F.col("reach"))
+        merged = near.groupBy("__lang", "__size", "step").agg(F.sum("m").alias("m"))
+        out = out.join(scratch.keep(_cuts(merged, figure, quantile, ["__lang", "__size"], 1), figure), ["__lang", "__size"])
+    return scratch.keep(out.drop("reach").join(fits, "__lang"), "limits")
 
 
 def verdicts(scored: DataFrame, trusted: DataFrame, quantiles: dict[str, float], least: int) -> DataFrame:
-    """``scored`` plus kept; ``trusted``: its rows of trusted documents."""
-    out, missing = scored, F.lit("\0null")
-    out = out.withColumn("__lang", F.coalesce("lang", missing)).withColumn("__size", F.floor(F.log2(F.col("n") + 1)))
-    known = trusted.withColumn("__lang", F.coalesce("lang", missing)).withColumn("__size", F.floor(F.log2(F.col("n") + 1)))
+    """``scored`` plus kept; ``trusted``: scores of trusted documents."""
+    figures, scratch = list(quantiles), Scratch(scored.sparkSession, "limits")
+    own, size = F.coalesce("lang", F.lit("\0null")), F.floor(F.log2(F.col("n") + 1))
+    known = trusted.withColumn("__lang", F.explode(F.array(own, F.lit(ALL)))).withColumn("__size", size)
+    large = known.groupBy("__lang").agg(F.count("*").alias("m")).where((F.col("m") >= least) | (F.col("__lang") == ALL)).select("__lang", F.lit(True).alias("large"))
+    large = scratch.keep(large, "languages")
+    known = scratch.keep(join_groups(known, large, ["__lang"]).select("__lang", "__size", "n", *figures), "known")
+    limits = _limits(known, quantiles, least, scratch)
+    out = join_groups(scored.withColumn("__lang", own).withColumn("__size", size), large, ["__lang"], "left")
+    out = out.withColumn("__lang", F.when(F.col("large"), F.col("__lang")).otherwise(ALL))
+    out = _standardised(out, limits, figures, ["__lang", "__size"], [f"{f}_2" for f in figures])
     rejected = F.lit(False)
-    for figure, quantile in quantiles.items():
-        for by in (["__lang", "__size"], ["__lang"]):
-            out = join_groups(out, _thresholds(known, figure, quantile, by, least), by, "left")
-        out = out.crossJoin(_thresholds(known, figure, quantile, [], 1))  # one row
-        limit = F.coalesce(*(F.col(f"{figure}_{n}") for n in (2, 1, 0)))
-        rejected = rejected | F.coalesce(F.col(figure) > limit, F.lit(False))
+    for figure in figures:
+        rejected = rejected | F.coalesce(F.col(f"z_{figure}") > F.col(f"{figure}_2"), F.lit(False))
     return out.withColumn("kept", ~rejected | (F.col("n") == 0)).select(*scored.columns, "kept")
 
 

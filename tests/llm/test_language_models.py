@@ -173,6 +173,19 @@ def test_thresholds_are_quantiles(spark):
     assert kn._thresholds(table, "excess", 0.9, ["__lang"], 2000).count() == 0
 
 
+def test_limits_follow_the_length_where_few_are_trusted(spark):
+    rng = np.random.default_rng(6)
+
+    def row(doc, lang, size, off):
+        return doc, doc, lang, 1 << size, float(2 ** (4 - 0.2 * size + off * 2 ** (-0.25 * size))), 0.0
+
+    trusted = [row(k, "en", size, rng.normal()) for size, many in ((6, 300), (8, 300), (10, 300), (14, 20)) for k in range(many)]
+    schema = "uid long, doc long, lang string, n long, perplexity double, excess double"
+    asked = [row(k, lang, size, off) for k, (lang, size, off) in enumerate((lang, size, off) for lang in ("en", "xx") for size in (5, 8, 14, 16) for off in (0.0, 12.0))]
+    out = kn.verdicts(spark.createDataFrame(asked, schema), spark.createDataFrame(trusted, schema), kn.QUANTILES, kn.LEAST_TRUSTED).collect()
+    assert len(out) == len(asked) and all(r.kept == (r.doc % 2 == 0) for r in out)
+
+
 def test_classifier_tells_labels_apart(query, spark):
     labels = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
     rows = query("op7_quality_kneser_ney")
