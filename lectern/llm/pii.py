@@ -40,7 +40,7 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 HINT = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[A-Za-z0-9@._%+()-]+")
-CERTAINTY, ROUNDS, STRONGEST, DAMPING = 0.9, 6, 4.0, 0.5
+CERTAINTY, TOLERANCE, STRONGEST, DAMPING = 0.9, 1e-6, 4.0, 0.5
 
 
 def _luhn(digits: str) -> bool:
@@ -158,43 +158,56 @@ class Field:
             out[k] = cache[s]
         return out
 
-    def marginals(self, graph: Graph, rounds: int = ROUNDS) -> np.ndarray:
-        """Loopy message passing over all links of the graph at once."""
-        theta = self.unary(graph.shapes)
+    def marginals(self, graph: Graph, rounds: int | None = None) -> np.ndarray:
+        """Loopy message passing over all links of the graph at once, until no message changes by ``TOLERANCE``.
+
+        A round computes only messages from nodes that changed.  Without
+        ``rounds`` it ends at the latest after as many as damped evidence needs
+        to pass every node, which only messages that never settle reach.
+        """
+        belief = self.unary(graph.shapes)
         seen = np.flatnonzero(graph.known)
-        theta[seen] = -20.0
-        theta[seen, graph.known[seen]] = 0.0
-        u = np.concatenate((graph.chain[:, 0], graph.skip[:, 0]))
-        v = np.concatenate((graph.chain[:, 1], graph.skip[:, 1]))
-        sort = np.repeat([0, 1], [len(graph.chain), len(graph.skip)])
-        psi = np.stack(self.pairs)[sort] if len(sort) else np.zeros((0, 5, 5))
-        there, back = np.zeros((len(u), 5)), np.zeros((len(u), 5))  # messages u to v and v to u
-        for _ in range(rounds):
-            belief = theta.copy()
-            np.add.at(belief, v, there)
-            np.add.at(belief, u, back)
-            new_there = _logsumexp((belief[u] - back)[:, :, None] + psi, 1)
-            new_back = _logsumexp((belief[v] - there)[:, None, :] + psi, 2)
-            there = DAMPING * there + (1 - DAMPING) * (new_there - new_there.max(1, keepdims=True))
-            back = DAMPING * back + (1 - DAMPING) * (new_back - new_back.max(1, keepdims=True))
-        belief = theta
-        np.add.at(belief, v, there)
-        np.add.at(belief, u, back)
+        belief[seen] = -20.0
+        belief[seen, graph.known[seen]] = 0.0
+        links = np.concatenate((graph.chain, graph.skip))
+        source, target = np.concatenate((links, links[:, ::-1])).T  # each link in both directions
+        sort = np.repeat([0, 1, 2, 3], [len(graph.chain), len(graph.skip)] * 2)
+        psi = np.stack([*self.pairs, *(p.T for p in self.pairs)])
+        back = np.roll(np.arange(len(source)), -len(links))
+        messages, active = np.zeros((len(source), belief.shape[1])), np.arange(len(source))
+        order = np.argsort(source, kind="stable")
+        first = np.searchsorted(source[order], np.arange(len(belief) + 1))
+        for _ in range(100 + 4 * len(belief) if rounds is None else rounds):
+            if not len(active):
+                break
+            new = _logsumexp((belief[source[active]] - messages[back[active]])[:, :, None] + psi[sort[active]], 1)
+            change = (1 - DAMPING) * (new - new.max(1, keepdims=True) - messages[active])
+            messages[active] += change
+            np.add.at(belief, target[active], change)
+            moved = active[np.abs(change).max(1) > TOLERANCE]
+            nodes = np.unique(target[moved])
+            sizes = first[nodes + 1] - first[nodes]
+            out = order[np.repeat(first[nodes] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            active = np.union1d(moved, out)
         belief = np.exp(belief - belief.max(1, keepdims=True))
         return belief / belief.sum(1, keepdims=True)
 
     @staticmethod
-    def reached(graph: Graph, rounds: int = ROUNDS) -> np.ndarray:
-        """(node, label): evidence of the label lies within so many links."""
-        out = np.zeros((len(graph.tokens), len(KINDS) + 1), dtype=bool)
+    def reached(graph: Graph) -> np.ndarray:
+        """(node, label): links lead from the node to evidence of the label, over however many."""
+        root, links = np.arange(len(graph.tokens)), np.concatenate((graph.chain, graph.skip))
+        while True:
+            ends = root[links]
+            low, high = ends.min(1), ends.max(1)
+            if (low == high).all():
+                break
+            np.minimum.at(root, high, low)
+            while (root != root[root]).any():
+                root = root[root]
+        out = np.zeros((len(root), len(KINDS) + 1), dtype=bool)
         seen = np.flatnonzero(graph.known)
-        out[seen, graph.known[seen]] = True
-        links = np.concatenate((graph.chain, graph.skip))
-        for _ in range(rounds):
-            ends = out[links]
-            np.logical_or.at(out, links[:, 0], ends[:, 1])
-            np.logical_or.at(out, links[:, 1], ends[:, 0])
-        return out
+        out[root[seen], graph.known[seen]] = True
+        return out[root]
 
 
 def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:

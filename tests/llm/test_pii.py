@@ -88,6 +88,29 @@ def test_the_field_adds_repeated_and_hidden_mentions(spark):
     assert not any(out[d].added for d in texts if d == 102 or d >= 200)
 
 
+def test_evidence_reaches_all_mentions_of_a_document(spark):
+    docs = [(k, f"call +1 ({200 + k}) 555-{1000 + k} or +1 ({200 + k}) 555-{1000 + k}, page {k} of {k + 7}") for k in range(60)]
+    short = " then ".join(["(743) 555-3824"] * 50)
+    docs += [(100, f"call +1 (743) 555-3824 now, later {short} again"), (101, f"first {short} and then +1 (743) 555-3824")]
+    out = {r.doc: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    texts = dict(docs)
+    for d in (100, 101):
+        assert [texts[d][s.start:s.end] for s in out[d].added if s.kind == "phone"] == ["(743) 555-3824"] * 50
+
+
+def test_settled_messages_equal_many_rounds():
+    rng = np.random.default_rng(5)
+    pair = np.eye(5) * 2
+    n = 300
+    field = pii.Field({(0, k): rng.normal(size=5) * 0.3 for k in range(9)}, [pair, pair])
+    links = np.array([(k, k + 1) for k in range(n - 1)])
+    known = np.zeros(n, dtype=np.int64)
+    known[0] = 4
+    graph = pii.Graph([(0, k, k + 1) for k in range(n)], [(k % 9,) for k in range(n)], known, known > 0, links, np.zeros((0, 2), dtype=np.int64))
+    assert np.allclose(field.marginals(graph), field.marginals(graph, rounds=3000), atol=1e-4)
+    assert field.reached(graph)[:, 4].all() and not field.reached(graph)[:, :4].any()
+
+
 def test_edges(edge, clashing, empty):
     rows = pii.find(edge).collect()
     assert len(rows) == edge.count() and all(r.base is not None and r.added is not None for r in rows)
