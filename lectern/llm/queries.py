@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import chat_format, decontaminate, kneser_ney, language_id, licenses, line_dedup, near_dup, packing, pii, quality_rules
+from lectern.llm import (chat_format, decontaminate, hard_negatives, imatch, importance, kneser_ney, language_id, licenses, line_dedup, near_dup, packing, pii,
+                         quality_rules)
 from lectern.llm.common import table
 
 
@@ -78,6 +79,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    out = hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label_col=dealt)
+    return out.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"),
+                      "positive_score", "negative_score")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("doc").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edited(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 OP1_SQL = """
 WITH t(k, licence, text) AS (VALUES %TEMPLATES%),
 tc AS (SELECT k, licence, term, count(*) AS c FROM (SELECT k, licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL),
@@ -181,6 +198,67 @@ SELECT s.doc_id, s.n AS n_shingles, min(r.b) AS component_id, min(r.b) = s.doc_i
 FROM sizes s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n
 """
 
+OP11_SQL = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM given a JOIN given b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+       s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id
+WHERE NOT same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE texts AS (SELECT 'd' AS kind, doc_id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+words AS (
+  SELECT row_number() OVER () AS row, kind, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+features AS (
+  SELECT row, kind, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words),
+-- CRC-32 of the distinct features, byte by byte with the usual table
+steps(i, v, k) AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) AS r(i)
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM steps WHERE k < 8),
+bytes AS (SELECT i, v FROM steps WHERE k = 8),
+crc(f, h, n, k, c) AS (
+  SELECT f, hex(encode(f)), octet_length(encode(f)), 0, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT f FROM features)
+  UNION ALL
+  SELECT f, h, n, k + 1, xor(b.v, c // 256)
+  FROM crc JOIN bytes b ON b.i = xor(c % 256, CAST('0x' || substr(h, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT)) WHERE k < n),
+bucket AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE k = n),
+held AS (SELECT row, kind, b FROM features JOIN bucket USING (f)),
+counts AS (
+  SELECT r.b, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM range(10000) AS r(b)
+  LEFT JOIN (SELECT b, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM held GROUP BY b) h ON h.b = r.b),
+sums AS (SELECT CAST(sum(s) AS BIGINT) AS s_all, CAST(sum(t) AS BIGINT) AS t_all FROM counts),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM counts, sums),
+weights AS (SELECT row, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM held JOIN gains USING (b) WHERE kind = 'd' GROUP BY row),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+         -- floored, where the division rounds towards 0
+         CASE WHEN n IS NULL THEN 0 ELSE total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END END AS weight,
+         CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM words LEFT JOIN weights USING (row) WHERE kind = 'd'),
+noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored),
+placed AS (
+  SELECT *, CASE WHEN n_words >= 20 AND doc_id IS NOT NULL THEN row_number() OVER (PARTITION BY n_words >= 20 AND doc_id IS NOT NULL ORDER BY score DESC, doc_id) END AS place,
+         count(*) FILTER (n_words >= 20 AND doc_id IS NOT NULL) OVER () AS able
+  FROM noisy)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank FROM placed
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_pack_sequences": op2_pack_sequences,
@@ -192,6 +270,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_pii_skip_chain": op9_pii_skip_chain,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_imatch": op13_imatch,
 }
 
-SQL: dict[str, str] = {"op1_license_scan": OP1_SQL, "op10_near_duplicates": OP10_SQL, "op8_chat_format": OP8_SQL, "op5_line_dedup": OP5_SQL, "op6_decontaminate": OP6_SQL}
+SQL: dict[str, str] = {"op1_license_scan": OP1_SQL, "op10_near_duplicates": OP10_SQL, "op8_chat_format": OP8_SQL, "op5_line_dedup": OP5_SQL, "op6_decontaminate": OP6_SQL,
+                       "op11_hard_negatives": OP11_SQL, "op12_importance_resampling": OP12_SQL}

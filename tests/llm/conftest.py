@@ -57,7 +57,7 @@ def oracle():
 
     def run(name):
         con = duckdb.connect()
-        for t in ("documents", "benchmark", "labels", "conversations"):
+        for t in ("documents", "benchmark", "labels", "conversations", "embeddings"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
         out = con.sql(SQL[name])
         return [dict(zip(out.columns, r)) for r in out.fetchall()]
