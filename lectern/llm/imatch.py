@@ -19,15 +19,16 @@ be larger; it is broadcast as sorted 64-bit hashes (``8 * MOST_TERMS`` bytes at
 most).  Document frequencies are counted over all documents, each task adding
 up its own before the shuffle.
 
-**Neighbours.**  :func:`compare_edited` deals the rows by ranges of the id and
-walks each part in order, holding two texts at a time.  What crosses from one
+**Neighbours.**  :func:`compare_edited` deals the rows by ranges of the id, each
+text packed for the way, and walks each part in order, holding a few texts at a time.  What crosses from one
 part to the next are one text at each end of a part, which are matched in a
 second, small step.
 
 Defined cases: a null text is empty.  A text without a term in the band uses all its
 terms instead, one without any term the hash of its characters, so every text
 has a fingerprint and equal texts equal ones.  Repeated rows each count and
-follow each other in order of their texts; null ids come first.  A single
+follow each other in order of a hash of their texts (xxhash64, seed 42, signed);
+null ids come first.  A single
 document is its own next one.  An empty table gives an empty result.  Texts
 are read whole at any length.  Other columns are ignored.
 """
@@ -39,6 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,14 +152,25 @@ def _compared(ids: list, texts: list[str], held: np.ndarray) -> list[pa.Array]:
             pa.array([written(s) for s in own[:-1]]), pa.array([written(s) for s in new]), pa.array(likeness(own[:-1], new)), pa.array(likeness(own[:-1], own[1:]))]
 
 
+def _packed(batches):
+    """The rows with their texts packed."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            packed = [pack(t or b"") for t in part.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["doc", "order", "packed"])
+
+
 def _pieces(batches, rows: int = 512, chars: int = 1 << 22):
     """(ids, texts) of a few rows at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
     ids, texts, held = [], [], 0
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
-            for doc, text in zip(batch.column(0).slice(at, rows).to_pylist(), batch.column(1).slice(at, rows).to_pylist()):
+            for doc, packed in zip(batch.column(0).slice(at, rows).to_pylist(), batch.column(2).slice(at, rows).to_pylist()):
                 ids.append(doc)
-                texts.append(text or "")
+                texts.append(unpack(packed).decode())
                 held += len(texts[-1])
                 if len(ids) >= rows or held >= chars:
                     yield ids, texts
@@ -197,7 +210,8 @@ def compare_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ddl = COLUMNS + ", which string, part long, text string"
     schema = [pa.field(*(lambda name, kind: (name, kinds[kind]))(*f.split())) for f in ddl.split(", ")]
     arrow = pa.schema(schema)
-    ordered = narrow.repartitionByRange("doc").sortWithinPartitions("doc", "t")
+    packed = narrow.select("doc", F.xxhash64(F.coalesce("t", F.lit(""))).alias("order"), "t").mapInArrow(_packed, "doc long, order long, packed binary")
+    ordered = packed.repartitionByRange("doc").sortWithinPartitions("doc", "order")
     walked = scratch.keep(ordered.mapInArrow(inner, ddl), "walked")
 
     # the parts that have rows, one number each: the first text of the next one follows a part's last text

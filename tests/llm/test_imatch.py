@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from lectern.llm import imatch
 from lectern.llm.shingles import mixed, word_hashes
@@ -22,7 +23,7 @@ def words_of(text):
 
 def brute(rows):
     """The result over (doc, text) rows: words by a pattern, subsets by their definition, one term at a time."""
-    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, np.uint64(xxhash.xxh64(r[1].encode(), seed=42).intdigest()).view(np.int64)))
     df = Counter(w for _, t in rows for w in words_of(t))
     n = len(rows)
     edge = max(n / 2000, sum(k for k in df.values() if k >= n / 2000) / imatch.MOST_TERMS)
