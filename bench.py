@@ -41,10 +41,10 @@ def main() -> None:
     root = store.scratch_root(spark, "bench")
 
     def build():
-        store.write_index(ix.build_index(docs, analyzer), root, store_docs=False)
+        store.write_index(ix.build_index(docs, analyzer), root)
 
     _, t_build = timed(build)
-    idx = store.read_index(spark, root, analyzer, docs=docs)
+    idx = store.read_index(spark, root, analyzer)
     q = fixture_queries(spark)
     bq = benchmark_queries(spark, sf_dir)
 
@@ -60,12 +60,12 @@ def main() -> None:
     def highlight():
         hits = rk.search_free_text(q, idx)
         clauses = hl.query_clauses(mt.free_text_clauses(q, analyzer))
-        return hl.highlight_hits(hits, idx.docs, clauses, analyzer).collect()
+        return hl.highlight_hits(hits, idx, clauses, analyzer).collect()
 
     def highlight_bench():
         hits = rk.search_free_text(bq, idx)
         clauses = hl.query_clauses(mt.free_text_clauses(bq, analyzer))
-        return hl.highlight_hits(hits, idx.docs, clauses, analyzer).collect()
+        return hl.highlight_hits(hits, idx, clauses, analyzer).collect()
 
     def boolean():
         return rk.top_k(mt.search_clauses(fixture_clauses(spark, "boolean"), idx)).collect()

@@ -35,7 +35,7 @@ FOLD_SPECIALS = {
     "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O",
     "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "þ": "th",
     "Þ": "TH", "ı": "i", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ŋ": "n",
-    "Ŋ": "N", "ƒ": "f", "ĸ": "q", "‘": "'", "’": "'",
+    "Ŋ": "N", "ƒ": "f", "ĸ": "q", "‘": "'", "’": "'", "ŉ": "n",
     "ƀ": "b", "Ɓ": "B", "Ƃ": "B", "ƃ": "b", "Ɔ": "O", "Ƈ": "C", "ƈ": "c", "Ɖ": "D", "Ɗ": "D", "Ƌ": "D", "ƌ": "d",
     "Ǝ": "E", "Ə": "A", "Ɛ": "E", "Ƒ": "F", "Ɠ": "G", "Ɩ": "I", "Ɨ": "I", "Ƙ": "K", "ƙ": "k", "ƚ": "l", "Ɯ": "M",
     "Ɲ": "N", "ƞ": "n", "Ɵ": "O", "Ƥ": "P", "ƥ": "p", "ƫ": "t", "Ƭ": "T", "ƭ": "t", "Ʈ": "T", "Ʋ": "V", "Ƴ": "Y",
@@ -117,12 +117,21 @@ def _is_ascii(c: Column) -> Column:
 
 
 def ascii_fold(c: Column) -> Column:
-    """ASCII folding of a string column (diacritics, ligatures, full-width)."""
+    """ASCII folding of a string column (diacritics, ligatures, full-width).
+
+    Signs that fold to one go through ``translate``; only a text that then
+    still has others is taken apart and looked up sign by sign."""
     src, dst, multi = fold_tables()
-    folded = F.translate(c, src, dst)
-    for ch, base in multi:
-        folded = F.replace(folded, F.lit(ch), F.lit(base))
-    return F.when(_is_ascii(c), c).otherwise(folded)
+    # constants, folded by the optimizer
+    signs, bases = F.split(F.lit(" ".join(ch for ch, _ in multi)), " "), F.split(F.lit(" ".join(base for _, base in multi)), " ")
+
+    def one(ch: Column) -> Column:
+        place = F.array_position(signs, ch).cast("int")
+        return F.when(place > 0, F.get(bases, place - 1)).otherwise(ch)
+
+    plain = F.translate(c, src, dst)
+    apart = F.transform(F.split(plain, ""), lambda ch: F.when(_is_ascii(ch), ch).otherwise(one(ch)))
+    return F.when(_is_ascii(c), c).when(_is_ascii(plain), plain).otherwise(F.array_join(apart, ""))
 
 
 def strip_accents(c: Column) -> Column:

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import CONTEXT_WORDS, java_split_space, java_trim, token_array
 from .analysis import Analyzer, first_term, tokenize_offsets
+from .index import Index
+from .lookup import settled
 
 
 def let(value: Column, body) -> Column:
@@ -78,17 +80,22 @@ def render_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
 
 # --- keyword in context ------------------------------------------------------------
 
-def hit_contents(hits: DataFrame, docs: DataFrame) -> DataFrame:
+def hit_contents(hits: DataFrame, docs: DataFrame | Index) -> DataFrame:
     """(doc_id, content, content_length) of the hit documents, newlines as spaces."""
-    d = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    d = docs.documents(hits) if isinstance(docs, Index) else docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
     c = F.translate(F.coalesce(F.col("content"), F.lit("")), "\n", " ")
     return d.select("doc_id", c.alias("content"), F.length(c).alias("content_length"))
 
 
-def prepare(hits: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Materialise the (small, bounded) hit list and the hit documents once,
-    so the steps below neither repeat the search nor rescan the corpus."""
-    h = written(hits.select("query_id", "doc_id"), "hits")
+def prepare(hits: DataFrame, docs: DataFrame | Index) -> tuple[DataFrame, DataFrame]:
+    """The hit list and the hit documents, each made once, so the steps below
+    neither repeat the search nor rescan the corpus.
+
+    A small hit list is taken as a local table, and a stored index then reads
+    the folders and pages of these documents only."""
+    h, rows = settled(hits.select("query_id", "doc_id"))
+    if rows is None:
+        h = written(h, "hits")
     return h, written(hit_contents(h, docs), "hit-docs")
 
 
@@ -341,7 +348,7 @@ def best_fragments(merged: DataFrame) -> DataFrame:
     return g.select("query_id", "doc_id", "content_length", _best_fragments(F.col("frags")).alias("ranked"))
 
 
-def highlight_hits(hits: DataFrame, docs: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
+def highlight_hits(hits: DataFrame, docs: DataFrame | Index, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """(query_id, doc_id, highlight): snippet per hit, ``" "`` when nothing matches."""
     hits, contents = prepare(hits, docs)
     kwic = keyword_in_context(hits, contents, clauses, analyzer)

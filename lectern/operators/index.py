@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .analysis import Analyzer, analyze, stemmed
+from .lookup import column, settled
 
 
 def term_frequencies(terms: DataFrame) -> DataFrame:
@@ -54,25 +56,67 @@ def corpus_stats(docs: DataFrame, doc_stats: DataFrame) -> DataFrame:
 
 @dataclass
 class Index:
+    """The index tables; a stored one (:mod:`lectern.sources.index_store`) also
+    has ``store``, whose scans open the folders of given keys only, and its
+    ``totals``."""
+
     docs: DataFrame        # doc_id, path, file_name, content
-    postings: DataFrame    # term, doc_id, tf, dl (a stored one also has bucket)
+    postings: DataFrame    # term, doc_id, tf, dl
     doc_stats: DataFrame   # doc_id, dl
     term_stats: DataFrame  # term, df, cf
     corpus: DataFrame      # one row
     analyzer: Analyzer
-    buckets: int = 0       # of the stored postings
+    store: object | None = None
+    totals: dict | None = None
+
+    def resolve(self, terms: DataFrame) -> DataFrame:
+        """Rows with a ``term`` that the index has, with its ``df``."""
+        small, rows = settled(terms) if self.store else (terms, None)
+        if rows is None:
+            return self.term_stats.select("term", "df").join(terms, "term")
+        stats = self.store.merged(self.store.rows("terms", column(rows, "term")))
+        return settled(stats.join(small, "term"))[0]
 
     def lookup(self, terms: DataFrame) -> DataFrame:
-        """The postings joined to rows with a ``term``: a stored index is read
-        by the buckets of the terms, which are folders."""
-        if not self.buckets:
+        """The postings joined to rows with a ``term``."""
+        small, rows = settled(terms) if self.store else (terms, None)
+        if rows is None:
             return self.postings.join(terms, "term")
-        placed = terms.withColumn("bucket", term_bucket(F.col("term"), self.buckets))
-        return self.postings.join(placed, ["bucket", "term"]).drop("bucket")
-
-
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+        return self.store.rows("postings", column(rows, "term")).join(small, "term")
+
+    def documents(self, ids: DataFrame) -> DataFrame:
+        """The documents whose ``doc_id`` is in a table of ids, each once."""
+        small, rows = settled(ids.select("doc_id").distinct()) if self.store else (ids, None)
+        if rows is None:
+            return self.docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        return self.store.rows("docs", column(rows, "doc_id"))
+
+    def names(self, field: str) -> DataFrame:
+        """(field, name, doc_id) of all documents for a name field."""
+        return (self.store.table("names") if self.store else names_of(self.docs)).where(F.col("field") == field)
+
+    def with_totals(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with n_docs (documents with terms), avgdl and num_docs."""
+        if self.totals is None:
+            side = self.corpus.select(F.col("docs_with_terms").alias("n_docs"), F.col("avg_dl").alias("avgdl"), "num_docs")
+            return rows.crossJoin(side)  # one row
+        t = self.totals
+        return rows.select("*", F.lit(t["docs_with_terms"]).cast("long").alias("n_docs"), F.lit(t["avg_dl"]).cast("double").alias("avgdl"),
+                           F.lit(t["num_docs"]).cast("long").alias("num_docs"))
+
+
+def names_of(docs: DataFrame) -> DataFrame:
+    """(field, name, doc_id): file names and paths of all documents."""
+    pairs = F.array(F.struct(F.lit("fileName").alias("field"), F.col("file_name").alias("name")),
+                    F.struct(F.lit("path").alias("field"), F.col("path").alias("name")))
+    return docs.select("doc_id", F.inline(pairs)).where(F.col("name").isNotNull()).select("field", "name", "doc_id")
+
+
+def totals_row(spark, totals: dict) -> DataFrame:
+    """The corpus table of known totals."""
+    kinds = {"avg_dl": pa.float64()}
+    names = ["num_docs", "docs_with_terms", "sum_dl", "avg_dl", "max_doc_id"]
+    return spark.createDataFrame(pa.table({n: pa.array([totals[n]], kinds.get(n, pa.int64())) for n in names}))
 
 
 def build_index(docs: DataFrame, analyzer: Analyzer) -> Index:

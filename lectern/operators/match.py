@@ -15,14 +15,20 @@ all) comes as a clause table::
 ``exact`` is a content term as it is stored; on the names every ``term`` is.
 An unknown occur, field or kind is an error.
 
-Joins carry no hints: the planner broadcasts a clause table, which is small
-where people write it, and shuffles a large one.  Multi-term kinds are
-expanded against the vocabulary (``term_stats``, or the names of a field)
-first and only then joined to the postings with an equi-join.
+A clause table of up to ``lookup.LIMIT`` rows is taken once while the query is
+planned; its terms then become filters on the folders and pages of a stored
+index.  Larger batches, and an index that isn't stored, are met by joins
+without hints.  Multi-term kinds are expanded first: prefixes and ranges
+through bounds on the sorted vocabulary, wildcards and regular expressions
+through trigrams, fuzzy terms through deletions; patterns without a trigram
+and all patterns on names are tried on the whole vocabulary.
 """
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +37,8 @@ from ..functions.querysyntax import query_is_valid
 from ..functions.scoring import bm25, bm25_idf, quantized_length
 from ..functions.text import java_split_space, token_array
 from .analysis import Analyzer, analyze_tokens
-from .index import Index
+from .index import Index, names_of
+from .lookup import bounded, column, deletion_keys, either, needed_trigrams, settled
 
 CLAUSE_SCHEMA = T.StructType([
     T.StructField("query_id", T.LongType()),
@@ -50,10 +57,13 @@ FUZZY_DEFAULT_EDITS = 2
 FUZZY_MAX_EDITS = 2
 # ---------------------------------------------------------------------------
 
-CONSTANT_KINDS = ["prefix", "wildcard", "regexp", "range", "range_exclusive"]
-KINDS = ["term", "exact", "fuzzy", "all", *CONSTANT_KINDS]
+SORTED_KINDS = ["prefix", "range", "range_exclusive"]
+PATTERN_KINDS = ["wildcard", "regexp"]
+TERM_KINDS = ["term", "exact"]
+KINDS = [*TERM_KINDS, "fuzzy", "all", *SORTED_KINDS, *PATTERN_KINDS]
 FIELDS = ["content", "fileName", "path"]
 OCCURS = ["should", "must", "must_not"]
+OWN = ["query_id", "clause_no", "occur", "kind", "boost"]
 
 
 def checked(clauses: DataFrame) -> DataFrame:
@@ -102,20 +112,10 @@ def word_terms(queries: DataFrame, analyzer: Analyzer) -> DataFrame:
 
 # --- clause expansion ------------------------------------------------------------
 
-def _with_term_stats(clause_terms: DataFrame, index: Index) -> DataFrame:
-    """The clause terms that the index has, with their df."""
-    return index.term_stats.select("term", "df").join(clause_terms, "term")
-
-
-def _corpus_side(index: Index) -> DataFrame:
-    return index.corpus.select(F.col("docs_with_terms").alias("n_docs"), F.col("avg_dl").alias("avgdl"),
-                               F.col("num_docs"))
-
-
 def _score_postings(expanded: DataFrame, index: Index, quantized: bool) -> DataFrame:
     """expanded(query_id, clause_no, occur, kind, term, boost, df, sim) x postings
     -> (query_id, clause_no, occur, kind, term, doc_id, tf, dl, score)."""
-    hits = index.lookup(expanded).crossJoin(_corpus_side(index))
+    hits = index.with_totals(index.lookup(expanded))
     dl = quantized_length(F.col("dl")) if quantized else F.col("dl")
     score = bm25(F.col("tf"), dl, F.col("df"), F.col("n_docs"), F.col("avgdl"), F.col("boost") * F.col("sim"))
     return hits.select("query_id", "clause_no", "occur", "kind", "term", "boost", "doc_id", "tf", "dl",
@@ -124,9 +124,8 @@ def _score_postings(expanded: DataFrame, index: Index, quantized: bool) -> DataF
 
 def term_matches(clause_terms: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
     """Term clauses joined to the postings (any-term match), with BM25 per row."""
-    exp = _with_term_stats(clause_terms, index).withColumn("sim", F.lit(1.0))
-    return _score_postings(exp.select("query_id", "clause_no", "occur", "kind", "term", "boost", "df", "sim"),
-                           index, quantized)
+    wanted = clause_terms.select("query_id", "clause_no", "occur", "kind", "term", "boost", F.lit(1.0).alias("sim"))
+    return _score_postings(index.resolve(wanted), index, quantized)
 
 
 def _like_pattern(c: Column) -> Column:
@@ -159,88 +158,163 @@ def edit_distance(a: Column, b: Column) -> Column:
     return F.when(lev <= 1, lev).when(F.abs(F.length(a) - F.length(b)) <= 1, F.least(lev, one_swap, two_swaps)).otherwise(lev)
 
 
-def _vocabulary(index: Index) -> DataFrame:
-    """(field, v, df): the stored terms, and the names of each field."""
-    return index.term_stats.select(F.lit("content").alias("field"), F.col("term").alias("v"), "df").unionByName(
-        _names(index).groupBy("field", F.col("name").alias("v")).agg(F.count(F.lit(1)).alias("df")))
+def _sorted_terms(clauses: DataFrame, rows, index: Index, field: str) -> DataFrame:
+    """(v, df) that prefix and range clauses can take: read through bounds on the sorted vocabulary."""
+    if rows is None or index.store is None:
+        return _vocabulary(index, field)
+    name = "term" if field == "content" else "name"
+    bounds = either([bounded(F.col(name), r["kind"], r["term"], r["term2"]) for r in rows.to_pylist() if r["field"] == field and r["kind"] in SORTED_KINDS])
+    if field == "content":
+        return index.store.merged(index.store.table("ordered").where(bounds)).withColumnRenamed("term", "v")
+    return _counted_names(index.names(field).where(bounds))
 
 
-def _names(index: Index) -> DataFrame:
-    """(field, name, doc_id): file names and paths of all documents."""
-    pairs = F.array(F.struct(F.lit("fileName").alias("field"), F.col("file_name").alias("name")),
-                    F.struct(F.lit("path").alias("field"), F.col("path").alias("name")))
-    return index.docs.select("doc_id", F.inline(pairs)).where(F.col("name").isNotNull())
+def _vocabulary(index: Index, field: str) -> DataFrame:
+    """(v, df): the stored terms, or the names of a field."""
+    if field == "content":
+        return index.term_stats.select(F.col("term").alias("v"), "df")
+    return _counted_names(index.names(field))
 
 
-def expand_multiterm(clauses: DataFrame, index: Index, max_expansions: int | None = None) -> DataFrame:
-    """Prefix, wildcard, regexp, range and fuzzy clauses -> vocabulary terms.
+def _counted_names(names: DataFrame) -> DataFrame:
+    return names.groupBy(F.col("name").alias("v")).agg(F.count(F.lit(1)).alias("df"))
 
-    Patterns are applied to the stored terms as written (not analysed).  A
-    fuzzy clause takes all terms within its edits and a similarity over 0, or
-    the ``max_expansions`` most similar ones if a number is given."""
-    vocab = _vocabulary(index)
-    own = ["query_id", "clause_no", "occur", "kind", "boost"]
+
+def _expand_sorted(clauses: DataFrame, rows, index: Index, field: str) -> DataFrame:
     v, t, t2, kind = F.col("v"), F.col("term"), F.col("term2"), F.col("kind")
-    constant = clauses.where(kind.isin(*CONSTANT_KINDS))
     cond = (
         ((kind == "prefix") & v.startswith(t))
-        | ((kind == "wildcard") & F.like(v, _like_pattern(t)))
-        | ((kind == "regexp") & F.rlike(v, F.concat(F.lit("^(?:"), t, F.lit(")$"))))
         | ((kind == "range") & (t.isNull() | (v >= t)) & (t2.isNull() | (v <= t2)))
         | ((kind == "range_exclusive") & (t.isNull() | (v > t)) & (t2.isNull() | (v < t2)))
     )
-    same_field = lambda c: vocab["field"] == c["field"]
-    out = vocab.join(constant, same_field(constant) & cond).select(*own, vocab["field"], v.alias("term"), "df", F.lit(1.0).alias("sim"))
-    edits = F.least(F.greatest(F.coalesce(t2.try_cast("int"), F.lit(FUZZY_DEFAULT_EDITS)), F.lit(0)), F.lit(FUZZY_MAX_EDITS))
-    fuzzy = clauses.where(kind == "fuzzy").withColumn("edits", edits)
-    near = vocab.join(fuzzy, same_field(fuzzy) & (F.abs(F.length(v) - F.length(t)) <= F.col("edits")))
+    c = clauses.where((F.col("field") == field) & kind.isin(*SORTED_KINDS))
+    return _sorted_terms(clauses, rows, index, field).join(c, cond).select(*OWN, "v", "df", F.lit(1.0).alias("sim"))
+
+
+def _expand_patterns(clauses: DataFrame, rows, index: Index, field: str) -> DataFrame:
+    """Wildcards and regular expressions: clauses with trigrams meet the terms
+    that hold all of them, others the whole vocabulary."""
+    v, kind = F.col("v"), F.col("kind")
+    cond = ((kind == "wildcard") & F.like(v, _like_pattern(F.col("term")))) | ((kind == "regexp") & F.rlike(v, F.concat(F.lit("^(?:"), F.col("term"), F.lit(")$"))))
+    c = clauses.where((F.col("field") == field) & kind.isin(*PATTERN_KINDS))
+    every = lambda some: _vocabulary(index, field).join(some, cond).select(*OWN, "v", "df", F.lit(1.0).alias("sim"))
+    if rows is None or index.store is None or field != "content":
+        return every(c)
+    mine = [r for r in rows.to_pylist() if r["field"] == field and r["kind"] in PATTERN_KINDS and r["term"] is not None]
+    needed = {(r["query_id"], r["clause_no"]): needed_trigrams(r["kind"], r["term"]) for r in mine}
+    known = [(q, n, g, len(grams)) for (q, n), grams in needed.items() for g in grams]
+    keyed = F.struct("query_id", "clause_no").isin([F.struct(F.lit(q).cast("long"), F.lit(n).cast("long")) for (q, n), grams in needed.items() if grams])
+    out = None
+    if known:
+        kinds = {"query_id": pa.int64(), "clause_no": pa.int64(), "gram": pa.string(), "n_grams": pa.int32()}
+        wanted = clauses.sparkSession.createDataFrame(pa.table({name: pa.array([r[k] for r in known], kind) for k, (name, kind) in enumerate(kinds.items())}))
+        held = index.store.rows("trigrams", sorted({r[2] for r in known})).groupBy("gram", "term").agg(F.sum("df").alias("df"))  # over the segments
+        met = held.join(wanted, "gram").groupBy("query_id", "clause_no", F.col("term").alias("v"), "n_grams").agg(F.count(F.lit(1)).alias("n"), F.max("df").alias("df"))
+        out = met.where("n = n_grams").join(c, ["query_id", "clause_no"]).where(cond).select(*OWN, "v", "df", F.lit(1.0).alias("sim"))
+    if any(not grams for grams in needed.values()):
+        rest = every(c.where(~keyed) if known else c)
+        out = rest if out is None else out.unionByName(rest)
+    return out if out is not None else every(c)
+
+
+def _expand_fuzzy(clauses: DataFrame, rows, index: Index, field: str, max_expansions: int | None) -> DataFrame:
+    """Fuzzy clauses: terms that share a deletion key with the clause's, then the distance."""
+    v, t = F.col("v"), F.col("term")
+    edits = F.least(F.greatest(F.coalesce(F.col("term2").try_cast("int"), F.lit(FUZZY_DEFAULT_EDITS)), F.lit(0)), F.lit(FUZZY_MAX_EDITS))
+    c = clauses.where((F.col("field") == field) & (F.col("kind") == "fuzzy")).withColumn("edits", edits)
+    if rows is None or index.store is None or field != "content":
+        near = _vocabulary(index, field).join(c, F.abs(F.length("v") - F.length("term")) <= F.col("edits"))
+    else:
+        keyed, keys = settled(c.select("*", F.explode(deletion_keys(t)).alias("key")))
+        if keys is None:  # very many clauses
+            stored = index.store.table("deletions")
+        else:
+            stored = index.store.rows("deletions", column(keys, "key"))
+        met = stored.select("key", F.col("term").alias("v"), "df").join(keyed, "key").where(F.abs(F.length("v") - F.length("term")) <= F.col("edits"))
+        # a term once for each clause, whatever the keys they share; its df over the segments
+        one = met.groupBy(*OWN, "term", "edits", "v", "key").agg(F.sum("df").alias("df"))
+        near = one.groupBy(*OWN, "term", "edits", "v").agg(F.max("df").alias("df"))
     near = near.withColumn("dist", edit_distance(t, v)).where(F.col("dist") <= F.col("edits"))
     sim = F.lit(1.0) - F.col("dist") / F.least(F.length(t), F.length(v))
-    near = near.select(*own, vocab["field"], v.alias("v"), "df", sim.alias("sim")).where("sim > 0")
+    near = near.select(*OWN, "v", "df", sim.alias("sim")).where("sim > 0")
     if max_expansions is not None:
         w = Window.partitionBy("query_id", "clause_no").orderBy(F.col("sim").desc(), F.col("v"))
         near = near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_expansions).drop("_r")
-    return out.unionByName(near.withColumnRenamed("v", "term"))
+    return near
+
+
+def expand_multiterm(clauses: DataFrame, index: Index, max_expansions: int | None = None) -> DataFrame | None:
+    """Prefix, wildcard, regexp, range and fuzzy clauses -> the terms or names they stand for.
+
+    (query_id, clause_no, occur, kind, boost, field, term, df, sim), or None if
+    the clauses are known to have no such kind.  Patterns are applied to the
+    stored terms as written (not analysed).  A fuzzy clause takes all terms
+    within its edits and a similarity over 0, or the ``max_expansions`` most
+    similar ones if a number is given.  Each field and group of kinds that
+    occurs is expanded on its own."""
+    clauses, rows = settled(clauses)
+    out = None
+    for field in FIELDS:
+        for kinds, expand in ((SORTED_KINDS, _expand_sorted), (PATTERN_KINDS, _expand_patterns), (["fuzzy"], partial(_expand_fuzzy, max_expansions=max_expansions))):
+            if rows is not None and not any(r["field"] == field and r["kind"] in kinds for r in rows.to_pylist()):
+                continue
+            part = expand(clauses, rows, index, field).select(*OWN, F.lit(field).alias("field"), F.col("v").alias("term"), "df", "sim")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def multiterm_matches(clauses: DataFrame, index: Index, quantized: bool = False,
-                      max_expansions: int | None = None) -> DataFrame:
+                      max_expansions: int | None = None) -> DataFrame | None:
     """(query_id, clause_no, occur, doc_id, score) of multi-term clauses:
     constant score (= boost) per document for pattern and range kinds, summed
-    BM25 x similarity for fuzzy."""
+    BM25 x similarity for fuzzy.  None if the clauses are known to have none."""
     expanded = expand_multiterm(clauses, index, max_expansions)
-    in_text = expanded.where(F.col("field") == "content").drop("field")
-    rows = _score_postings(in_text, index, quantized).select("query_id", "clause_no", "occur", "kind", "boost", "doc_id", "score")
-    in_names = expanded.where(F.col("field") != "content").withColumnRenamed("term", "name").join(_names(index), ["field", "name"])
-    names = in_names.crossJoin(_corpus_side(index)).select(
-        "query_id", "clause_no", "occur", "kind", "boost", "doc_id",
-        (F.col("boost") * F.col("sim") * bm25_idf(F.col("num_docs"), F.col("df"))).alias("score"))
-    out = rows.unionByName(names).groupBy("query_id", "clause_no", "occur", "kind", "doc_id").agg(
+    if expanded is None:
+        return None
+    expanded, rows = settled(expanded)
+    found = column(rows, "field") if rows is not None else FIELDS
+    columns = ["query_id", "clause_no", "occur", "kind", "boost", "doc_id", "score"]
+    parts = []
+    if "content" in found:
+        parts.append(_score_postings(expanded.where(F.col("field") == "content").drop("field"), index, quantized).select(*columns))
+    for field in set(found) - {"content"}:
+        named = expanded.where(F.col("field") == field).withColumnRenamed("term", "name").join(index.names(field), ["field", "name"])
+        score = F.col("boost") * F.col("sim") * bm25_idf(F.col("num_docs"), F.col("df"))
+        parts.append(index.with_totals(named).withColumn("score", score).select(*columns))
+    if not parts:
+        return None
+    dealt = reduce(DataFrame.unionByName, parts).repartition("query_id", "doc_id")
+    out = dealt.groupBy("query_id", "clause_no", "occur", "kind", "doc_id").agg(
         F.sum("score").alias("fuzzy_score"), F.max("boost").alias("boost"))
     return out.select("query_id", "clause_no", "occur", "doc_id",
                       F.when(F.col("kind") == "fuzzy", F.col("fuzzy_score")).otherwise(F.col("boost")).alias("score"))
 
 
-def field_matches(clauses: DataFrame, index: Index) -> DataFrame:
+def field_matches(clauses: DataFrame, index: Index) -> DataFrame | None:
     """fileName:/path: term clauses: equality with the raw name; scored as a
-    one-term field without length norms (idf x boost)."""
-    c = clauses.where((F.col("field") != "content") & F.col("kind").isin("term", "exact"))
-    hit = _names(index).join(c.select("query_id", "clause_no", "occur", "field", F.col("term").alias("name"), "boost"), ["field", "name"])
+    one-term field without length norms (idf x boost).  None if the clauses are
+    known to have none."""
+    mine = clauses.where((F.col("field") != "content") & F.col("kind").isin("term", "exact"))
+    c, rows = settled(mine.select("query_id", "clause_no", "occur", "field", F.col("term").alias("name"), "boost"))
+    if rows is not None and not rows.num_rows:
+        return None
+    names = index.store.rows("names", column(rows, "name")) if rows is not None and index.store else names_of(index.docs)
+    hit = names.join(c, ["field", "name"])
     df = hit.groupBy("query_id", "clause_no").agg(F.count(F.lit(1)).alias("df"))
-    scored = hit.join(df, ["query_id", "clause_no"]).crossJoin(_corpus_side(index))
+    scored = index.with_totals(hit.join(df, ["query_id", "clause_no"]))
     return scored.select("query_id", "clause_no", "occur", "doc_id",
                          (F.col("boost") * bm25_idf(F.col("num_docs"), F.col("df"))).alias("score"))
 
 
 # --- boolean combination --------------------------------------------------------------
 
-def effective_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
+def effective_clauses(clauses: DataFrame, terms: DataFrame) -> DataFrame:
     """(query_id, clause_no, occur) of the clauses that take part: a content
-    term clause whose text analyses to nothing (a stop word) is dropped."""
-    terms = clause_terms(clauses, analyzer).select("query_id", "clause_no", "occur")
-    other = clauses.where(~F.col("kind").isin("term", "exact") | (F.col("field") != "content")).select(
+    term clause whose text analyses to nothing (a stop word) is dropped.
+    ``terms`` comes from :func:`clause_terms`."""
+    other = clauses.where(~F.col("kind").isin(*TERM_KINDS) | (F.col("field") != "content")).select(
         "query_id", "clause_no", "occur")
-    return terms.unionByName(other).distinct()
+    return terms.select("query_id", "clause_no", "occur").unionByName(other).distinct()
 
 
 def combine(clauses: DataFrame, matches: DataFrame) -> DataFrame:
@@ -248,13 +322,13 @@ def combine(clauses: DataFrame, matches: DataFrame) -> DataFrame:
 
     must: every must clause matches; must_not: no such clause matches;
     should: adds score, and is required (at least one) when there is no must.
-    A purely negative query has no hits.  ``clauses`` are the effective ones."""
-    req = clauses.groupBy("query_id").agg(
-        F.count_distinct(F.when(F.col("occur") == "must", F.col("clause_no"))).alias("n_must"))
+    A purely negative query has no hits.  ``clauses`` are the effective ones;
+    ``matches`` has a row for each clause and document at most."""
+    req, _ = settled(clauses.groupBy("query_id").agg(F.count_if(F.col("occur") == "must").alias("n_must")))
     wanted = F.col("occur") != "must_not"
     docs = matches.groupBy("query_id", "doc_id").agg(
         F.sum(F.when(wanted, F.col("score"))).alias("score"),
-        F.count_distinct(F.when(F.col("occur") == "must", F.col("clause_no"))).alias("must_hit"),
+        F.count_if(F.col("occur") == "must").alias("must_hit"),
         F.count_if(F.col("occur") == "should").alias("should_hit"),
         F.count_if(~wanted).alias("excluded"))
     held = (F.col("excluded") == 0) & (F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0))
@@ -276,17 +350,30 @@ def clause_terms(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     return analyze_tokens(toks, analyzer).select(*own, "term").unionByName(exact.select(*own, "term"))
 
 
-def match_clauses(clauses: DataFrame, index: Index, quantized: bool = False,
+def match_clauses(clauses: DataFrame, terms: DataFrame, index: Index, quantized: bool = False,
                   max_expansions: int | None = None) -> DataFrame:
-    """(query_id, clause_no, occur, doc_id, score) for every clause kind."""
-    terms = clause_terms(clauses, index.analyzer)
-    m = term_matches(terms, index, quantized).groupBy("query_id", "clause_no", "occur", "doc_id").agg(F.sum("score").alias("score"))
-    for part in (multiterm_matches(clauses, index, quantized, max_expansions), field_matches(clauses, index), match_all_matches(clauses, index)):
-        m = m.unionByName(part)
-    return m
+    """(query_id, clause_no, occur, doc_id, score) for every clause kind, a row
+    for each clause and document at most.  ``terms`` comes from :func:`clause_terms`.
+
+    Kinds that a small batch of clauses doesn't have leave no trace in the plan."""
+    rows = settled(clauses)[1]
+    has = lambda *kinds: rows is None or any(r["kind"] in kinds for r in rows.to_pylist())
+    parts = []
+    if has(*TERM_KINDS):
+        # dealt by query and document once: the sums of a clause, and those of all clauses after it, are made in place
+        dealt = term_matches(terms, index, quantized).repartition("query_id", "doc_id")
+        parts.append(dealt.groupBy("query_id", "clause_no", "occur", "doc_id").agg(F.sum("score").alias("score")))
+        parts.append(field_matches(clauses, index))
+    parts.append(multiterm_matches(clauses, index, quantized, max_expansions) if has("fuzzy", *SORTED_KINDS, *PATTERN_KINDS) else None)
+    parts.append(match_all_matches(clauses, index) if has("all") else None)
+    parts = [p for p in parts if p is not None]
+    if not parts:
+        return index.postings.sparkSession.createDataFrame([], "query_id long, clause_no long, occur string, doc_id long, score double")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def search_clauses(clauses: DataFrame, index: Index, quantized: bool = False, max_expansions: int | None = None) -> DataFrame:
     """Clause table -> (query_id, doc_id, score) of all matching documents."""
-    clauses = checked(clauses)
-    return combine(effective_clauses(clauses, index.analyzer), match_clauses(clauses, index, quantized, max_expansions))
+    clauses, _ = settled(checked(clauses))
+    terms, _ = settled(clause_terms(clauses, index.analyzer))
+    return combine(effective_clauses(clauses, terms), match_clauses(clauses, terms, index, quantized, max_expansions))

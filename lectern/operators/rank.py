@@ -73,7 +73,7 @@ def word_idf(queries: DataFrame, index: Index) -> DataFrame:
     """(query_id, word_no, word, df, idf): idf = log10(N / df), N counting
     every document; +Infinity for a word found nowhere."""
     wdf = query_word_df(queries, index)
-    return wdf.crossJoin(index.corpus.select("num_docs")).select(
+    return index.with_totals(wdf).select(
         "query_id", "word_no", "word", "df", idf_log10(F.col("num_docs"), F.col("df")).alias("idf"))
 
 

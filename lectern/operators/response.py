@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .index import Index
 from .rank import display_order, search_status
 
 
-def search_response(queries: DataFrame, hits: DataFrame, highlights: DataFrame, docs: DataFrame) -> DataFrame:
+def search_response(queries: DataFrame, hits: DataFrame, highlights: DataFrame, docs: DataFrame | Index) -> DataFrame:
     """(query_id, status, results_count, response): ``response`` is the JSON
     ``{"searchDetails": {"status", "resultsCount"}, "searchResults":
     [{"content": snippet, "fileName": name}, ...]}`` with results in display
@@ -16,8 +17,8 @@ def search_response(queries: DataFrame, hits: DataFrame, highlights: DataFrame,
     status = search_status(queries, hits)
     order = display_order(hits).select("query_id", F.posexplode("hits").alias("pos", "h")) \
         .select("query_id", "pos", F.col("h.doc_id").alias("doc_id"))
-    names = docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi") \
-        .select("doc_id", "file_name")
+    found = docs.documents(hits) if isinstance(docs, Index) else docs.join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    names = found.select("doc_id", "file_name")
     rows = order.join(highlights, ["query_id", "doc_id"], "left").join(names, "doc_id", "left")
     per_q = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.create_map(F.lit("content"), F.coalesce("highlight", F.lit(" ")),

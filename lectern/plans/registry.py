@@ -15,6 +15,7 @@ from ..operators import index as ix
 from ..operators import match as mt
 from ..operators import rank as rk
 from ..operators import response as rs
+from ..operators.lookup import settled
 from ..sources import documents as src
 from ..sources import index_store as store
 from .fixtures import benchmark_queries, fixture_analyzer, fixture_clauses, fixture_docs, fixture_queries
@@ -31,9 +32,9 @@ def _index(spark: SparkSession, sf_dir: str, stem: bool = False, docs=fixture_do
     key = (spark.sparkContext.applicationId, sf_dir, stem, docs.__name__)
     if key not in _STORED:
         root = store.scratch_root(spark)
-        store.write_index(ix.build_index(docs(spark, sf_dir), analyzer), root, store_docs=False)
+        store.write_index(ix.build_index(docs(spark, sf_dir), analyzer), root)
         _STORED[key] = root
-    return store.read_index(spark, _STORED[key], analyzer, docs=docs(spark, sf_dir))
+    return store.read_index(spark, _STORED[key], analyzer)
 
 
 # --- sources and analysis ---------------------------------------------------------
@@ -247,7 +248,7 @@ def highlight_clauses(spark, sf_dir):
 
 def _kwic(spark, sf_dir):
     q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    hits, contents = hl.prepare(hits, idx.docs)
+    hits, contents = hl.prepare(hits, idx)
     return idx, clauses, contents, hl.keyword_in_context(hits, contents, clauses, idx.analyzer)
 
 
@@ -277,7 +278,7 @@ def best_fragments(spark, sf_dir):
 
 def highlight(spark, sf_dir):
     q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    return hl.highlight_hits(hits, idx.docs, clauses, idx.analyzer)
+    return hl.highlight_hits(hits, idx, clauses, idx.analyzer)
 
 
 PLANS.update({
@@ -327,9 +328,9 @@ PLANS.update({
 
 def search_response(spark, sf_dir):
     q, idx, clauses, hits = _hl_inputs(spark, sf_dir)
-    hits = hl.written(hits, "search-hits")  # run the search once for both uses
-    snippets = hl.highlight_hits(hits, idx.docs, clauses, idx.analyzer)
-    return rs.search_response(q, hits, snippets, idx.docs)
+    hits = settled(hits)[0]  # a small one is searched once for both uses
+    snippets = hl.highlight_hits(hits, idx, clauses, idx.analyzer)
+    return rs.search_response(q, hits, snippets, idx)
 
 
 PLANS["search_response"] = search_response

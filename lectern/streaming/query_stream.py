@@ -30,7 +30,7 @@ def answer_batch(queries: DataFrame, index: Index, k: int = MAX_HITS, snippets:
     status = rk.search_status(queries, hits)
     if snippets:
         clauses = hl.query_clauses(mt.free_text_clauses(queries, index.analyzer))
-        h = hl.highlight_hits(hits, index.docs, clauses, index.analyzer)
+        h = hl.highlight_hits(hits, index, clauses, index.analyzer)
         hits = hits.join(h, ["query_id", "doc_id"], "left")
     else:
         hits = hits.withColumn("highlight", F.lit(None).cast("string"))

@@ -50,7 +50,7 @@ def test_an_uncommitted_segment_is_not_read(spark, tmp_path):
     root, an = str(tmp_path / "index"), Analyzer()
     idx = ix.build_index(docs_of(spark, ["alpha beta", "beta"]), an)
     store.write_index(idx, root)
-    idx.postings.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/postings/segment=left-behind")
+    idx.postings.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/postings/segment=left-behind")  # no version lists it
     assert store.read_index(spark, root, an).postings.count() == 3
 
 
@@ -153,9 +153,9 @@ def test_long_texts_and_pages_are_read_whole(spark):
 
 
 def test_folds_and_accents(spark):
-    for token, want in (("ﬁnal", "final"), ("oﬀice", "office"), ("ɓaŋ", "ban"), ("ȺƀĆ", "abc"), ("Ⱡ", "l"), ("ŉa", "'na"), ("ﬆ", "st")):
+    for token, want in (("ﬁnal", "final"), ("oﬀice", "office"), ("ɓaŋ", "ban"), ("ȺƀĆ", "abc"), ("Ⱡ", "l"), ("ŉa", "na"), ("ﬆ", "st")):
         got = one(spark, normalize_term(F.lit(token)))
-        assert got == want or token == "ŉa", (token, got)
+        assert got == want, (token, got)
     assert one(spark, strip_accents(F.lit("și ă ș"))) == "si a s"
 
 
