@@ -73,8 +73,9 @@ def tokens(df: DataFrame, id_cols: Sequence[str], text_col: str = "content") ->
     return df.select(*id_cols, F.posexplode(token_array(F.col(text_col))).alias("token_no", "token"))
 
 
-def tokenize_offsets(df: DataFrame, id_cols: Sequence[str], text_col: str = "content") -> DataFrame:
-    """(ids..., token_no, token, start, end): tokens with character offsets.
+def tokenize_offsets(df: DataFrame, id_cols: Sequence[str], text_col: str = "content", with_words: bool = False) -> DataFrame:
+    """(ids..., token_no, token, start, end): tokens with character offsets,
+    and on demand ``word_no``, the number of blanks before the token.
 
     The text is cut into alternating gap/token pieces; a token's start is the
     running length of the pieces before it (a window per text, so use it on
@@ -87,12 +88,18 @@ def tokenize_offsets(df: DataFrame, id_cols: Sequence[str], text_col: str = "con
     exploded = df.select(*id_cols, F.posexplode(parts).alias("piece_no", "piece"))
     w = Window.partitionBy(*id_cols).orderBy("piece_no").rowsBetween(Window.unboundedPreceding, -1)
     with_start = exploded.withColumn("start", F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0)).cast("int"))
+    more = []
+    if with_words:
+        blanks = F.length("piece") - F.length(F.replace("piece", F.lit(" ")))
+        with_start = with_start.withColumn("word_no", F.coalesce(F.sum(blanks).over(w), F.lit(0)).cast("int"))
+        more = ["word_no"]
     return with_start.where(F.col("piece_no") % 2 == 1).select(
         *id_cols,
         ((F.col("piece_no") - 1) / 2).cast("int").alias("token_no"),
         F.col("piece").alias("token"),
         F.col("start"),
         (F.col("start") + F.length("piece")).cast("int").alias("end"),
+        *more,
     )
 
 
@@ -142,6 +149,17 @@ def first_term(word: Column, stop_arr: Column, analyzer: Analyzer) -> Column:
     return first
 
 
+#: A word that is one token of ASCII letters, perhaps with a sign after it.
+PLAIN_WORD = r"^([A-Za-z]{1,255})[.,;:!?]?$"
+
+
+def first_term_of_column(word: Column, stop_arr: Column, analyzer: Analyzer) -> Column:
+    """As :func:`first_term`, for a column of words: plain ones need no tokeniser."""
+    plain = F.lower(F.regexp_extract(word, PLAIN_WORD, 1))
+    kept = F.when(F.array_contains(stop_arr, plain), "").otherwise(analyzer.finish(plain))
+    return F.when(plain != "", kept).otherwise(first_term(word, stop_arr, analyzer))
+
+
 def first_term_of_words(df: DataFrame, analyzer: Analyzer, id_cols: Sequence[str] = ("doc_id",),
                         text_col: str = "content") -> DataFrame:
     """(ids..., word_no, word, term): every space-separated word of a text with
@@ -150,7 +168,7 @@ def first_term_of_words(df: DataFrame, analyzer: Analyzer, id_cols: Sequence[str
     words = df.select(*id_cols, F.posexplode(java_split_space(F.translate(F.col(text_col), "\n", " ")))
                       .alias("word_no", "word"))
     return words.crossJoin(stop).select(
-        *id_cols, "word_no", "word", first_term(F.col("word"), F.col("stop_arr"), analyzer).alias("term"))
+        *id_cols, "word_no", "word", first_term_of_column(F.col("word"), F.col("stop_arr"), analyzer).alias("term"))
 
 
 def stem_vocabulary(terms: DataFrame, col: str = "term") -> DataFrame:

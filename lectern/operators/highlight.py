@@ -10,14 +10,16 @@ steps run as one row per (query, hit) after the top-k cut:
 3. merge: overlapping or touching fragments are merged (gaps and islands
    over a running maximum of end offsets);
 4. best fragments: fragments whose every term is covered by another kept
-   fragment are dropped (an ordered fold), the rest ranked by number of
-   terms then start;
+   fragment are dropped (an ordered fold over the last holders of a term, so
+   over no more fragments than the query has terms), the rest ranked by
+   number of terms then start;
 5. bold: each term is bolded once, at its most central occurrence in the
    first fragment that has it; leading context is cut to two words;
 6. assemble: fragments by start, joined with ``" ... "`` delimiters.
 
-Steps 2-3 are rows and windows; steps 4-6 are higher-order array functions
-(``aggregate``, ``transform``, ``array_sort``) inside one projection.
+Steps 2-3 are rows and windows, without a copy of the text for each match;
+steps 4-6 are higher-order array functions (``aggregate``, ``transform``,
+``array_sort``) inside one projection.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CONTEXT_WORDS, java_split_space, java_trim, token_array
-from .analysis import Analyzer, first_term, tokenize_offsets
+from .analysis import Analyzer, first_term, first_term_of_column, tokenize_offsets
 from .index import Index
 from .lookup import settled
 
@@ -121,77 +123,110 @@ def _first_words(suffix: Column) -> Column:
     return F.substring_index(java_trim(suffix), " ", CONTEXT_WORDS)
 
 
+def words_in_place(contents: DataFrame, analyzer: Analyzer) -> DataFrame:
+    """(doc_id, word_no, word, word_start, first, back1, back2, next1, next2):
+    the space-separated words of each text with their first terms and, as
+    (word, first) structs, the two words before and after."""
+    words = contents.select("doc_id", F.posexplode(F.split("content", " ")).alias("word_no", "word")).crossJoin(analyzer.stop_array())
+    words = words.select("doc_id", "word_no", "word", first_term_of_column(F.col("word"), F.col("stop_arr"), analyzer).alias("first"))
+    w = Window.partitionBy("doc_id").orderBy("word_no")
+    start = F.coalesce(F.sum(F.length("word") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    own = F.struct("word", "first")
+    return words.select("doc_id", "word_no", "word", "first", start.alias("word_start"), F.lag(own, 1).over(w).alias("back1"), F.lag(own, 2).over(w).alias("back2"),
+                        F.lead(own, 1).over(w).alias("next1"), F.lead(own, 2).over(w).alias("next2"))
+
+
 def keyword_in_context(hits: DataFrame, contents: DataFrame, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """One fragment per matching token of each hit:
     (query_id, doc_id, token_no, term, start, end, text, terms, content_length).
 
-    ``contents`` comes from :func:`prepare`.  Matching tokens are gathered
-    per hit and the context is cut from the hit's text inside one array
-    transform, so the text is joined once per hit, not once per token."""
-    toks = tokenize_offsets(contents.select("doc_id", "content"), ["doc_id"])
+    ``contents`` comes from :func:`prepare`.  A token's context are its
+    neighbours by place: the rest of its own word on either side and the words
+    before and after it.  Where a neighbour is empty or holds control signs
+    (several blanks, tabs), what counts as a word depends on text further away;
+    only then the context is cut from the text itself."""
+    toks = tokenize_offsets(contents.select("doc_id", "content"), ["doc_id"], with_words=True)
     toks = toks.withColumn("term", analyzer.finish(analyzer.normalize(F.col("token"))))
     cterms = clauses.select("query_id", F.explode("clauses").alias("term")).distinct()
     m = toks.join(hits.select("query_id", "doc_id"), "doc_id").join(cterms, ["query_id", "term"])
-    per_hit = m.groupBy("query_id", "doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("token_no", "term", "token", "start", "end"))).alias("ms"))
-    stop = analyzer.stop_array()
-    j = per_hit.join(contents, "doc_id").join(clauses, "query_id").crossJoin(stop)
-    content, clen = F.col("content"), F.col("content_length")
-
-    def frag(x):
-        ctx = F.struct(_last_words(F.substring(content, F.lit(1), x["start"])).alias("b"),
-                       _first_words(F.substring(content, x["end"] + 1, F.lit(1 << 30))).alias("a"))
-
-        def build(c):
-            before, after = c["b"], c["a"]
-            words = F.concat(F.split(before, " "), F.split(after, " "))
-            ctx_terms = F.filter(F.transform(words, lambda w: first_term(w, F.col("stop_arr"), analyzer)),
-                                 lambda t: F.array_contains(F.col("clauses"), t))
-            return F.struct(
-                x["token_no"].alias("token_no"), x["term"].alias("term"),
-                F.greatest(F.lit(0), x["start"] - F.length(before) - 1).alias("start"),
-                F.least(clen, x["end"] + F.length(after) + 1).alias("end"),
-                F.concat_ws(" ", before, x["token"], after).alias("text"),
-                F.array_distinct(F.concat(F.array(x["term"]), ctx_terms)).alias("terms"))
-
-        return let(ctx, build)
-
-    fr = j.select("query_id", "doc_id", "content_length", F.explode(F.transform("ms", frag)).alias("f"))
-    return fr.select("query_id", "doc_id", "f.token_no", "f.term", "f.start", "f.end", "f.text", "f.terms",
-                     "content_length")
-
-
-def merge_fragments(kwic: DataFrame, contents: DataFrame) -> DataFrame:
-    """Merge fragments that overlap or touch, in token order:
-    (query_id, doc_id, island, start, end, text, terms, content_length).
+    m = m.join(words_in_place(contents, analyzer), ["doc_id", "word_no"])
+    left, right = F.substring("word", F.lit(1), F.col("start") - F.col("word_start")), F.substring("word", F.col("end") - F.col("word_start") + 1, F.length("word"))
+    m = m.withColumn("l", left).withColumn("r", right)
+
+    def usual(c: Column) -> Column:  # no neighbour, or one that trimming and splitting leave alone
+        return c.isNull() | ((c != "") & ~c.rlike(r"[\x00-\x1f]"))
+
+    def has(c: str) -> Column:
+        return F.col(c) != ""
+
+    near = usual(F.col("back1.word")) & (has("l") | usual(F.col("back2.word"))) & usual(F.col("next1.word")) & (has("r") | usual(F.col("next2.word")))
+    m = m.withColumn("plain", near & ~F.col("word").rlike(r"[\x00-\x1f]"))
+    before = F.when(has("l"), F.concat_ws(" ", "back1.word", "l")).otherwise(F.concat_ws(" ", "back2.word", "back1.word"))
+    after = F.when(has("r"), F.concat_ws(" ", "r", "next1.word")).otherwise(F.concat_ws(" ", "next1.word", "next2.word"))
+    lengths = contents.select("doc_id", "content_length")
+    texts = contents.select(F.col("doc_id").alias("odd_doc"), "content")
+    j = m.join(lengths, "doc_id").join(clauses, "query_id").crossJoin(analyzer.stop_array())
+    j = j.join(texts, (F.col("doc_id") == F.col("odd_doc")) & ~F.col("plain"), "left")
+    j = j.withColumn("before", F.when(F.col("plain"), before).otherwise(_last_words(F.substring("content", F.lit(1), F.col("start")))))
+    j = j.withColumn("after", F.when(F.col("plain"), after).otherwise(_first_words(F.substring("content", F.col("end") + 1, F.length("content")))))
+
+    first_of = lambda w: first_term(w, F.col("stop_arr"), analyzer)
+    part = lambda c: F.when(F.col(c).rlike(r"[\p{L}\p{N}_]"), first_of(F.col(c))).otherwise("")  # noqa: E731  the rest of the token's own word
+    ahead = F.when(has("l"), F.array("back1.first", part("l"))).otherwise(F.array("back2.first", "back1.first"))
+    behind = F.when(has("r"), F.array(part("r"), "next1.first")).otherwise(F.array("next1.first", "next2.first"))
+    taken = F.transform(F.concat(F.split("before", " "), F.split("after", " ")), first_of)
+    around = F.when(F.col("plain"), F.array_compact(F.concat(ahead, behind))).otherwise(taken)
+    terms = F.array_distinct(F.concat(F.array("term"), F.array_intersect(around, "clauses")))
+    return j.select(
+        "query_id", "doc_id", "token_no", "term",
+        F.greatest(F.lit(0), F.col("start") - F.length("before") - 1).alias("start"),
+        F.least(F.col("content_length"), F.col("end") + F.length("after") + 1).alias("end"),
+        F.concat_ws(" ", "before", "token", "after").alias("text"), terms.alias("terms"), "content_length")
+
+
+def islands(kwic: DataFrame) -> DataFrame:
+    """(query_id, doc_id, island, start, end, merged, lone_text, terms, content_length):
+    fragments that overlap or touch, in token order, as one.
 
     A fragment opens a new island when its start is beyond every earlier end
-    (the running end starts at 0).  Merged islands, and an island whose first
-    fragment starts at 0, take their text from the content; a lone fragment
-    keeps its context text."""
+    (the running end starts at 0)."""
     w = Window.partitionBy("query_id", "doc_id").orderBy("token_no")
     prev_end = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     k = kwic.withColumn("new", (F.col("start") > F.coalesce(prev_end, F.lit(0))).cast("int"))
-    k = k.withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    k = k.withColumn("island", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
     g = k.groupBy("query_id", "doc_id", "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"),
         F.min_by("text", "token_no").alias("lone_text"),
-        F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms"),
         F.first("content_length").alias("content_length"))
-    per_hit = g.groupBy("query_id", "doc_id").agg(
-        F.collect_list(F.struct(F.col("island").cast("int").alias("island"), "start", "end", "n", "lone_text",
-                                "terms", "content_length")).alias("isl"))
-    j = per_hit.join(contents.select("doc_id", "content"), "doc_id")
+    return g.withColumn("merged", (F.col("n") > 1) | (F.col("island") == 0)).drop("n")
+
+
+def with_texts(fragments: DataFrame, contents: DataFrame) -> DataFrame:
+    """(query_id, doc_id, island, start, end, text, terms, content_length).
+
+    Merged islands, and an island whose first fragment starts at 0, take their
+    text from the content; a lone fragment keeps its context text."""
+    cut = F.substring("content", F.col("start") + 1, F.col("end") - F.col("start"))
+    return fragments.join(contents.select("doc_id", "content"), "doc_id").select(
+        "query_id", "doc_id", "island", "start", "end", F.when(F.col("merged"), cut).otherwise(F.col("lone_text")).alias("text"), "terms", "content_length")
+
+
+def merge_fragments(kwic: DataFrame, contents: DataFrame) -> DataFrame:
+    """All merged fragments with their texts."""
+    return with_texts(islands(kwic), contents)
+
 
-    def text(x):
-        merged = (x["n"] > 1) | (x["island"] == 0)
-        return F.struct(x["island"].alias("island"), x["start"].alias("start"), x["end"].alias("end"),
-                        F.when(merged, F.substring(F.col("content"), x["start"] + 1, x["end"] - x["start"]))
-                        .otherwise(x["lone_text"]).alias("text"),
-                        F.array_sort(x["terms"]).alias("terms"), x["content_length"].alias("content_length"))
+def last_holders(fragments: DataFrame) -> DataFrame:
+    """The fragments that are the last holder of one of their terms.
 
-    e = j.select("query_id", "doc_id", F.explode(F.transform("isl", text)).alias("x"))
-    return e.select("query_id", "doc_id", "x.island", "x.start", "x.end", "x.text", "x.terms", "x.content_length")
+    Any other one is dropped by the redundancy fold and leaves no trace in it:
+    each of its terms has a later holder.  So at most as many fragments of a
+    hit as its query has terms go on, however often they match."""
+    own = ["query_id", "doc_id", "island"]
+    latest = Window.partitionBy("query_id", "doc_id", "term").orderBy(F.col("island").desc())
+    held = fragments.withColumn("term", F.explode("terms")).withColumn("place", F.row_number().over(latest)).where("place = 1")
+    return held.groupBy(*own).agg(*(F.first(c).alias(c) for c in fragments.columns if c not in own))
 
 
 # --- array folds over the fragments of one hit -------------------------------------
@@ -205,9 +240,10 @@ def _best_fragments(frags: Column) -> Column:
     the fold, so each step is linear in the fragment's terms."""
     n = F.size(frags)
     idx = F.sequence(F.lit(0), n - 1)
-    keys = F.array_distinct(F.flatten(F.transform(frags, lambda f: f["terms"])))
-    last_map = let(keys, lambda ks: F.map_from_arrays(ks, F.transform(ks, lambda k: F.array_max(
-        F.filter(idx, lambda i: F.array_contains(F.get(frags, i)["terms"], k))))))
+    held = F.flatten(F.transform(frags, lambda f, i: F.transform(f["terms"], lambda t: F.struct(t.alias("t"), (-i).alias("i")))))
+    # the last fragment of each term: the first entry of the term, the later fragments first
+    last_map = let(F.array_sort(held), lambda h: F.map_from_entries(F.transform(F.filter(
+        h, lambda x, k: (k == 0) | (F.get(h, k - 1)["t"] != x["t"])), lambda x: F.struct(x["t"], (-x["i"]).alias("i")))))
     init = F.struct(F.array().cast("array<string>").alias("kept"), F.array().cast("array<boolean>").alias("deleted"))
 
     def fold(last):
@@ -341,8 +377,8 @@ def _assemble(out: Column, content_length: Column) -> Column:
 
 def best_fragments(merged: DataFrame) -> DataFrame:
     """(query_id, doc_id, content_length, ranked ARRAY<fragment>) after the
-    redundancy fold and ranking."""
-    g = merged.groupBy("query_id", "doc_id").agg(
+    redundancy fold and ranking.  Only the last holders of a term are gathered."""
+    g = last_holders(merged).groupBy("query_id", "doc_id").agg(
         F.array_sort(F.collect_list(F.struct("island", "start", "end", "text", "terms"))).alias("frags"),
         F.first("content_length").alias("content_length"))
     return g.select("query_id", "doc_id", "content_length", _best_fragments(F.col("frags")).alias("ranked"))
@@ -352,8 +388,8 @@ def highlight_hits(hits: DataFrame, docs: DataFrame | Index, clauses: DataFrame,
     """(query_id, doc_id, highlight): snippet per hit, ``" "`` when nothing matches."""
     hits, contents = prepare(hits, docs)
     kwic = keyword_in_context(hits, contents, clauses, analyzer)
-    merged = merge_fragments(kwic, contents)
-    best = best_fragments(merged)
+    # texts are cut for the fragments that can stay only
+    best = best_fragments(with_texts(last_holders(islands(kwic)), contents))
     stop = analyzer.stop_array()
     b = best.join(clauses, "query_id").crossJoin(stop)
     annotated = F.transform("ranked", lambda f: _annotate(f, F.col("clauses"), F.col("stop_arr"), analyzer))

@@ -89,7 +89,7 @@ class Index:
         small, rows = settled(ids.select("doc_id").distinct()) if self.store else (ids, None)
         if rows is None:
             return self.docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        return self.store.rows("docs", column(rows, "doc_id"))
+        return self.store.rows("docs", column(rows, "doc_id")).join(small, "doc_id", "left_semi")
 
     def names(self, field: str) -> DataFrame:
         """(field, name, doc_id) of all documents for a name field."""

@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a table that may go through the driver while a query is planned.
-LIMIT = 4096
-#: Values that a filter lists one by one; more become a set with its least and largest value.
-LISTED = 64
+LIMIT = 1 << 16
+#: Values that a filter names one by one, and in a set.  With more, folders alone are chosen and a join does the rest.
+LISTED, IN_A_SET = 64, 1024
 
 
 def settled(df: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, pa.Table | None]:
@@ -52,7 +52,10 @@ def either(conditions: list[Column]) -> Column:
 
 
 def any_of(col: Column, values: list) -> Column:
-    """``col`` is one of ``values``, in a form that reaches the pages of a sorted file."""
+    """Holds where ``col`` is one of ``values``, in a form that reaches the pages
+    of a sorted file; with very many values it holds everywhere."""
+    if len(values) > IN_A_SET:
+        return F.lit(True)
     return either([col == v for v in values]) if len(values) <= LISTED else col.isin(values)
 
 

@@ -206,7 +206,8 @@ class Stored:
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*paths)
 
     def rows(self, name: str, keys: list) -> DataFrame:
-        """The rows of a table with one of the keys: the folders of their buckets, and their pages in these."""
+        """The rows of a table that can have one of the keys: the folders of their
+        buckets, and their pages in these (see :func:`any_of`)."""
         by_count: dict[int, list[str]] = {}
         for r in self.listed:
             by_count.setdefault(r["buckets"], []).append(r["segment"])
