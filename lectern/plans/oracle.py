@@ -5,6 +5,7 @@ values (token pattern, folding table, fixture inputs) are shared."""
 
 from __future__ import annotations
 
+from ..functions.html import html_to_text_sql
 from ..functions.querysyntax import query_is_valid_sql
 from ..functions.scoring import BM25_B, BM25_K1, quantized_length_sql
 from ..functions.stem import stem_ctes
@@ -411,17 +412,6 @@ def all_sql_with_highlight() -> dict[str, str]:
     return q
 
 
-def html_to_text_sql(expr: str) -> str:
-    from ..sources.documents import HTML_ENTITIES, WHITESPACE_RUN, html_strip_patterns
-    t = f"coalesce({expr}, '')"
-    for pat in html_strip_patterns():
-        t = f"regexp_replace({t}, {sql_str(pat)}, ' ', 'g')"
-    for ent, ch in HTML_ENTITIES:
-        t = f"replace({t}, {sql_str(ent)}, {sql_str(ch)})"
-    t = f"regexp_replace({t}, {sql_str(WHITESPACE_RUN)}, ' ', 'g')"
-    return f"trim({t})"
-
-
 def url_file_name_sql(expr: str) -> str:
     no_q = f"regexp_replace({expr}, '[?#].*$', '')"
     no_host = f"regexp_replace({no_q}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*', '')"

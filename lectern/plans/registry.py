@@ -26,10 +26,17 @@ Plan = Callable[[SparkSession, str], DataFrame]
 _STORED: dict[tuple, str] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """(name, length, time of change) of the files of a table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listed))
+
+
 def _index(spark: SparkSession, sf_dir: str, stem: bool = False, docs=fixture_docs) -> ix.Index:
-    """The index of a folder's documents, stored once per application and analyser."""
+    """The index of a folder's documents, stored once per application, analyser and state of the folder's files."""
     analyzer = fixture_analyzer(spark, stem)
-    key = (spark.sparkContext.applicationId, sf_dir, stem, docs.__name__)
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir, "pages" if docs is src.pages_table else "documents"), stem, docs.__name__)
     if key not in _STORED:
         root = store.scratch_root(spark)
         store.write_index(ix.build_index(docs(spark, sf_dir), analyzer), root)

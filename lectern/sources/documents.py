@@ -11,8 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.html import decoded_bytes, html_to_text
 from ..session import ensure_checkpoint_dir
 
+
 def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` test table as docs: path = source/doc_id, file name =
     the id as text."""
@@ -57,18 +59,17 @@ def numbered(df: DataFrame, order_col: str, id_col: str) -> DataFrame:
 def folder(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Every readable file below ``path`` (recursively) as a document.
 
-    Bytes are read as UTF-8; a file that isn't valid UTF-8 has the empty text,
-    and empty files and files that vanish between listing and reading are
-    skipped.  Document
-    ids number the files in the order of their paths."""
+    Bytes are read by their byte-order mark, as UTF-8, or as Latin-1 where the
+    file declares it; any other file has the empty text.  Empty files and files
+    that vanish between listing and reading are skipped.  Document ids number
+    the files in the order of their paths."""
     reader = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
               .option("ignoreMissingFiles", "true"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.load(path)
     ids = numbered(raw.select("path"), "path", "doc_id")
-    text = F.col("content").cast("string")
-    return raw.select("path", F.when(F.is_valid_utf8(text), text).otherwise(F.lit("")).alias("content")).join(ids, "path").select(
+    return raw.select("path", F.coalesce(decoded_bytes(F.col("content")), F.lit("")).alias("content")).join(ids, "path").select(
         "doc_id",
         "path",
         F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
@@ -76,39 +77,6 @@ def folder(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame
     )
 
 
-def html_to_text(html):
-    """Visible text of an HTML column: drop comments, scripts, styles and tags,
-    unescape the common entities, collapse white space."""
-    t = F.coalesce(html, F.lit(""))
-    for pattern in html_strip_patterns():
-        t = F.regexp_replace(t, pattern, " ")
-    for ent, ch in HTML_ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    t = F.regexp_replace(t, WHITESPACE_RUN, " ")
-    return F.trim(t)
-
-
-# --- fixed values -----------------------------------------------------------
-# Elements whose content is not visible text.
-HIDDEN_ELEMENTS = ["script", "style", "noscript", "template"]
-# White space collapsed to one space (the same class in Java and RE2).
-WHITESPACE_RUN = r"[\t\n\f\r ]+"
-# Entities replaced by their characters ('&amp;' last so that it is not
-# unescaped twice).
-HTML_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&apos;", "'"), ("&amp;", "&")]
-# ---------------------------------------------------------------------------
-
-
-def html_strip_patterns() -> list[str]:
-    """Regexes (Java and RE2 alike, no back-references) removed in order:
-    comments, hidden elements with their content, then any other tag."""
-    pats = [r"(?s)<!--.*?-->"]
-    pats += [rf"(?is)<{tag}\b[^>]*>.*?</{tag}[\t\n\f\r ]*>" for tag in HIDDEN_ELEMENTS]
-    pats.append(r"(?s)<[^>]*>")
-    return pats
-
-
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``pages`` table as docs: text extracted from the HTML, file name =
     last segment of the URL path, path = the URL."""

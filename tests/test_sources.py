@@ -3,7 +3,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from lectern.sources.documents import folder, html_to_text, url_file_name
+from lectern.functions.html import html_to_text
+from lectern.sources.documents import folder, url_file_name
 
 
 def test_folder_reads_every_file_recursively(spark):
