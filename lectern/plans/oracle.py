@@ -111,6 +111,18 @@ topk AS (
   FROM scores QUALIFY rank <= {MAX_HITS})
 """
 
+# The comparator isn't transitive, so the order is that of inserting the hits one by one: each goes before the
+# last run of hits that it compares below, found from the end.
+PLACED = """hits AS (SELECT query_id, list({'rank': rank, 'doc_id': doc_id, 'score': score} ORDER BY rank) AS l FROM topk GROUP BY query_id),
+placed AS (
+  SELECT query_id, list_reduce(list_transform(l, lambda x: [x]), lambda done, one:
+    CASE WHEN len(list_filter(done, lambda h: floor(h.score - one[1].score + 0.5) <= 0)) = 0 THEN list_concat(one, done)
+         ELSE list_concat(list_concat(
+           done[1:list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END))],
+           one), done[list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END)) + 1:])
+    END) AS l FROM hits)
+"""
+
 ALL_WORDS = f"""
 aw_lists AS (SELECT query_id, {java_split_space_sql('lower(query)')} AS w FROM queries WHERE {query_is_valid_sql('query')}),
 all_words AS (SELECT query_id, unnest(w) AS word, CAST(unnest(range(0, len(w))) AS INTEGER) AS word_no FROM aw_lists),
@@ -213,17 +225,7 @@ SELECT q.query_id,
        CASE WHEN {query_is_valid_sql('q.query')} THEN 'success' ELSE 'error' END AS status,
        CAST(CASE WHEN {query_is_valid_sql('q.query')} THEN coalesce(n.n, 0) ELSE 0 END AS INTEGER) AS results_count
 FROM queries q LEFT JOIN (SELECT query_id, count(*) AS n FROM topk GROUP BY query_id) n ON n.query_id = q.query_id"""
-    # the comparator isn't transitive, so the order is that of inserting the hits one by one: each goes before the
-    # last run of hits that it compares below, found from the end
-    q["search_display_order"] = with_(BASE, free_text(), scored(), TOPK, """
-hits AS (SELECT query_id, list({'rank': rank, 'doc_id': doc_id, 'score': score} ORDER BY rank) AS l FROM topk GROUP BY query_id),
-placed AS (
-  SELECT query_id, list_reduce(list_transform(l, lambda x: [x]), lambda done, one:
-    CASE WHEN len(list_filter(done, lambda h: floor(h.score - one[1].score + 0.5) <= 0)) = 0 THEN list_concat(one, done)
-         ELSE list_concat(list_concat(
-           done[1:list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END))],
-           one), done[list_max(list_transform(range(1, len(done) + 1), lambda i: CASE WHEN floor(done[i].score - one[1].score + 0.5) <= 0 THEN i ELSE 0 END)) + 1:])
-    END) AS l FROM hits)""") + """
+    q["search_display_order"] = with_(BASE, free_text(), scored(), TOPK, PLACED) + """
 SELECT query_id, CAST(i - 1 AS INTEGER) AS display_pos, l[i].rank AS rank, l[i].doc_id AS doc_id, l[i].score AS score
 FROM (SELECT query_id, l, unnest(range(1, len(l) + 1)) AS i FROM placed)"""
     q["query_word_df"] = with_(BASE, ALL_WORDS) + "SELECT query_id, word_no, word, df, idf FROM word_idf"
@@ -386,6 +388,70 @@ merged AS (
 """
 
 
+# The fold over all fragments of a hit, one by one: a fragment goes if each term that it is the last to hold is kept already.
+BEST = """
+frag AS (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY island) AS i FROM merged),
+frag_terms AS (SELECT query_id, doc_id, i, unnest(terms) AS term FROM frag),
+last_of AS (SELECT query_id, doc_id, term, max(i) AS i FROM frag_terms GROUP BY ALL),
+owned AS (SELECT query_id, doc_id, i, list(term) AS own FROM last_of GROUP BY ALL),
+chain AS (SELECT f.*, coalesce(o.own, []) AS own FROM frag f LEFT JOIN owned o ON o.query_id = f.query_id AND o.doc_id = f.doc_id AND o.i = f.i),
+fold(query_id, doc_id, i, kept, gone) AS (
+  SELECT DISTINCT query_id, doc_id, CAST(0 AS BIGINT), []::VARCHAR[], true FROM chain
+  UNION ALL
+  SELECT c.query_id, c.doc_id, c.i, CASE WHEN list_has_all(s.kept, c.own) THEN s.kept ELSE list_distinct(list_concat(s.kept, c.terms)) END,
+         list_has_all(s.kept, c.own)
+  FROM fold s JOIN chain c ON c.query_id = s.query_id AND c.doc_id = s.doc_id AND c.i = s.i + 1),
+best AS (
+  SELECT f.*, row_number() OVER (PARTITION BY f.query_id, f.doc_id ORDER BY len(f.terms) DESC, f.start, f.i) - 1 AS rank
+  FROM frag f JOIN fold s ON s.query_id = f.query_id AND s.doc_id = f.doc_id AND s.i = f.i WHERE NOT s.gone)
+"""
+
+
+def _snippets() -> str:
+    """CTE ``snippet``(query_id, doc_id, highlight): the most central word of each term bolded where it comes first by rank."""
+    return f"""
+bw_l AS (SELECT query_id, doc_id, rank, {java_split_space_sql('text')} AS w FROM best),
+bw AS (SELECT query_id, doc_id, rank, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM bw_l),
+bwt AS (SELECT bw.query_id, doc_id, rank, p, {_first_term_sql('word')} AS term FROM bw, stop_list),
+bhit AS (SELECT b.* FROM bwt b JOIN qcl q ON q.query_id = b.query_id WHERE list_contains(q.clauses, b.term)),
+bdist AS (
+  SELECT a.query_id, a.doc_id, a.rank, a.term, a.p, sum(abs(a.p - b.p)) AS dist
+  FROM bhit a JOIN bhit b ON a.query_id = b.query_id AND a.doc_id = b.doc_id AND a.rank = b.rank GROUP BY ALL),
+central AS (SELECT * FROM bdist QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, rank, term ORDER BY dist, p) = 1),
+marks AS (SELECT query_id, doc_id, rank, list({{'t': term, 'p': p}} ORDER BY p) AS m FROM central GROUP BY ALL),
+shown AS (
+  SELECT b.query_id, b.doc_id, b.rank, b.start, b."end", b.text, b.content_length, l.w, coalesce(k.m, []) AS m FROM best b
+  JOIN bw_l l ON l.query_id = b.query_id AND l.doc_id = b.doc_id AND l.rank = b.rank
+  LEFT JOIN marks k ON k.query_id = b.query_id AND k.doc_id = b.doc_id AND k.rank = b.rank),
+bolded(query_id, doc_id, rank, done, bold) AS (
+  SELECT DISTINCT query_id, doc_id, CAST(-1 AS BIGINT), []::VARCHAR[], []::BIGINT[] FROM shown
+  UNION ALL
+  SELECT s.query_id, s.doc_id, s.rank, list_distinct(list_concat(d.done, list_transform(s.m, lambda x: x.t))),
+         list_transform(list_filter(s.m, lambda x: NOT list_contains(d.done, x.t)), lambda x: x.p)
+  FROM bolded d JOIN shown s ON s.query_id = d.query_id AND s.doc_id = d.doc_id AND s.rank = d.rank + 1),
+cut AS (
+  SELECT s.query_id, s.doc_id, s.rank, s."end", s.content_length, list_min(d.bold) AS f,
+         CASE WHEN len(d.bold) = 0 THEN s.text ELSE array_to_string(s.w[greatest(f - 1, 1):f], ' ') || array_to_string(list_transform(
+           range(f, len(s.w)), lambda p: CASE WHEN list_contains(d.bold, p) THEN ' <b>' || s.w[p + 1] || '</b> ' ELSE s.w[p + 1] || ' ' END), '') END AS text,
+         CASE WHEN f > 2 AND length(array_to_string(s.w[1:f - 2], ' ')) > 0 THEN length(array_to_string(s.w[1:f - 2], ' ')) ELSE s.start END AS start
+  FROM shown s JOIN bolded d ON d.query_id = s.query_id AND d.doc_id = s.doc_id AND d.rank = s.rank),
+ordered AS (
+  SELECT *, coalesce(bool_and(start <= 0 AND content_length <= "end") OVER (
+    PARTITION BY query_id, doc_id ORDER BY start, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS bare FROM cut),
+snippet AS (
+  SELECT query_id, doc_id, string_agg(CASE WHEN bare AND start > 0 THEN ' ... ' ELSE '' END || text ||
+    CASE WHEN content_length > "end" THEN ' ... ' ELSE '' END, '' ORDER BY start, rank) AS highlight
+  FROM ordered GROUP BY query_id, doc_id),
+highlighted AS (
+  SELECT h.query_id, h.doc_id, coalesce(s.highlight, ' ') AS highlight FROM topk h
+  LEFT JOIN snippet s ON s.query_id = h.query_id AND s.doc_id = h.doc_id)
+"""
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def highlight_sql() -> dict[str, str]:
     head = with_(BASE, free_text(), scored(), TOPK, HL)
     q = {}
@@ -401,6 +467,21 @@ cdist AS (SELECT a.query_id, a.doc_id, a.island, a.term, a.position, sum(abs(a.p
           GROUP BY a.query_id, a.doc_id, a.island, a.term, a.position)""") + """
 SELECT query_id, doc_id, island, term, CAST(position AS INTEGER) AS position FROM cdist
 QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, island, term ORDER BY dist, position) = 1"""
+    q["best_fragments"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST)) + """
+SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank, start, "end", text, terms FROM best"""
+    q["highlight"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST, _snippets())) + "SELECT query_id, doc_id, highlight FROM highlighted"
+    q["search_response"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST, _snippets(), PLACED, f"""
+answers AS (
+  SELECT p.query_id, '[' || string_agg('{{"content":' || to_json(h.highlight) || ',"fileName":' || to_json(d.file_name) || '}}', ',' ORDER BY p.i) || ']' AS results
+  FROM (SELECT query_id, l[i].doc_id AS doc_id, i FROM (SELECT query_id, l, unnest(range(1, len(l) + 1)) AS i FROM placed)) p
+  JOIN highlighted h ON h.query_id = p.query_id AND h.doc_id = p.doc_id JOIN docs d ON d.doc_id = p.doc_id GROUP BY p.query_id),
+states AS (
+  SELECT q.query_id, CASE WHEN {query_is_valid_sql('q.query')} THEN 'success' ELSE 'error' END AS status,
+         CAST(CASE WHEN {query_is_valid_sql('q.query')} THEN coalesce(n.n, 0) ELSE 0 END AS INTEGER) AS results_count
+  FROM queries q LEFT JOIN (SELECT query_id, count(*) AS n FROM topk GROUP BY query_id) n ON n.query_id = q.query_id)""")) + """
+SELECT s.query_id, status, results_count, '{"searchDetails":{"status":"' || status || '","resultsCount":"' || results_count ||
+       '"},"searchResults":' || coalesce(a.results, '[]') || '}' AS response
+FROM states s LEFT JOIN answers a ON a.query_id = s.query_id"""
     q["highlight_clauses"] = with_(BASE, free_text("bench_queries")) + \
         "SELECT query_id, list(term ORDER BY clause_no) AS clauses FROM clauses GROUP BY query_id"
     return q

@@ -15,7 +15,7 @@ def test_entry_smoke(spark):
 def test_every_key_has_sql_or_is_rows_only():
     from lectern.plans.oracle import every_sql
     from lectern.plans.registry import PLANS
-    assert set(PLANS) - set(every_sql()) <= {"best_fragments", "highlight", "search_response"}
+    assert set(PLANS) == set(every_sql())
 
 
 def _keys():
