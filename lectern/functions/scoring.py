@@ -64,11 +64,6 @@ def tf_weight(count: Column) -> Column:
 
 # --- SQL text for the DuckDB oracle -------------------------------------------
 
-def bm25_sql(tf: str, dl: str, df: str, n: str, avgdl: str, boost: str = "1.0") -> str:
-    return (f"({boost} * ln(1 + ({n} - {df} + 0.5) / ({df} + 0.5)) * "
-            f"({tf} * {BM25_K1 + 1.0} / ({tf} + {BM25_K1} * ({1.0 - BM25_B} + {BM25_B} * {dl} / {avgdl}))))")
-
-
 def quantized_length_sql(dl: str) -> str:
     m = f"({dl} - {NORM_FREE_VALUES})"
     shift = f"(length(bin({m})) - 4)"

@@ -16,14 +16,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Word pattern approximating Unicode word breaks for alphabetic scripts:
-# letters (with their combining marks) joined by an apostrophe, dot, colon or
-# middle dot; numbers joined by . , ; or an apostrophe; underscores.  It has no
-# look-around, so Java regex (Spark) and RE2 (DuckDB) read it the same way.
-TOKEN_PATTERN = r"(?:\p{L}\p{M}*(?:['’.:·]\p{L}\p{M}*)*|\p{N}(?:[.,;'’]\p{N})*|_)+"
-# The same words with possessive loops, which Java runs without recursion
-# however long the word is (nothing follows a loop that it could give back).
-SPARK_TOKEN_PATTERN = r"(?:\p{L}\p{M}*+(?:['’.:·]\p{L}\p{M}*+)*+|\p{N}(?:[.,;'’]\p{N})*+|_)++"
+# Word pattern approximating Unicode word breaks: an ideograph or Hiragana sign
+# is a token by itself, Katakana signs form runs, and so do the letters of all
+# other scripts (with their combining marks; those of Thai, Lao, Khmer and
+# Myanmar too, as the standard leaves them to dictionaries), joined by an
+# apostrophe, dot, colon or middle dot; numbers joined by . , ; or an
+# apostrophe; underscores.  It has no look-around, so Java regex (Spark) and
+# RE2 (DuckDB) read it the same way but for the names of scripts.
+ALONE = r"\p{Han}\p{Hiragana}"
+KATAKANA = r"\p{Katakana}\x{30FC}\x{FF70}\x{FF9E}\x{FF9F}"
 # Longer tokens are split after so many characters.
 MAX_TOKEN_CHARS = 255
 # Marks that follow their letter in decomposed text (the same class in Java and RE2).
@@ -53,6 +54,23 @@ CONTEXT_WORDS = 2
 MAX_HITS = 10
 # ---------------------------------------------------------------------------
 
+
+def _token_pattern(loop: str, alone: str, katakana: str, letter: str) -> str:
+    """The pattern with its loops as given: Java runs possessive ones without
+    recursion however long the word is (nothing follows a loop that it could
+    give back)."""
+    alone, katakana, letter = (rf"{c}\p{{M}}*{loop}" for c in (alone, katakana, letter))
+    number = r"\p{N}"
+    return (rf"{alone}|_*{loop}{katakana}(?:{katakana}|_)*{loop}"
+            rf"|(?:{letter}(?:['’.:·]{letter})*{loop}|{number}(?:[.,;'’]{number})*{loop}|_)+{loop}")
+
+
+TOKEN_PATTERN = _token_pattern("", f"[{ALONE}]", f"[{KATAKANA}]", rf"[^\P{{L}}{ALONE}{KATAKANA}]")
+# The same for Java: its names of scripts, plain letters and low signs decided before scripts are looked up.
+_ALONE, _KATAKANA = (c.replace(r"\p{", r"\p{Is") for c in (ALONE, KATAKANA))
+SPARK_TOKEN_PATTERN = _token_pattern("+", rf"[\x{{2E80}}-\x{{10FFFF}}&&[{_ALONE}]]", rf"[\x{{30A0}}-\x{{10FFFF}}&&[{_KATAKANA}]]",
+                                     rf"[a-zA-Z[\p{{L}}&&[^{_ALONE}{_KATAKANA}]]]")
+
 # Unicode blocks whose letters, digits and symbols fold to ASCII by rule.
 _FOLD_BLOCKS = [
     (0x00A0, 0x00FF),  # Latin-1 supplement

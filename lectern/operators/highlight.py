@@ -38,6 +38,8 @@ def let(value: Column, body) -> Column:
     higher-order functions share no common subexpressions, so a value used
     several times in a lambda is bound this way instead of repeated."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
 ELLIPSIS = " ... "
 
 
@@ -321,8 +323,12 @@ def _annotate(frag: Column, clauses: Column, stop_arr: Column, analyzer: Analyze
     return let(words0, with_words)
 
 
-def _bold(ranked: Column) -> Column:
-    """Fold over ranked fragments with the set of terms already bolded."""
+def _bold(ranked: Column, absolute_offsets: bool = False) -> Column:
+    """Fold over ranked fragments with the set of terms already bolded.
+
+    A fragment whose leading context is cut starts at the number of signs cut
+    (as the original rewrites it), or with ``absolute_offsets`` at its place in
+    the text."""
     init = F.struct(F.array().cast("array<string>").alias("checked"),
                     F.array().cast("array<struct<rank:int,start:int,end:int,text:string>>").alias("out"))
 
@@ -344,7 +350,8 @@ def _bold(ranked: Column) -> Column:
                         .otherwise(F.concat(w, F.lit(" ")))), "")
                     has = fb.isNotNull()
                     text = F.when(has, F.concat(F.array_join(kept_before, " "), tail)).otherwise(f["text"])
-                    start = F.when(has & (new_start > 0), new_start).otherwise(f["start"])
+                    moved = f["start"] + new_start if absolute_offsets else new_start
+                    start = F.when(has & (new_start > 0), moved).otherwise(f["start"])
                     out = F.struct(F.size(acc["out"]).cast("int").alias("rank"), start.cast("int").alias("start"),
                                    f["end"].cast("int").alias("end"), text.alias("text"))
                     checked = F.array_union(acc["checked"], F.transform(bold_pos, lambda p: F.get(wt, p)))
@@ -384,8 +391,11 @@ def best_fragments(merged: DataFrame) -> DataFrame:
     return g.select("query_id", "doc_id", "content_length", _best_fragments(F.col("frags")).alias("ranked"))
 
 
-def highlight_hits(hits: DataFrame, docs: DataFrame | Index, clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
-    """(query_id, doc_id, highlight): snippet per hit, ``" "`` when nothing matches."""
+def highlight_hits(hits: DataFrame, docs: DataFrame | Index, clauses: DataFrame, analyzer: Analyzer, absolute_offsets: bool = False) -> DataFrame:
+    """(query_id, doc_id, highlight): snippet per hit, ``" "`` when nothing matches.
+
+    ``absolute_offsets``: fragments are put in the order of their places in the
+    text; the original's order goes by offsets that bolding rewrites."""
     hits, contents = prepare(hits, docs)
     kwic = keyword_in_context(hits, contents, clauses, analyzer)
     # texts are cut for the fragments that can stay only
@@ -393,7 +403,7 @@ def highlight_hits(hits: DataFrame, docs: DataFrame | Index, clauses: DataFrame,
     stop = analyzer.stop_array()
     b = best.join(clauses, "query_id").crossJoin(stop)
     annotated = F.transform("ranked", lambda f: _annotate(f, F.col("clauses"), F.col("stop_arr"), analyzer))
-    out = _bold(annotated)
+    out = _bold(annotated, absolute_offsets)
     text = _assemble(out, F.col("content_length"))
     snippets = b.select("query_id", "doc_id", text.alias("highlight"))
     return hits.join(snippets, ["query_id", "doc_id"], "left").select(
