@@ -68,10 +68,10 @@ def main() -> None:
         return hl.highlight_hits(hits, idx, clauses, analyzer).collect()
 
     def boolean():
-        return rk.top_k(mt.search_clauses(fixture_clauses(spark, "boolean"), idx)).collect()
+        return rk.search_clauses_top_k(fixture_clauses(spark, "boolean"), idx).collect()
 
     def fuzzy():
-        return rk.top_k(mt.search_clauses(fixture_clauses(spark, "fuzzy"), idx)).collect()
+        return rk.search_clauses_top_k(fixture_clauses(spark, "fuzzy"), idx).collect()
 
     plan = {
         "search_topk": topk,

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.text import CONTEXT_WORDS, java_split_space, java_trim, token_array
 from .analysis import Analyzer, first_term, first_term_of_column, tokenize_offsets
 from .index import Index
-from .lookup import settled
+from .lookup import settled, written
 
 
 def let(value: Column, body) -> Column:
@@ -103,18 +103,6 @@ def prepare(hits: DataFrame, docs: DataFrame | Index) -> tuple[DataFrame, DataFr
     return h, written(hit_contents(h, docs), "hit-docs")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a small intermediate table to the shared checkpoint folder and
-    read it back (computed once, lineage cut, survives executor loss)."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _last_words(prefix: Column) -> Column:
     """Last CONTEXT_WORDS space-separated words of trim(prefix), joined."""
     return F.substring_index(java_trim(prefix), " ", -CONTEXT_WORDS)

@@ -10,12 +10,15 @@ table of more rows is left as it is and met by joins.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: Rows of a table that may go through the driver while a query is planned.
 LIMIT = 1 << 16
 #: Values that a filter names one by one, and in a set.  With more, folders alone are chosen and a join does the rest.
@@ -37,6 +40,14 @@ def settled(df: DataFrame, limit: int = LIMIT) -> tuple[DataFrame, pa.Table | No
     return local, rows
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder and read it
+    back (computed once, lineage cut, survives executor loss)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/lectern-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def column(rows: pa.Table, name: str) -> list:
     """The distinct values of a column, sorted, without nulls."""
     return sorted({v for v in rows.column(name).to_pylist() if v is not None})

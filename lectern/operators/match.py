@@ -325,14 +325,23 @@ def combine(clauses: DataFrame, matches: DataFrame) -> DataFrame:
     A purely negative query has no hits.  ``clauses`` are the effective ones;
     ``matches`` has a row for each clause and document at most."""
     req, _ = settled(clauses.groupBy("query_id").agg(F.count_if(F.col("occur") == "must").alias("n_must")))
+    fits = held(F.col("must_hit"), F.col("should_hit"), F.col("excluded"))
+    return clause_counts(matches).join(req, "query_id").where(fits).select("query_id", "doc_id", "score")
+
+
+def clause_counts(matches: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score, must_hit, should_hit, excluded) of each document that some clause matches."""
     wanted = F.col("occur") != "must_not"
-    docs = matches.groupBy("query_id", "doc_id").agg(
+    return matches.groupBy("query_id", "doc_id").agg(
         F.sum(F.when(wanted, F.col("score"))).alias("score"),
         F.count_if(F.col("occur") == "must").alias("must_hit"),
         F.count_if(F.col("occur") == "should").alias("should_hit"),
         F.count_if(~wanted).alias("excluded"))
-    held = (F.col("excluded") == 0) & (F.col("must_hit") == F.col("n_must")) & ((F.col("n_must") > 0) | (F.col("should_hit") > 0))
-    return docs.join(req, "query_id").where(held).select("query_id", "doc_id", "score")
+
+
+def held(must_hit: Column, should_hit: Column, excluded: Column) -> Column:
+    """A document with these numbers of matching clauses is a hit of a query with ``n_must`` must clauses."""
+    return (excluded == 0) & (must_hit == F.col("n_must")) & ((F.col("n_must") > 0) | (should_hit > 0))
 
 
 def match_all_matches(clauses: DataFrame, index: Index) -> DataFrame:

@@ -12,7 +12,9 @@ from ..functions.querysyntax import query_is_valid
 from ..functions.text import token_array
 from .analysis import Analyzer, analyze_tokens
 from .index import Index
-from .match import free_text_clauses, query_status, query_words, term_matches, word_terms
+from .lookup import column, settled, written
+from .match import (checked, clause_counts, clause_terms, effective_clauses, free_text_clauses, held, match_clauses, query_status, query_words,
+                    search_clauses, term_matches, word_terms)
 
 
 def bm25_scores(clauses: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
@@ -32,6 +34,54 @@ def top_k(scores: DataFrame, k: int = MAX_HITS) -> DataFrame:
     return ranked.select("query_id", "rank", "doc_id", round_score(F.col("score")).alias("score"))
 
 
+#: Documents to a range of ids, on average.
+RANGE_DOCS = 1024
+
+
+def search_clauses_top_k(clauses: DataFrame, index: Index, k: int = MAX_HITS, quantized: bool = False,
+                         max_expansions: int | None = None) -> DataFrame:
+    """Clause table -> top-k hits (query_id, rank, doc_id, score).
+
+    As ``top_k(search_clauses(...))``, but ``*:*`` clauses aren't paired with
+    every document: the documents that another clause matches are scored one
+    by one, the rest of the corpus all have one score and come in order of
+    their ids.  So the first ``k`` of the rest are looked for in the first
+    ``k`` ranges of ids that other clauses don't fill wholly, at any ``k``."""
+    clauses, rows = settled(checked(clauses))
+    if rows is not None and "all" not in column(rows, "kind"):
+        return top_k(search_clauses(clauses, index, quantized, max_expansions), k)
+    occur = F.col("occur")
+    whole = clauses.where("kind = 'all'").groupBy("query_id").agg(
+        F.sum(F.when(occur != "must_not", F.col("boost"))).alias("all_score"), F.count_if(occur == "must").alias("all_must"),
+        F.count_if(occur == "should").alias("all_should"), F.count_if(occur == "must_not").alias("all_not"))
+    rest = clauses.where("kind <> 'all'")
+    terms, _ = settled(clause_terms(rest, index.analyzer))
+    req = effective_clauses(clauses, terms).groupBy("query_id").agg(F.count_if(occur == "must").alias("n_must"))
+    plan, _ = settled(req.join(whole, "query_id", "left").na.fill(0, ["all_must", "all_should", "all_not"]))
+    touched = written(clause_counts(match_clauses(rest, terms, index, quantized, max_expansions)), "matches")
+    found = touched.join(plan, "query_id").where(held(F.col("must_hit") + F.col("all_must"), F.col("should_hit") + F.col("all_should"), F.col("excluded") + F.col("all_not")))
+    found = found.select("query_id", "doc_id", (F.coalesce("score", F.lit(0.0)) + F.coalesce("all_score", F.lit(0.0))).alias("score"))
+
+    # the rest: queries that a document without any other match fits
+    open_ = plan.where(F.col("all_score").isNotNull() & held(F.col("all_must"), F.col("all_should"), F.col("all_not"))).select("query_id", "all_score")
+    n, least, largest = index.docs.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
+    if not n:
+        return top_k(found, k)
+    width = max(1, (largest - least + 1) * RANGE_DOCS // n)
+    place = F.floor((F.col("doc_id") - least) / width).cast("long")
+    sizes = index.docs.groupBy(place.alias("range")).agg(F.count("*").alias("n"))
+    met = touched.join(open_, "query_id", "left_semi").groupBy("query_id", place.alias("range")).agg(F.count("*").alias("t"))
+    full = written(met.join(sizes, "range").where("t = n").select("query_id", "range"), "full-ranges")
+    filled = full.groupBy("query_id").agg(F.count("*").alias("filled"))
+    most = filled.agg(F.max("filled")).first()[0] or 0
+    first = sizes.orderBy("range").limit(k + most).select("range", F.row_number().over(Window.orderBy("range")).alias("r"))
+    tried = open_.join(filled, "query_id", "left").select("query_id", "all_score", F.explode(F.sequence(F.lit(1), F.lit(k) + F.coalesce("filled", F.lit(0)))).alias("r"))
+    free = tried.join(first, "r").join(full, ["query_id", "range"], "left_anti")
+    free = free.withColumn("i", F.row_number().over(Window.partitionBy("query_id").orderBy("range"))).where(F.col("i") <= k)
+    others = index.docs.select("doc_id", place.alias("range")).join(free, "range").join(touched.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+    return top_k(found.unionByName(others.select("query_id", "doc_id", F.col("all_score").alias("score"))), k)
+
+
 def search_free_text(queries: DataFrame, index: Index, k: int = MAX_HITS, quantized: bool = False) -> DataFrame:
     """Free-text queries -> top-k hits (query_id, rank, doc_id, score)."""
     clauses = free_text_clauses(queries, index.analyzer)

@@ -193,8 +193,7 @@ def search_display_order(spark, sf_dir):
 def _clause_search(group: str):
     def plan(spark, sf_dir):
         idx = _index(spark, sf_dir)
-        hits = mt.search_clauses(fixture_clauses(spark, group), idx)
-        return rk.top_k(hits)
+        return rk.search_clauses_top_k(fixture_clauses(spark, group), idx)
     plan.__name__ = f"match_{group}"
     return plan
 
