@@ -359,6 +359,16 @@ def clause_terms(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     return analyze_tokens(toks, analyzer).select(*own, "term").unionByName(exact.select(*own, "term"))
 
 
+def settled_terms(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
+    """:func:`clause_terms`, without any work for a small batch that has no term clause."""
+    _, rows = settled(clauses)
+    if rows is not None and not any(r["kind"] in TERM_KINDS and r["field"] == "content" for r in rows.to_pylist()):
+        none = pa.table({"query_id": pa.array([], pa.int64()), "clause_no": pa.array([], pa.int64()), "occur": pa.array([], pa.string()),
+                         "kind": pa.array([], pa.string()), "boost": pa.array([], pa.float64()), "term": pa.array([], pa.string())})
+        return settled(clauses.sparkSession.createDataFrame(none))[0]
+    return settled(clause_terms(clauses, analyzer))[0]
+
+
 def match_clauses(clauses: DataFrame, terms: DataFrame, index: Index, quantized: bool = False,
                   max_expansions: int | None = None) -> DataFrame:
     """(query_id, clause_no, occur, doc_id, score) for every clause kind, a row
@@ -368,11 +378,11 @@ def match_clauses(clauses: DataFrame, terms: DataFrame, index: Index, quantized:
     rows = settled(clauses)[1]
     has = lambda *kinds: rows is None or any(r["kind"] in kinds for r in rows.to_pylist())
     parts = []
-    if has(*TERM_KINDS):
+    if settled(terms)[1] is None or settled(terms)[1].num_rows:
         # dealt by query and document once: the sums of a clause, and those of all clauses after it, are made in place
         dealt = term_matches(terms, index, quantized).repartition("query_id", "doc_id")
         parts.append(dealt.groupBy("query_id", "clause_no", "occur", "doc_id").agg(F.sum("score").alias("score")))
-        parts.append(field_matches(clauses, index))
+    parts.append(field_matches(clauses, index) if has(*TERM_KINDS) else None)
     parts.append(multiterm_matches(clauses, index, quantized, max_expansions) if has("fuzzy", *SORTED_KINDS, *PATTERN_KINDS) else None)
     parts.append(match_all_matches(clauses, index) if has("all") else None)
     parts = [p for p in parts if p is not None]
@@ -384,5 +394,5 @@ def match_clauses(clauses: DataFrame, terms: DataFrame, index: Index, quantized:
 def search_clauses(clauses: DataFrame, index: Index, quantized: bool = False, max_expansions: int | None = None) -> DataFrame:
     """Clause table -> (query_id, doc_id, score) of all matching documents."""
     clauses, _ = settled(checked(clauses))
-    terms, _ = settled(clause_terms(clauses, index.analyzer))
+    terms = settled_terms(clauses, index.analyzer)
     return combine(effective_clauses(clauses, terms), match_clauses(clauses, terms, index, quantized, max_expansions))

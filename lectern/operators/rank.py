@@ -13,8 +13,8 @@ from ..functions.text import token_array
 from .analysis import Analyzer, analyze_tokens
 from .index import Index
 from .lookup import column, settled, written
-from .match import (checked, clause_counts, clause_terms, effective_clauses, free_text_clauses, held, match_clauses, query_status, query_words,
-                    search_clauses, term_matches, word_terms)
+from .match import (checked, clause_counts, effective_clauses, free_text_clauses, held, match_clauses, query_status, query_words,
+                    search_clauses, settled_terms, term_matches, word_terms)
 
 
 def bm25_scores(clauses: DataFrame, index: Index, quantized: bool = False) -> DataFrame:
@@ -55,7 +55,7 @@ def search_clauses_top_k(clauses: DataFrame, index: Index, k: int = MAX_HITS, qu
         F.sum(F.when(occur != "must_not", F.col("boost"))).alias("all_score"), F.count_if(occur == "must").alias("all_must"),
         F.count_if(occur == "should").alias("all_should"), F.count_if(occur == "must_not").alias("all_not"))
     rest = clauses.where("kind <> 'all'")
-    terms, _ = settled(clause_terms(rest, index.analyzer))
+    terms = settled_terms(rest, index.analyzer)
     req = effective_clauses(clauses, terms).groupBy("query_id").agg(F.count_if(occur == "must").alias("n_must"))
     plan, _ = settled(req.join(whole, "query_id", "left").na.fill(0, ["all_must", "all_should", "all_not"]))
     touched = written(clause_counts(match_clauses(rest, terms, index, quantized, max_expansions)), "matches")
