@@ -117,6 +117,12 @@ def html_to_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(unescaped(t), WHITESPACE_RUN, " "))
 
 
+# UTF-16 in hexadecimal, either order of bytes: units outside the surrogates, or a high and a low one.
+_ANY, _UNIT, _HIGH, _LOW = "[0-9A-F]{2}", "(?:[0-9A-CEF][0-9A-F]|D[0-7])", "D[89AB]", "D[C-F]"
+UTF16_BE = f"^(?:{_UNIT}{_ANY}|{_HIGH}{_ANY}{_LOW}{_ANY})*+$"
+UTF16_LE = f"^(?:{_ANY}{_UNIT}|{_ANY}{_HIGH}{_ANY}{_LOW})*+$"
+
+
 def decoded_bytes(content: Column) -> Column:
     """Text of a file's bytes: by its byte-order mark, as UTF-8, or as Latin-1
     where the first 1024 bytes declare it; null where none of these fits."""
@@ -124,7 +130,7 @@ def decoded_bytes(content: Column) -> Column:
     text = content.cast("string")
     declared = F.decode(F.substring(content, 1, 1024), "ISO-8859-1").rlike(r"(?i)(?:charset|encoding)\s*=\s*[\"']?\s*(?:iso-8859-1|latin-?1|windows-1252|us-ascii)")
     return F.when(start == "EFBBBF", F.substring(content, F.lit(4), F.greatest(F.octet_length(content) - 3, F.lit(0))).cast("string")).when(
-        start.startswith("FEFF") | start.startswith("FFFE"), F.decode(content, "UTF-16")).when(
+        start.startswith("FEFF") & F.hex(content).rlike(UTF16_BE) | start.startswith("FFFE") & F.hex(content).rlike(UTF16_LE), F.decode(content, "UTF-16")).when(
         F.is_valid_utf8(text), text).when(declared, F.decode(content, "ISO-8859-1"))
 
 

@@ -44,6 +44,7 @@ def test_pages_leave_no_reference_names(spark):
 
 def test_bytes(spark):
     cases = [("ţară".encode(), "ţară"), (b"\xef\xbb\xbfmark", "mark"), ("ţa".encode("utf-16"), "ţa"), (b"\xfe\xff\x00a\x00b", "ab"), (b"<meta charset=iso-8859-1>caf\xe9", "<meta charset=iso-8859-1>café"),
-             (b"broken \xff", None), (b"", "")]
+             (b"broken \xff", None), (b"", ""),
+             (b"\xff\xfe odd number", None), ("\U0001f600é".encode("utf-16"), "\U0001f600é"), (b"\xfe\xff\xd8\x00\x00a", None), (b"\xff\xfe", "")]
     df = spark.createDataFrame([(k, bytearray(b)) for k, (b, _) in enumerate(cases)], "k int, v binary")
     assert [r.x for r in df.select("k", decoded_bytes(F.col("v")).alias("x")).orderBy("k").collect()] == [want for _, want in cases]
