@@ -2,21 +2,28 @@
 
 A line's key is the line without ASCII white space at both ends and with A-Z
 lower-cased.  :class:`LineRuns` keeps what it knows of the keys as sorted runs
-in levels: each new batch is reduced to one row per key, merge-anti-joined
-with the runs (which tells the keys never seen before) and added as a run of
-its own; ``fan`` runs of a level are compacted into one run of the next.
+in levels.  Each new batch is reduced to one row per key and merge-joined with
+the runs: a key that no run has (the anti-join) is inserted with its own
+count, a key that is known is written with the total so far.  The batch's rows
+are a run of level 0; ``fan`` runs of a level are compacted into one run of
+the next, where the newest total of a key replaces the older ones.
 
 :func:`dedup_lines` then drops every line whose key at least ``min_docs``
-documents hold, except in the document with the largest id.
+documents hold, except in the document with the largest id.  The keys to drop
+are read off the runs: those with a total of ``min_docs``, a filter that goes
+down to the Parquet scan.
 
 Defined cases: a null or empty text is one empty line; a repeated row counts
 as one more document; rows with a null id are kept whole and are not counted;
 an empty table gives an empty result.  Other columns are ignored, so clashing
-names do no harm.
+names do no harm.  A line that most documents hold is one row in a run, and
+its holders meet it in a broadcast join (see :func:`_holders`).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -28,6 +35,7 @@ from lectern.llm.common import Scratch
 SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
 KEY = ["k1", "k2"]
+HOT = 4096
 
 
 def keys_of(text: bytes | None, min_chars: int) -> list[bytes | None]:
@@ -67,29 +75,27 @@ def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 
 class LineRuns:
-    """Runs of (k1, k2, n: documents, last: largest id, fresh: first record of its key)."""
+    """Sorted runs of (k1, k2, n, last): how many documents had the key up to then, and their largest id.
+
+    Both only grow, so of a key's records the newest is the one with the
+    largest values.
+    """
 
-    def __init__(self, scratch: Scratch, fan: int = 4):
+    def __init__(self, scratch: Scratch, fan: int = 2):
         self.scratch, self.fan = scratch, fan
         self.levels: list[list[DataFrame]] = [[]]
 
-    def runs(self) -> DataFrame | None:
-        every = [run for level in self.levels for run in level]
-        out = every[0] if every else None
-        for run in every[1:]:
-            out = out.unionByName(run)
-        return out
+    def runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Adds the (k1, k2, doc) rows of one batch; returns its run, where ``fresh`` marks the new keys."""
+        """Adds the (k1, k2, doc) rows of one batch; returns its run."""
         own = batch.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc").alias("last"))
-        known = self.runs()
-        if known is None:
-            own = own.withColumn("fresh", F.lit(True))
-        else:
-            # the anti-join, with the rows that do match kept as counts to add: each key has one fresh record
-            seen = known.where("fresh").select(*KEY, F.lit(True).alias("seen"))
-            own = own.join(seen, KEY, "left").select(*KEY, "n", "last", F.col("seen").isNull().alias("fresh"))
+        if self.runs():
+            # a merge join, as the runs grow with the corpus; a key meets a record per run at most
+            known = _union(self.runs()).select(*KEY, F.col("n").alias("had"), F.col("last").alias("before")).hint("merge")
+            own = (own.join(known, KEY, "left").groupBy(*KEY)
+                   .agg((F.max("n") + F.coalesce(F.max("had"), F.lit(0))).alias("n"), F.greatest(F.max("last"), F.max("before")).alias("last")))
         run = self.scratch.keep(own.sortWithinPartitions(*KEY), "run")
         self._place(run, 0)
         return run
@@ -100,29 +106,49 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) == self.fan:
             old, self.levels[level] = self.levels[level], []
-            both = old[0]
-            for other in old[1:]:
-                both = both.unionByName(other)
-            merged = self.scratch.keep(self._merge(both).sortWithinPartitions(*KEY), f"level{level + 1}")
+            merged = self.scratch.keep(_newest(_union(old)).sortWithinPartitions(*KEY), f"level{level + 1}")
             for one in old:
                 self.scratch.drop(one)
             self._place(merged, level + 1)
 
-    @staticmethod
-    def _merge(runs: DataFrame) -> DataFrame:
-        return runs.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.max("fresh").alias("fresh"))
+    def held_by(self, least: int) -> DataFrame:
+        """(k1, k2, n, last) of the keys that at least ``least`` documents hold."""
+        # a key's newest total is its largest: older records may fall to the filter, the newest does not
+        return _newest(_union([run.where(F.col("n") >= least) for run in self.runs()]))
+
+
+def _union(runs: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, runs)
 
-    def merged(self) -> DataFrame:
-        """One row per key over all batches."""
-        return self._merge(self.runs())
+
+def _newest(records: DataFrame) -> DataFrame:
+    return records.groupBy(*KEY).agg(F.max("n").alias("n"), F.max("last").alias("last"))
+
+
+def _holders(keys: DataFrame, common: DataFrame) -> DataFrame:
+    """(k1, k2, doc, last): the rows of ``keys`` whose key is common.
+
+    Keys with more than 1 / ``HOT`` of all rows are fewer than ``HOT``, at any
+    size, and are broadcast; so no key with a larger share goes into the
+    shuffle of the rest.
+    """
+    limit = keys.count() // HOT
+    hot = common.where(F.col("n") > limit).select(*KEY, F.col("last").alias("hot_last"))
+    rest = common.where(F.col("n") <= limit).select(*KEY, "last")
+    told = keys.select(*KEY, "doc").join(F.broadcast(hot), KEY, "left")
+    return (told.where("hot_last is not null").withColumnRenamed("hot_last", "last")
+            .unionByName(told.where("hot_last is null").drop("hot_last").join(rest.hint("merge"), KEY)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_chars: int = MIN_CHARS,
-                min_docs: int = MIN_DOCS, batches: int = 3, fan: int = 4) -> DataFrame:
+                min_docs: int = MIN_DOCS, batches: int = 5, fan: int = 2) -> DataFrame:
     """``docs`` with ``text_col`` rewritten, plus n_lines and n_dropped.
 
     ``batches``: the table is dealt into so many batches by a hash of the id,
-    as they would arrive over time; the result doesn't depend on it.
+    as they would arrive over time; the result doesn't depend on it.  A fixed
+    number, so that the runs are read equally often per row at every size;
+    five batches at a fan of two are compacted into levels 1 and 2 and leave
+    a run of level 0 beside them.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -131,10 +157,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     index = LineRuns(scratch, fan)
     for b in range(batches):
         index.add(keys.where(F.col("batch") == b).select(*KEY, "doc"))
-    common = scratch.keep(index.merged().where(F.col("n") >= min_docs).select(*KEY, "last"), "common")
-    gone = (keys.select(*KEY, "doc").join(common, KEY).where("doc <> last")
+    common = scratch.keep(index.held_by(min_docs), "common")
+    gone = (_holders(keys, common).where("doc <> last")
             .groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("gone")))
     gone = scratch.keep(gone, "gone")
+    for done in (keys, common, *index.runs()):
+        scratch.drop(done)
     return _rewrite(docs, gone, id_col, text_col, min_chars)
 
 
