@@ -6,8 +6,10 @@ each document's words are scanned window by window in one pass, hits are
 verified word by word, and the hit words or whole documents are removed.
 
 The set is broadcast only while the benchmark's words stay under
-``max_words``; a larger benchmark is dealt into blocks of that size and
-every block scans the documents, so no item is left out.
+``max_words``; a larger benchmark is dealt into blocks of that size.  Each
+block scans the documents and its hits are written before the next block is
+read, so neither the driver nor a task ever holds more than one block (about
+90 bytes a word, and its distinct words once), and no item is left out.
 
 Defined cases: a null text or item has no words; repeated benchmark rows and
 repeated item ids count once; a null item id is written as an empty string;
@@ -17,7 +19,6 @@ repeated documents are handled row by row; empty tables give no hits.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.llm.common import Scratch
+
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")  # after lower-casing: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ as UTF-8 bytes
-N, MAX_WORDS = 10, 4_000_000
+N, MAX_WORDS = 10, 2_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,46 +39,67 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 @dataclass
 class Windows:
-    """The windows of some items: word numbers, sorted hashes by window length, items by window."""
+    """The windows of some items: word numbers, and per window length a :class:`Grams`."""
 
     numbers: dict[bytes, int]
-    hashes: dict[int, np.ndarray]
-    items: dict[tuple, tuple]
+    names: list[str]
+    grams: dict[int, Grams]
 
     @classmethod
     def of(cls, items: list[tuple[str, bytes | None]], n: int) -> Windows:
         numbers: dict[bytes, int] = {}
-        found: dict[tuple, set] = {}
+        names: dict[str, int] = {}
+        texts: dict[int, list[tuple[int, np.ndarray]]] = {}
         for item, text in items:
-            ids = [numbers.setdefault(w, len(numbers)) for w in words_of(text)]
-            for at in range(max(1, len(ids) - n + 1) if ids else 0):
-                found.setdefault(tuple(ids[at:at + n]), set()).add(item)
-        hashes = {}
-        for size in {len(w) for w in found}:
-            rows = np.array([w for w in found if len(w) == size], dtype=np.int64)
-            hashes[size] = np.unique(_hash(rows.ravel(), size)[::size])
-        return cls(numbers, hashes, {w: tuple(x) for w, x in found.items()})
+            ids = np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], dtype=np.int32)
+            if len(ids):
+                texts.setdefault(min(n, len(ids)), []).append((names.setdefault(item, len(names)), ids))
+        return cls(numbers, list(names), {size: Grams.of(own, size) for size, own in texts.items()})
 
     def scan(self, numbers: np.ndarray) -> tuple[np.ndarray, set]:
         """Which words lie inside an occurrence, and the items that occur."""
         hit, items = np.zeros(len(numbers), dtype=bool), set()
         known = numbers >= 0
-        for size, hashes in self.hashes.items():
+        for size, grams in self.grams.items():
             if len(numbers) < size:
                 continue
             ahead = np.concatenate(([0], np.cumsum(known)))
             full = np.flatnonzero(ahead[size:] - ahead[:-size] == size)  # windows of known words only
             if not len(full):
                 continue
-            candidates = full[np.isin(_hash(numbers, size)[full], hashes, kind="sort")]
-            for at in candidates.tolist():
-                owners = self.items.get(tuple(numbers[at:at + size].tolist()))
-                if owners is not None:
+            hashes = _hash(numbers, size)[full]
+            first, last = np.searchsorted(grams.hashes, hashes, "left"), np.searchsorted(grams.hashes, hashes, "right")
+            for k in np.flatnonzero(first < last).tolist():
+                at = int(full[k])
+                owners = grams.owners_of(numbers[at:at + size], first[k], last[k])
+                if len(owners):
                     hit[at:at + size] = True
-                    items.update(owners)
+                    items.update(self.names[x] for x in owners.tolist())
         return hit, items
 
 
+@dataclass
+class Grams:
+    """Windows of one length, a row for each window and item: sorted hashes, words and the item's number."""
+
+    hashes: np.ndarray
+    words: np.ndarray
+    owners: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[tuple[int, np.ndarray]], size: int) -> Grams:
+        hashes = np.concatenate([_hash(ids, size) for _, ids in texts])
+        words = np.concatenate([np.lib.stride_tricks.sliding_window_view(ids, size) for _, ids in texts])
+        owners = np.concatenate([np.full(len(ids) - size + 1, item, dtype=np.int32) for item, ids in texts])
+        order = np.argsort(hashes, kind="stable")
+        return cls(hashes[order], words[order], owners[order])
+
+    def owners_of(self, window: np.ndarray, first: int, last: int) -> np.ndarray:
+        """The items, among the rows of one hash, whose words are these."""
+        same = (self.words[first:last] == window).all(axis=1)
+        return np.unique(self.owners[first:last][same])
+
+
 def _hash(numbers: np.ndarray, size: int) -> np.ndarray:
     """A hash of each window of ``size`` numbers."""
     x = numbers.astype(np.uint64) + np.uint64(1)
@@ -85,14 +109,16 @@ def _hash(numbers: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, max_words: int) -> Iterator[list[tuple[str, bytes | None]]]:
-    """The items in blocks of at most about ``max_words`` words (one item at least)."""
-    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).cast("string").alias("t")).distinct()
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    n_blocks = chars // (2 * max_words) + 1  # a word and its gap take two characters at least
-    for b in range(n_blocks):
-        part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b)
-        yield [(r["i"], None if r["t"] is None else r["t"].encode()) for r in part.collect()]
+def _block_number(items: DataFrame, max_words: int) -> int:
+    """How many blocks of about ``max_words`` words the items make: a word and its gap take two characters at least."""
+    return (items.agg(F.sum(F.length("t"))).first()[0] or 0) // (2 * max_words) + 1
+
+
+def _block(items: DataFrame, b: int, n_blocks: int, n: int):
+    """The broadcast windows of one block."""
+    part = items if n_blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b)
+    rows = [(r["i"], None if r["t"] is None else r["t"].encode()) for r in part.collect()]
+    return items.sparkSession.sparkContext.broadcast(Windows.of(rows, n))
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
@@ -107,12 +133,21 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     packed = docs.select(F.struct(*own).alias("__row"), F.col(text_col).cast("string").alias("__text"), F.lit(None).cast("array<int>").alias("__hit"), F.array().cast("array<string>").alias("items"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"))
     fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in packed.schema["__row"].dataType)
     schema = f"__row struct<{fields}>, __text string, __hit array<int>, items array<string>, n_words long, n_hit long"
-    sets = [docs.sparkSession.sparkContext.broadcast(Windows.of(b, n)) for b in _blocks(benchmark, item_col, item_text, max_words)]
-    for held in sets[:-1]:
-        packed = packed.mapInArrow(_scan(held), schema)
-    packed = packed.mapInArrow(_scan(sets[-1], cut=remove_spans), schema)
-    for held in sets[:-1] if remove_spans else []:
-        packed = packed.mapInArrow(_cut_again(held), schema)
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("string").alias("t")).distinct()
+    n_blocks = _block_number(items, max_words)
+    passes = [(b, False) for b in range(n_blocks - 1)] + [(n_blocks - 1, remove_spans)]
+    if remove_spans:  # a cut may make a window of another block
+        passes += [(b, None) for b in range(n_blocks - 1)]
+    scratch, written = Scratch(docs.sparkSession, "benchmark"), None
+    for k, (b, cut) in enumerate(passes):
+        held = _block(items, b, n_blocks, n)
+        packed = packed.mapInArrow(_cut_again(held) if cut is None else _scan(held, cut), schema)
+        if k < len(passes) - 1:
+            packed = scratch.keep(packed, "scanned")
+            held.destroy()  # nothing reads it any more: its rows are written
+            if written is not None:
+                scratch.drop(written)
+            written = packed
     columns = [F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in own]
     return packed.select(*columns, "n_words", "n_hit", "items")
 

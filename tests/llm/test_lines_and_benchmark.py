@@ -28,18 +28,35 @@ def test_line_runs_do_not_depend_on_batches(documents):
     assert sorted(one.collect()) == sorted(many.collect())
 
 
-def test_runs_mark_each_key_fresh_once(spark):
+def test_runs_hold_totals(spark):
     from lectern.llm.common import Scratch
 
     runs = ld.LineRuns(Scratch(spark, "test"), fan=2)
     rng = random.Random(1)
-    rows = [(rng.randrange(20), 0, k) for k in range(200)]
+    rows = [(rng.randrange(20), 0, k) for k in range(100)] + [(100 + k, 0, k) for k in range(100)]
+    told = {}
     for b in range(5):
-        runs.add(spark.createDataFrame([r for r in rows if r[2] % 5 == b], "k1 long, k2 long, doc long"))
-    got = {r.k1: (r.n, r.last, r.fresh) for r in runs.merged().collect()}
-    assert got == {k: (sum(r[0] == k for r in rows), max(r[2] for r in rows if r[0] == k), True) for k in {r[0] for r in rows}}
-    fresh = [r.k1 for level in runs.levels for run in level for r in run.where("fresh").collect()]
-    assert len(fresh) == len(set(fresh))
+        batch = [r for r in rows if r[2] % 5 == b]
+        run = runs.add(spark.createDataFrame(batch, "k1 long, k2 long, doc long"))
+        for k, _, doc in batch:
+            n, last = told.get(k, (0, -1))
+            told[k] = (n + 1, max(last, doc))
+        got = {r.k1: (r.n, r.last) for r in run.collect()} if b not in (1, 3) else None  # compacted at once: the run is gone
+        assert got is None or got == {k: told[k] for k in {r[0] for r in batch}}
+    assert [len(level) for level in runs.levels] == [1, 0, 1]  # two compactions into level 1, one into level 2
+    assert {r.k1: (r.n, r.last) for r in runs.held_by(1).collect()} == told
+    assert {r.k1: (r.n, r.last) for r in runs.held_by(4).collect()} == {k: v for k, v in told.items() if v[0] >= 4}
+
+
+def test_a_line_that_all_documents_hold(spark, monkeypatch):
+    rows = [(k, f"{LONG}\n{LONG} {k % 7} of seven\nown {k}") for k in range(70)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (1, 5, 4096):  # no, some and all keys go through the broadcast
+        monkeypatch.setattr(ld, "HOT", hot)
+        out = {r.doc_id: r for r in ld.dedup_lines(table).collect()}
+        for k in range(70):
+            assert out[k].n_dropped == (k < 69) + (k < 63)
+            assert out[k].text.split("\n")[-1] == f"own {k}"
 
 
 def test_line_dedup_edges(edge, clashing, empty):
