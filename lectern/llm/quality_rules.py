@@ -5,16 +5,24 @@ row, without a shuffle.  For the texts that pass the base rules, a minimum-
 covariance-determinant estimate per language and source is found by
 concentration steps: from medians and deviations, the closest 75 % of a
 group's rows give its mean and covariance, these give new distances, and so
-on; a last estimate is made of all rows within the 97.5 % distance.  A row is
-kept if its squared Mahalanobis distance is at most ``CUTOFF``.
+on until no group's determinant falls any more (``SETTLED``, at most
+``STEPS`` steps); a last estimate is made of all rows within the 97.5 %
+distance.  A row is kept if its squared Mahalanobis distance is at most
+``CUTOFF``.
+
+Shares are taken to the arc sine of their root, so that the step from 0 to
+10 % counts as much as the step from 30 to 45 %.  Each statistic can reject a
+text alone: against a group whose texts have none, that takes about 8 % of
+symbols, 41 % of words in repeated windows, or 41 % of duplicate lines
+(counted against ``MORE_LINES`` lines more than there are).
 
 Quantiles come of counts of values in fixed steps, so one hot group is summed
 up in many tasks and no group is ever held in one.
 
 Defined cases: a null or empty text has no words and fails the base rules; a
-null language or source is a group of its own; repeated rows are rows; in
-small groups the covariance shrinks towards its floor (``FLOORS``), which is
-added at every size.
+null language or source is a group of its own; repeated rows are rows; a group
+of n rows takes n / (n + 6) of its own covariance and the rest from the mean
+variances within all groups, so a row alone in its group is kept.
 """
 
 from __future__ import annotations
@@ -27,13 +35,17 @@ from pyspark.sql import functions as F
 from lectern.llm.common import Scratch, join_groups
 
 GAP = r"[\x20\x09-\x0D]"
-STEPS, CORE = 3, 0.75
+STEPS, SETTLED, CORE = 12, 0.001, 0.75
 # chi-square constants for five statistics: factors that undo the cut at 75 % and at 97.5 %, and the 97.5 % limit
 CORE_FACTOR, FINAL_FACTOR, FINAL_LIMIT = 1.412, 1.056, 12.833
 CUTOFF = 30.86  # the 99.999 % quantile
-# least standard deviation of each transformed statistic
-FLOORS = {"size": 0.3, "length": 0.05, "symbols": 0.4, "lines": 0.5, "repeats": 0.8}
-NAMES, PRIOR = list(FLOORS), 20.0
+# least standard deviation of each transformed statistic, given the ones before it: about what chance
+# gives a text of 50 words, and more for lines and repeats, as a repeated passage counts in both
+FLOORS = {"size": 0.1, "length": 0.05, "symbols": 0.05, "lines": 0.125, "repeats": 0.125}
+NAMES = list(FLOORS)
+PRIOR = len(NAMES) + 1.0
+# a share of few lines is drawn towards none: duplicate lines are counted against so many lines more
+MORE_LINES = 10
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -64,31 +76,37 @@ def _repeat_words(words: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    """``docs`` plus n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines, n_repeat_words, base_failed."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    counted = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
     counts = let(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)),
                  lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("r")))
-    out = docs.withColumn("__counts", counts)
+    out = docs.withColumn("__counts", counts).withColumn("__lines", counted)
     out = out.withColumns({
         "n_words": F.col("__counts.n").cast("long"),
         "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+        "n_lines": F.col("__lines.n").cast("long"),
+        "n_dup_lines": F.col("__lines.dup").cast("long"),
         "n_repeat_words": F.col("__counts.r").cast("long"),
-    }).drop("__counts")
+    }).drop("__counts", "__lines")
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def statistics() -> dict[str, Column]:
     """The transformed statistics of a text that passes the base rules."""
     n = F.col("n_words")
+
+    def share(part: str, whole: Column) -> Column:
+        return F.asin(F.sqrt(F.least(F.col(part) / whole, F.lit(1.0))))
+
     return {
         "size": F.log(n),
         "length": F.log(F.col("word_chars") / n),
-        "symbols": F.log1p(100 * F.col("n_symbols") / n),
-        "lines": F.log1p(F.col("n_dup_lines").cast("double")),
-        "repeats": F.log1p(100 * F.col("n_repeat_words") / n),
+        "symbols": share("n_symbols", F.col("word_chars")),
+        "lines": share("n_dup_lines", F.col("n_lines") + MORE_LINES),
+        "repeats": share("n_repeat_words", n),
     }
 
 
@@ -122,19 +140,30 @@ def _core(rows: DataFrame) -> DataFrame:
 
 
 def _estimate(rows: DataFrame, factor: float) -> DataFrame:
-    """(group, m_<name>, l<i><j>: the covariance's lower triangular root) of the rows, with the floor."""
+    """(group, m_<name>, l<i><j>: the covariance's lower triangular root, logdet) of the rows."""
     p = range(len(NAMES))
     sums = rows.groupBy("group").agg(F.count("*").alias("n"), *(F.avg(c).alias(f"m_{c}") for c in NAMES),
                                      *(F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i in p for j in p if j <= i))
-    cov = sums.select("group", *(f"m_{c}" for c in NAMES), *(
-        (F.col("n") / (F.col("n") + PRIOR) * factor * F.col(f"c{i}{j}") + (FLOORS[NAMES[i]] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in p for j in p if j <= i))
+    # one row: the mean variances within the groups
+    within = sums.agg(*((F.sum(F.col("n") * F.col(f"c{i}{i}")) / F.sum("n")).alias(f"w{i}") for i in p))
+    share = F.col("n") / (F.col("n") + PRIOR)
+    cov = sums.crossJoin(F.broadcast(within)).select("group", *(f"m_{c}" for c in NAMES), *(
+        (factor * (share * F.col(f"c{i}{j}") + ((1 - share) * F.col(f"w{i}") if i == j else 0.0))).alias(f"c{i}{j}") for i in p for j in p if j <= i))
     for i in p:  # Cholesky, a row of the root at a time
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            cov = cov.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
-    return cov.drop(*(f"c{i}{j}" for i in p for j in p if j <= i))
+            root = F.sqrt(F.greatest(rest, F.lit(FLOORS[NAMES[i]] ** 2))) if i == j else rest / F.col(f"l{j}{j}")
+            cov = cov.withColumn(f"l{i}{j}", root)
+    logdet = sum((2 * F.log(f"l{i}{i}") for i in p), F.lit(0.0))
+    return cov.withColumn("logdet", logdet).drop(*(f"c{i}{j}" for i in p for j in p if j <= i))
+
+
+def _fall(before: DataFrame, after: DataFrame) -> float:
+    """By how much the logarithm of a group's determinant fell at most."""
+    both = before.select("group", F.col("logdet").alias("was")).join(after.select("group", "logdet"), "group")
+    return both.agg(F.max(F.col("was") - F.col("logdet"))).first()[0] or 0.0
 
 
 def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
@@ -161,7 +190,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counted = base_counts(narrow).drop("text").withColumn("group", F.coalesce(F.to_json("g"), F.lit("{}"))).drop("g")
     counted = scratch.keep(counted, "counts")
     passed = counted.where(~F.col("base_failed"))
-    rows = passed.select("doc", "group", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *(c.alias(k) for k, c in statistics().items()))
+    rows = passed.select("doc", "group", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", *(c.alias(k) for k, c in statistics().items()))
     start = _medians(rows)
     first = join_groups(rows, start, ["group"])
     d2 = F.lit(0.0)
@@ -169,9 +198,13 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         z = (F.col(c) - F.col(f"m_{c}")) / F.col(f"s_{c}")
         d2 = d2 + z * z
     now = first.select(*rows.columns, d2.alias("d2"))
+    before = None
     for _ in range(steps):
         estimate = scratch.keep(_estimate(_core(now), CORE_FACTOR), "core")
         now = _distances(rows, estimate)
+        if before is not None and _fall(before, estimate) < SETTLED:
+            break
+        before = estimate
     estimate = scratch.keep(_estimate(now.where(F.col("d2") <= FINAL_LIMIT), FINAL_FACTOR), "final")
     judged = _distances(rows, estimate).drop(*NAMES, "group").withColumn("base_failed", F.lit(False))
     failed = counted.where("base_failed").drop("group").withColumn("d2", F.lit(None).cast("double"))
