@@ -6,10 +6,13 @@ fill level that minimises the sum over levels of the squared number of
 partially filled windows.  The level array holds that number per fill level
 (0 to the window length) and the windows themselves hang below it.
 
-At most ``max_open`` windows stay open in a task.  When the limit is reached
-or the task's documents end, open windows are closed: their pieces are laid
-end to end and cut into full windows, and the last remainder into sequences
-whose lengths are powers of two, which need no padding.
+At most ``max_open`` windows and ``max_held_tokens`` tokens stay open in a
+task.  When a limit is reached the fuller half of the windows is closed, and
+when the task's documents end, all are: a window stays as the rule filled it,
+and its gap is filled with pieces of the emptiest windows, cut to size
+(:func:`top_up`); the last remainder is cut into sequences whose lengths are
+powers of two, which need no padding.  Both limits bound a task's memory and
+change which documents share a window, never which ids are packed.
 
 Defined cases: null and empty texts are the end-of-document id alone;
 repeated rows and null ids are packed row by row; an empty table gives none.
@@ -89,17 +92,39 @@ class LevelArray:
 
     def close(self, keep: int = 0) -> list[list[Piece]]:
         """Closes all but the ``keep`` emptiest windows without any padding."""
-        out, loose = [], []
+        out, partial = [], []
         for level in sorted(self.held, reverse=True):
             while self.held[level] and self.open > keep:
                 window = self.held[level].pop()
                 self.count[level] -= 1
                 self.open -= 1
-                if level & (level - 1):
-                    loose += window
-                else:
-                    out.append(window)
-        return out + relay(loose, self.window)
+                (partial if level & (level - 1) else out).append(window)
+        return out + top_up(partial, self.window)
+
+
+def top_up(windows: list[list[Piece]], window: int) -> list[list[Piece]]:
+    """Partial windows, fullest first, filled with the pieces of the emptiest ones."""
+    out, loose, last = [], [], len(windows) - 1
+    for k, pieces in enumerate(windows):
+        if k > last:
+            break
+        gap = window - sum(len(p.ids) for p in pieces)
+        full = list(pieces)
+        while gap:
+            if not loose:
+                if last == k:
+                    break
+                loose = windows[last][::-1]
+                last -= 1
+            head, rest = loose.pop().cut(gap)
+            full.append(head)
+            gap -= len(head.ids)
+            if len(rest.ids):
+                loose.append(rest)
+        if gap:  # the last one, with nothing left to fill it
+            return out + relay(full, window)
+        out.append(full)
+    return out + relay(loose[::-1], window)
 
 
 def relay(pieces: list[Piece], window: int) -> list[list[Piece]]:

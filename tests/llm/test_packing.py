@@ -89,3 +89,28 @@ def test_pack_edges(edge, clashing, empty, plain):
     assert check(packing.pack(edge, PATH).collect(), edge_rows(), plain) < 0.01
     assert packing.pack(clashing, PATH).count() >= edge.count()
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_closing_keeps_windows_as_filled():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 7, 300):
+        levels, given, full = packing.LevelArray(64), {}, []
+        for doc in range(n):
+            ids = rng.integers(2, 99, rng.integers(1, 64)).astype("<u4")
+            given[doc] = ids
+            full += [done] if (done := levels.place(packing.Piece(doc, 0, ids, len(ids)))) else []
+        open_tokens = sum(len(p.ids) for held in levels.held.values() for w in held for p in w)
+        closed = levels.close()
+        back = {}
+        for window in full + closed:
+            size = sum(len(p.ids) for p in window)
+            assert 0 < size <= 64 and not size & (size - 1)
+            for p in window:
+                back.setdefault(p.doc, []).append(p)
+        for doc, ids in given.items():
+            own = sorted(back[doc], key=lambda p: p.start)
+            assert [p.start for p in own] == np.cumsum([0] + [len(p.ids) for p in own])[:-1].tolist()
+            assert np.array_equal(np.concatenate([p.ids for p in own]), ids)
+        cut = sum(len(p.ids) for window in closed for p in window if len(p.ids) < p.doc_tokens)
+        assert n < 300 or cut < 0.15 * open_tokens
+        assert levels.open == 0 and not levels.count[1:].any()
