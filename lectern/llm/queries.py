@@ -100,15 +100,26 @@ WITH t(k, licence, text) AS (VALUES %TEMPLATES%),
 tc AS (SELECT k, licence, term, count(*) AS c FROM (SELECT k, licence, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM documents),
 held AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+'))) AS term FROM documents),
-df AS (SELECT term, count(*) AS df FROM held WHERE term IN (SELECT term FROM tc) GROUP BY term),
-idf AS (SELECT DISTINCT tc.term, ln(1 + (1 + n.n) / (1 + coalesce(df.df, 0))) AS w FROM n, tc LEFT JOIN df ON df.term = tc.term),
-tv AS (SELECT k, licence, term, c * w AS x FROM tc JOIN idf USING (term)),
-tn AS (SELECT k, sqrt(sum(x * x)) AS size FROM tv GROUP BY k),
-lines AS (SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)))) AS said FROM documents WHERE text IS NOT NULL),
-tf AS (SELECT doc_id, said, term, count(*) AS tf FROM (SELECT doc_id, said, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS term FROM lines) GROUP BY ALL),
-size AS (SELECT doc_id, said, sqrt(sum(pow(tf * coalesce(w, ln(2 + n.n)), 2))) AS size FROM n, tf LEFT JOIN idf ON idf.term = tf.term GROUP BY ALL),
-dots AS (SELECT doc_id, said, k, licence, sum(tf.tf * idf.w * tv.x) AS dot FROM tf JOIN idf ON idf.term = tf.term JOIN tv ON tv.term = tf.term GROUP BY ALL),
-scored AS (SELECT d.doc_id, d.licence, round(d.dot / s.size / tn.size, 6) AS score FROM dots d JOIN size s ON s.doc_id = d.doc_id AND s.said = d.said JOIN tn ON tn.k = d.k),
+idf AS (SELECT term, ln(1 + (1 + n.n) / (1 + count(*))) AS w FROM n, held GROUP BY term, n.n),
+tv AS (SELECT k, licence, term, c * coalesce(w, ln(2 + n.n)) AS x FROM n, tc LEFT JOIN idf USING (term)),
+tn AS (SELECT k, licence, sqrt(sum(x * x)) AS size, (SELECT sum(c) FROM tc WHERE tc.k = tv.k) AS words FROM tv GROUP BY k, licence),
+likely AS (SELECT doc_id, k FROM held JOIN tv USING (term) JOIN tn USING (k) GROUP BY doc_id, k, size HAVING sum(x * x) >= 0.489 * size * size),
+said AS (
+  SELECT doc_id, unnest(ws) AS term, generate_subscripts(ws, 1) AS spot, len(ws) AS n
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS ws FROM documents WHERE doc_id IN (SELECT doc_id FROM likely))),
+placed_words AS (
+  SELECT l.k, s.doc_id, s.spot, s.n, s.term, tn.words, idf.w, coalesce(tv.x, 0) / tn.size * idf.w AS x
+  FROM likely l JOIN said s USING (doc_id) JOIN tn ON tn.k = l.k JOIN idf ON idf.term = s.term LEFT JOIN tv ON tv.k = l.k AND tv.term = s.term),
+runs AS (
+  SELECT k, doc_id, spot, words FROM (
+    SELECT k, doc_id, spot, n, words, sum(x) OVER run AS dot, sum(w * w) OVER run AS least FROM placed_words
+    WINDOW run AS (PARTITION BY k, doc_id ORDER BY spot ROWS BETWEEN CURRENT ROW AND words - 1 FOLLOWING))
+  WHERE spot <= greatest(n - words, 0) + 1 AND dot >= 0.69 * sqrt(least)),
+tf AS (
+  SELECT r.k, r.doc_id, r.spot, p.term, count(*) AS tf, any_value(p.w) AS w, any_value(p.x) AS x
+  FROM runs r JOIN placed_words p ON p.k = r.k AND p.doc_id = r.doc_id AND p.spot >= r.spot AND p.spot < r.spot + r.words GROUP BY ALL),
+scored AS (
+  SELECT doc_id, licence, round(sum(tf * x) / sqrt(sum(pow(tf * w, 2))), 6) AS score FROM tf JOIN tn USING (k) GROUP BY k, licence, doc_id, spot),
 own AS (SELECT doc_id, licence, score FROM scored WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
 files AS (
   SELECT doc_id, (doc_id // 1000)::VARCHAR || '/' || CASE WHEN doc_id % 100 = 0 THEN 'LICENSE.' || doc_id
