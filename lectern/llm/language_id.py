@@ -10,8 +10,12 @@ fitted by expectation maximisation (forward-backward expected piece counts) on
 at most ``train_docs`` labelled documents a language, chosen by a hash of the
 id; every document is scored over its whole text.
 
-A sign outside of the vocabulary is one unknown piece; runs of more than
-``LONGEST`` letters are scored in parts of that length.
+A sign outside of the vocabulary is one unknown piece.  Words of any length
+are summed over all their segmentations: those of ``LONGEST`` signs or more
+one by one in logarithms, which can't underflow, with time in proportion to
+their length and memory for the longest piece only (training keeps a number
+for each sign); shorter ones many at a time.  The result doesn't depend on
+``LONGEST``.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 documents with a null language or id are not learned from; without any
@@ -28,12 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import Scratch
 
 TRAIN_DOCS, ROUNDS, LONGEST, SMOOTHING = 1500, 3, 32, 0.02
+STEP = 4096  # words scored at a time
 RUN = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 
@@ -51,6 +57,49 @@ class Vocabulary:
         self.unknown = len(wanted)
         self.size = len(wanted) + 1
         self.prefixes = {p[:k] for p in wanted for k in range(1, len(p) + 1)}
+        self.longest = max(map(len, wanted))
+
+    def pieces(self, word: str, i: int) -> list[tuple[int, int]]:
+        """(length, number) of the pieces of a word that start at sign ``i``, an unknown one included."""
+        found, known = [], False
+        for size in range(1, min(self.longest, len(word) - i) + 1):
+            part = word[i:i + size]
+            if part not in self.prefixes:
+                break
+            piece = self.number.get(part)
+            if piece is not None:
+                known = known or size == 1
+                found.append((size, piece))
+        return found if known else [(1, self.unknown), *found]
+
+    def forward_long(self, word: str, logs: np.ndarray) -> np.ndarray:
+        """log of the sum over all segmentations of one word of any length, (languages); ``logs``: (pieces, languages)."""
+        ring = self.longest + 1
+        alpha = np.full((ring, logs.shape[1]), -np.inf)
+        alpha[0] = 0
+        for i in range(len(word)):
+            here = alpha[i % ring].copy()
+            alpha[i % ring] = -np.inf
+            for size, piece in self.pieces(word, i):
+                at = (i + size) % ring
+                alpha[at] = np.logaddexp(alpha[at], here + logs[piece])
+        return alpha[len(word) % ring]
+
+    def expected_long(self, word: str, lang: int, times: int, logs: np.ndarray, out: np.ndarray) -> None:
+        """Adds the expected piece counts of one word of any length to ``out``."""
+        n, log = len(word), logs[:, lang]
+        beta = np.full(n + 1, -np.inf)
+        beta[n] = 0
+        for i in reversed(range(n)):
+            for size, piece in self.pieces(word, i):
+                beta[i] = np.logaddexp(beta[i], log[piece] + beta[i + size])
+        alpha = np.full(n + 1, -np.inf)
+        alpha[0] = 0
+        for i in range(n):
+            for size, piece in self.pieces(word, i):
+                path = alpha[i] + log[piece]
+                alpha[i + size] = np.logaddexp(alpha[i + size], path)
+                out[piece, lang] += times * np.exp(path + beta[i + size] - beta[0])
 
     def lattice(self, words: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """All pieces in all words: (end, length, word numbers, piece numbers), by end; a word occurs once in each."""
@@ -110,14 +159,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def words_of(text: str | None) -> list[str]:
-    """The text's marked words, in parts of at most LONGEST signs."""
-    out = []
-    for run in RUN.findall((text or "").lower()):
-        if len(run) < LONGEST:
-            out.append(run)
-        else:
-            out += [run[k:k + LONGEST - 1] for k in range(0, len(run), LONGEST - 1)]
-    return out
+    """The text's words: its runs of letters, lower-cased."""
+    return RUN.findall((text or "").lower())
 
 
 def _word_counts(docs: DataFrame, n_langs: int) -> DataFrame:
@@ -137,9 +180,15 @@ def _expected(counts: DataFrame, path: str, probs: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(held.value)
+        logs = np.log(held.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
+            words, langs, times = (batch.column(c) for c in ("word", "lang", "times"))
+            for w, lang, n in zip(words.to_pylist(), langs.to_pylist(), times.to_pylist()):
+                if len(w) >= LONGEST:
+                    vocabulary(path).expected_long(MARK + w, lang, n, logs, total)
+            short = batch.filter(pc.less(pc.utf8_length(words), LONGEST))
+            for at in range(0, short.num_rows, STEP):
+                part = short.slice(at, STEP)
                 total += vocabulary(path).expected([MARK + w for w in part.column("word").to_pylist()], part.column("lang").to_numpy(), part.column("times").to_numpy(), held.value)
         pieces, langs = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pieces), pa.array(langs), pa.array(total[pieces, langs])], names=["piece", "lang", "c"])
@@ -174,10 +223,11 @@ def train(docs: DataFrame, path: str, *, train_docs: int = TRAIN_DOCS, rounds: i
 
 
 class Scorer:
-    """Sums of word scores; the scores of up to ``limit`` words are kept."""
+    """Sums of word scores; the scores of up to ``limit`` words under LONGEST signs are kept."""
 
     def __init__(self, path: str, probs: np.ndarray, limit: int = 300_000):
         self.vocabulary, self.probs, self.limit = vocabulary(path), probs, limit
+        self.logs = np.log(probs)
         self._clear()
 
     def _clear(self):
@@ -187,14 +237,16 @@ class Scorer:
     def learn(self, words: list[str]) -> None:
         new = [w for w in words if any(map(str.isalpha, w))]
         self.number.update(dict.fromkeys(words, 0))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
+        for at in range(0, len(new), STEP):
+            part = new[at:at + STEP]
             self.number.update(zip(part, range(len(self.scores), len(self.scores) + len(part))))
             self.scores = np.concatenate((self.scores, self.vocabulary.forward([MARK + w for w in part], self.probs)))
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(log-likelihoods, has a letter) of each text."""
         words = [words_of(t) for t in texts]
+        long = [[w for w in ws if len(w) >= LONGEST] for ws in words]
+        words = [[w for w in ws if len(w) < LONGEST] if cut else ws for ws, cut in zip(words, long)]
         new = {w for ws in words for w in ws if w not in self.number}
         if len(self.number) + len(new) > self.limit:
             self._clear()
@@ -206,6 +258,9 @@ class Scorer:
             at = np.fromiter(map(self.number.__getitem__, ws), dtype=np.int64, count=len(ws))
             out[k] = self.scores[at].sum(axis=0)
             letters[k] = (at > 0).any()
+            for w, n in Counter(w for w in long[k] if any(map(str.isalpha, w))).items():
+                out[k] += n * self.vocabulary.forward_long(MARK + w, self.logs)
+                letters[k] = True
         return out, letters
 
 

@@ -47,6 +47,41 @@ def test_expected_counts_are_the_gradient():
         assert math.isclose(3 * slope, counts[piece, 0], rel_tol=1e-3, abs_tol=1e-6)
 
 
+def test_words_of_any_length(monkeypatch):
+    """One by one in logarithms or many at a time: the same sums and counts, whatever the limit between the two."""
+    v = li.vocabulary(PATH)
+    probs = np.random.default_rng(3).dirichlet(np.ones(v.size), 2).T
+    logs = np.log(probs)
+    words = ["▁nation", "▁日本語の本", "▁a", "▁donaudampfschifffahrtsgesellschaft"]
+    assert np.allclose([v.forward_long(w, logs) for w in words], v.forward(words, probs))
+    assert np.allclose(v.forward_long("▁nation", logs), np.log(split_sum(v, "▁nation", probs)))
+    for w in words:
+        out = np.zeros_like(probs)
+        v.expected_long(w, 1, 3, logs, out)
+        assert np.allclose(out, v.expected([w], np.array([1]), np.array([3]), probs))
+    texts = ["a donaudampfschifffahrt on the donau", "日本語の本" * 20 + " and 123", "1_2", None]
+    want, letters = li.Scorer(PATH, probs).totals(texts)
+    monkeypatch.setattr(li, "LONGEST", 4)
+    some, same = li.Scorer(PATH, probs).totals(texts)
+    assert np.allclose(some, want) and letters.tolist() == same.tolist() == [True, True, False, False]
+
+
+def test_a_run_too_long_for_a_product():
+    """No underflow, and a whole run isn't the sum of its parts: pieces lie over every place."""
+    v = li.vocabulary(PATH)
+    probs = np.random.default_rng(4).dirichlet(np.ones(v.size), 2).T
+    run = "internationale" * 2000
+    got = v.forward_long("▁" + run, np.log(probs))
+    assert np.isfinite(got).all() and (got < -10_000).all()
+    assert not np.allclose(got, sum(v.forward_long("▁" + run[k:k + 31], np.log(probs)) for k in range(0, len(run), 31)))
+
+
+def test_long_runs_are_learned_from_and_told(spark):
+    rows = [(k, "日本語の本を読む" * 12, "ja") if k % 2 else (k, "the people of this country read books", "en") for k in range(40)]
+    got = {r.doc: (r.lang_pred, r.score) for r in li.identify(spark.createDataFrame([*rows, (40, "語の本" * 200, None)], "doc_id long, text string, lang string"), PATH).collect()}
+    assert all(got[k][0] == lang for k, _, lang in rows) and got[40][0] == "ja" and got[40][1] > 0.99
+
+
 def test_language_query(query, documents):
     langs = {r.doc_id: r.lang for r in documents.collect()}
     rows = query("op3_language_id")
