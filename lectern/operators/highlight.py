@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CONTEXT_WORDS, java_split_space, java_trim, token_array
-from .analysis import Analyzer, first_term, first_term_of_column, tokenize_offsets
+from .analysis import Analyzer, analyze_tokens, first_term, first_term_of_column, tokenize_offsets
 from .index import Index
 from .lookup import settled, written
 
@@ -55,31 +55,31 @@ def query_clauses(clause_terms: DataFrame) -> DataFrame:
 def render_clauses(clauses: DataFrame, analyzer: Analyzer) -> DataFrame:
     """(query_id, clauses ARRAY<STRING>) for a clause table, written the way
     the query prints: bare analysed terms for plain should clauses, decorated
-    text (+t, -t, t^2.0, t*, t~2, /re/, [a TO b], field:t, *:*) otherwise."""
-    toks = clauses.select("*", F.posexplode_outer(token_array(F.col("term"))).alias("token_no", "token"))
-    toks = toks.withColumn("aterm", analyzer.normalize(F.col("token")))
-    boost = F.when(F.col("boost") != 1.0, F.concat(F.lit("^"), F.col("boost").cast("string"))).otherwise(F.lit(""))
-    prefix = F.when(F.col("occur") == "must", F.lit("+")).when(F.col("occur") == "must_not", F.lit("-")).otherwise(F.lit(""))
-    kind = F.col("kind")
+    text (+t, -t, (t)^2.0, t*, t~2, /re/, [a TO b], field:t, *:*) otherwise.
+
+    Words of term clauses on the content are analysed, and stop words left
+    out, as in the search; other terms stand as given."""
+    analysed = (F.col("kind") == "term") & (F.col("field") == "content")
+    toks = clauses.where(analysed).select("*", F.posexplode(token_array(F.col("term"))).alias("token_no", "token"))
+    cols = ["query_id", "clause_no", "token_no", "occur", "field", "kind", "term", "term2", "boost"]
+    rows = analyze_tokens(toks, analyzer).select(cols).unionByName(clauses.where(~analysed).withColumn("token_no", F.lit(0)).select(cols))
+    kind, term = F.col("kind"), F.col("term")
+    bounds = F.concat(F.coalesce(term, F.lit("*")), F.lit(" TO "), F.coalesce(F.col("term2"), F.lit("*")))
     body = (
-        F.when((kind == "term") & (F.col("field") == "content"), F.col("aterm"))
-        .when(kind == "term", F.concat(F.col("field"), F.lit(":"), F.col("aterm")))
-        .when(kind == "prefix", F.concat(F.col("term"), F.lit("*")))
-        .when(kind == "wildcard", F.col("term"))
-        .when(kind == "fuzzy", F.concat(F.col("term"), F.lit("~"), F.coalesce(F.col("term2"), F.lit("2"))))
-        .when(kind == "regexp", F.concat(F.lit("/"), F.col("term"), F.lit("/")))
-        .when(kind == "range", F.concat(F.lit("["), F.coalesce(F.col("term"), F.lit("*")), F.lit(" TO "),
-                                        F.coalesce(F.col("term2"), F.lit("*")), F.lit("]")))
-        .when(kind == "range_exclusive", F.concat(F.lit("{"), F.coalesce(F.col("term"), F.lit("*")), F.lit(" TO "),
-                                                  F.coalesce(F.col("term2"), F.lit("*")), F.lit("}")))
+        F.when(kind == "prefix", F.concat(term, F.lit("*")))
+        .when(kind == "fuzzy", F.concat(term, F.lit("~"), F.coalesce(F.col("term2"), F.lit("2"))))
+        .when(kind == "regexp", F.concat(F.lit("/"), term, F.lit("/")))
+        .when(kind == "range", F.concat(F.lit("["), bounds, F.lit("]")))
+        .when(kind == "range_exclusive", F.concat(F.lit("{"), bounds, F.lit("}")))
         .when(kind == "all", F.lit("*:*"))
+        .otherwise(term)  # term, exact, wildcard
     )
-    text = F.concat(prefix, body, boost)
-    rows = toks.where(F.col("aterm").isNotNull() | (kind != "term")).select(
-        "query_id", "clause_no", F.coalesce(F.col("token_no"), F.lit(0)).alias("token_no"), text.alias("txt"))
-    agg = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("clause_no", "token_no", "txt"))).alias("cs"))
-    words = F.flatten(F.transform("cs", lambda x: F.split(x["txt"], " ")))
-    return agg.select("query_id", words.alias("clauses"))
+    body = F.when((F.col("field") == "content") | (kind == "all"), body).otherwise(F.concat("field", F.lit(":"), body))
+    body = F.when(F.col("boost") != 1.0, F.concat(F.lit("("), body, F.lit(")^"), F.col("boost").cast("string"))).otherwise(body)
+    sign = F.when(F.col("occur") == "must", "+").when(F.col("occur") == "must_not", "-").otherwise("")
+    printed = rows.select("query_id", "clause_no", "token_no", F.concat(sign, body).alias("txt")).where(F.col("txt").isNotNull())
+    agg = printed.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("clause_no", "token_no", "txt"))).alias("cs"))
+    return agg.select("query_id", F.flatten(F.transform("cs", lambda x: F.split(x["txt"], " "))).alias("clauses"))
 
 
 # --- keyword in context ------------------------------------------------------------

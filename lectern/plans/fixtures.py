@@ -89,6 +89,9 @@ FIXTURE_CLAUSES = {
 }
 # ---------------------------------------------------------------------------
 
+# The groups whose hits get snippets.
+SNIPPET_GROUPS = ["boolean", "boosted", "wildcard", "regexp", "range", "field"]
+
 CLAUSE_DDL = ("query_id long, clause_no long, occur string, field string, kind string, "
               "term string, term2 string, boost double")
 

@@ -11,7 +11,7 @@ from ..functions.scoring import BM25_B, BM25_K1, quantized_length_sql
 from ..functions.stem import stem_ctes
 from ..functions.text import (MAX_HITS, TOKEN_PATTERN, java_split_space_sql, normalize_term_sql, sql_str,
                               strip_accents_sql, token_array_sql)
-from .fixtures import FIXTURE_CLAUSES, FIXTURE_QUERIES, FIXTURE_STOPWORDS
+from .fixtures import FIXTURE_CLAUSES, FIXTURE_QUERIES, FIXTURE_STOPWORDS, SNIPPET_GROUPS
 
 P = sql_str(TOKEN_PATTERN)
 
@@ -243,12 +243,12 @@ def edit_distance_sql(a: str, b: str) -> str:
     return f"damerau_levenshtein({a}, {b})"
 
 
-def clause_search_sql(group: str) -> str:
-    """Clause table -> top-k, the boolean combination written in SQL."""
-    cl = _values(FIXTURE_CLAUSES[group], "query_id, clause_no, occur, field, kind, term, term2, boost")
+def clause_search_ctes(rows: list[tuple]) -> str:
+    """Clause table -> scores, the boolean combination written in SQL."""
+    cl = _values(rows, "query_id, clause_no, occur, field, kind, term, term2, boost")
     dist = edit_distance_sql("c.term", "v.term")
     like = "replace(replace(regexp_replace(c.term, '([%_\\\\])', '\\\\\\1', 'g'), '*', '%'), '?', '_')"
-    body = f"""
+    return f"""
 cl AS (SELECT CAST(query_id AS BIGINT) AS query_id, CAST(clause_no AS INTEGER) AS clause_no, occur, field, kind,
               term, term2, CAST(boost AS DOUBLE) AS boost FROM {cl}),
 ct_l AS (SELECT query_id, clause_no, occur, boost, {token_array_sql('term')} AS t FROM cl
@@ -318,7 +318,32 @@ scores AS (
   WHERE p.must_hit = r.n_must AND (r.n_must > 0 OR p.should_hit > 0)
     AND NOT EXISTS (SELECT 1 FROM excl e WHERE e.query_id = p.query_id AND e.doc_id = p.doc_id))
 """
-    return with_(BASE, body, TOPK) + "SELECT query_id, rank, doc_id, score FROM topk"
+
+
+def clause_search_sql(group: str) -> str:
+    return with_(BASE, clause_search_ctes(FIXTURE_CLAUSES[group]), TOPK) + "SELECT query_id, rank, doc_id, score FROM topk"
+
+
+# How a clause table prints, word by word; ``clauses`` as the snippets' SQL reads it.
+PRINTED = """
+printed AS (
+  SELECT query_id, clause_no, 0 AS token_no, occur, boost, CASE WHEN kind <> 'all' AND field <> 'content' THEN field || ':' ELSE '' END || CASE kind
+      WHEN 'prefix' THEN term || '*' WHEN 'fuzzy' THEN term || '~' || coalesce(term2, '2') WHEN 'regexp' THEN '/' || term || '/'
+      WHEN 'range' THEN '[' || coalesce(term, '*') || ' TO ' || coalesce(term2, '*') || ']'
+      WHEN 'range_exclusive' THEN '{' || coalesce(term, '*') || ' TO ' || coalesce(term2, '*') || '}'
+      WHEN 'all' THEN '*:*' ELSE term END AS body
+  FROM cl WHERE kind <> 'term' OR field <> 'content'
+  UNION ALL
+  SELECT query_id, clause_no, token_no, occur, boost, term FROM (
+    SELECT query_id, clause_no, occur, boost, unnest(t) AS token, unnest(range(0, len(t))) AS token_no FROM ct_l) JOIN (
+    SELECT token, %NORM% AS term FROM (SELECT DISTINCT token FROM ct_u)) USING (token) WHERE term NOT IN (SELECT word FROM stopset)),
+clause_words AS (
+  SELECT query_id, clause_no, token_no, string_split(CASE occur WHEN 'must' THEN '+' WHEN 'must_not' THEN '-' ELSE '' END ||
+    CASE WHEN boost <> 1 THEN '(' || body || ')^' || CAST(boost AS VARCHAR) ELSE body END, ' ') AS w FROM printed),
+clauses AS (
+  SELECT query_id, (clause_no * 4096 + token_no) * 4096 + place AS clause_no, word AS term
+  FROM (SELECT query_id, clause_no, token_no, unnest(w) AS word, unnest(range(0, len(w))) AS place FROM clause_words))
+""".replace("%NORM%", norm("token"))
 
 
 CLAUSE_KEYS = {
@@ -470,6 +495,9 @@ QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, island, term ORDER BY
     q["best_fragments"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST)) + """
 SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank, start, "end", text, terms FROM best"""
     q["highlight"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST, _snippets())) + "SELECT query_id, doc_id, highlight FROM highlighted"
+    rows = [row for group in SNIPPET_GROUPS for row in FIXTURE_CLAUSES[group]]
+    q["highlight_clause_table"] = recursive(with_(BASE, clause_search_ctes(rows), TOPK, PRINTED, HL, BEST, _snippets())) + \
+        "SELECT query_id, doc_id, highlight FROM highlighted"
     q["search_response"] = recursive(with_(BASE, free_text(), scored(), TOPK, HL, BEST, _snippets(), PLACED, f"""
 answers AS (
   SELECT p.query_id, '[' || string_agg('{{"content":' || to_json(h.highlight) || ',"fileName":' || to_json(d.file_name) || '}}', ',' ORDER BY p.i) || ']' AS results

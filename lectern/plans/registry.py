@@ -18,7 +18,7 @@ from ..operators import response as rs
 from ..operators.lookup import settled
 from ..sources import documents as src
 from ..sources import index_store as store
-from .fixtures import benchmark_queries, fixture_analyzer, fixture_clauses, fixture_docs, fixture_queries
+from .fixtures import SNIPPET_GROUPS, benchmark_queries, fixture_analyzer, fixture_clauses, fixture_docs, fixture_queries
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -287,8 +287,24 @@ def highlight(spark, sf_dir):
     return hl.highlight_hits(hits, idx, clauses, idx.analyzer)
 
 
+def _printed_clauses(spark):
+    rows = fixture_clauses(spark, SNIPPET_GROUPS[0])
+    for group in SNIPPET_GROUPS[1:]:
+        rows = rows.unionByName(fixture_clauses(spark, group))
+    return rows
+
+
+def highlight_clause_table(spark, sf_dir):
+    """Snippets of the hits of clause tables: only clauses that print as bare terms are looked for."""
+    idx = _index(spark, sf_dir)
+    clauses = _printed_clauses(spark)
+    hits = rk.search_clauses_top_k(clauses, idx)
+    return hl.highlight_hits(hits, idx, hl.render_clauses(clauses, idx.analyzer), idx.analyzer)
+
+
 PLANS.update({
     "highlight_clauses": highlight_clauses,
+    "highlight_clause_table": highlight_clause_table,
     "keyword_in_context": keyword_in_context,
     "merge_fragments": merge_fragments,
     "central_term_positions": central_term_positions,

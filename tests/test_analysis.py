@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lectern.operators.analysis import Analyzer, analyze, first_term_of_words, stopword_set, tokenize_offsets
+from lectern.operators.analysis import Analyzer, analyze, first_term_of_words, read_stopwords, stopword_set, tokenize_offsets
 
 
 def _docs(spark, texts):
@@ -39,3 +39,13 @@ def test_first_term_of_word(spark):
     stop = stopword_set(spark.createDataFrame([("la",)], "word string"))
     rows = first_term_of_words(_docs(spark, ["la Ora-şul  x."]), Analyzer(stopwords=stop)).orderBy("word_no").collect()
     assert [(r.word, r.term) for r in rows] == [("la", ""), ("Ora-şul", "ora"), ("", ""), ("x.", "x")]
+
+
+def test_stopwords_of_a_file(spark, tmp_path):
+    """One word per line, repeated ones once; the analyser drops each word with and without marks."""
+    path = tmp_path / "stop.txt"
+    path.write_text("și\nîn\nla\nla\npână\n", encoding="utf-8")
+    words = read_stopwords(spark, str(path))
+    assert sorted(r.word for r in words.collect()) == sorted({"și", "si", "în", "in", "la", "până", "pana"})
+    docs = spark.createDataFrame([(1, "La noi ÎN sat, și Pana la râu")], "doc_id long, content string")
+    assert [r.term for r in analyze(docs, Analyzer(stopwords=words)).orderBy("token_no").collect()] == ["noi", "sat", "rau"]

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators import highlight as hl
 from lectern.operators import match as mt
-from lectern.operators.analysis import Analyzer
+from lectern.operators.analysis import Analyzer, stopword_set
 
 GOLDENS = [
     ("H1", "alfa beta gama delta epsilon zeta", "delta", " ... beta gama <b>delta</b> epsilon zeta "),
@@ -43,6 +43,17 @@ def test_decorated_clauses_never_match(spark):
     assert hl.highlight_hits(hits, docs, rc, an).first().highlight == " "
 
 
+def test_printed_clauses(spark):
+    an = Analyzer(stopwords=stopword_set(spark.createDataFrame([("the",)], "word string")))
+    rows = [("should", "content", "term", "Alfă-beta the", None, 1.0), ("should", "content", "term", "gama", None, 2.0), ("must_not", "content", "prefix", "De", None, 1.0),
+            ("should", "fileName", "term", "A.txt", None, 1.0), ("must", "path", "wildcard", "a/?", None, 0.5), ("should", "content", "range", None, "z", 1.0),
+            ("should", "content", "range_exclusive", "a", "b", 1.0), ("should", "content", "fuzzy", "epsilon", None, 1.0), ("should", "content", "regexp", "a.b", None, 1.0),
+            ("must", "content", "all", None, None, 1.0), ("should", "content", "exact", "zeta", None, 1.0), ("should", "content", "term", "the", None, 1.0)]
+    cl = spark.createDataFrame([(0, k, *r) for k, r in enumerate(rows)], mt.CLAUSE_SCHEMA)
+    assert hl.render_clauses(cl, an).first().clauses == [
+        "alfa", "beta", "(gama)^2.0", "-De*", "fileName:A.txt", "+(path:a/?)^0.5", "[*", "TO", "z]", "{a", "TO", "b}", "epsilon~2", "/a.b/", "+*:*", "zeta"]
+
+
 def test_redundant_fragment_fold(spark):
     frags = [(i, 10 * i, 10 * i + 5, f"t{i}", t) for i, t in enumerate([["a"], ["a", "b"], ["b", "c"], ["c"]])]
     df = spark.createDataFrame([(0, 0, 100, frags)],
