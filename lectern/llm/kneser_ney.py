@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,6 +144,20 @@ class Model:
         return bits, settled
 
 
+class Cached:
+    """Models by number, as the columns of their entries; a task's process puts the tables together
+    when it first needs them, so that the driver holds and sends no more than the columns."""
+
+    def __init__(self, columns: list[np.ndarray], complete: dict[int, bool]):
+        self.columns, self.complete, self.made = columns, complete, None
+
+    def models(self) -> dict[int, Model]:
+        if self.made is None:
+            self.made = {m: _model(self.columns, m, whole) for m, whole in self.complete.items()}
+            self.columns = None
+        return self.made
+
+
 def _mask(k: int) -> int:
     return (1 << 8 * k) - 1
 
@@ -265,7 +279,7 @@ def train(trusted: DataFrame, scratch: Scratch, folds: int = 1) -> DataFrame:
     return entries
 
 
-def cached_models(entries: DataFrame, most: int) -> dict[int, Model]:
+def cached_models(entries: DataFrame, most: int) -> Cached:
     """Of each model all entries of the orders one and two, and the others from the count on from which at most ``most`` are left (of the models without a fold, together half of it)."""
     large = entries.where("order > 2")
     sizes: dict[int, list] = {}
@@ -282,7 +296,7 @@ def cached_models(entries: DataFrame, most: int) -> dict[int, Model]:
         if least is not None:
             chosen = chosen | ((F.col("model") == m) & (F.floor(F.log2("c")) >= least))
     columns = _columns([entries.where(chosen).select(*ENTRY).toArrow()])
-    return {m: _model(columns, m, whole) for m, whole in complete.items()}
+    return Cached(columns, complete)
 
 
 def _columns(parts: list[pa.Table]) -> list[np.ndarray]:
@@ -305,9 +319,8 @@ def _surprisal(models: dict[int, Model], of: np.ndarray, grams: np.ndarray) -> t
     return bits, settled
 
 
-def _hot(docs: DataFrame, models: dict[int, Model]) -> DataFrame:
-    """(uid, doc, lang, model, n, bits, excess, cold): what the cached entries settle, and the n-grams that they don't."""
-    held = docs.sparkSession.sparkContext.broadcast(models)
+def _hot(docs: DataFrame, held: Broadcast) -> DataFrame:
+    """(uid, doc, lang, model, n, bits, excess, cold): what the cached entries settle, and the n-grams that they don't.  ``held``: a :class:`Cached`."""
 
     def run(batches):
         uid = TaskContext.get().partitionId() << 40
@@ -321,7 +334,7 @@ def _hot(docs: DataFrame, models: dict[int, Model]) -> DataFrame:
                     grams, starts = packed_grams(part)
                     if len(grams):
                         of = np.repeat(batch.column("model").to_numpy()[first + at:first + at + len(part)], n)
-                        bits, settled = _surprisal(held.value, of, grams)
+                        bits, settled = _surprisal(held.value.models(), of, grams)
                         ends = np.concatenate((starts, [len(grams)]))
                         for row, values in enumerate((bits, np.maximum(bits - SPIKE, 0) * settled)):
                             total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
@@ -371,7 +384,9 @@ def _looked_up(cold: DataFrame, entries: DataFrame) -> DataFrame:
 def score(docs: DataFrame, entries: DataFrame, scratch: Scratch, cache_entries: int = CACHE) -> DataFrame:
     """(uid, doc, lang, model, n, perplexity, excess) of every row (doc, lang, text, and model unless it is 0)."""
     docs = docs if "model" in docs.columns else docs.withColumn("model", F.lit(0))
-    hot = scratch.keep(_hot(docs, cached_models(entries, cache_entries)), "hot")
+    held = docs.sparkSession.sparkContext.broadcast(cached_models(entries, cache_entries))
+    hot = scratch.keep(_hot(docs, held), "hot")
+    held.destroy()  # all that needs it is written
     cold = hot.select("uid", "model", F.explode("cold").alias("gram")).groupBy("uid", "model", "gram").agg(F.count("*").alias("times"))
     both = hot.drop("cold").join(_looked_up(cold, entries), "uid", "left")
     bits = (F.col("bits") + F.coalesce("cold_bits", F.lit(0.0))) / F.greatest("n", F.lit(1))
