@@ -1,12 +1,13 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a join and an aggregate over the links, written to the shared
-folder; only two numbers per round come to the driver.
+folder; only two numbers per round come to the driver, observed as the links
+are written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lectern.llm.common import Scratch
@@ -17,7 +18,8 @@ def _smallest(sym: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    sym = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    sym = edges.select(F.inline(ends))  # one scan for both directions
     out = sym.join(_smallest(sym), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.where("u <> v").distinct()
 
@@ -25,8 +27,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links point from the larger to the smaller number here."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    both = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+    return edges.join(least, "u").select(F.inline(both)).where("u <> v").distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -35,11 +37,12 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.keep(edges, "links")
     seen = None
     while True:
-        new = scratch.keep(_small_star(_large_star(edges)), "star")
+        told = Observation()
+        new = _small_star(_large_star(edges)).observe(told, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        new = scratch.keep(new, "star")
         scratch.drop(edges)
-        edges = new
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == seen or state[0] == 0:
+        edges, state = new, told.get
+        if state == seen or state["n"] == 0:
             break
         seen = state
     own = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -259,24 +259,26 @@ def train(trusted: DataFrame, scratch: Scratch, folds: int = 1) -> DataFrame:
         one = table.groupBy("model").agg(F.lit(k).alias("k"), *(F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)))
         every = one if every is None else every.unionByName(one)
     discounts = {(r["k"], r["model"]): _discounts([r["n1"], r["n2"], r["n3"], r["n4"]]) for r in every.collect()}  # a row per order and model
-    lower, entries = None, None
+    lower, kept = None, []
     for k in range(1, ORDER + 1):
         models = range(folds + 1 if folds > 1 else 1)
         d1, d2, d3 = (F.get(F.array(*(F.lit(discounts.get((k, m), _discounts([0]))[j]) for m in models)), F.col("model")) for j in range(3))
         off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = counts[k].withColumn("context", F.shiftright("gram", 8)).withColumn("off", off)
+        head = ["model", F.lit(k).alias("order")]
         contexts = grams.groupBy("model", "context").agg(F.sum("c").alias("total"), (F.sum("off") / F.sum("c")).alias("g"))
-        contexts = scratch.keep(contexts, f"contexts{k}")
-        seen = grams.join(contexts, ["model", "context"])
+        contexts = scratch.keep(contexts.select(*head, F.lit(True).alias("weight"), F.col("context").alias("key"), F.col("total").alias("c"), F.col("g").alias("p")), f"contexts{k}")
+        seen = grams.join(contexts.select("model", F.col("key").alias("context"), F.col("c").alias("total"), F.col("p").alias("g")), ["model", "context"])
         if lower is None:
             seen = seen.withColumn("low", F.lit(1 / 256))
         else:
-            seen = seen.withColumn("tail", F.col("gram").bitwiseAND(F.lit(_mask(k - 1)))).join(lower.select("model", F.col("gram").alias("tail"), F.col("p").alias("low")), ["model", "tail"])
-        lower = scratch.keep(seen.select("model", "gram", "c", ((F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")).alias("p")), f"probs{k}")
-        rows = (lower.select("model", F.lit(k).alias("order"), F.lit(False).alias("weight"), F.col("gram").alias("key"), F.log2("p").cast("float").alias("value"), "c")
-                .unionByName(contexts.select("model", F.lit(k).alias("order"), F.lit(True).alias("weight"), F.col("context").alias("key"), F.log2(F.greatest("g", F.lit(1e-9))).cast("float").alias("value"), F.col("total").alias("c"))))
-        entries = rows if entries is None else entries.unionByName(rows)
-    return entries
+            seen = seen.withColumn("tail", F.col("gram").bitwiseAND(F.lit(_mask(k - 1)))).join(lower.select("model", F.col("key").alias("tail"), F.col("p").alias("low")), ["model", "tail"])
+        p = (F.col("c") - F.col("off")) / F.col("total") + F.col("g") * F.col("low")
+        lower = scratch.keep(seen.select(*head, F.lit(False).alias("weight"), F.col("gram").alias("key"), "c", p.alias("p")), f"probs{k}")
+        kept += [lower, contexts]
+    # tables of one form, so that all orders are one scan wherever they are read
+    value = F.log2(F.when(F.col("weight"), F.greatest("p", F.lit(1e-9))).otherwise(F.col("p"))).cast("float")
+    return scratch.together(kept).select("model", "order", "weight", "key", value.alias("value"), "c")
 
 
 def cached_models(entries: DataFrame, most: int) -> Cached:

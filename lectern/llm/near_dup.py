@@ -114,12 +114,11 @@ def index_keys(sets: DataFrame) -> DataFrame:
 
 def errors(a: str, b: str) -> F.Column:
     """In how many symbols two signatures differ: the 16-bit lanes of the xor that aren't zero."""
-    total = F.lit(0)
+    lanes, total = 0x0001000100010001, F.lit(0)
     for c in SIG:
         x = F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))
-        for shift, low in ((8, 0x00FF), (4, 0x000F), (2, 0x0003), (1, 0x0001)):  # each lane folds into its lowest bit
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(low * 0x0001000100010001))
-        total = total + F.bit_count(x)
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseAND(F.lit(0x3FFF * lanes))  # each lane folds into its lowest 14 bits
+        total = total + F.bit_count((x + F.lit(0x3FFF * lanes)).bitwiseAND(F.lit(0x4000 * lanes)))  # 1 or more carries into bit 14
     return total
 
 
@@ -165,7 +164,7 @@ class NearDup:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full shingle sets are similar enough."""
         pairs = self.scratch.keep(pairs, "pairs")
-        texts = self.texts(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))))
+        texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
         x = pairs.hint("merge").join(texts.select(F.col("doc").alias("a"), F.col("text").alias("x")), "a")
         y = x.hint("merge").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("y")), "b")
         n_words, percent = self.n_words, self.percent
